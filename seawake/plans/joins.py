@@ -1,0 +1,16 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``small`` only when its row count is at most ``max_rows``.
+
+    The count runs on the (small, usually cached or file-backed) side; above the bound the
+    frame is returned unchanged and the planner shuffles (or AQE re-plans with real sizes).
+    """
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small

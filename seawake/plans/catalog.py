@@ -79,7 +79,7 @@ def q_silver_flags(spark, sf):
 @register("quarantine_causes", O.with_ctes(O.silver_ctes(), select=(
         "SELECT r_MMSI AS MMSI, r_BaseDateTime AS BaseDateTime, r_LAT AS LAT, r_LON AS LON, _source_file, "
         "array_to_string(causas, ',') AS causa, "
-        "len(causas) AS n_causas, valido FROM chk")))
+        "CAST(len(causas) AS INTEGER) AS n_causas, valido FROM chk")))
 def q_quarantine_causes(spark, sf):
     return checked(spark, sf).select(F.col("raw.MMSI"), F.col("raw.BaseDateTime"), F.col("raw.LAT"),
                                      F.col("raw.LON"), "_source_file", F.concat_ws(",", "causas").alias("causa"),
@@ -139,3 +139,290 @@ def q_traffic_cell_hour(spark, sf):
         "SELECT * FROM traffic ORDER BY buques DESC, fecha, hora, h3_r7 LIMIT 10")))
 def q_top_cell_hours(spark, sf):
     return gold.top_cell_hours(gold.traffic_cell_hour(silver(spark, sf)))
+
+
+# ----------------------------------------------------------------------------- batch study
+
+from seawake.operators import study as st  # noqa: E402
+from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
+from seawake.sources.ports import test_ports, test_ports_sql  # noqa: E402
+
+STUDY_DAY = "2024-01-05"   # the one-day questions of the study use this day of the test data
+
+
+def typed(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    return sv.typed_positions(raw_positions(load_events(spark, sf)))
+
+
+def clean(spark: SparkSession, sf: str) -> DataFrame:
+    return st.clean_positions(typed(spark, sf))
+
+
+def optimized(spark: SparkSession, sf: str) -> DataFrame:
+    return st.partition_columns(typed(spark, sf))
+
+
+def _study(*ctes: str, select: str) -> str:
+    return O.with_ctes(O.TYPED_CTES, *ctes, select=select)
+
+
+@register("scan_typed", _study(select=f"SELECT {O.RAW17}, _source_file FROM typed"))
+def q_scan_typed(spark, sf):
+    return typed(spark, sf)
+
+
+@register("positions_clean", _study(select=f"SELECT {O.RAW17}, _source_file, fecha FROM clean"))
+def q_positions_clean(spark, sf):
+    return clean(spark, sf)
+
+
+@register("daily_activity", _study(select=(
+        "SELECT CAST(BaseDateTime AS DATE) AS fecha, count(*) AS posiciones, "
+        "count(DISTINCT MMSI) AS buques_unicos_exacto FROM typed GROUP BY 1")))
+def q_daily_activity(spark, sf):
+    return st.daily_activity(typed(spark, sf), approx=False)
+
+
+@register("daily_ships_exact_vs_approx")   # HyperLogLog: rows-only check, tolerance tested in tests/
+def q_daily_ships_exact_vs_approx(spark, sf):
+    return st.daily_ships_exact_vs_approx(clean(spark, sf))
+
+
+@register("core_nulls", _study(select=f"SELECT {O.counts(O.NULL_MEASURES)} FROM typed"))
+def q_core_nulls(spark, sf):
+    return st.core_nulls(typed(spark, sf))
+
+
+@register("range_profile", _study(select=f"SELECT {O.counts(O.RANGE_MEASURES)} FROM typed"))
+def q_range_profile(spark, sf):
+    return st.range_profile(typed(spark, sf))
+
+
+@register("residual_values", _study(select="""
+SELECT campo, valor, n FROM (
+  SELECT *, row_number() OVER (PARTITION BY campo ORDER BY n DESC, valor) AS rk FROM (
+    SELECT 'COG' AS campo, CAST(COG AS DOUBLE) AS valor, count(*) AS n FROM typed
+    WHERE COG > 359.9 AND COG <> 360.0 GROUP BY 2
+    UNION ALL
+    SELECT 'Heading', CAST(Heading AS DOUBLE), count(*) FROM typed
+    WHERE Heading > 359 AND Heading <> 511 GROUP BY 2)) WHERE rk <= 10"""))
+def q_residual_values(spark, sf):
+    return st.residual_values(typed(spark, sf))
+
+
+@register("id_profile", _study(select=f"SELECT {O.counts(O.ID_MEASURES)} FROM typed"))
+def q_id_profile(spark, sf):
+    return st.id_profile(typed(spark, sf))
+
+
+@register("id_lengths", _study(select=(
+        "SELECT CAST(length(MMSI) AS INTEGER) AS largo, count(*) AS n FROM typed WHERE length(MMSI) <> 9 GROUP BY 1")))
+def q_id_lengths(spark, sf):
+    return st.id_lengths(typed(spark, sf))
+
+
+@register("odd_ids", _study(select=(
+        "SELECT MMSI, count(*) AS n FROM typed WHERE length(MMSI) IN (1, 2, 3, 4, 6) GROUP BY MMSI "
+        "ORDER BY n DESC, MMSI LIMIT 15")))
+def q_odd_ids(spark, sf):
+    return st.odd_ids(typed(spark, sf))
+
+
+@register("optional_profile", _study(select=f"SELECT {O.counts(O.OPTIONAL_MEASURES)} FROM typed"))
+def q_optional_profile(spark, sf):
+    return st.optional_profile(typed(spark, sf))
+
+
+@register("duplicate_profile", _study(O.DUP_CTES, select="SELECT * FROM dup"))
+def q_duplicate_profile(spark, sf):
+    return st.duplicate_profile(typed(spark, sf))
+
+
+@register("key_conflicts", _study(O.DUP_CTES, select="SELECT MMSI, BaseDateTime, n FROM conflicts"))
+def q_key_conflicts(spark, sf):
+    return st.key_conflicts(typed(spark, sf))
+
+
+@register("type_mix", _study(select=(
+        "SELECT VesselType, count(*) AS posiciones, count(DISTINCT MMSI) AS buques_unicos FROM typed GROUP BY 1")))
+def q_type_mix(spark, sf):
+    return st.type_mix(typed(spark, sf))
+
+
+@register("length_mix", _study(select=(
+        "SELECT CAST(floor(Length / 25) AS BIGINT) * 25 AS length_bucket, count(*) AS posiciones, "
+        "count(DISTINCT MMSI) AS buques_unicos FROM typed WHERE Length > 0 GROUP BY 1")))
+def q_length_mix(spark, sf):
+    return st.length_mix(typed(spark, sf))
+
+
+def _quality_summary_sql() -> str:
+    measures = {**O.NULL_MEASURES, **O.RANGE_MEASURES, **O.ID_MEASURES, **O.OPTIONAL_MEASURES}
+    parts = []
+    for i, (sec, label, ms) in enumerate(st.QUALITY_FINDINGS, 1):
+        total = " + ".join(f"w.{m}" if m in measures else f"dup.{m}" for m in ms)
+        lab = label.replace("'", "''")
+        parts.append(f"SELECT {i} AS orden, '{sec}' AS seccion, '{lab}' AS hallazgo, "
+                     f"CAST({total} AS BIGINT) AS cantidad, {O.fixed(f'({total}) / w.total * 100', 4)} AS pct "
+                     f"FROM w, dup")
+    wide = f"w AS (SELECT count(*) AS total, {O.counts(measures)} FROM typed)"
+    return _study(O.DUP_CTES, wide, select="\nUNION ALL\n".join(parts))
+
+
+@register("quality_summary", _quality_summary_sql())
+def q_quality_summary(spark, sf):
+    return st.quality_summary(typed(spark, sf))
+
+
+def _bronze_profile_sql() -> str:
+    wide = "w AS (SELECT " + ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}" for k, p in O.BRONZE_CHECKS.items()) \
+        + " FROM raw)"
+    parts = [f"SELECT {i} AS orden, '{k}' AS chequeo, w.{k} AS n, {O.fixed(f'w.{k} * 100 / w.total', 4)} AS pct FROM w"
+             for i, k in enumerate(O.BRONZE_CHECKS, 1)]
+    return _study(wide, select="\nUNION ALL\n".join(parts))
+
+
+@register("bronze_profile", _bronze_profile_sql())
+def q_bronze_profile(spark, sf):
+    return st.bronze_profile(bronze(spark, sf))
+
+
+@register("density_grid", _study(select=(
+        "SELECT round(LAT / 0.5::DOUBLE) * 0.5::DOUBLE AS lat_grid, round(LON / 0.5::DOUBLE) * 0.5::DOUBLE AS lon_grid, "
+        "count(*) AS n FROM typed GROUP BY 1, 2")))
+def q_density_grid(spark, sf):
+    return st.density_grid(typed(spark, sf))
+
+
+_CATALOG_SQL = ("(SELECT * FROM (VALUES " + ", ".join(f"({c}, '{d}')" for c, d in st.SHIP_TYPE_CODES)
+                + ") t(VesselType, TipoBuqueDesc))")
+
+
+@register("top_types", _study(select=f"""
+SELECT per.VesselType, coalesce(cat.TipoBuqueDesc, 'No catalogado') AS tipo_buque, num_posiciones, velocidad_media_sog
+FROM (SELECT VesselType, count(*) AS num_posiciones, {O.fixed('avg(SOG)', 2)} AS velocidad_media_sog
+      FROM clean GROUP BY VesselType) per
+LEFT JOIN {_CATALOG_SQL} cat ON per.VesselType = cat.VesselType
+ORDER BY num_posiciones DESC, per.VesselType NULLS FIRST LIMIT 10"""))
+def q_top_types(spark, sf):
+    return st.top_types(clean(spark, sf))
+
+
+SEGP_CTE = f"""
+segp AS (
+  SELECT MMSI, BaseDateTime, LAT, LON, fecha, lag(BaseDateTime) OVER w AS BaseDateTime_prev,
+         lag(LAT) OVER w AS LAT_prev, lag(LON) OVER w AS LON_prev,
+         {O.haversine('lag(LAT) OVER w', 'lag(LON) OVER w', 'LAT', 'LON')} AS distancia_km
+  FROM clean WINDOW w AS (PARTITION BY MMSI ORDER BY BaseDateTime, LAT, LON))"""
+
+
+@register("segments_period", _study(SEGP_CTE, select=(
+        f"SELECT MMSI, BaseDateTime, BaseDateTime_prev, LAT_prev, LON_prev, {O.fixed('distancia_km', 6)} AS distancia_km "
+        "FROM segp")))
+def q_segments_period(spark, sf):
+    return st.segments_period(clean(spark, sf)).select(
+        "MMSI", "BaseDateTime", "BaseDateTime_prev", "LAT_prev", "LON_prev", fixed("distancia_km", 6).alias("distancia_km"))
+
+
+@register("top_distance", _study(SEGP_CTE, select=(
+        f"SELECT MMSI, {O.fixed('sum(distancia_km)', 2)} AS distancia_total_km FROM segp WHERE LAT_prev IS NOT NULL "
+        "GROUP BY MMSI ORDER BY distancia_total_km DESC, MMSI LIMIT 10")))
+def q_top_distance(spark, sf):
+    return st.top_distance(clean(spark, sf))
+
+
+DPS_CTE = "dps AS (SELECT MMSI, count(DISTINCT fecha) AS d FROM clean GROUP BY MMSI)"
+
+
+@register("permanence", _study(DPS_CTE, select=f"""
+SELECT count(*) AS total_buques, (SELECT count(DISTINCT fecha) FROM clean) AS dias_periodo,
+       count(*) FILTER (WHERE d = (SELECT count(DISTINCT fecha) FROM clean)) AS buques_todos_los_dias,
+       count(*) FILTER (WHERE d = 1) AS buques_un_dia,
+       {O.fixed('count(*) FILTER (WHERE d = (SELECT count(DISTINCT fecha) FROM clean)) / count(*) * 100', 2)}
+         AS pct_todos_los_dias,
+       {O.fixed('count(*) FILTER (WHERE d = 1) / count(*) * 100', 2)} AS pct_un_dia
+FROM dps"""))
+def q_permanence(spark, sf):
+    return st.permanence(clean(spark, sf))
+
+
+_FINE = O.cell("LAT", "LON", st.CELL_STEP_R8)
+
+
+@register("visitor_cells", _study(DPS_CTE, select=f"""
+SELECT h3_cell, count(*) AS num_posiciones, count(DISTINCT MMSI) AS num_buques
+FROM (SELECT *, {_FINE} AS h3_cell FROM clean WHERE MMSI IN (SELECT MMSI FROM dps WHERE d = 1))
+GROUP BY h3_cell ORDER BY num_buques DESC, num_posiciones DESC, h3_cell LIMIT 10"""))
+def q_visitor_cells(spark, sf):
+    return st.visitor_cells(clean(spark, sf))
+
+
+_F_LAT, _F_LON = O.cell_center("h3_cell", st.CELL_STEP_R8)
+
+
+@register("top_cells_nearest_port", _study(f"""
+top AS (
+  SELECT h3_cell, num_posiciones, num_buques, {O.fixed(_F_LAT, 6)} AS lat_aprox, {O.fixed(_F_LON, 6)} AS lon_aprox
+  FROM (SELECT h3_cell, count(*) AS num_posiciones, count(DISTINCT MMSI) AS num_buques
+        FROM (SELECT *, {_FINE} AS h3_cell FROM clean) GROUP BY h3_cell
+        ORDER BY num_posiciones DESC, h3_cell LIMIT 10))""", f"""
+cand AS (
+  SELECT t.*, p.puerto, p.pais, {O.haversine('t.lat_aprox', 't.lon_aprox', 'p.lat_puerto', 'p.lon_puerto')} AS d
+  FROM top t, {test_ports_sql()} p)""", select=f"""
+SELECT h3_cell, num_posiciones, num_buques, lat_aprox, lon_aprox,
+       arg_min(puerto, (d, puerto, pais)) AS puerto_cercano, arg_min(pais, (d, puerto, pais)) AS pais,
+       {O.fixed('min(d)', 2)} AS distancia_km
+FROM cand GROUP BY ALL"""))
+def q_top_cells_nearest_port(spark, sf):
+    return st.top_cells_nearest_port(clean(spark, sf), test_ports(spark))
+
+
+@register("partition_columns", _study(select="SELECT * FROM opt"))
+def q_partition_columns(spark, sf):
+    return optimized(spark, sf)
+
+
+@register("rows_per_day", _study(select=(
+        f"SELECT date, count(*) AS num_filas, {O.fixed('count(*) / 1e6', 1)} AS filas_millones FROM opt GROUP BY date")))
+def q_rows_per_day(spark, sf):
+    return st.rows_per_day(optimized(spark, sf))
+
+
+@register("busiest_boxes", _study(select=f"""
+SELECT date, lat_bucket, lon_bucket, count(DISTINCT MMSI) AS buques, count(*) AS posiciones
+FROM opt WHERE date = DATE '{STUDY_DAY}' GROUP BY ALL
+ORDER BY posiciones DESC, lat_bucket, lon_bucket LIMIT 10"""))
+def q_busiest_boxes(spark, sf):
+    return st.busiest_boxes(optimized(spark, sf), STUDY_DAY)
+
+
+@register("daily_summary", _study(select=f"""
+SELECT date AS fecha, count(DISTINCT MMSI) AS num_buques_unicos, count(*) AS total_posiciones,
+       {O.fixed('avg(SOG)', 2)} AS velocidad_promedio_nudos, min(LAT) AS lat_minima, max(LAT) AS lat_maxima,
+       min(LON) AS lon_minima, max(LON) AS lon_maxima, count(DISTINCT VesselType) AS num_tipos_buques,
+       count(DISTINCT Status) AS num_estados_navegacion
+FROM opt GROUP BY date"""))
+def q_daily_summary(spark, sf):
+    return st.daily_summary(optimized(spark, sf))
+
+
+@register("type_summary", _study(select=f"""
+SELECT date AS fecha, VesselType AS tipo_buque, count(DISTINCT MMSI) AS num_buques, count(*) AS num_posiciones,
+       {O.fixed('avg(SOG)', 2)} AS velocidad_promedio_nudos, {O.fixed('avg(Length)', 1)} AS largo_promedio_metros,
+       {O.fixed('avg(Width)', 1)} AS manga_promedio_metros,
+       count(*) FILTER (WHERE Status = 0) AS en_transito, count(*) FILTER (WHERE Status = 5) AS en_pesca,
+       count(*) FILTER (WHERE Status = 8) AS mocionando
+FROM opt GROUP BY date, VesselType"""))
+def q_type_summary(spark, sf):
+    return st.type_summary(optimized(spark, sf))
+
+
+@register("box_summary", _study(select=f"""
+SELECT date AS fecha, lat_bucket AS zona_lat, lon_bucket AS zona_lon, count(DISTINCT MMSI) AS buques_en_zona,
+       count(*) AS total_posiciones, {O.fixed('avg(SOG)', 2)} AS velocidad_promedio,
+       min(LAT) AS lat_exacta_min, max(LAT) AS lat_exacta_max, min(LON) AS lon_exacta_min, max(LON) AS lon_exacta_max
+FROM opt WHERE lat_bucket IS NOT NULL AND lon_bucket IS NOT NULL
+GROUP BY date, lat_bucket, lon_bucket HAVING count(DISTINCT MMSI) > 0"""))
+def q_box_summary(spark, sf):
+    return st.box_summary(optimized(spark, sf))

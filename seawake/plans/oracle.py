@@ -154,3 +154,94 @@ traffic AS (
 
 def with_ctes(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + select
+
+
+# --------------------------------------------------------------------------- batch study
+
+TYPED_CTES = f"""
+raw AS ({duckdb_raw_sql()}),
+typed AS (
+  SELECT MMSI, TRY_CAST(BaseDateTime AS TIMESTAMP) AS BaseDateTime, TRY_CAST(LAT AS DOUBLE) AS LAT,
+         TRY_CAST(LON AS DOUBLE) AS LON, TRY_CAST(SOG AS FLOAT) AS SOG, TRY_CAST(COG AS FLOAT) AS COG,
+         TRY_CAST(Heading AS FLOAT) AS Heading, VesselName, IMO, CallSign,
+         TRY_CAST(VesselType AS SMALLINT) AS VesselType, TRY_CAST(Status AS SMALLINT) AS Status,
+         TRY_CAST(Length AS FLOAT) AS Length, TRY_CAST(Width AS FLOAT) AS Width, TRY_CAST(Draft AS FLOAT) AS Draft,
+         Cargo, TransceiverClass, _source_file
+  FROM raw),
+clean AS (
+  SELECT *, CAST(BaseDateTime AS DATE) AS fecha FROM typed
+  WHERE LAT BETWEEN -90 AND 90 AND LON BETWEEN -180 AND 180 AND MMSI IS NOT NULL AND BaseDateTime IS NOT NULL),
+opt AS (
+  SELECT CAST(BaseDateTime AS DATE) AS date, CAST(date_trunc('month', BaseDateTime) AS DATE) AS year_month,
+         CAST(hour(BaseDateTime) AS INTEGER) AS hour, CAST(round(LAT, 0) AS INTEGER) AS lat_bucket,
+         CAST(round(LON, 0) AS INTEGER) AS lon_bucket, MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading, VesselName,
+         IMO, CallSign, VesselType, Status, Length, Width, Draft, Cargo, TransceiverClass
+  FROM typed)"""
+
+RAW17 = ("MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading, VesselName, IMO, CallSign, VesselType, Status, "
+         "Length, Width, Draft, Cargo, TransceiverClass")
+
+# count_if measures of the profile, as DuckDB predicates over ``typed``
+NULL_MEASURES = {f"nulos_{c}": f"{c} IS NULL" for c in ("MMSI", "BaseDateTime", "LAT", "LON")}
+RANGE_MEASURES = {
+    "LAT_fuera_rango": "LAT < -89.99999 OR LAT > 89.99999",
+    "LON_fuera_rango": "LON < -179.99999 OR LON > 179.99999",
+    "fuera_de_extension_NOAA": "LON < -168 OR LON > -60 OR LAT < 15 OR LAT > 50",
+    "SOG_sin_dato": "abs(SOG - 102.3) < 0.05",
+    "SOG_invalido_real": "SOG IS NOT NULL AND abs(SOG - 102.3) >= 0.05 AND (SOG < 0 OR SOG > 102.2)",
+    "COG_sin_dato": "COG = 360.0",
+    "COG_invalido_real": "COG IS NOT NULL AND COG <> 360.0 AND (COG < 0 OR COG > 359.9)",
+    "Heading_sin_dato": "Heading = 511",
+    "Heading_invalido_real": "Heading IS NOT NULL AND Heading <> 511 AND (Heading < 0 OR Heading > 359)",
+}
+ID_MEASURES = {
+    "MMSI_longitud_invalida": "length(MMSI) <> 9",
+    "MMSI_no_numerico": "NOT regexp_matches(MMSI, '^[0-9]+\\z')",
+    "MMSI_fuera_rango_flota": ("regexp_matches(MMSI, '^[0-9]{9}\\z') AND (TRY_CAST(MMSI AS BIGINT) < 200000000 "
+                               "OR TRY_CAST(MMSI AS BIGINT) > 799999999)"),
+}
+OPTIONAL_MEASURES = {}
+for _c in ("VesselName", "CallSign"):
+    OPTIONAL_MEASURES.update({f"{_c}_nulo": f"{_c} IS NULL", f"{_c}_vacio": f"{_c} = ''",
+                              f"{_c}_placeholder_arroba": f"regexp_matches({_c}, '^@+\\z')"})
+OPTIONAL_MEASURES.update({
+    "IMO_nulo": "IMO IS NULL", "IMO_vacio": "IMO = ''",
+    "IMO_formato_invalido": "IMO IS NOT NULL AND NOT regexp_matches(IMO, '^IMO[0-9]+\\z')",
+    "Length_cero": "Length = 0", "Width_cero": "Width = 0", "Draft_cero": "Draft = 0",
+    "Draft_techo_25_5": "Draft >= 25.5"})
+
+
+def counts(measures: dict[str, str]) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {p}) AS {k}" for k, p in measures.items())
+
+
+DUP_CTES = f"""
+exact_g AS (SELECT {RAW17}, count(*) AS n FROM typed GROUP BY ALL),
+key_g AS (SELECT MMSI, BaseDateTime, count(*) AS n FROM typed GROUP BY MMSI, BaseDateTime HAVING count(*) > 1),
+exact_keys AS (SELECT DISTINCT MMSI, BaseDateTime FROM exact_g WHERE n > 1),
+conflicts AS (SELECT * FROM key_g k WHERE NOT EXISTS (
+  SELECT 1 FROM exact_keys e WHERE e.MMSI = k.MMSI AND e.BaseDateTime = k.BaseDateTime)),
+dup AS (
+  SELECT (SELECT CAST(sum(n - 1) AS BIGINT) FROM exact_g) AS duplicados_exactos,
+         (SELECT count(*) FROM key_g) AS grupos_llave,
+         (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM key_g) AS filas_involucradas,
+         (SELECT count(*) FROM conflicts) AS grupos_conflicto)"""
+
+BRONZE_CHECKS = {
+    "total": "true",
+    "mmsi_no_9_digitos": "NOT regexp_matches(MMSI, '^[0-9]{9}\\z') OR MMSI IS NULL",
+    "ts_invalido": "TRY_CAST(BaseDateTime AS TIMESTAMP) IS NULL",
+    "lat_nula_o_no_numerica": "TRY_CAST(LAT AS DOUBLE) IS NULL",
+    "lat_fuera_rango": "TRY_CAST(LAT AS DOUBLE) < -90 OR TRY_CAST(LAT AS DOUBLE) > 90",
+    "lon_nula_o_no_numerica": "TRY_CAST(LON AS DOUBLE) IS NULL",
+    "lon_fuera_rango": "TRY_CAST(LON AS DOUBLE) < -180 OR TRY_CAST(LON AS DOUBLE) > 180",
+    "sog_nula": "TRY_CAST(SOG AS DOUBLE) IS NULL",
+    "sog_negativa": "TRY_CAST(SOG AS DOUBLE) < 0",
+    "sog_sentinel_102_3": "abs(TRY_CAST(SOG AS DOUBLE) - 102.3) < 0.05",
+    "sog_50_a_102": "TRY_CAST(SOG AS DOUBLE) > 50 AND TRY_CAST(SOG AS DOUBLE) < 102.25",
+    "cog_sentinel_360": "abs(TRY_CAST(COG AS DOUBLE) - 360.0) < 0.05",
+    "cog_fuera_rango": "TRY_CAST(COG AS DOUBLE) < 0 OR TRY_CAST(COG AS DOUBLE) > 360.05",
+    "heading_sentinel_511": "abs(TRY_CAST(Heading AS DOUBLE) - 511) < 0.5",
+    "imo_nulo": "IMO IS NULL",
+    "imo_mal_formado": "IMO IS NOT NULL AND NOT regexp_matches(IMO, '^IMO[0-9]{7}\\z')",
+}

@@ -26,6 +26,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.driver.memory", os.environ.get("SEAWAKE_DRIVER_MEM", "8g"))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in _SESSION_CONF.items():
         b = b.config(k, v)

@@ -426,3 +426,216 @@ FROM opt WHERE lat_bucket IS NOT NULL AND lon_bucket IS NOT NULL
 GROUP BY date, lat_bucket, lon_bucket HAVING count(DISTINCT MMSI) > 0"""))
 def q_box_summary(spark, sf):
     return st.box_summary(optimized(spark, sf))
+
+
+# ----------------------------------------------------------------------------- ports, quality, dashboard
+
+import datetime as _dt  # noqa: E402
+
+from seawake.functions.dates import day_filter, parse_days  # noqa: E402
+from seawake.operators import contract as ct, dashboard as db, ports as pt, quality as qa  # noqa: E402
+from seawake.schema import CAUSES, DAY_METRICS  # noqa: E402
+
+DASH_DAY = "2024-01-08"                               # dashboard parameter used by the checks
+GATE_DAYS = "2024-01-08, 2024-01-09, 2099-01-01"      # gate parameter (last day has no data)
+DAY_SET = "2024-01-03,2024-01-04"                     # day-set parameter of the daily steps
+
+
+def zones(spark: SparkSession, sf: str) -> DataFrame:
+    return pt.port_cells(test_ports(spark))
+
+
+def presence(spark: SparkSession, sf: str) -> DataFrame:
+    return pt.port_presence(silver(spark, sf), zones(spark, sf))
+
+
+def metrics(spark: SparkSession, sf: str, batch_id: int = 0) -> DataFrame:
+    """Long-form metrics of the whole input taken as one batch against an empty history."""
+    chk = checked(spark, sf)
+    dd = sv.dedup_valid(chk)
+    per_day = sv.day_metrics_long(sv.day_metrics_wide(chk, dd))
+    merge = qa.merge_metrics(dd, dd)
+    return per_day.unionByName(merge).withColumn("batch_id", F.lit(batch_id).cast("long"))
+
+
+_PORTS = O.port_cells_ctes(test_ports_sql())
+_METRICS = O.metrics_cte(DAY_METRICS, CAUSES, FLAGS)
+
+
+def _gold(*ctes: str, select: str) -> str:
+    return O.with_ctes(O.silver_ctes(), *ctes, select=select)
+
+
+@register("port_cells", O.with_ctes(_PORTS, select="SELECT * FROM port_cells"))
+def q_port_cells(spark, sf):
+    # the zones follow the catalogue; joined with the day's positions in port_presence
+    return zones(spark, sf)
+
+
+@register("port_presence", _gold(_PORTS, O.PRESENCE_CTE, select="SELECT * FROM presence"))
+def q_port_presence(spark, sf):
+    return presence(spark, sf)
+
+
+@register("top_ports", _gold(_PORTS, O.PRESENCE_CTE, select=(
+        f"SELECT puerto, pais, count(DISTINCT mmsi) AS buques, {O.fixed('sum(horas_en_puerto)', 0)} AS horas_buque "
+        "FROM presence GROUP BY puerto, pais ORDER BY buques DESC, puerto, pais LIMIT 15")))
+def q_top_ports(spark, sf):
+    return pt.top_ports(presence(spark, sf))
+
+
+@register("ports_per_day", _gold(_PORTS, O.PRESENCE_CTE, select=(
+        "SELECT fecha, count(DISTINCT mmsi) AS buques_en_puerto, count(DISTINCT puerto) AS puertos_activos "
+        "FROM presence GROUP BY fecha")))
+def q_ports_per_day(spark, sf):
+    return pt.ports_per_day(presence(spark, sf))
+
+
+_DIM_SQL = ("dim AS (SELECT * FROM (VALUES " + ", ".join(f"({a}, {b}, '{c}')" for a, b, c in pt.SHIP_TYPE_RANGES)
+            + ") t(codigo_min, codigo_max, categoria))")
+
+
+@register("port_ships", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, select=f"""
+SELECT p.puerto, p.mmsi, p.vessel_name, coalesce(d.categoria, 'Sin tipo') AS categoria,
+       p.primera_posicion, p.ultima_posicion, p.horas_en_puerto
+FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
+WHERE p.fecha = DATE '{DASH_DAY}'"""))
+def q_port_ships(spark, sf):
+    return db.port_ships(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY)
+
+
+@register("port_ranking", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, f"""
+base AS (
+  SELECT p.puerto, p.pais, p.mmsi, p.horas_en_puerto, coalesce(d.categoria, 'Sin tipo') AS categoria
+  FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
+  WHERE p.fecha = DATE '{DASH_DAY}')""", """
+top15 AS (SELECT puerto, count(DISTINCT mmsi) AS buques_total FROM base GROUP BY puerto
+          ORDER BY buques_total DESC, puerto LIMIT 15)""", select=f"""
+SELECT b.puerto, min(b.pais) AS pais, b.categoria, count(DISTINCT b.mmsi) AS buques,
+       {O.fixed('sum(b.horas_en_puerto)', 1)} AS horas_buque
+FROM base b JOIN top15 t ON b.puerto = t.puerto
+GROUP BY b.puerto, b.categoria"""))
+def q_port_ranking(spark, sf):
+    return db.port_ranking(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY)
+
+
+@register("quality_metrics", _gold(_METRICS, select="SELECT fecha, metrica, valor, 0::BIGINT AS batch_id FROM metrics"))
+def q_quality_metrics(spark, sf):
+    return metrics(spark, sf)
+
+
+@register("metric_totals", _gold(_METRICS, select=(
+        "SELECT metrica, CAST(sum(valor) AS BIGINT) AS total FROM metrics GROUP BY metrica")))
+def q_metric_totals(spark, sf):
+    return qa.metric_totals(metrics(spark, sf))
+
+
+@register("quarantine_by_cause", _gold(select=(
+        "SELECT causa, count(*) AS n FROM (SELECT unnest(causas) AS causa FROM chk WHERE NOT valido) GROUP BY causa")))
+def q_quarantine_by_cause(spark, sf):
+    return qa.quarantine_by_cause(sv.quarantine_rows(checked(spark, sf)))
+
+
+@register("layer_balance", _gold(_METRICS, select="""
+SELECT bronce, plata, cuarentena, duplicados, bronce - plata - cuarentena - duplicados AS diferencia FROM (
+  SELECT (SELECT count(*) FROM raw) AS bronce, (SELECT count(*) FROM silver) AS plata,
+         (SELECT count(*) FROM chk WHERE NOT valido) AS cuarentena,
+         (SELECT CAST(sum(valor) AS BIGINT) FROM metrics
+          WHERE metrica IN ('duplicados', 'duplicados_contra_historico')) AS duplicados)"""))
+def q_layer_balance(spark, sf):
+    chk = checked(spark, sf)
+    return qa.layer_balance(bronze(spark, sf), silver(spark, sf), sv.quarantine_rows(chk), metrics(spark, sf))
+
+
+def _gate_sql() -> str:
+    days = parse_days(GATE_DAYS)
+    want = "want AS (SELECT * FROM (VALUES " + ", ".join(f"(DATE '{d}')" for d in days) + ") t(fecha))"
+    g = """
+g AS (
+  SELECT w.fecha, CAST(coalesce(m.e, 0) AS BIGINT) AS filas_entrada, CAST(coalesce(m.q, 0) AS BIGINT) AS cuarentena,
+         CAST(coalesce(s.n, 0) AS BIGINT) AS filas_plata
+  FROM want w
+  LEFT JOIN (SELECT fecha, sum(CASE WHEN metrica = 'filas_entrada' THEN valor END) AS e,
+                    sum(CASE WHEN metrica = 'cuarentena' THEN valor END) AS q FROM metrics GROUP BY fecha) m
+    ON w.fecha = m.fecha
+  LEFT JOIN (SELECT fecha, count(*) AS n FROM silver GROUP BY fecha) s ON w.fecha = s.fecha)"""
+    g2 = f"""
+g2 AS (SELECT *, CASE WHEN filas_entrada > 0 THEN {O.fixed('cuarentena * 100 / filas_entrada', 4)} END AS cuarentena_pct,
+              1.0::DOUBLE AS umbral_pct FROM g)"""
+    sel = """
+SELECT fecha, filas_entrada, cuarentena, filas_plata, cuarentena_pct, umbral_pct,
+       CASE WHEN len(p) = 0 THEN 'OK' ELSE 'FALLA: ' || array_to_string(p, '; ') END AS resultado
+FROM (SELECT *, list_filter([
+        CASE WHEN filas_entrada = 0 THEN 'sin filas de entrada para la fecha' END,
+        CASE WHEN filas_plata = 0 THEN 'plata vacía para la fecha' END,
+        CASE WHEN cuarentena_pct > umbral_pct THEN 'cuarentena ' || CAST(cuarentena_pct AS VARCHAR) || '% > umbral '
+             || CAST(umbral_pct AS VARCHAR) || '%' END], lambda x: x IS NOT NULL) AS p FROM g2)"""
+    return _gold(_METRICS, want, g, g2, select=sel)
+
+
+@register("quality_gate", _gate_sql())
+def q_quality_gate(spark, sf):
+    return qa.quality_gate(spark, metrics(spark, sf), silver(spark, sf), parse_days(GATE_DAYS))
+
+
+@register("day_filter", _gold(select=(
+        f"SELECT fecha, count(*) AS posiciones, count(DISTINCT mmsi) AS buques FROM silver WHERE fecha IN "
+        f"({', '.join(repr(str(d)) for d in parse_days(DAY_SET))}) GROUP BY fecha")))
+def q_day_filter(spark, sf):
+    return (silver(spark, sf).where(day_filter("fecha", parse_days(DAY_SET)))
+            .groupBy("fecha").agg(F.count(F.lit(1)).alias("posiciones"), F.count_distinct("mmsi").alias("buques")))
+
+
+@register("day_kpis", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, select=f"""
+SELECT (SELECT count(DISTINCT mmsi) FROM traj WHERE fecha = DATE '{DASH_DAY}') AS buques_activos,
+       (SELECT count(DISTINCT mmsi) FROM presence WHERE fecha = DATE '{DASH_DAY}') AS buques_en_puerto,
+       CAST(sum(CASE WHEN metrica = 'filas_entrada' THEN valor END) AS BIGINT) AS posiciones,
+       {O.fixed("sum(CASE WHEN metrica = 'cuarentena' THEN valor END) * 100 "
+                "/ sum(CASE WHEN metrica = 'filas_entrada' THEN valor END)", 3)} AS pct_cuarentena
+FROM metrics WHERE fecha = DATE '{DASH_DAY}'"""))
+def q_day_kpis(spark, sf):
+    return db.day_kpis(trajectories(spark, sf), presence(spark, sf), metrics(spark, sf), DASH_DAY)
+
+
+@register("day_map", _gold(O.TRAFFIC_CTE, select=f"""
+SELECT h3_r7, min(lat) AS lat, min(lon) AS lon, CAST(sum(posiciones) AS BIGINT) AS posiciones,
+       max(buques) AS buques_hora_pico
+FROM traffic WHERE fecha = DATE '{DASH_DAY}' GROUP BY h3_r7 HAVING sum(posiciones) >= 50"""))
+def q_day_map(spark, sf):
+    return db.day_map(gold.traffic_cell_hour(silver(spark, sf)), DASH_DAY)
+
+
+@register("day_anomalies", _gold(O.SEG_CTE, O.TRAJ_CTE, _METRICS, select=f"""
+SELECT '{db.JUMP_LABEL}' AS tipo, mmsi, vessel_name, CAST(saltos_anomalos AS BIGINT) AS eventos,
+       v_impl_max_kn AS detalle
+FROM traj WHERE fecha = DATE '{DASH_DAY}' AND saltos_anomalos > 0
+UNION ALL
+SELECT CONCAT('Calidad: ', REPLACE(metrica, 'cuarentena_', '')), NULL::VARCHAR, NULL::VARCHAR, valor, NULL::DOUBLE
+FROM metrics WHERE fecha = DATE '{DASH_DAY}' AND metrica LIKE 'cuarentena\\_%' ESCAPE '\\' AND valor > 0"""))
+def q_day_anomalies(spark, sf):
+    return db.day_anomalies(trajectories(spark, sf), metrics(spark, sf), DASH_DAY)
+
+
+def _contract_sql() -> str:
+    parts = []
+    for name, cte in (("gold_trafico_celda_hora", "traffic"), ("gold_trayectorias_diarias", "traj"),
+                      ("gold_presencia_puertos", "presence")):
+        c = ct.CONTRACTS[name]
+        key = ", ".join(c["key"])
+        null_key = " OR ".join(f"{k} IS NULL" for k in c["key"])
+        null_cnt = " OR ".join(f"{k} IS NULL" for k in c["counts"])
+        parts.append(f"""
+SELECT '{name}' AS tabla, regla, violaciones FROM (
+  SELECT (SELECT count(*) FROM (SELECT {key} FROM {cte} GROUP BY {key} HAVING count(*) > 1)) AS llave_duplicada,
+         count(*) FILTER (WHERE {null_key}) AS llave_nula, count(*) FILTER (WHERE {null_cnt}) AS conteo_nulo,
+         0::BIGINT AS esquema FROM {cte})
+UNPIVOT (violaciones FOR regla IN (llave_duplicada, llave_nula, conteo_nulo, esquema))""")
+    return _gold(O.TRAFFIC_CTE, O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, select="\nUNION ALL\n".join(parts))
+
+
+@register("contract_check", _contract_sql())
+def q_contract_check(spark, sf):
+    s = silver(spark, sf)
+    return ct.contract_check(spark, {"gold_trafico_celda_hora": gold.traffic_cell_hour(s),
+                                     "gold_trayectorias_diarias": gold.daily_trajectories(s),
+                                     "gold_presencia_puertos": pt.port_presence(s, zones(spark, sf))})

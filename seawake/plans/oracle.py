@@ -245,3 +245,64 @@ BRONZE_CHECKS = {
     "imo_nulo": "IMO IS NULL",
     "imo_mal_formado": "IMO IS NOT NULL AND NOT regexp_matches(IMO, '^IMO[0-9]{7}\\z')",
 }
+
+
+# --------------------------------------------------------------------------- ports
+
+def port_cells_ctes(ports_sql: str, step: float = CELL_STEP_R7, radius_km: float = 5.0) -> str:
+    """Port cells by brute force: a generous block of rows/columns around each port, exact test."""
+    lat_c, lon_c = cell_center("h3_r7", step)
+    nc = _ncol("rw", step)
+    return f"""
+ports AS {ports_sql},
+pc1 AS (SELECT *, unnest(generate_series({_row('lat_puerto', step)} - 6, {_row('lat_puerto', step)} + 6)) AS rw
+        FROM ports),
+pc2 AS (SELECT *, {nc} AS nc FROM pc1 WHERE rw BETWEEN 0 AND {_nrows(step) - 1}),
+pc3 AS (SELECT *, unnest(generate_series(CAST(floor((lon_puerto + 180.0::DOUBLE) / 360.0::DOUBLE * nc) AS BIGINT) - 15,
+                                         CAST(floor((lon_puerto + 180.0::DOUBLE) / 360.0::DOUBLE * nc) AS BIGINT) + 15))
+               AS cl FROM pc2),
+pc4 AS (SELECT DISTINCT puerto, pais, lat_puerto, lon_puerto, rw * {_ROW_FACTOR} + ((cl % nc) + nc) % nc AS h3_r7 FROM pc3),
+pc5 AS (SELECT *, {haversine('lat_puerto', 'lon_puerto', lat_c, lon_c)} AS dist_km FROM pc4),
+port_cells AS (
+  SELECT h3_r7, arg_min(puerto, (dist_km, puerto, pais)) AS puerto, arg_min(pais, (dist_km, puerto, pais)) AS pais,
+         arg_min(lat_puerto, (dist_km, puerto, pais)) AS lat_puerto, arg_min(lon_puerto, (dist_km, puerto, pais)) AS lon_puerto,
+         {fixed('min(dist_km)', 2)} AS dist_km
+  FROM pc5 WHERE dist_km <= {radius_km} GROUP BY h3_r7)"""
+
+
+PRESENCE_CTE = f"""
+pres0 AS (
+  SELECT s.mmsi, s.ts, s.fecha, s.vessel_name, s.vessel_type, z.puerto, z.pais, z.lat_puerto, z.lon_puerto
+  FROM silver s JOIN port_cells z ON s.h3_r7 = z.h3_r7
+  WHERE s.es_buque AND s.sog IS NOT NULL AND s.sog <= 1.0),
+pres1 AS (
+  SELECT *, (CAST(epoch(ts) AS BIGINT)
+             - CAST(epoch(lag(ts) OVER (PARTITION BY mmsi, fecha, puerto, pais ORDER BY ts)) AS BIGINT)) / 3600.0::DOUBLE
+            AS dt_h
+  FROM pres0),
+presence AS (
+  SELECT fecha, mmsi, puerto, pais, count(*) AS posiciones, min(ts) AS primera_posicion, max(ts) AS ultima_posicion,
+         {fixed('sum(CASE WHEN dt_h <= 1 THEN dt_h ELSE 0.0::DOUBLE END)', 2)} AS horas_en_puerto,
+         max(vessel_name) AS vessel_name, max(vessel_type) AS vessel_type,
+         min(lat_puerto) AS lat_puerto, min(lon_puerto) AS lon_puerto
+  FROM pres1 GROUP BY fecha, mmsi, puerto, pais)"""
+
+
+def metrics_cte(day_metrics: list[str], causes: list[str], flags: list[str]) -> str:
+    per_cause = ", ".join(f"count(*) FILTER (WHERE list_contains(causas, '{c}')) AS cuarentena_{c}" for c in causes)
+    per_flag = ", ".join(f"count(*) FILTER (WHERE {f}) AS {f}" for f in flags)
+    return f"""
+mday AS (
+  SELECT fecha, count(*) AS filas_entrada, count(*) FILTER (WHERE valido) AS validas,
+         count(*) FILTER (WHERE NOT valido) AS cuarentena, {per_cause}, {per_flag},
+         count(*) FILTER (WHERE NOT es_buque) AS no_es_buque
+  FROM chk GROUP BY fecha),
+mdup AS (SELECT fecha, CAST(sum(n_reportes - 1) AS BIGINT) AS duplicados FROM silver GROUP BY fecha),
+mwide AS (SELECT d.*, coalesce(u.duplicados, 0) AS duplicados FROM mday d LEFT JOIN mdup u
+          ON d.fecha IS NOT DISTINCT FROM u.fecha),
+metrics AS (
+  SELECT fecha, metrica, CAST(valor AS BIGINT) AS valor FROM (
+    SELECT fecha, {", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in day_metrics)} FROM mwide)
+  UNPIVOT INCLUDE NULLS (valor FOR metrica IN ({", ".join(day_metrics)}))
+  UNION ALL SELECT NULL::DATE, 'plata_insertadas', (SELECT count(*) FROM silver)
+  UNION ALL SELECT NULL::DATE, 'duplicados_contra_historico', 0::BIGINT)"""

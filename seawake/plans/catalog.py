@@ -639,3 +639,138 @@ def q_contract_check(spark, sf):
     return ct.contract_check(spark, {"gold_trafico_celda_hora": gold.traffic_cell_hour(s),
                                      "gold_trayectorias_diarias": gold.daily_trajectories(s),
                                      "gold_presencia_puertos": pt.port_presence(s, zones(spark, sf))})
+
+
+# ----------------------------------------------------------------------------- files and streams
+
+from seawake.plans import layout as ly  # noqa: E402
+from seawake.sources import sinks  # noqa: E402
+from seawake.sources.csv import header_schema, write_day_files  # noqa: E402
+from seawake.streaming import bronze as br, silver as ss  # noqa: E402
+
+FIRST_FEED_DAY = "2024-01-01"     # default start of the daily feed when silver is empty
+HISTORY_BEFORE = "2024-01-15"     # insert-only merge check: silver already holds the days before this
+
+
+def landing(spark: SparkSession, sf: str) -> str:
+    """Day files written from the test tables into a fresh shared folder."""
+    root = ly.scratch_dir(spark, "landing")
+    write_day_files(raw_positions(load_events(spark, sf)), root)
+    return root
+
+
+def streamed_lake(spark: SparkSession, sf: str, silver_too: bool = True) -> tuple[ss.Lake, str]:
+    prepare(spark)
+    src = landing(spark, sf)
+    lake = ss.Lake(ly.scratch_dir(spark, "lake"))
+    schema = header_schema(spark, f"{src}/*/*.csv")
+    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger=10)
+    if silver_too:
+        ss.run_silver(spark, lake, max_files_per_trigger=10)
+    return lake, src
+
+
+_DIA = "regexp_extract(_source_file, 'dia=([0-9-]+)', 1)"
+_DIA_SQL = "substr(_source_file, 5, 10)"
+
+
+@register("bronze_ingest", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=(
+        f"SELECT {O.RAW17}, _rescued_data, {_DIA_SQL} AS dia FROM raw")))
+def q_bronze_ingest(spark, sf):
+    lake, _ = streamed_lake(spark, sf, silver_too=False)
+    b = spark.read.parquet(lake.bronze)
+    return b.select(*[c for c in b.columns if c not in ("_source_file", "_ingested_at")], F.expr(_DIA).alias("dia"))
+
+
+@register("bronze_check", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=(
+        f"SELECT {_DIA_SQL} AS dia, count(*) AS filas, 0::BIGINT AS filas_rescatadas FROM raw GROUP BY 1")))
+def q_bronze_check(spark, sf):
+    lake, _ = streamed_lake(spark, sf, silver_too=False)
+    c = br.bronze_check(spark.read.parquet(lake.bronze))
+    return c.select(F.expr(_DIA).alias("dia"), "filas", "filas_rescatadas")
+
+
+@register("reconcile_files", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=(
+        f"SELECT {_DIA_SQL} AS dia, count(*) AS filas_bronze, count(*) AS lineas_csv, 0::BIGINT AS diferencia "
+        "FROM raw GROUP BY 1")))
+def q_reconcile_files(spark, sf):
+    lake, src = streamed_lake(spark, sf, silver_too=False)
+    r = br.reconcile_files(spark, spark.read.parquet(lake.bronze), f"{src}/*/*.csv")
+    return r.select(F.expr(_DIA).alias("dia"), "filas_bronze", "lineas_csv", "diferencia")
+
+
+_SILVER_NOFILE = [c for c in SILVER_OUT if c != "_source_file"]
+
+
+@register("silver_stream", O.with_ctes(O.silver_ctes(), select=f"SELECT {', '.join(_SILVER_NOFILE)} FROM silver"))
+def q_silver_stream(spark, sf):
+    lake, _ = streamed_lake(spark, sf)
+    return spark.read.parquet(lake.silver).select(*_SILVER_NOFILE)
+
+
+@register("touched_days", _gold(_METRICS, select=(
+        "SELECT fecha, CAST(sum(valor) AS BIGINT) AS filas_entrada FROM metrics "
+        "WHERE metrica = 'filas_entrada' AND fecha IS NOT NULL GROUP BY fecha")))
+def q_touched_days(spark, sf):
+    lake, _ = streamed_lake(spark, sf)
+    return ss.touched_days(spark, lake).withColumn("filas_entrada", F.col("filas_entrada").cast("long"))
+
+
+@register("next_feed_day", _gold(select=(
+        f"SELECT coalesce(max(fecha) + 1, DATE '{FIRST_FEED_DAY}') AS proximo_dia FROM silver")))
+def q_next_feed_day(spark, sf):
+    return silver(spark, sf).agg(
+        F.coalesce(F.date_add(F.max("fecha"), 1), F.lit(FIRST_FEED_DAY).cast("date")).alias("proximo_dia"))
+
+
+@register("insert_only_merge", _gold(select=(
+        f"SELECT fecha, count(*) AS insertadas FROM silver WHERE fecha >= DATE '{HISTORY_BEFORE}' GROUP BY fecha")))
+def q_insert_only_merge(spark, sf):
+    dd = deduped(spark, sf)
+    history = dd.where(F.col("fecha") < F.lit(HISTORY_BEFORE).cast("date"))
+    new = sinks.insert_only(dd, history, ["fecha", "mmsi", "ts"])
+    return new.groupBy("fecha").agg(F.count(F.lit(1)).alias("insertadas"))
+
+
+@register("replace_days", _gold(O.SEG_CTE, O.TRAJ_CTE, select="SELECT * FROM traj"))
+def q_replace_days(spark, sf):
+    """Write all days, then replace two of them again: the table must not change."""
+    path = ly.scratch_dir(spark, "trajectories")
+    t = trajectories(spark, sf)
+    sinks.replace_days(t, path, None, sort_cols=["mmsi"])
+    sinks.replace_days(t, path, parse_days(DAY_SET), sort_cols=["mmsi"])
+    out = spark.read.parquet(path)
+    return out.select(*t.columns)
+
+
+def _layout_query(layout: str):
+    def q(spark, sf):
+        path = ly.scratch_dir(spark, f"layout-{layout}")
+        ly.write_layout(optimized(spark, sf), path, layout)
+        return ly.box_query(spark, path, layout)
+    return q
+
+
+_BOX_SQL = _study(select=f"""
+SELECT count(DISTINCT MMSI) AS buques, {O.fixed('avg(SOG)', 6)} AS velocidad_media FROM opt
+WHERE date = DATE '{ly.BOX_DAY}' AND LAT BETWEEN {ly.BOX['lat_min']} AND {ly.BOX['lat_max']}
+  AND LON BETWEEN {ly.BOX['lon_min']} AND {ly.BOX['lon_max']}""")
+
+register("box_query", _BOX_SQL)(_layout_query("day_box"))
+register("box_query_by_day", _BOX_SQL)(_layout_query("day"))
+register("box_query_flat", _BOX_SQL)(_layout_query("flat"))
+
+
+@register("write_partitioned", _study(select="SELECT * FROM opt"))
+def q_write_partitioned(spark, sf):
+    path = ly.scratch_dir(spark, "layout")
+    opt = optimized(spark, sf)
+    ly.write_layout(opt, path, "day_box")
+    return spark.read.parquet(path).select(*opt.columns)
+
+
+@register("storage_footprint")   # file sizes depend on the writer: rows-only check
+def q_storage_footprint(spark, sf):
+    path = ly.scratch_dir(spark, "layout")
+    ly.write_layout(optimized(spark, sf), path, "day")
+    return sinks.storage_footprint(spark, path, ["date"])

@@ -774,3 +774,78 @@ def q_storage_footprint(spark, sf):
     path = ly.scratch_dir(spark, "layout")
     ly.write_layout(optimized(spark, sf), path, "day")
     return sinks.storage_footprint(spark, path, ["date"])
+
+
+# ----------------------------------------------------------------------------- speed anomalies
+
+from seawake.operators import forest as fo  # noqa: E402
+from seawake.schema import MODEL_FEATURES  # noqa: E402
+
+
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    s = silver(spark, sf)
+    return fo.speed_features(s, gold.daily_trajectories(s))
+
+
+_FEAT_SQL = _gold(O.SEG_CTE, O.TRAJ_CTE, """
+sf0 AS (SELECT *, abs(sog - lag(sog) OVER (PARTITION BY mmsi, fecha ORDER BY ts)) AS delta_sog
+        FROM silver WHERE es_buque AND sog IS NOT NULL)""", """
+per AS (SELECT mmsi, fecha, count(*) AS n, avg(sog) AS sog_prom, stddev_samp(sog) AS sog_std, max(sog) AS sog_max,
+               quantile_disc(sog, 0.95) AS sog_p95, max(delta_sog) AS delta_sog_max,
+               avg(CASE WHEN sog <= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS frac_detenido
+        FROM sf0 GROUP BY mmsi, fecha)""", select=f"""
+SELECT per.mmsi, per.fecha, CAST(per.n AS DOUBLE) AS n_posiciones, {O.fixed('per.sog_prom', 6)} AS sog_prom,
+       {O.fixed('coalesce(per.sog_std, 0.0::DOUBLE)', 6)} AS sog_std, per.sog_max, per.sog_p95,
+       coalesce(per.delta_sog_max, 0.0::DOUBLE) AS delta_sog_max, {O.fixed('per.frac_detenido', 6)} AS frac_detenido,
+       coalesce(t.v_impl_max_kn, 0.0::DOUBLE) AS v_impl_max_kn, t.distancia_km, t.horas_activo, t.saltos_anomalos,
+       {O.fixed('coalesce(CASE WHEN t.horas_activo > 0 THEN t.distancia_km / 1.852::DOUBLE / t.horas_activo '
+                'ELSE 0.0::DOUBLE END, 0.0::DOUBLE)', 6)} AS v_media_kn
+FROM per JOIN traj t ON per.mmsi = t.mmsi AND per.fecha = t.fecha WHERE n >= 5""")
+
+
+@register("speed_features", _FEAT_SQL)
+def q_speed_features(spark, sf):
+    f = features(spark, sf)
+    return f.select(*[fixed(c, 6).alias(c) if c in ("sog_prom", "sog_std", "frac_detenido", "v_media_kn") else c
+                      for c in f.columns])
+
+
+@register("isolation_forest_fit")    # randomised model: rows-only here, properties in tests/
+def q_isolation_forest_fit(spark, sf):
+    m = fo.fit(features(spark, sf))
+    return m.nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("nodos"),
+                                       F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("muestras"))
+
+
+def _flagged(spark, sf):
+    f = features(spark, sf)
+    model, flagged = fo.fit_and_score(f)
+    return f, model, flagged
+
+
+@register("speed_anomalies")
+def q_speed_anomalies(spark, sf):
+    s = silver(spark, sf)
+    _, model, flagged = _flagged(spark, sf)
+    return fo.anomalies(flagged, gold.daily_trajectories(s), model, parse_days(DASH_DAY)).drop("ts_proceso")
+
+
+@register("top_anomalies")
+def q_top_anomalies(spark, sf):
+    s = silver(spark, sf)
+    _, model, flagged = _flagged(spark, sf)
+    return fo.top_anomalies(fo.anomalies(flagged, gold.daily_trajectories(s), model))
+
+
+@register("anomaly_overlap")
+def q_anomaly_overlap(spark, sf):
+    _, _, flagged = _flagged(spark, sf)
+    return fo.anomaly_overlap(flagged)
+
+
+@register("model_runs")
+def q_model_runs(spark, sf):
+    f, model, flagged = _flagged(spark, sf)
+    params = {"n_arboles": fo.N_TREES, "muestra": fo.SAMPLE_SIZE, "contaminacion": fo.CONTAMINATION,
+              "semilla": fo.SEED, "min_posiciones": fo.MIN_POSITIONS}
+    return fo.run_record(spark, f, flagged, model, params).drop("ts_entrenamiento", "modelo_version")

@@ -849,3 +849,67 @@ def q_model_runs(spark, sf):
     params = {"n_arboles": fo.N_TREES, "muestra": fo.SAMPLE_SIZE, "contaminacion": fo.CONTAMINATION,
               "semilla": fo.SEED, "min_posiciones": fo.MIN_POSITIONS}
     return fo.run_record(spark, f, flagged, model, params).drop("ts_entrenamiento", "modelo_version")
+
+
+# ----------------------------------------------------------------------------- land mask
+
+from seawake.operators import land as ld  # noqa: E402
+from seawake.sources import geojson as gj  # noqa: E402
+
+
+def geo_layers(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The test land / lake / river layers, written as GeoJSON to a shared folder and read back."""
+    root = ly.scratch_dir(spark, "geo")
+    out = []
+    for name, feats in (("land", gj.TEST_LAND), ("lakes", gj.TEST_LAKES), ("rivers", gj.TEST_RIVERS)):
+        gj.write_geojson(spark, f"{root}/{name}.geojson", feats)
+        out.append(gj.read_edges(spark, f"{root}/{name}.geojson", name))
+    return tuple(out)
+
+
+def mask(spark: SparkSession, sf: str) -> DataFrame:
+    land, lakes, rivers = geo_layers(spark)
+    return ld.land_mask(ld.cell_stats(bronze(spark, sf)), land, lakes, rivers)
+
+
+@register("cell_stats", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=f"""
+SELECT {O.cell('TRY_CAST(LAT AS DOUBLE)', 'TRY_CAST(LON AS DOUBLE)')} AS h3, count(*) AS posiciones,
+       count(DISTINCT MMSI) AS buques
+FROM raw WHERE TRY_CAST(LAT AS DOUBLE) BETWEEN -90 AND 90 AND TRY_CAST(LON AS DOUBLE) BETWEEN -180 AND 180
+GROUP BY 1"""))
+def q_cell_stats(spark, sf):
+    return ld.cell_stats(bronze(spark, sf))
+
+
+@register("geo_edges")         # edges of the fixed test layers: checked by hand cases in tests/
+def q_geo_edges(spark, sf):
+    land, lakes, rivers = geo_layers(spark)
+    return land.unionByName(lakes).unionByName(rivers)
+
+
+@register("land_mask_base")    # polygon geometry: property and brute-force checks in tests/
+def q_land_mask_base(spark, sf):
+    return mask(spark, sf).select("h3", "es_tierra_base", "posiciones", "buques")
+
+
+@register("water_distance")
+def q_water_distance(spark, sf):
+    return mask(spark, sf).where("es_tierra_base").select("h3", "lat", "lon", "dist_agua_km")
+
+
+@register("land_sensitivity")
+def q_land_sensitivity(spark, sf):
+    return ld.land_sensitivity(mask(spark, sf))
+
+
+@register("top_land_cells")
+def q_top_land_cells(spark, sf):
+    return ld.top_land_cells(mask(spark, sf))
+
+
+@register("land_flag")
+def q_land_flag(spark, sf):
+    """Silver causes with the land mask joined in: positions on land cells are quarantined."""
+    chk = sv.checked(bronze(spark, sf), mask(spark, sf))
+    return chk.groupBy("fecha").agg(F.count_if("en_tierra").alias("en_tierra"),
+                                    F.count_if(~F.col("valido")).alias("cuarentena"))

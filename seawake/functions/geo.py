@@ -24,11 +24,15 @@ def _c(x) -> Column:
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle distance in km (R = 6371). ``a`` is clamped to 1 so rounding never yields NaN."""
+    """Great-circle distance in km (R = 6371); null when any input is null.
+
+    ``a`` is clamped to 1 so rounding never yields NaN. The clamp is a CASE, not ``least``:
+    ``least`` skips nulls and would turn a missing previous point into half the globe.
+    """
     lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
     a = (F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
          + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a)))
 
 
 def _nrows(step: float) -> int:
@@ -48,11 +52,11 @@ def _ncol(row: Column, step: float) -> Column:
 
 
 def cell_id(lat, lon, step: float = CELL_STEP_R7) -> Column:
-    """Cell of a point as a bigint; null when lat or lon is null."""
+    """Cell of a point as a bigint; null when lat or lon is null (``least`` would hide a null)."""
     row = cell_row(lat, step)
     ncol = _ncol(row, step)
     col = F.pmod(F.floor((_c(lon) + 180.0) / 360.0 * ncol), ncol)
-    return (row * _ROW_FACTOR + col).cast("bigint")
+    return F.when(_c(lat).isNotNull() & _c(lon).isNotNull(), (row * _ROW_FACTOR + col).cast("bigint"))
 
 
 def cell_center(cell, step: float = CELL_STEP_R7) -> tuple[Column, Column]:

@@ -18,7 +18,7 @@ def fixed(x: str, n: int) -> str:
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     a = (f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) "
          f"* pow(sin(radians({lon2} - {lon1}) / 2), 2)")
-    return f"(12742.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, {a}))))"
+    return f"(12742.0::DOUBLE * asin(sqrt(CASE WHEN ({a}) > 1.0 THEN 1.0::DOUBLE ELSE ({a}) END)))"
 
 
 def _row(lat: str, step: float) -> str:
@@ -34,7 +34,8 @@ def cell(lat: str, lon: str, step: float = CELL_STEP_R7) -> str:
     r = _row(lat, step)
     n = _ncol(r, step)
     c = f"CAST(floor(({lon} + 180.0::DOUBLE) / 360.0::DOUBLE * {n}) AS BIGINT)"
-    return f"({r} * {_ROW_FACTOR} + ((({c}) % {n}) + {n}) % {n})"
+    return (f"CASE WHEN ({lat}) IS NOT NULL AND ({lon}) IS NOT NULL THEN "
+            f"({r} * {_ROW_FACTOR} + ((({c}) % {n}) + {n}) % {n}) END")
 
 
 def cell_center(h: str, step: float = CELL_STEP_R7) -> tuple[str, str]:

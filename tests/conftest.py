@@ -1,0 +1,23 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from seawake.session import checkpoint_dir, get_session
+    s = get_session(master="local[4]", shuffle_partitions=4)
+    checkpoint_dir(s)
+    yield s
+
+
+@pytest.fixture()
+def tmp_root(tmp_path):
+    return str(tmp_path)

@@ -47,9 +47,31 @@ def write_layout(opt: DataFrame, path: str, layout: str) -> None:
     writer.parquet(path)
 
 
+def _partition_paths(spark: SparkSession, path: str, layout: str, day: str, box: dict) -> list[str]:
+    """Only the partition folders the query can touch (no listing of the other days / boxes).
+
+    Without a metastore, reading the table root lists every partition folder before pruning;
+    globbing the day (and the bucket ranges) lists just those folders.
+    """
+    pattern = f"{path}/date={day}"
+    if layout == "day_box":
+        lat = ",".join(str(i) for i in range(box["lat_min"], box["lat_max"] + 1))
+        lon = ",".join(str(i) for i in range(box["lon_min"], box["lon_max"] + 1))
+        pattern += f"/lat_bucket={{{lat}}}/lon_bucket={{{lon}}}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [str(f.getPath().toString()) for f in (found or [])]
+
+
 def box_query(spark: SparkSession, path: str, layout: str, day: str = BOX_DAY, box: dict = BOX) -> DataFrame:
     """Distinct ships and mean speed in ``box`` on ``day``, written for each layout's pruning."""
-    df = spark.read.parquet(path)
+    if layout == "flat":
+        df = spark.read.parquet(path)
+    else:
+        paths = _partition_paths(spark, path, layout, day, box)
+        reader = spark.read.option("basePath", path)
+        df = reader.parquet(*paths) if paths else reader.parquet(path).where(F.lit(False))
     pred = (F.col("LAT").between(box["lat_min"], box["lat_max"])
             & F.col("LON").between(box["lon_min"], box["lon_max"]))
     if layout == "flat":

@@ -13,24 +13,29 @@ def lag_split(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     A plain window puts every row of a key into one task; a ship (or a placeholder id shared
     by many stations) with a third of the rows would make that task a third of the job. Here
     the window runs on sub-partitions (keys, bucket), where ``bucket`` is monotone in the
-    order (an hour or a day of the timestamp). The first row of each sub-partition takes its
-    predecessor from the last row of the previous bucket: a per-(key, bucket) aggregate
-    (partially aggregated before the shuffle) followed by a lag over the few buckets of a key.
+    order (an hour or a day of the timestamp), so the one full shuffle is spread over many
+    tasks. Only the first row of each sub-partition lacks its predecessor: it is taken from
+    the last row of the previous bucket. That repair touches one row per bucket: the
+    per-bucket last rows (aggregated where the window already partitioned the data), a lag
+    over the few buckets of a key, and a join of those small tables; the repaired first rows
+    are put back with a union, so the full row set is never joined.
 
-    ``order`` + ``cols`` are used as the sort key, so ties in ``order`` are broken by the
-    values themselves and the result never depends on task order.
+    ``order`` + ``cols`` form the sort key, so ties in ``order`` are broken by the values
+    themselves and the result never depends on task order.
     """
     sort = list(dict.fromkeys(order + cols))
-    d = df.withColumn("_bkt", bucket)
+    prev = [f"{c}{suffix}" for c in cols]
     w = Window.partitionBy(*keys, "_bkt").orderBy(*sort)
-    d = d.select("*", *[F.lag(c).over(w).alias(f"{c}{suffix}") for c in cols],
-                 (F.row_number().over(w) == 1).alias("_first_in_bkt"))
-    last = (df.withColumn("_bkt", bucket).groupBy(*keys, "_bkt")
-              .agg(F.max(F.struct(*[F.col(c) for c in sort])).alias("_last")))
-    wb = Window.partitionBy(*keys).orderBy("_bkt")
-    carry = last.select(*keys, "_bkt", F.lag("_last").over(wb).alias("_carry"))
-    d = d.join(carry, [*keys, "_bkt"], "left")
-    fixed = [F.when(F.col("_first_in_bkt"), F.col("_carry")[c]).otherwise(F.col(f"{c}{suffix}")).alias(f"{c}{suffix}")
-             for c in cols]
-    keep = [c for c in d.columns if c not in {f"{c}{suffix}" for c in cols} | {"_bkt", "_first_in_bkt", "_carry"}]
-    return d.select(*keep, *fixed)
+    d = df.withColumn("_bkt", bucket).select(
+        "*", *[F.lag(c).over(w).alias(p) for c, p in zip(cols, prev)], F.row_number().over(w).alias("_rn"))
+    out_cols = [c for c in d.columns if c not in ("_bkt", "_rn")]
+
+    inner = d.where(F.col("_rn") > 1).select(*out_cols)
+    last = d.groupBy(*keys, "_bkt").agg(F.max(F.struct(*[F.col(c) for c in sort])).alias("_last"))
+    carry = last.select(*keys, "_bkt", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bkt")).alias("_carry"))
+    source = dict(zip(prev, cols))
+    repaired = [F.col("_carry")[source[c]].alias(c) if c in source else F.col(c) for c in out_cols]
+    first = (d.where(F.col("_rn") == 1).drop(*prev)
+              .join(carry, [*keys, "_bkt"], "left")
+              .select(*repaired))
+    return inner.unionByName(first)

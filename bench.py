@@ -22,7 +22,7 @@ from seawake.plans import catalog as C  # noqa: E402
 from seawake.plans import layout as ly  # noqa: E402
 from seawake.session import checkpoint_dir, get_session  # noqa: E402
 from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
-from seawake.sources.ports import test_ports  # noqa: E402
+from seawake.sources.ports import fixture_ports  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -62,7 +62,7 @@ def main() -> None:
     extra["silver_rows_per_s"] = round(n_in / queries["silver_batch"], 1)
     queries["daily_trajectories"] = timed(lambda: run(gold.daily_trajectories(s)))
     queries["traffic_cell_hour"] = timed(lambda: run(gold.traffic_cell_hour(s)))
-    zones = pt.port_cells(test_ports(spark)).cache()
+    zones = pt.port_cells(fixture_ports(spark)).cache()
     zones.count()
     queries["port_presence"] = timed(lambda: run(pt.port_presence(s, zones)))
 

@@ -145,7 +145,7 @@ def q_top_cell_hours(spark, sf):
 
 from seawake.operators import study as st  # noqa: E402
 from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
-from seawake.sources.ports import test_ports, test_ports_sql  # noqa: E402
+from seawake.sources.ports import fixture_ports, fixture_ports_sql  # noqa: E402
 
 STUDY_DAY = "2024-01-05"   # the one-day questions of the study use this day of the test data
 
@@ -369,13 +369,13 @@ top AS (
         ORDER BY num_posiciones DESC, h3_cell LIMIT 10))""", f"""
 cand AS (
   SELECT t.*, p.puerto, p.pais, {O.haversine('t.lat_aprox', 't.lon_aprox', 'p.lat_puerto', 'p.lon_puerto')} AS d
-  FROM top t, {test_ports_sql()} p)""", select=f"""
+  FROM top t, {fixture_ports_sql()} p)""", select=f"""
 SELECT h3_cell, num_posiciones, num_buques, lat_aprox, lon_aprox,
        arg_min(puerto, (d, puerto, pais)) AS puerto_cercano, arg_min(pais, (d, puerto, pais)) AS pais,
        {O.fixed('min(d)', 2)} AS distancia_km
 FROM cand GROUP BY ALL"""))
 def q_top_cells_nearest_port(spark, sf):
-    return st.top_cells_nearest_port(clean(spark, sf), test_ports(spark))
+    return st.top_cells_nearest_port(clean(spark, sf), fixture_ports(spark))
 
 
 @register("partition_columns", _study(select="SELECT * FROM opt"))
@@ -442,7 +442,7 @@ DAY_SET = "2024-01-03,2024-01-04"                     # day-set parameter of the
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return pt.port_cells(test_ports(spark))
+    return pt.port_cells(fixture_ports(spark))
 
 
 def presence(spark: SparkSession, sf: str) -> DataFrame:
@@ -458,7 +458,7 @@ def metrics(spark: SparkSession, sf: str, batch_id: int = 0) -> DataFrame:
     return per_day.unionByName(merge).withColumn("batch_id", F.lit(batch_id).cast("long"))
 
 
-_PORTS = O.port_cells_ctes(test_ports_sql())
+_PORTS = O.port_cells_ctes(fixture_ports_sql())
 _METRICS = O.metrics_cte(DAY_METRICS, CAUSES, FLAGS)
 
 

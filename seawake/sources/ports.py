@@ -35,12 +35,12 @@ def normalise(df: DataFrame) -> DataFrame:
               .dropna(subset=["lat_puerto", "lon_puerto"]))
 
 
-def test_ports(spark: SparkSession) -> DataFrame:
+def fixture_ports(spark: SparkSession) -> DataFrame:
     raw = spark.createDataFrame(TEST_PORTS, PORT_CSV_DDL)
     return normalise(raw)
 
 
-def test_ports_sql() -> str:
+def fixture_ports_sql() -> str:
     """The same catalogue as a DuckDB ``VALUES`` relation (already normalised)."""
     rows = ", ".join(
         f"('{n}', '{c}', {'NULL' if la is None else f'{la}::DOUBLE'}, {lo}::DOUBLE)" for n, c, la, lo in TEST_PORTS)

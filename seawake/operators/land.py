@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.functions.geo import CELL_STEP_R7, cell_bounds, cell_center, cell_id
+from seawake.functions.numeric import fixed
 
 # Fixed thresholds of the land rule (and of its sensitivity table).
 RIVER_BUFFER_DEG = 0.02
@@ -244,7 +245,7 @@ def land_sensitivity(mask: DataFrame) -> DataFrame:
                               F.col(f"c{i}").alias("celdas"), F.col(f"p{i}").cast("long").alias("posiciones"))
                      for i, (d, b, p) in enumerate(combos)])
     return (wide.select("_tot", F.inline(rows))
-                .withColumn("pct", F.round(F.col("posiciones") * 100 / F.col("_tot"), 4)).drop("_tot"))
+                .withColumn("pct", fixed(F.col("posiciones") * 100 / F.col("_tot"), 4)).drop("_tot"))
 
 
 def top_land_cells(mask: DataFrame, k: int = 15) -> DataFrame:

@@ -881,33 +881,64 @@ def q_cell_stats(spark, sf):
     return ld.cell_stats(bronze(spark, sf))
 
 
-@register("geo_edges")         # edges of the fixed test layers: checked by hand cases in tests/
+@register("geo_edges", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{l}', '{p}', {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for l, p, x1, y1, x2, y2 in O._fixture_edges())
+    + ") t(layer, poly, x1, y1, x2, y2)")
 def q_geo_edges(spark, sf):
     land, lakes, rivers = geo_layers(spark)
     return land.unionByName(lakes).unionByName(rivers)
 
 
-@register("land_mask_base")    # polygon geometry: property and brute-force checks in tests/
-def q_land_mask_base(spark, sf):
-    return mask(spark, sf).select("h3", "es_tierra_base", "posiciones", "buques")
+def _land_sql(select: str, *more: str) -> str:
+    return O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", O.land_ctes(), *more, select=select)
 
 
-@register("water_distance")
-def q_water_distance(spark, sf):
-    return mask(spark, sf).where("es_tierra_base").select("h3", "lat", "lon", "dist_agua_km")
+@register("land_mask_base", _land_sql("SELECT h3, es_tierra_base, es_tierra, posiciones, buques FROM land_mask"))
+def q_land_mask_base(spark, sf):
+    return mask(spark, sf).select("h3", "es_tierra_base", "es_tierra", "posiciones", "buques")
 
 
-@register("land_sensitivity")
+@register("water_distance", _land_sql(
+    f"SELECT h3, {O.fixed('lat', 6)} AS lat, {O.fixed('lon', 6)} AS lon, {O.fixed('dist_agua_km', 6)} AS dist_agua_km "
+    "FROM land_mask WHERE es_tierra_base"))
+def q_water_distance(spark, sf):
+    return mask(spark, sf).where("es_tierra_base").select(
+        "h3", fixed("lat", 6).alias("lat"), fixed("lon", 6).alias("lon"), fixed("dist_agua_km", 6).alias("dist_agua_km"))
+
+
+def _sensitivity_sql() -> str:
+    grid = ", ".join(f"({i}, {d}, {b}, {'NULL' if p is None else p}, '{'∞' if p is None else p}')"
+                     for i, (d, b, p) in enumerate([(d, b, p) for d in ld.SENSITIVITY["dist_min_km"]
+                                                    for b in ld.SENSITIVITY["buques_max"]
+                                                    for p in ld.SENSITIVITY["pos_max"]]))
+    m = ("coalesce(m.es_tierra_base AND m.dist_agua_km >= g.d AND m.buques <= g.b "
+         "AND (g.p IS NULL OR m.posiciones <= g.p), false)")
+    return _land_sql(f"""
+SELECT g.d AS dist_min_km, g.b AS buques_max, g.ps AS pos_max, count(*) FILTER (WHERE {m}) AS celdas,
+       CAST(coalesce(sum(CASE WHEN {m} THEN m.posiciones ELSE 0 END), 0) AS BIGINT) AS posiciones,
+       {O.fixed(f'coalesce(sum(CASE WHEN {m} THEN m.posiciones ELSE 0 END), 0) * 100 / (SELECT sum(posiciones) FROM land_mask)', 4)}
+         AS pct
+FROM land_mask m, (VALUES {grid}) g(i, d, b, p, ps) GROUP BY g.i, g.d, g.b, g.ps""")
+
+
+@register("land_sensitivity", _sensitivity_sql())
 def q_land_sensitivity(spark, sf):
     return ld.land_sensitivity(mask(spark, sf))
 
 
-@register("top_land_cells")
+@register("top_land_cells", _land_sql(
+    f"SELECT h3, {O.fixed('lat', 6)} AS lat, {O.fixed('lon', 6)} AS lon, {O.fixed('dist_agua_km', 6)} AS dist_agua_km, "
+    "posiciones, buques FROM land_mask WHERE es_tierra ORDER BY posiciones DESC, h3 LIMIT 15"))
 def q_top_land_cells(spark, sf):
-    return ld.top_land_cells(mask(spark, sf))
+    t = ld.top_land_cells(mask(spark, sf))
+    return t.select("h3", fixed("lat", 6).alias("lat"), fixed("lon", 6).alias("lon"),
+                    fixed("dist_agua_km", 6).alias("dist_agua_km"), "posiciones", "buques")
 
 
-@register("land_flag")
+@register("land_flag", O.with_ctes(O.land_ctes().replace("FROM raw WHERE", "FROM raw_l WHERE"),
+                                    O.silver_ctes(land_cte="land_mask"), select=(
+        "SELECT fecha, count(*) FILTER (WHERE en_tierra) AS en_tierra, count(*) FILTER (WHERE NOT valido) AS cuarentena "
+        "FROM chk GROUP BY fecha")).replace("WITH ", f"WITH raw_l AS ({O.duckdb_raw_sql()}),\n", 1))
 def q_land_flag(spark, sf):
     """Silver causes with the land mask joined in: positions on land cells are quarantined."""
     chk = sv.checked(bronze(spark, sf), mask(spark, sf))

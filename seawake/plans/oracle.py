@@ -307,3 +307,86 @@ metrics AS (
   UNPIVOT INCLUDE NULLS (valor FOR metrica IN ({", ".join(day_metrics)}))
   UNION ALL SELECT NULL::DATE, 'plata_insertadas', (SELECT count(*) FROM silver)
   UNION ALL SELECT NULL::DATE, 'duplicados_contra_historico', 0::BIGINT)"""
+
+
+# --------------------------------------------------------------------------- land mask (brute force)
+
+def _fixture_edges() -> list[tuple]:
+    """Edges of the test layers, antimeridian-unwrapped, computed here independently of Spark."""
+    from seawake.sources import geojson as gj
+    out = []
+    for layer, feats in (("land", gj.TEST_LAND), ("lakes", gj.TEST_LAKES), ("rivers", gj.TEST_RIVERS)):
+        for fid, f in enumerate(feats):
+            g = f["geometry"]
+            parts = ([g["coordinates"]] if g["type"] == "Polygon" else
+                     [[g["coordinates"]]] if g["type"] == "LineString" else [])
+            for pid, rings in enumerate(parts):
+                segs = [(a, b) for ring in rings for a, b in zip(ring[:-1], ring[1:])]
+                wrap = any(abs(b[0] - a[0]) > 180 for a, b in segs)
+                fix = (lambda x: x + 360 if wrap and x < 0 else x)
+                out += [(layer, f"{fid}:{pid}", fix(a[0]), a[1], fix(b[0]), b[1]) for a, b in segs]
+    return out
+
+
+def land_ctes(step: float = CELL_STEP_R7) -> str:
+    edges = ", ".join(f"('{l}', '{p}', {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)"
+                      for l, p, x1, y1, x2, y2 in _fixture_edges())
+    row = f"CAST(floor(h3 / {_ROW_FACTOR}) AS BIGINT)"
+    nc = _ncol(row, step)
+
+    def orient(cx, cy):
+        return f"((e.x2 - e.x1) * ({cy} - e.y1) - (e.y2 - e.y1) * ({cx} - e.x1))"
+
+    corners = [("b.bx0", "b.by0"), ("b.bx1", "b.by0"), ("b.bx1", "b.by1"), ("b.bx0", "b.by1")]
+    sides = [orient(x, y) for x, y in corners]
+    hit = (f"(least(e.x1, e.x2) <= b.bx1 AND greatest(e.x1, e.x2) >= b.bx0 AND least(e.y1, e.y2) <= b.by1 "
+           f"AND greatest(e.y1, e.y2) >= b.by0 AND greatest({', '.join(sides)}) >= 0 AND least({', '.join(sides)}) <= 0)")
+
+    def pseg(px, py):
+        t = (f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, (({px} - e.x1) * (e.x2 - e.x1) + ({py} - e.y1) * (e.y2 - e.y1)) "
+             f"/ ((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))))")
+        return (f"sqrt(pow({px} - (e.x1 + {t} * (e.x2 - e.x1)), 2) + pow({py} - (e.y1 + {t} * (e.y2 - e.y1)), 2))")
+
+    def pbox(px, py):
+        return (f"sqrt(pow(greatest(b.bx0 - {px}, 0.0::DOUBLE, {px} - b.bx1), 2) "
+                f"+ pow(greatest(b.by0 - {py}, 0.0::DOUBLE, {py} - b.by1), 2))")
+
+    box_dist = (f"CASE WHEN {hit} THEN 0.0::DOUBLE ELSE least({pbox('e.x1', 'e.y1')}, {pbox('e.x2', 'e.y2')}, "
+                + ", ".join(pseg(x, y) for x, y in corners) + ") END")
+    lat_c, lon_c = cell_center("h3", step)
+    return f"""
+edges AS (SELECT * FROM (VALUES {edges}) t(layer, poly, x1, y1, x2, y2)),
+cells AS (
+  SELECT {cell('TRY_CAST(LAT AS DOUBLE)', 'TRY_CAST(LON AS DOUBLE)', step)} AS h3, count(*) AS posiciones,
+         count(DISTINCT MMSI) AS buques
+  FROM raw WHERE TRY_CAST(LAT AS DOUBLE) BETWEEN -90 AND 90 AND TRY_CAST(LON AS DOUBLE) BETWEEN -180 AND 180
+  GROUP BY 1),
+boxes AS (
+  SELECT h3, by0, by0 + {step}::DOUBLE AS by1, bx0, bx0 + w AS bx1 FROM (
+    SELECT h3, -90.0::DOUBLE + {row} * {step}::DOUBLE AS by0, 360.0::DOUBLE / {nc} AS w,
+           -180.0::DOUBLE + (h3 - {row} * {_ROW_FACTOR}) * (360.0::DOUBLE / {nc}) AS bx0 FROM cells)),
+corners AS (
+  SELECT h3, 0 AS k, bx0 AS px, by0 AS py FROM boxes UNION ALL SELECT h3, 1, bx1, by0 FROM boxes
+  UNION ALL SELECT h3, 2, bx1, by1 FROM boxes UNION ALL SELECT h3, 3, bx0, by1 FROM boxes),
+inside AS (
+  SELECT c.h3, c.k, e.layer, e.poly FROM corners c, edges e WHERE e.layer IN ('land', 'lakes')
+  GROUP BY c.h3, c.k, e.layer, e.poly
+  HAVING count(*) FILTER (WHERE (e.y1 > c.py) <> (e.y2 > c.py)
+                           AND c.px < e.x1 + (c.py - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)) % 2 = 1),
+hits AS (SELECT DISTINCT b.h3, e.layer, e.poly FROM boxes b, edges e WHERE {hit}),
+within AS (
+  SELECT DISTINCT i.h3 FROM (SELECT h3, poly FROM inside WHERE layer = 'land' GROUP BY h3, poly HAVING count(*) = 4) i
+  WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.h3 = i.h3 AND h.layer = 'land' AND h.poly = i.poly)),
+lake AS (SELECT h3 FROM hits WHERE layer = 'lakes' UNION SELECT h3 FROM inside WHERE layer = 'lakes'),
+river AS (SELECT DISTINCT b.h3 FROM boxes b, edges e WHERE e.layer = 'rivers' AND ({box_dist}) <= 0.02),
+base AS (SELECT h3 FROM within EXCEPT SELECT h3 FROM lake EXCEPT SELECT h3 FROM river),
+wdist AS (
+  SELECT h3, min({pseg('lon_c', 'lat_c')}) AS dist_deg FROM
+    (SELECT h3, {lat_c} AS lat_c, {lon_c} AS lon_c FROM base) p, edges e GROUP BY h3),
+mask0 AS (
+  SELECT c.h3, c.posiciones, c.buques, (base.h3 IS NOT NULL) AS es_tierra_base, w.dist_deg * 111.0 AS dist_agua_km,
+         {lat_c.replace('h3', 'c.h3')} AS lat, {lon_c.replace('h3', 'c.h3')} AS lon
+  FROM cells c LEFT JOIN base ON base.h3 = c.h3 LEFT JOIN wdist w ON w.h3 = c.h3),
+land_mask AS (
+  SELECT *, coalesce(es_tierra_base AND dist_agua_km >= 5.0 AND buques <= 3 AND posiciones <= 100, false) AS es_tierra
+  FROM mask0)"""

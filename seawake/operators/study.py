@@ -325,12 +325,21 @@ def top_cells(clean: DataFrame, k: int = 10) -> DataFrame:
             .withColumn("lat_aprox", fixed(lat_c, 6)).withColumn("lon_aprox", fixed(lon_c, 6)))
 
 
-def nearest_port(points: DataFrame, ports: DataFrame, lat: str, lon: str) -> DataFrame:
+MAX_PORT_ARRAY = 50_000
+KM_PER_DEG_LAT = 111.195
+PORT_BAND_RINGS = [1, 4, 16, 64, 180]
+
+
+def nearest_port(points: DataFrame, ports: DataFrame, lat: str, lon: str,
+                 max_array: int = MAX_PORT_ARRAY) -> DataFrame:
     """Nearest port of each point (k = 1), ties broken by port name and country.
 
-    The port catalogue is bounded (a few thousand rows); it enters as one scalar-subquery
+    A port catalogue of at most ``max_array`` rows (checked) enters as one scalar-subquery
     array, so each point scans it with native array functions and no join is needed.
+    Larger catalogues use ``nearest_port_bands``.
     """
+    if ports.count() > max_array:
+        return nearest_port_bands(points, ports, lat, lon)
     arr = ports.agg(F.collect_list(F.struct("puerto", "pais", "lat_puerto", "lon_puerto"))).scalar()
     cand = F.transform(F.col("_ports"), lambda p: F.struct(
         haversine_km(F.col(lat), F.col(lon), p["lat_puerto"], p["lon_puerto"]).alias("d"),
@@ -343,6 +352,39 @@ def nearest_port(points: DataFrame, ports: DataFrame, lat: str, lon: str) -> Dat
                   .drop("_best"))
 
 
+def nearest_port_bands(points: DataFrame, ports: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Exact nearest port through 1° latitude bands, widening only for unsettled points.
+
+    A port outside the bands ``floor(lat) ± r`` differs by more than ``r`` degrees of
+    latitude, so it is more than ``r × 111.195`` km away: a point whose best candidate is
+    within that distance is settled. Ports are keyed by band (equi-join); each pass sees
+    only the points not yet settled.
+    """
+    p = points.withColumn("_pid", F.monotonically_increasing_id()).persist()
+    bands = ports.withColumn("_band", F.floor("lat_puerto"))
+    todo, parts = p, []
+    for r in PORT_BAND_RINGS:
+        if todo.isEmpty():
+            break
+        cand = (todo.select("_pid", F.col(lat).alias("_la"), F.col(lon).alias("_lo"),
+                            F.explode(F.sequence(F.floor(lat) - r, F.floor(lat) + r)).alias("_band"))
+                    .join(bands, "_band")
+                    .select("_pid", F.struct(haversine_km("_la", "_lo", "lat_puerto", "lon_puerto").alias("d"),
+                                             "puerto", "pais").alias("c")))
+        best = cand.groupBy("_pid").agg(F.min("c").alias("_best"))
+        done = (best.where(F.col("_best.d") <= r * KM_PER_DEG_LAT) if r < PORT_BAND_RINGS[-1] else best).persist()
+        parts.append(done)
+        todo = todo.join(done.select("_pid"), "_pid", "left_anti").persist()
+    found = parts[0]
+    for d in parts[1:]:
+        found = found.unionByName(d)
+    return (p.join(found, "_pid", "left")
+             .withColumn("puerto_cercano", F.col("_best.puerto"))
+             .withColumn("pais", F.col("_best.pais"))
+             .withColumn("distancia_km", fixed(F.col("_best.d"), 2))
+             .drop("_best", "_pid"))
+
+
 def top_cells_nearest_port(clean: DataFrame, ports: DataFrame, k: int = 10) -> DataFrame:
     return nearest_port(top_cells(clean, k), ports, "lat_aprox", "lon_aprox")
 

@@ -72,6 +72,11 @@ def box_query(spark: SparkSession, path: str, layout: str, day: str = BOX_DAY, b
         paths = _partition_paths(spark, path, layout, day, box)
         reader = spark.read.option("basePath", path)
         df = reader.parquet(*paths) if paths else reader.parquet(path).where(F.lit(False))
+    return box_query_frame(df, layout, day, box)
+
+
+def box_query_frame(df: DataFrame, layout: str, day: str = BOX_DAY, box: dict = BOX) -> DataFrame:
+    """The box query over an already loaded frame (e.g. the typed CSV scan for ``flat``)."""
     pred = (F.col("LAT").between(box["lat_min"], box["lat_max"])
             & F.col("LON").between(box["lon_min"], box["lon_max"]))
     if layout == "flat":

@@ -59,8 +59,9 @@ class SilverBatch:
         spark = batch_df.sparkSession
         checkpoint_dir(spark)
         chk = sv.checked(batch_df, self.land_cells).persist(StorageLevel.MEMORY_AND_DISK)
+        # used three times (day list, new keys, duplicate counts): computed once
+        dd = sv.dedup_valid(chk).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            dd = sv.dedup_valid(chk)
             # the days of one batch: a handful of values, used for partition pruning
             days = [r[0] for r in dd.select("fecha").distinct().collect()]
             new = insert_only(dd, self.history(spark, batch_id, days), KEY)
@@ -81,6 +82,7 @@ class SilverBatch:
             (metrics.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                     .partitionBy("batch_id").parquet(self.lake.metrics))
         finally:
+            dd.unpersist()
             chk.unpersist()
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seawake.functions.geo import CELL_STEP_R8, cell_center, cell_id, haversine_km
 from seawake.functions.numeric import fixed
+from seawake.plans.joins import bounded_broadcast
 from seawake.plans.windows import lag_split
 from seawake.schema import RAW_COLUMNS
 
@@ -23,6 +24,7 @@ SHIP_TYPE_CODES = [
     (80, "Tanquero"), (81, "Tanquero"), (90, "Otro tipo"),
 ]
 UNCATALOGUED = "No catalogado"
+MAX_VISITOR_BROADCAST = 5_000_000
 
 
 def _count(pred: Column, name: str) -> Column:
@@ -266,11 +268,11 @@ def top_types(clean: DataFrame, k: int = 10) -> DataFrame:
 def segments_period(clean: DataFrame) -> DataFrame:
     """Consecutive fixes per ship over the whole period (no day break, no jump filter).
 
-    Sub-partitioned by day and stitched, so one id with a huge share of rows is spread over
+    Sub-partitioned by hour and stitched, so one id with a huge share of rows is spread over
     many tasks; ties in time are ordered by position so the result is deterministic.
     """
     s = lag_split(clean.select("MMSI", "BaseDateTime", "LAT", "LON", "fecha"), ["MMSI"], ["BaseDateTime"],
-                  ["BaseDateTime", "LAT", "LON"], F.col("fecha"))
+                  ["BaseDateTime", "LAT", "LON"], F.date_trunc("hour", "BaseDateTime"))
     return (s.withColumnRenamed("LAT_prev", "LAT_prev").withColumnRenamed("LON_prev", "LON_prev")
              .withColumn("distancia_km", haversine_km("LAT_prev", "LON_prev", "LAT", "LON")))
 
@@ -307,10 +309,12 @@ def with_fine_cell(clean: DataFrame) -> DataFrame:
 def visitor_cells(clean: DataFrame, k: int = 10) -> DataFrame:
     """Cells most visited by ships seen on a single day.
 
-    The visitor list grows with the fleet, so it is a semi-join left to the planner (AQE
-    broadcasts it only when its measured size is small).
+    The visitor list has at most one row per ship: it is broadcast when its counted size is
+    within ``MAX_VISITOR_BROADCAST`` (so positions are not shuffled by ship id, where a hot
+    id would load one task), and shuffled otherwise (AQE then splits skewed partitions).
     """
     visitors = days_per_ship(clean).where("dias_transmitidos = 1").select("MMSI")
+    visitors = bounded_broadcast(visitors, MAX_VISITOR_BROADCAST)
     return (with_fine_cell(clean).join(visitors, "MMSI", "left_semi")
             .groupBy("h3_cell").agg(F.count(F.lit(1)).alias("num_posiciones"),
                                     F.count_distinct("MMSI").alias("num_buques"))

@@ -15,7 +15,7 @@ from seawake.sources.csv import raw_line_counts
 
 
 def bronze_source(spark: SparkSession, src_dir: str, schema, max_files_per_trigger: int | None = None,
-                  fail_on: str | None = None) -> DataFrame:
+                  fail_on: str | None = None, partition_cols: tuple[str, ...] = ("dia",)) -> DataFrame:
     """All-string CSV stream; a malformed line (e.g. too many fields) is kept in ``_rescued_data``.
 
     ``fail_on`` injects a failure for the batch that contains a matching file (recovery tests).
@@ -32,7 +32,8 @@ def bronze_source(spark: SparkSession, src_dir: str, schema, max_files_per_trigg
     if fail_on:
         df = df.where(F.when(F.col("_source_file").contains(fail_on),
                              F.raise_error(F.lit(f"injected failure in {fail_on}"))).otherwise(F.lit(True)))
-    return df.drop(*[c for c in df.columns if c.startswith("dia") and c not in schema.fieldNames()])
+    # landing folders may be split by day (``dia=YYYY-MM-DD``): that folder name is not a raw field
+    return df.drop(*[c for c in partition_cols if c in df.columns and c not in schema.fieldNames()])
 
 
 def run_bronze(spark: SparkSession, src_dir: str, bronze_dir: str, checkpoint: str, schema,

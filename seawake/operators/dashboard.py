@@ -69,3 +69,13 @@ def day_anomalies(traj: DataFrame, metrics: DataFrame, day: str) -> DataFrame:
                       F.lit(None).cast("string").alias("mmsi"), F.lit(None).cast("string").alias("vessel_name"),
                       F.col("valor").cast("long").alias("eventos"), F.lit(None).cast("double").alias("detalle")))
     return jumps.unionByName(causes).orderBy(F.desc("eventos"), "tipo", "mmsi")
+
+
+def kpi_widgets(kpis: DataFrame) -> DataFrame:
+    """The KPI tiles: ``MAX`` of each KPI over the one-row dataset."""
+    return kpis.agg(*[F.max(c).alias(f"max_{c}") for c in kpis.columns])
+
+
+def ranking_bars(ranking: DataFrame) -> DataFrame:
+    """The stacked bars: ships per (port, category) of the ranking dataset."""
+    return ranking.groupBy("puerto", "categoria").agg(F.sum("buques").alias("sum_buques"))

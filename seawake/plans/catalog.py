@@ -616,6 +616,33 @@ def q_day_anomalies(spark, sf):
     return db.day_anomalies(trajectories(spark, sf), metrics(spark, sf), DASH_DAY)
 
 
+@register("kpi_widgets", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, select=f"""
+SELECT max(buques_activos) AS max_buques_activos, max(buques_en_puerto) AS max_buques_en_puerto,
+       max(posiciones) AS max_posiciones, max(pct_cuarentena) AS max_pct_cuarentena FROM (
+  SELECT (SELECT count(DISTINCT mmsi) FROM traj WHERE fecha = DATE '{DASH_DAY}') AS buques_activos,
+         (SELECT count(DISTINCT mmsi) FROM presence WHERE fecha = DATE '{DASH_DAY}') AS buques_en_puerto,
+         CAST(sum(CASE WHEN metrica = 'filas_entrada' THEN valor END) AS BIGINT) AS posiciones,
+         {O.fixed("sum(CASE WHEN metrica = 'cuarentena' THEN valor END) * 100 "
+                  "/ sum(CASE WHEN metrica = 'filas_entrada' THEN valor END)", 3)} AS pct_cuarentena
+  FROM metrics WHERE fecha = DATE '{DASH_DAY}')"""))
+def q_kpi_widgets(spark, sf):
+    return db.kpi_widgets(db.day_kpis(trajectories(spark, sf), presence(spark, sf), metrics(spark, sf), DASH_DAY))
+
+
+@register("port_ranking_bars", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, f"""
+base AS (
+  SELECT p.puerto, p.pais, p.mmsi, p.horas_en_puerto, coalesce(d.categoria, 'Sin tipo') AS categoria
+  FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
+  WHERE p.fecha = DATE '{DASH_DAY}')""", """
+top15 AS (SELECT puerto, count(DISTINCT mmsi) AS buques_total FROM base GROUP BY puerto
+          ORDER BY buques_total DESC, puerto LIMIT 15)""", """
+ranking AS (SELECT b.puerto, b.categoria, count(DISTINCT b.mmsi) AS buques
+            FROM base b JOIN top15 t ON b.puerto = t.puerto GROUP BY b.puerto, b.categoria)""", select=(
+        "SELECT puerto, categoria, CAST(sum(buques) AS BIGINT) AS sum_buques FROM ranking GROUP BY puerto, categoria")))
+def q_port_ranking_bars(spark, sf):
+    return db.ranking_bars(db.port_ranking(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY))
+
+
 def _contract_sql() -> str:
     parts = []
     for name, cte in (("gold_trafico_celda_hora", "traffic"), ("gold_trayectorias_diarias", "traj"),

@@ -91,11 +91,18 @@ def bronze_stream_schema(spark: SparkSession, bronze_dir: str):
 
 
 def run_silver(spark: SparkSession, lake: Lake, land_cells: DataFrame | None = None,
-               max_files_per_trigger: int | None = None, fail_after_silver: int | None = None) -> StreamingQuery:
-    """Drain the bronze table through ``SilverBatch`` (``availableNow``) and wait."""
+               max_files_per_trigger: int | None = None, fail_after_silver: int | None = None,
+               max_bytes_per_trigger: int | None = None) -> StreamingQuery:
+    """Drain the bronze table through ``SilverBatch`` (``availableNow``) and wait.
+
+    Batches are capped by files or by bytes (e.g. ``1 << 30``), so a backlog is processed in
+    bounded micro-batches instead of one huge one.
+    """
     r = spark.readStream.schema(bronze_stream_schema(spark, lake.bronze))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     q = (r.parquet(lake.bronze).writeStream
          .foreachBatch(SilverBatch(lake, land_cells, fail_after_silver))
          .option("checkpointLocation", lake.checkpoint("silver"))

@@ -104,3 +104,23 @@ def test_silver_retry_after_partial_write_is_exact(spark, tmp_root):
 def test_raw_line_counts(spark, landing):
     c = {os.path.basename(r._source_file): r.lineas_csv for r in raw_line_counts(spark, f"{landing}/*.csv").collect()}
     assert c == {"AIS_2024_01_05.csv": 3, "AIS_2024_01_06.csv": 3, "AIS_2024_01_07.csv": 4}
+
+
+def test_silver_byte_capped_batches(spark, tmp_root, landing):
+    lake = ss.Lake(os.path.join(tmp_root, "lake4"))
+    br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), bronze_csv_schema(), max_files_per_trigger=1)
+    ss.run_silver(spark, lake, max_bytes_per_trigger=1)           # one file per batch at most
+    batches = spark.read.parquet(lake.metrics).select("batch_id").distinct().count()
+    assert batches == 3 and spark.read.parquet(lake.silver).count() == 10
+
+
+def test_typed_csv_and_port_csv(spark, tmp_root, landing):
+    from seawake.sources.csv import read_typed
+    from seawake.sources.ports import read_port_csv
+    t = read_typed(spark, f"{landing}/*.csv")
+    assert t.count() == 10 and dict(t.dtypes)["SOG"] == "float" and dict(t.dtypes)["BaseDateTime"] == "timestamp"
+    p = os.path.join(tmp_root, "ports.csv")
+    with open(p, "w") as fh:
+        fh.write("PORT_NAME,COUNTRY,LATITUDE,LONGITUDE,OTHER\nA,US,25.1,-80.1,x\nB,US,,-80.2,y\nC,MX,20.0,-97.0,z\n")
+    ports = read_port_csv(spark, p)
+    assert sorted(r.puerto for r in ports.collect()) == ["A", "C"]

@@ -11,6 +11,13 @@ from seawake.functions.numeric import fixed
 
 GATE_MAX_PCT = 1.0
 
+# Verdict texts of the gate log.
+GATE_OK = "OK"
+GATE_FAIL_PREFIX = "FALLA: "
+GATE_NO_INPUT = "sin filas de entrada para la fecha"
+GATE_NO_SILVER = "plata vacía para la fecha"
+GATE_OVER = "cuarentena {pct}% > umbral {max}%"
+
 
 def merge_metrics(candidates: DataFrame, inserted: DataFrame) -> DataFrame:
     """The two undated counts of a batch: rows inserted into silver, and duplicates against history.
@@ -71,14 +78,15 @@ def quality_gate(spark: SparkSession, metrics: DataFrame, silver: DataFrame, day
                      F.coalesce("filas_plata", F.lit(0)).cast("long").alias("filas_plata")))
     pct = F.when(F.col("filas_entrada") > 0, fixed(F.col("cuarentena") * 100 / F.col("filas_entrada"), 4))
     g = g.withColumn("cuarentena_pct", pct).withColumn("umbral_pct", F.lit(float(max_pct)))
+    over = F.lit(GATE_OVER)
+    over = F.replace(over, F.lit("{pct}"), F.col("cuarentena_pct").cast("string"))
+    over = F.replace(over, F.lit("{max}"), F.col("umbral_pct").cast("string"))
     problems = F.array_compact(F.array(
-        F.when(F.col("filas_entrada") == 0, F.lit("sin filas de entrada para la fecha")),
-        F.when(F.col("filas_plata") == 0, F.lit("plata vacía para la fecha")),
-        F.when(F.col("cuarentena_pct") > F.col("umbral_pct"),
-               F.concat(F.lit("cuarentena "), F.col("cuarentena_pct").cast("string"), F.lit("% > umbral "),
-                        F.col("umbral_pct").cast("string"), F.lit("%")))))
-    return g.withColumn("resultado", F.when(F.size(problems) == 0, F.lit("OK"))
-                        .otherwise(F.concat(F.lit("FALLA: "), F.concat_ws("; ", problems))))
+        F.when(F.col("filas_entrada") == 0, F.lit(GATE_NO_INPUT)),
+        F.when(F.col("filas_plata") == 0, F.lit(GATE_NO_SILVER)),
+        F.when(F.col("cuarentena_pct") > F.col("umbral_pct"), over)))
+    return g.withColumn("resultado", F.when(F.size(problems) == 0, F.lit(GATE_OK))
+                        .otherwise(F.concat(F.lit(GATE_FAIL_PREFIX), F.concat_ws("; ", problems))))
 
 
 class QualityGateFailed(Exception):
@@ -87,6 +95,6 @@ class QualityGateFailed(Exception):
 
 def enforce_gate(verdicts: DataFrame) -> None:
     """Raise once, after all days were evaluated, if any day failed (one small collect)."""
-    bad = verdicts.where(F.col("resultado") != "OK").select("fecha", "resultado").collect()
+    bad = verdicts.where(F.col("resultado") != GATE_OK).select("fecha", "resultado").collect()
     if bad:
         raise QualityGateFailed("Quality gate no superado → " + " | ".join(f"{r.fecha}: {r.resultado}" for r in bad))

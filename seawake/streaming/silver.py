@@ -18,7 +18,6 @@ from seawake.functions.dates import day_filter
 from seawake.operators import quality as qa
 from seawake.operators import silver as sv
 from seawake.schema import SILVER_COLUMNS
-from seawake.session import checkpoint_dir
 from seawake.sources.sinks import insert_only, path_exists
 
 KEY = ["fecha", "mmsi", "ts"]
@@ -57,16 +56,17 @@ class SilverBatch:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        checkpoint_dir(spark)
         chk = sv.checked(batch_df, self.land_cells).persist(StorageLevel.MEMORY_AND_DISK)
         # used three times (day list, new keys, duplicate counts): computed once
         dd = sv.dedup_valid(chk).persist(StorageLevel.MEMORY_AND_DISK)
+        new = dd
         try:
             # the days of one batch: a handful of values, used for partition pruning
             days = [r[0] for r in dd.select("fecha").distinct().collect()]
             new = insert_only(dd, self.history(spark, batch_id, days), KEY)
-            # reliable checkpoint: cuts the lineage to the silver folder this batch writes into
-            new = new.checkpoint(eager=True)
+            # kept for the write and the counts; if an executor is lost, recomputing it is safe:
+            # its history holds only batches < n, never the partitions this batch writes
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
             (new.select(*SILVER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
                 .repartition("fecha").sortWithinPartitions("mmsi", "ts")
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -82,8 +82,8 @@ class SilverBatch:
             (metrics.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                     .partitionBy("batch_id").parquet(self.lake.metrics))
         finally:
-            dd.unpersist()
-            chk.unpersist()
+            for df in (new, dd, chk):
+                df.unpersist()
 
 
 def bronze_stream_schema(spark: SparkSession, bronze_dir: str):

@@ -109,6 +109,20 @@ def _edge_tiles(edges: DataFrame, margin: float = 0.0) -> DataFrame:
     return edges.select("*", F.explode(_tiles(x0, y0, x1, y1)).alias("t")).select("*", "t.tx", "t.ty").drop("t")
 
 
+def edge_traffic(edges: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Each edge with the positions observed in the 1° tiles its bounding box touches.
+
+    Positions are counted per tile first (partial aggregation), so the join is between the
+    edge-tile table and one row per occupied tile.
+    """
+    lat, lon = F.col("LAT").try_cast("double"), F.col("LON").try_cast("double")
+    tiles = (bronze.where(lat.between(-90, 90) & lon.between(-180, 180))
+                   .groupBy(F.floor(lon).alias("tx"), F.floor(lat).alias("ty")).agg(F.count(F.lit(1)).alias("n")))
+    return (_edge_tiles(edges).join(tiles, ["tx", "ty"], "left")
+            .groupBy("layer", "poly", "x1", "y1", "x2", "y2")
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("posiciones_en_teselas")))
+
+
 # ------------------------------------------------------------------ point in polygon
 
 def corners_inside(boxes: DataFrame, poly_edges: DataFrame) -> DataFrame:

@@ -466,10 +466,14 @@ def _gold(*ctes: str, select: str) -> str:
     return O.with_ctes(O.silver_ctes(), *ctes, select=select)
 
 
-@register("port_cells", O.with_ctes(_PORTS, select="SELECT * FROM port_cells"))
+@register("port_cells", _gold(_PORTS, select="""
+SELECT z.*, CAST(coalesce(o.posiciones, 0) AS BIGINT) AS posiciones, CAST(coalesce(o.buques, 0) AS BIGINT) AS buques
+FROM port_cells z LEFT JOIN (
+  SELECT h3_r7, count(*) AS posiciones, count(DISTINCT mmsi) AS buques FROM silver GROUP BY h3_r7) o
+ON o.h3_r7 = z.h3_r7"""))
 def q_port_cells(spark, sf):
-    # the zones follow the catalogue; joined with the day's positions in port_presence
-    return zones(spark, sf)
+    """Port zones with the silver positions and ships observed in each zone cell."""
+    return pt.zone_traffic(zones(spark, sf), silver(spark, sf))
 
 
 @register("port_presence", _gold(_PORTS, O.PRESENCE_CTE, select="SELECT * FROM presence"))
@@ -908,12 +912,30 @@ def q_cell_stats(spark, sf):
     return ld.cell_stats(bronze(spark, sf))
 
 
-@register("geo_edges", "SELECT * FROM (VALUES " + ", ".join(
+_EDGES_SQL = ("(SELECT * FROM (VALUES " + ", ".join(
     f"('{l}', '{p}', {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for l, p, x1, y1, x2, y2 in O._fixture_edges())
-    + ") t(layer, poly, x1, y1, x2, y2)")
+    + ") t(layer, poly, x1, y1, x2, y2))")
+
+
+@register("geo_edges", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", f"""
+tiles AS (
+  SELECT CAST(floor(TRY_CAST(LAT AS DOUBLE)) AS BIGINT) AS ty, CAST(floor(TRY_CAST(LON AS DOUBLE)) AS BIGINT) AS tx,
+         count(*) AS n
+  FROM raw WHERE TRY_CAST(LAT AS DOUBLE) BETWEEN -90 AND 90 AND TRY_CAST(LON AS DOUBLE) BETWEEN -180 AND 180
+  GROUP BY 1, 2)""", f"""
+et AS (
+  SELECT e.*, unnest(generate_series(CAST(floor(least(y1, y2)) AS BIGINT), CAST(floor(greatest(y1, y2)) AS BIGINT))) AS ty
+  FROM {_EDGES_SQL} e)""", """
+et2 AS (
+  SELECT et.*, unnest(generate_series(CAST(floor(least(x1, x2)) AS BIGINT), CAST(floor(greatest(x1, x2)) AS BIGINT))) AS tx
+  FROM et)""", select="""
+SELECT layer, poly, x1, y1, x2, y2, CAST(coalesce(sum(t.n), 0) AS BIGINT) AS posiciones_en_teselas
+FROM et2 LEFT JOIN tiles t ON t.tx = et2.tx AND t.ty = et2.ty
+GROUP BY layer, poly, x1, y1, x2, y2"""))
 def q_geo_edges(spark, sf):
+    """Edges of the layers with the positions observed in the 1° tiles each edge touches."""
     land, lakes, rivers = geo_layers(spark)
-    return land.unionByName(lakes).unionByName(rivers)
+    return ld.edge_traffic(land.unionByName(lakes).unionByName(rivers), bronze(spark, sf))
 
 
 def _land_sql(select: str, *more: str) -> str:

@@ -1,5 +1,6 @@
 """Plan shapes: pruning reaches the scan, no Python in the hot paths, no cartesian products."""
 import os
+import re
 
 import pytest
 
@@ -46,3 +47,22 @@ def test_registered_queries_have_no_cartesian_product(spark):
             continue
         p = plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_hot_keys_are_split_or_pre_aggregated(spark):
+    traj = plan(C.trajectories(spark, SF_SMALL))
+    # the per-ship window is partitioned by (ship, day, hour bucket), never by ship alone
+    assert re.search(r"hashpartitioning\(mmsi#\d+, fecha#\d+, _bkt#\d+", traj)
+    assert not re.search(r"Window \[lag.*windowspecdefinition\(mmsi#\d+, fecha#\d+, ts#", traj)
+    # dedup of (mmsi, ts) aggregates partially before its shuffle
+    dd = plan(C.deduped(spark, SF_SMALL))
+    assert "partial_min(struct(" in dd
+    period = plan(E.queries()["top_distance"](spark, SF_SMALL))
+    assert re.search(r"hashpartitioning\(MMSI#\d+, _bkt#\d+", period)
+
+
+def test_metrics_never_reach_the_driver_per_day(spark):
+    # the long-form metrics are an unpivot on executors: no Python, no local relation from collected rows
+    p = plan(C.metrics(spark, SF_SMALL))
+    assert "Expand" in p or "Generate" in p
+    assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p

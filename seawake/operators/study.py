@@ -451,3 +451,16 @@ def box_summary(opt: DataFrame) -> DataFrame:
                     F.min("LAT").alias("lat_exacta_min"), F.max("LAT").alias("lat_exacta_max"),
                     F.min("LON").alias("lon_exacta_min"), F.max("LON").alias("lon_exacta_max"))
                .where(F.col("buques_en_zona") > 0))
+
+
+def bronze_duplicates(bronze: DataFrame) -> DataFrame:
+    """On the raw text: rows, and rows beyond the first per (MMSI, time) key and per identical row.
+
+    Each count is "rows minus groups" of one partially aggregated grouping, so hot keys are
+    collapsed map-side before any shuffle.
+    """
+    keys = bronze.groupBy("MMSI", "BaseDateTime").agg(F.count(F.lit(1)).alias("n"))
+    rows = bronze.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.sum("n").cast("long").alias("total"),
+                    keys.agg(F.sum(F.col("n") - 1)).scalar().cast("long").alias("dup_llave"),
+                    F.sum(F.col("n") - 1).cast("long").alias("dup_exactos"))

@@ -288,6 +288,14 @@ def q_bronze_profile(spark, sf):
     return st.bronze_profile(bronze(spark, sf))
 
 
+@register("bronze_duplicates", _study(select=f"""
+SELECT (SELECT count(*) FROM raw) AS total,
+       (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT MMSI, BaseDateTime FROM raw)) AS dup_llave,
+       (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT {O.RAW17} FROM raw)) AS dup_exactos"""))
+def q_bronze_duplicates(spark, sf):
+    return st.bronze_duplicates(bronze(spark, sf))
+
+
 @register("density_grid", _study(select=(
         "SELECT round(LAT / 0.5::DOUBLE) * 0.5::DOUBLE AS lat_grid, round(LON / 0.5::DOUBLE) * 0.5::DOUBLE AS lon_grid, "
         "count(*) AS n FROM typed GROUP BY 1, 2")))

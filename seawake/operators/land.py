@@ -33,7 +33,8 @@ DEG_KM = 111.0
 SENSITIVITY = {"dist_min_km": [2, 5, 10], "buques_max": [3, 1], "pos_max": [None, 1000, 100]}
 RULE_TEXT = (f"tierra sin lagos, >{RIVER_BUFFER_DEG}deg de rios, >={int(DIST_MIN_KM)}km de agua, "
              f"<={SHIPS_MAX} buques, <={POSITIONS_MAX} posiciones")
-RINGS = [1, 4, 16, 64, 360]
+RINGS = [1, 4, 16, 64, 360]        # in tiles; the last ring covers the globe for 1° tiles
+TILE_DEG = 1.0                      # tile size; smaller tiles split coastline-heavy areas further
 # reference point of a tile: its centre nudged off any round coordinate
 _EX, _EY = 0.5 + 1.234567e-7, 0.5 + 7.654321e-8
 
@@ -82,10 +83,10 @@ def _box_seg_dist(ex1, ey1, ex2, ey2, bx0, by0, bx1, by1) -> Column:
     return F.when(_seg_box_hit(ex1, ey1, ex2, ey2, bx0, by0, bx1, by1), F.lit(0.0)).otherwise(d)
 
 
-def _tiles(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Array of (tx, ty) of the 1° tiles overlapping a box."""
-    return F.flatten(F.transform(F.sequence(F.floor(y0), F.floor(y1)), lambda ty: F.transform(
-        F.sequence(F.floor(x0), F.floor(x1)), lambda tx: F.struct(tx.alias("tx"), ty.alias("ty")))))
+def _tiles(x0: Column, y0: Column, x1: Column, y1: Column, tile: float = TILE_DEG) -> Column:
+    """Array of (tx, ty) of the tiles overlapping a box."""
+    return F.flatten(F.transform(F.sequence(F.floor(y0 / tile), F.floor(y1 / tile)), lambda ty: F.transform(
+        F.sequence(F.floor(x0 / tile), F.floor(x1 / tile)), lambda tx: F.struct(tx.alias("tx"), ty.alias("ty")))))
 
 
 # ------------------------------------------------------------------ inputs
@@ -103,10 +104,10 @@ def _cell_boxes(cells: DataFrame, step: float) -> DataFrame:
     return cells.select("h3", x0.alias("bx0"), y0.alias("by0"), x1.alias("bx1"), y1.alias("by1"))
 
 
-def _edge_tiles(edges: DataFrame, margin: float = 0.0) -> DataFrame:
+def _edge_tiles(edges: DataFrame, margin: float = 0.0, tile: float = TILE_DEG) -> DataFrame:
     x0, x1 = F.least("x1", "x2") - margin, F.greatest("x1", "x2") + margin
     y0, y1 = F.least("y1", "y2") - margin, F.greatest("y1", "y2") + margin
-    return edges.select("*", F.explode(_tiles(x0, y0, x1, y1)).alias("t")).select("*", "t.tx", "t.ty").drop("t")
+    return edges.select("*", F.explode(_tiles(x0, y0, x1, y1, tile)).alias("t")).select("*", "t.tx", "t.ty").drop("t")
 
 
 def edge_traffic(edges: DataFrame, bronze: DataFrame) -> DataFrame:
@@ -118,46 +119,46 @@ def edge_traffic(edges: DataFrame, bronze: DataFrame) -> DataFrame:
     lat, lon = F.col("LAT").try_cast("double"), F.col("LON").try_cast("double")
     tiles = (bronze.where(lat.between(-90, 90) & lon.between(-180, 180))
                    .groupBy(F.floor(lon).alias("tx"), F.floor(lat).alias("ty")).agg(F.count(F.lit(1)).alias("n")))
-    return (_edge_tiles(edges).join(tiles, ["tx", "ty"], "left")
+    return (_edge_tiles(edges, tile=1.0).join(tiles, ["tx", "ty"], "left")
             .groupBy("layer", "poly", "x1", "y1", "x2", "y2")
             .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("posiciones_en_teselas")))
 
 
 # ------------------------------------------------------------------ point in polygon
 
-def corners_inside(boxes: DataFrame, poly_edges: DataFrame) -> DataFrame:
+def corners_inside(boxes: DataFrame, poly_edges: DataFrame, tile: float = TILE_DEG) -> DataFrame:
     """(h3, poly, n_inside): how many of the 4 cell corners lie inside each candidate polygon."""
     corners = boxes.select("h3", F.posexplode(F.array(*[F.struct(cx.alias("px"), cy.alias("py"))
                                                         for cx, cy in _corners(F.col("bx0"), F.col("by0"),
                                                                                 F.col("bx1"), F.col("by1"))]))
                            .alias("k", "p")).select("h3", "k", "p.px", "p.py")
-    corners = corners.withColumn("tx", F.floor("px")).withColumn("ty", F.floor("py"))
+    corners = corners.withColumn("tx", F.floor(F.col("px") / tile)).withColumn("ty", F.floor(F.col("py") / tile))
     ctiles = corners.select("tx", "ty").distinct()
 
     # candidate (polygon, tile) pairs from polygon bounding boxes, restricted to corner tiles
     bbox = poly_edges.groupBy("poly").agg(F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                                           F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1"))
-    cand = (bbox.select("poly", F.explode(_tiles(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).alias("t"))
+    cand = (bbox.select("poly", F.explode(_tiles(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), tile)).alias("t"))
                 .select("poly", "t.tx", "t.ty").join(ctiles, ["tx", "ty"]))
 
     # parity of each tile's reference point: crossings of its row's reference latitude east of it
     rows = poly_edges.select("poly", "x1", "y1", "x2", "y2",
-                             F.explode(F.sequence(F.floor(F.least("y1", "y2")), F.floor(F.greatest("y1", "y2"))))
-                             .alias("ty"))
-    y0 = F.col("ty") + _EY
+                             F.explode(F.sequence(F.floor(F.least("y1", "y2") / tile),
+                                                  F.floor(F.greatest("y1", "y2") / tile))).alias("ty"))
+    y0 = (F.col("ty") + _EY) * tile
     events = (rows.where((F.col("y1") > y0) != (F.col("y2") > y0))
                   .select("poly", "ty", (F.col("x1") + (y0 - F.col("y1")) * (F.col("x2") - F.col("x1"))
                                           / (F.col("y2") - F.col("y1"))).alias("x"),
                           F.lit(1).alias("ev"), F.lit(None).cast("bigint").alias("tx")))
-    queries = cand.select("poly", "ty", (F.col("tx") + _EX).alias("x"), F.lit(0).alias("ev"), "tx")
+    queries = cand.select("poly", "ty", ((F.col("tx") + _EX) * tile).alias("x"), F.lit(0).alias("ev"), "tx")
     w = Window.partitionBy("poly", "ty").orderBy(F.desc("x"), F.desc("ev")).rowsBetween(Window.unboundedPreceding, 0)
     parity = (events.unionByName(queries).withColumn("n_east", F.sum("ev").over(w))
                     .where(F.col("ev") == 0).select("poly", "tx", "ty", (F.col("n_east") % 2).alias("par0")))
 
     # crossings on the path reference point → corner, with the polygon's edges of that tile
-    et = _edge_tiles(poly_edges).select("poly", "tx", "ty", "x1", "y1", "x2", "y2")
+    et = _edge_tiles(poly_edges, tile=tile).select("poly", "tx", "ty", "x1", "y1", "x2", "y2")
     pc = corners.join(parity, ["tx", "ty"])
-    rx, ry = F.col("tx") + _EX, F.col("ty") + _EY
+    rx, ry = (F.col("tx") + _EX) * tile, (F.col("ty") + _EY) * tile
     hits = (pc.join(et, ["poly", "tx", "ty"], "left")
               .groupBy("h3", "k", "poly", "par0")
               .agg(F.count_if(_cross(rx, ry, F.col("px"), F.col("py"), F.col("x1"), F.col("y1"),
@@ -166,45 +167,48 @@ def corners_inside(boxes: DataFrame, poly_edges: DataFrame) -> DataFrame:
     return inside.groupBy("h3", "poly").agg(F.count(F.lit(1)).alias("n_inside"))
 
 
-def edges_hitting(boxes: DataFrame, edges: DataFrame) -> DataFrame:
+def edges_hitting(boxes: DataFrame, edges: DataFrame, tile: float = TILE_DEG) -> DataFrame:
     """(h3, poly) pairs where an edge of ``poly`` intersects the cell box."""
-    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))).alias("t")) \
-              .select("*", "t.tx", "t.ty").drop("t")
-    j = bt.join(_edge_tiles(edges), ["tx", "ty"])
+    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"), tile))
+                      .alias("t")).select("*", "t.tx", "t.ty").drop("t")
+    j = bt.join(_edge_tiles(edges, tile=tile), ["tx", "ty"])
     return (j.where(_seg_box_hit(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"),
                                  F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1")))
              .select("h3", "poly").distinct())
 
 
-def near_lines(boxes: DataFrame, lines: DataFrame, dist_deg: float) -> DataFrame:
+def near_lines(boxes: DataFrame, lines: DataFrame, dist_deg: float, tile: float = TILE_DEG) -> DataFrame:
     """Cells whose box is within ``dist_deg`` of a line segment."""
-    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))).alias("t")) \
-              .select("*", "t.tx", "t.ty").drop("t")
-    j = bt.join(_edge_tiles(lines, dist_deg), ["tx", "ty"])
+    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"), tile))
+                      .alias("t")).select("*", "t.tx", "t.ty").drop("t")
+    j = bt.join(_edge_tiles(lines, dist_deg, tile), ["tx", "ty"])
     d = _box_seg_dist(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"),
                       F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))
     return j.where(d <= dist_deg).select("h3").distinct()
 
 
-def water_distance(points: DataFrame, water: DataFrame) -> DataFrame:
+def water_distance(points: DataFrame, water: DataFrame, tile: float = TILE_DEG) -> DataFrame:
     """(h3, dist_deg) from each point (lon_c, lat_c) to the nearest water segment (planar degrees).
 
     Widening rings of tiles; each pass only sees the points not settled by the previous one.
     """
-    et = _edge_tiles(water).select("tx", "ty", "x1", "y1", "x2", "y2").persist()
+    et = _edge_tiles(water, tile=tile).select("tx", "ty", "x1", "y1", "x2", "y2").persist()
+    last = int(360 / tile) + 1                 # a ring this wide covers every tile
     todo = points.persist()
     settled = None
-    for r in RINGS:
+    for r in [r for r in RINGS if r < last] + [last]:
         if todo.isEmpty():          # every point settled: no wider ring needed
             break
         ring = F.sequence(F.lit(-r), F.lit(r))
         cand = (todo.select("*", F.explode(F.flatten(F.transform(ring, lambda dy: F.transform(
-                    ring, lambda dx: F.struct((F.floor("lon_c") + dx).alias("tx"), (F.floor("lat_c") + dy).alias("ty"))))))
+                    ring, lambda dx: F.struct((F.floor(F.col("lon_c") / tile) + dx).alias("tx"),
+                                              (F.floor(F.col("lat_c") / tile) + dy).alias("ty"))))))
                     .alias("t")).select("h3", "lon_c", "lat_c", "t.tx", "t.ty"))
         best = (cand.join(et, ["tx", "ty"])
                     .groupBy("h3").agg(F.min(_pt_seg_dist(F.col("lon_c"), F.col("lat_c"), F.col("x1"), F.col("y1"),
                                                           F.col("x2"), F.col("y2"))).alias("dist_deg")))
-        done = (best.where(F.col("dist_deg") <= r) if r < RINGS[-1] else best).persist()
+        # anything outside a ring of r tiles is more than r tiles away: the best inside is exact
+        done = (best.where(F.col("dist_deg") <= r * tile) if r < last else best).persist()
         settled = done if settled is None else settled.unionByName(done)
         todo = todo.join(done.select("h3"), "h3", "left_anti").persist()
     if settled is None:
@@ -215,20 +219,20 @@ def water_distance(points: DataFrame, water: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ the mask
 
 def land_mask(cells: DataFrame, land: DataFrame, lakes: DataFrame, rivers: DataFrame,
-              step: float = CELL_STEP_R7) -> DataFrame:
+              step: float = CELL_STEP_R7, tile: float = TILE_DEG) -> DataFrame:
     """h3, resolucion, es_tierra, es_tierra_base, lat, lon, dist_agua_km, posiciones, buques, regla."""
     boxes = _cell_boxes(cells, step).persist()
-    inside = corners_inside(boxes, land).where("n_inside = 4")
-    land_hit = edges_hitting(boxes, land)
+    inside = corners_inside(boxes, land, tile).where("n_inside = 4")
+    land_hit = edges_hitting(boxes, land, tile)
     within = inside.join(land_hit, ["h3", "poly"], "left_anti").select("h3").distinct()
-    lake_touch = (edges_hitting(boxes, lakes).select("h3")
-                  .unionByName(corners_inside(boxes, lakes).select("h3")).distinct())
-    river_near = near_lines(boxes, rivers, RIVER_BUFFER_DEG)
+    lake_touch = (edges_hitting(boxes, lakes, tile).select("h3")
+                  .unionByName(corners_inside(boxes, lakes, tile).select("h3")).distinct())
+    river_near = near_lines(boxes, rivers, RIVER_BUFFER_DEG, tile)
     base = within.join(lake_touch, "h3", "left_anti").join(river_near, "h3", "left_anti").persist()
 
     lat_c, lon_c = cell_center("h3", step)
     pts = base.select("h3", lat_c.alias("lat_c"), lon_c.alias("lon_c"))
-    dist = water_distance(pts, land.unionByName(lakes).unionByName(rivers))
+    dist = water_distance(pts, land.unionByName(lakes).unionByName(rivers), tile)
 
     lat_all, lon_all = cell_center("h3", step)
     out = (cells.join(base.withColumn("es_tierra_base", F.lit(True)), "h3", "left")

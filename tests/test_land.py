@@ -94,3 +94,16 @@ def test_sensitivity_table(spark, layers):
     assert len(t) == 18
     by = {(r.dist_min_km, r.buques_max, r.pos_max): r.celdas for r in t}
     assert by[(2, 3, "∞")] >= by[(5, 3, "∞")] >= by[(10, 3, "∞")]
+
+
+def test_tile_size_does_not_change_the_mask(spark, layers):
+    land, lakes, rivers = layers
+    pts = [(26.0 + i * 0.023, -81.6 + j * 0.029) for i in range(0, 45, 2) for j in range(0, 40, 2)]
+    cells = cells_at(spark, pts + [(10.5, 179.5)])
+    cols = ["h3", "es_tierra_base", "es_tierra", "dist_agua_km"]
+    a = sorted(map(tuple, ld.land_mask(cells, land, lakes, rivers, tile=1.0).select(*cols).collect()))
+    b = sorted(map(tuple, ld.land_mask(cells, land, lakes, rivers, tile=0.25).select(*cols).collect()))
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x[:3] == y[:3]
+        assert (x[3] is None and y[3] is None) or abs(x[3] - y[3]) < 1e-9

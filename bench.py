@@ -15,7 +15,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from seawake.operators import gold, ports as pt, silver as sv  # noqa: E402
 from seawake.plans import catalog as C  # noqa: E402

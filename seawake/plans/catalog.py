@@ -438,7 +438,6 @@ def q_box_summary(spark, sf):
 
 # ----------------------------------------------------------------------------- ports, quality, dashboard
 
-import datetime as _dt  # noqa: E402
 
 from seawake.functions.dates import day_filter, parse_days  # noqa: E402
 from seawake.operators import contract as ct, dashboard as db, ports as pt, quality as qa  # noqa: E402
@@ -818,7 +817,6 @@ def q_storage_footprint(spark, sf):
 # ----------------------------------------------------------------------------- speed anomalies
 
 from seawake.operators import forest as fo  # noqa: E402
-from seawake.schema import MODEL_FEATURES  # noqa: E402
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:

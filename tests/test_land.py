@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from seawake.functions.geo import CELL_STEP_R7, cell_bounds, cell_center, cell_id
+from seawake.functions.geo import cell_bounds, cell_center, cell_id
 from seawake.operators import land as ld
 from seawake.sources import geojson as gj
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seawake.functions.dates import day_filter, parse_days
-from seawake.operators import contract as ct, forest as fo, gold, ports as pt, quality as qa
+from seawake.operators import contract as ct, forest as fo, gold, land as ld, ports as pt, quality as qa
 from seawake.schema import describe
 from seawake.sources.csv import header_schema
 from seawake.sources.sinks import path_exists, replace_days
@@ -24,14 +24,27 @@ from seawake.streaming import bronze as br
 from seawake.streaming import silver as ss
 
 
+def ingest_bronze(spark: SparkSession, lake: ss.Lake, landing: str, max_files_per_trigger: int | None = None) -> None:
+    """Landing CSV files → bronze (drained with ``availableNow``)."""
+    schema = header_schema(spark, f"{landing}/*")
+    br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger)
+
+
 def ingest(spark: SparkSession, lake: ss.Lake, landing: str, land_cells: DataFrame | None = None,
            max_files_per_trigger: int | None = None) -> None:
     """Landing CSV files → bronze → silver (both drained with ``availableNow``)."""
-    schema = header_schema(spark, f"{landing}/*")
-    br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger)
+    ingest_bronze(spark, lake, landing, max_files_per_trigger)
     ss.run_silver(spark, lake, land_cells, max_files_per_trigger)
 
 
+def build_land_mask(spark: SparkSession, lake: ss.Lake, land: DataFrame, lakes: DataFrame,
+                    rivers: DataFrame) -> DataFrame:
+    """Rebuild the land mask from all bronze cells (an explicit, not daily, step) and store it."""
+    ld.land_mask(ld.cell_stats(spark.read.parquet(lake.bronze)), land, lakes, rivers) \
+      .write.mode("overwrite").parquet(lake.land)
+    return spark.read.parquet(lake.land)
+
+
 def gate(spark: SparkSession, lake: ss.Lake, days: list[dt.date], max_pct: float = qa.GATE_MAX_PCT,
          enforce: bool = True) -> DataFrame:
     verdicts = qa.quality_gate(spark, spark.read.parquet(lake.metrics), spark.read.parquet(lake.silver), days, max_pct)
@@ -87,10 +100,18 @@ def next_feed_day(spark: SparkSession, lake: ss.Lake, first_day: str) -> dt.date
 
 
 def run_days(spark: SparkSession, lake: ss.Lake, landing: str, day_spec: str, ports: DataFrame,
-             land_cells: DataFrame | None = None, enforce_gate: bool = True) -> dict:
-    """The whole chain for a day set ("todas" or "YYYY-MM-DD[,…]")."""
+             land_cells: DataFrame | None = None, enforce_gate: bool = True,
+             geo_layers: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> dict:
+    """The whole chain for a day set ("todas" or "YYYY-MM-DD[,…]").
+
+    With ``geo_layers`` (land, lakes, rivers edges) the land mask is rebuilt from bronze
+    before silver runs, as in a backfill; otherwise ``land_cells`` (or none) is used.
+    """
     days = parse_days(day_spec)
-    ingest(spark, lake, landing, land_cells)
+    ingest_bronze(spark, lake, landing)
+    if geo_layers is not None:
+        land_cells = build_land_mask(spark, lake, *geo_layers)
+    ss.run_silver(spark, lake, land_cells)
     if days is None:
         days = [r[0] for r in spark.read.parquet(lake.metrics).where(F.col("fecha").isNotNull())
                 .select("fecha").distinct().orderBy("fecha").collect()]       # one row per calendar day

@@ -80,3 +80,24 @@ def test_study_views_equal_dataframe_versions(spark):
 def test_next_feed_day(spark, lake, tmp_root):
     assert daily.next_feed_day(spark, lake, "2024-01-01") == dt.date(2024, 1, 31)
     assert daily.next_feed_day(spark, Lake(os.path.join(tmp_root, "empty")), "2024-01-01") == dt.date(2024, 1, 1)
+
+
+def test_backfill_with_land_mask_quarantines_land_positions(spark, tmp_path_factory):
+    from seawake.sources import geojson as gj
+    root = str(tmp_path_factory.mktemp("backfill"))
+    landing = os.path.join(root, "landing")
+    write_day_files(raw_positions(load_events(spark, SF_SMALL)), landing)
+    layers = []
+    for name, feats in (("land", gj.TEST_LAND), ("lakes", gj.TEST_LAKES), ("rivers", gj.TEST_RIVERS)):
+        gj.write_geojson(spark, f"{root}/{name}.geojson", feats)
+        layers.append(gj.read_edges(spark, f"{root}/{name}.geojson", name))
+    lk = Lake(os.path.join(root, "lake"))
+    daily.run_days(spark, lk, landing, "todas", fixture_ports(spark), enforce_gate=False, geo_layers=tuple(layers))
+    mask = spark.read.parquet(lk.land)
+    land_cells = {r.h3 for r in mask.where("es_tierra").select("h3").collect()}
+    assert land_cells
+    q = spark.read.parquet(lk.quarantine)
+    on_land = q.where(F.array_contains("causas", "posible_en_tierra")).count()
+    assert on_land > 0
+    s = spark.read.parquet(lk.silver)
+    assert s.where(F.col("h3_r7").isin(list(land_cells))).count() == 0

@@ -86,9 +86,13 @@ def speed_anomalies(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | No
     params = {"n_arboles": fo.N_TREES, "muestra": fo.SAMPLE_SIZE, "contaminacion": fo.CONTAMINATION,
               "semilla": fo.SEED, "min_posiciones": fo.MIN_POSITIONS}
     fo.run_record(spark, history, flagged, model, params).write.mode("append").parquet(lake.model_runs)
-    anomalies = fo.anomalies(flagged, spark.read.parquet(lake.trajectories), model, days)
+    # score the days with the stored model (latest run), not the in-memory object
+    stored = fo.load_latest_model(spark, lake.model, lake.model_runs)
+    today = fo.flag(fo.score(spark.read.parquet(lake.features).where(day_filter("fecha", days)), stored),
+                    stored.threshold)
+    anomalies = fo.anomalies(today, spark.read.parquet(lake.trajectories), stored, days)
     replace_days(anomalies, lake.anomalies, days, sort_cols=["mmsi"])
-    return model
+    return stored
 
 
 def next_feed_day(spark: SparkSession, lake: ss.Lake, first_day: str) -> dt.date:

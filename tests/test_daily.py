@@ -101,3 +101,16 @@ def test_backfill_with_land_mask_quarantines_land_positions(spark, tmp_path_fact
     assert on_land > 0
     s = spark.read.parquet(lk.silver)
     assert s.where(F.col("h3_r7").isin(list(land_cells))).count() == 0
+
+
+def test_stored_model_scores_like_the_fitted_one(spark, lake):
+    from seawake.operators import forest as fo
+    stored = fo.load_latest_model(spark, lake.model, lake.model_runs)
+    feats = spark.read.parquet(lake.features)
+    a = fo.score(feats, stored).select("mmsi", "fecha", "s")
+    runs = spark.read.parquet(lake.model_runs)
+    assert runs.count() >= 1 and stored.threshold is not None
+    anom = spark.read.parquet(lake.anomalies)
+    got = {(r.mmsi, str(r.fecha)): r.puntaje for r in anom.collect()}
+    exp = {(r.mmsi, str(r.fecha)): r.s - stored.threshold for r in a.collect()}
+    assert got and all(abs(got[k] - exp[k]) < 1e-12 for k in got)

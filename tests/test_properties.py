@@ -43,3 +43,38 @@ def test_fixed_rounding_matches_duckdb(spark):
                              f"CAST(round(TRY_CAST({x!r}::DOUBLE AS DECIMAL(38,10)), 1) AS DOUBLE)").fetchone()
         assert got[x] == (r2, r1), x
     assert got[1.005][0] == 1.01 and got[2.675][0] == 2.68 and got[-1.005][0] == -1.01
+
+
+def test_cross_stage_profile_counts_agree(spark):
+    """The raw-text profile (bronze) and the typed study count the same things on the same data."""
+    from conftest import SF_MID
+    from seawake.operators import study as st
+    from seawake.plans import catalog as C
+    b = {r.chequeo: r.n for r in st.bronze_profile(C.bronze(spark, SF_MID)).collect()}
+    t = C.typed(spark, SF_MID)
+    rp = st.range_profile(t).first()
+    ip = st.id_profile(t).first()
+    dp = st.duplicate_profile(t).first()
+    bd = st.bronze_duplicates(C.bronze(spark, SF_MID)).first()
+    assert b["sog_sentinel_102_3"] == rp.SOG_sin_dato
+    assert b["cog_fuera_rango"] == rp.COG_invalido_real
+    assert b["mmsi_no_9_digitos"] == ip.MMSI_longitud_invalida
+    assert bd.dup_exactos == dp.duplicados_exactos
+    assert bd.dup_llave == dp.filas_involucradas - dp.grupos_llave
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 3), st.integers(0, 23),
+                          st.integers(0, 59), st.integers(0, 5)), min_size=1, max_size=60))
+def test_lag_split_equals_window(spark, rows):
+    import datetime as dt
+    from pyspark.sql import Window
+    from seawake.plans.windows import lag_split
+    data = [(k, dt.datetime(2024, 1, 1 + d, h, m), float(v)) for k, d, h, m, v in rows]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v double").withColumn("day", F.to_date("ts"))
+    got = lag_split(df, ["k", "day"], ["ts"], ["ts", "v"], F.date_trunc("hour", "ts"))
+    w = Window.partitionBy("k", "day").orderBy("ts", "v")
+    exp = df.select("*", F.lag("ts").over(w).alias("ts_prev"), F.lag("v").over(w).alias("v_prev"))
+    cols = ["k", "ts", "v", "ts_prev", "v_prev"]
+    assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, exp.select(*cols).collect()),
+                                                                              key=str)

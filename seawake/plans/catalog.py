@@ -39,6 +39,8 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def land_cells(spark: SparkSession, sf: str) -> DataFrame | None:
+    """The silver checks registered here run without a land mask (its SQL oracle is the
+    plain chain); ``land_flag`` runs the same checks with the mask built from the data."""
     return None
 
 

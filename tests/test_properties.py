@@ -78,3 +78,14 @@ def test_lag_split_equals_window(spark, rows):
     cols = ["k", "ts", "v", "ts_prev", "v_prev"]
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, exp.select(*cols).collect()),
                                                                               key=str)
+
+
+def test_approx_distinct_ships_within_tolerance(spark):
+    from conftest import SF_MID
+    from seawake.operators import study as st
+    from seawake.plans import catalog as C
+    rows = st.daily_ships_exact_vs_approx(C.clean(spark, SF_MID), rsd=0.05).collect()
+    assert len(rows) == 30
+    for r in rows:
+        assert r.buques_exact > 0 and abs(r.buques_approx - r.buques_exact) / r.buques_exact <= 0.15
+        assert r.error_pct == round(abs(r.buques_exact - r.buques_approx) / r.buques_exact * 100, 2)

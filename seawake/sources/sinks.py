@@ -44,10 +44,24 @@ def replace_days(df: DataFrame, path: str, days: list[dt.date] | None, day_col:
                     fs.delete(p, True)
 
 
-def insert_only(batch: DataFrame, history: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``history`` (MERGE … WHEN NOT MATCHED INSERT)."""
+MAX_BATCH_KEYS_BROADCAST = 2_000_000
+
+
+def insert_only(batch: DataFrame, history: DataFrame | None, keys: list[str],
+                max_broadcast_keys: int = MAX_BATCH_KEYS_BROADCAST) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``history`` (MERGE … WHEN NOT MATCHED INSERT).
+
+    ``batch`` keys are unique (it is deduplicated). When they fit the checked bound, the
+    history is first reduced to the keys it shares with the batch by a semi-join against the
+    broadcast batch keys (the history is streamed, never shuffled); the anti-join then only
+    meets those few matches. Above the bound it is a plain shuffled anti-join.
+    """
     if history is None:
         return batch
+    bkeys = batch.select(*keys)
+    if bkeys.count() <= max_broadcast_keys:
+        hits = history.select(*keys).join(F.broadcast(bkeys), keys, "left_semi")
+        return batch.join(hits, keys, "left_anti")
     return batch.join(history.select(*keys), keys, "left_anti")
 
 

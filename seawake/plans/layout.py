@@ -35,11 +35,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def write_layout(opt: DataFrame, path: str, layout: str) -> None:
     """Write the partition-column frame in one layout.
 
-    ``repartition`` on the partition keys first gives one writer per partition value
-    (no swarm of tiny files), and rows are clustered by ship and time inside each file.
+    Rows are grouped by the partition keys before writing (few files per partition value,
+    no swarm of tiny files) and clustered by ship and time inside each file.
     """
     cols = LAYOUTS[layout]
-    w = opt.repartition(*cols) if cols else opt
+    # REBALANCE keeps a partition value's rows together but lets AQE split a hot value
+    # (one busy day or box) into advisory-size files and merge small ones
+    w = opt.hint("rebalance", *cols) if cols else opt
     w = w.sortWithinPartitions("MMSI", "BaseDateTime")
     writer = w.write.mode("overwrite").option("compression", "snappy")
     if cols:

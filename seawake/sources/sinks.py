@@ -32,7 +32,8 @@ def replace_days(df: DataFrame, path: str, days: list[dt.date] | None, day_col:
     spark = df.sparkSession
     out = df.where(day_filter(day_col, days))
     if sort_cols:
-        out = out.repartition(day_col).sortWithinPartitions(*sort_cols)
+        # rows of a day stay together, a hot day is split by AQE into advisory-size files
+        out = out.hint("rebalance", day_col).sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(path))
     if days:

@@ -68,7 +68,7 @@ class SilverBatch:
             # its history holds only batches < n, never the partitions this batch writes
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             (new.select(*SILVER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .repartition("fecha").sortWithinPartitions("mmsi", "ts")
+                .hint("rebalance", "fecha").sortWithinPartitions("mmsi", "ts")
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("fecha", "batch_id").parquet(self.lake.silver))
             if self.fail_after_silver == batch_id:

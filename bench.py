@@ -21,6 +21,7 @@ from seawake.plans import catalog as C  # noqa: E402
 from seawake.plans import layout as ly  # noqa: E402
 from seawake.session import checkpoint_dir, get_session  # noqa: E402
 from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
+from seawake.sources import sinks  # noqa: E402
 from seawake.sources.csv import header_schema, read_typed, write_day_files  # noqa: E402
 from seawake.sources.ports import fixture_ports  # noqa: E402
 from seawake.streaming import bronze as br, silver as ss  # noqa: E402
@@ -90,10 +91,17 @@ def main() -> None:
 
     # ... and on the same positions in three Parquet layouts
     opt = C.optimized(spark, sf)
+    paths = {}
     for layout in ("flat", "day", "day_box"):
-        path = ly.scratch_dir(spark, f"bench-{layout}")
+        path = paths[layout] = ly.scratch_dir(spark, f"bench-{layout}")
         ly.write_layout(opt, path, layout)
         queries[f"box_query_{layout}"] = timed(lambda p=path, lo=layout: ly.box_query(spark, p, lo).collect())
+    extra["box_speedup_csv_to_day_box"] = round(queries["box_query_csv"] / queries["box_query_day_box"], 2)
+    # stored bytes: raw CSV day files against the day + box Parquet layout (Snappy)
+    csv_bytes = sinks.total_bytes(spark.read.text(f"{landing}/*/*.csv"))
+    pq_bytes = sinks.total_bytes(spark.read.parquet(paths["day_box"]))
+    extra["csv_bytes"], extra["parquet_day_box_bytes"] = csv_bytes, pq_bytes
+    extra["parquet_vs_csv"] = round(pq_bytes / csv_bytes, 3)
 
     try:
         from seawake.operators import forest as fo

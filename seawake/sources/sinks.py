@@ -66,6 +66,12 @@ def insert_only(batch: DataFrame, history: DataFrame | None, keys: list[str],
     return batch.join(history.select(*keys), keys, "left_anti")
 
 
+def total_bytes(df: DataFrame) -> int:
+    """Bytes of the files behind a file-based frame (each file counted once)."""
+    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).distinct()
+    return int(files.agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0])
+
+
 def storage_footprint(spark: SparkSession, path: str, partition_cols: list[str]) -> DataFrame:
     """Files and bytes per partition of a Parquet table, from Spark's own file metadata."""
     df = spark.read.parquet(path)

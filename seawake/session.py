@@ -24,7 +24,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     cpus = os.environ.get("BENCH_CPUS", "8")
     b = (SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-         .config("spark.driver.memory", os.environ.get("SEAWAKE_DRIVER_MEM", "8g"))
+         .config("spark.driver.memory", os.environ.get("SEAWAKE_DRIVER_MEM", "4g"))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

@@ -77,7 +77,7 @@ def main() -> None:
         lake = Lake(ly.scratch_dir(spark, "bench-lake"))
         br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), header_schema(spark, f"{landing}/*"))
         t0 = time.perf_counter()
-        ss.run_silver(spark, lake, max_files_per_trigger=10)
+        ss.run_silver(spark, lake, max_bytes_per_trigger=1 << 30)     # 1 GiB per micro-batch
         return time.perf_counter() - t0
 
     stream_once()

@@ -124,3 +124,15 @@ def test_typed_csv_and_port_csv(spark, tmp_root, landing):
         fh.write("PORT_NAME,COUNTRY,LATITUDE,LONGITUDE,OTHER\nA,US,25.1,-80.1,x\nB,US,,-80.2,y\nC,MX,20.0,-97.0,z\n")
     ports = read_port_csv(spark, p)
     assert sorted(r.puerto for r in ports.collect()) == ["A", "C"]
+
+
+def test_typed_csv_nulls_bad_fields_like_the_typed_projection(spark, tmp_root):
+    from seawake.operators.silver import typed_positions
+    from seawake.sources.csv import read_typed
+    src = os.path.join(tmp_root, "typed")
+    write(src, "AIS_x.csv", [line(0), line(1).replace("2024-01-05T10:01:00", "bad-date"),
+                             line(2).replace(",10.0,", ",abc,")])
+    got = sorted((tuple(r) for r in read_typed(spark, f"{src}/*.csv").drop("_source_file").collect()), key=str)
+    raw = spark.read.option("header", True).csv(f"{src}/*.csv").withColumn("_source_file", F.lit("x"))
+    exp = sorted((tuple(r) for r in typed_positions(raw).drop("_source_file").collect()), key=str)
+    assert len(got) == 3 and got == exp

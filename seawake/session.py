@@ -18,6 +18,20 @@ _SESSION_CONF = {
 }
 
 
+# Suggested settings for a large cluster (≈ 1000 executors, ~100 TB of positions). Shuffle
+# partitions start high and AQE merges them to the advisory size; scans read 256 MB splits;
+# skewed join / rebalance partitions are split at 5× the median.
+CLUSTER_CONF = {
+    **_SESSION_CONF,
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "seawake") -> SparkSession:
     """Local session for tests and the benchmark; on a cluster use the provided session."""

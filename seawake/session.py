@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,12 +52,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on (UTC days and hours) on any session."""
+    """Pin the settings results depend on (UTC days and hours) on any session, and make the
+    package importable by its Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application (``addPyFile``).
+
+    The pandas functions of the forest are pickled with references to ``seawake`` modules;
+    workers started outside the repository (or on other machines) would not find them.
+    Deployments may also pass the package with ``--py-files``; shipping twice is harmless.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="seawake-pkg-"), "seawake.zip")   # driver-side artifact
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, read from ``spark.checkpoint.dir``.
 

@@ -121,3 +121,37 @@ def touched_days(spark: SparkSession, lake: Lake, after_batch: int = -1) -> Data
     return (m.where((F.col("batch_id") > after_batch) & (F.col("metrica") == "filas_entrada")
                     & F.col("fecha").isNotNull())
              .groupBy("fecha").agg(F.sum("valor").alias("filas_entrada")))
+
+
+def compact_days(spark: SparkSession, lake: Lake, days) -> dict:
+    """Rewrite each listed silver day from its many small batch partitions into one.
+
+    Run only while the silver stream is idle. For a day whose newest batch is k, its rows
+    (from every batch) are written as ``batch_id=k`` and the older batch folders of the day
+    are removed afterwards. Keeping k means later batches still see the rows as history. A
+    crash between the two steps leaves copies in k and in older folders; a re-run drops
+    those copies by key, so compaction converges.
+    """
+    from seawake.session import checkpoint_dir
+    from seawake.sources.sinks import _fs
+    checkpoint_dir(spark)
+    silver = spark.read.parquet(lake.silver).where(day_filter("fecha", days))
+    newest = {r.fecha: r.k for r in silver.groupBy("fecha").agg(F.max("batch_id").alias("k")).collect()}
+    if not newest:
+        return {}
+    k_of_day = F.create_map(*[x for d, k in newest.items() for x in (F.lit(d), F.lit(k))])
+    rows = (silver.dropDuplicates(["fecha", "mmsi", "ts"])
+                  .withColumn("batch_id", k_of_day[F.col("fecha")].cast("long"))
+                  .checkpoint(eager=True))       # cut from the folders that are about to change
+    (rows.select(*SILVER_COLUMNS, "batch_id").hint("rebalance", "fecha").sortWithinPartitions("mmsi", "ts")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("fecha", "batch_id").parquet(lake.silver))
+    removed = 0
+    for d, k in newest.items():
+        fs, day_dir = _fs(spark, f"{lake.silver}/fecha={d.isoformat()}")
+        for st in fs.listStatus(day_dir):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < k:
+                fs.delete(st.getPath(), True)
+                removed += 1
+    return {"days": len(newest), "removed_batches": removed}

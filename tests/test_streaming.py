@@ -136,3 +136,27 @@ def test_typed_csv_nulls_bad_fields_like_the_typed_projection(spark, tmp_root):
     raw = spark.read.option("header", True).csv(f"{src}/*.csv").withColumn("_source_file", F.lit("x"))
     exp = sorted((tuple(r) for r in typed_positions(raw).drop("_source_file").collect()), key=str)
     assert len(got) == 3 and got == exp
+
+
+def test_compaction_keeps_rows_and_history(spark, tmp_root):
+    src = os.path.join(tmp_root, "landing5")
+    write(src, "AIS_1.csv", [line(i) for i in range(3)])
+    write(src, "AIS_2.csv", [line(i) for i in range(3, 6)] + [line(0)])          # one copy of a day-5 key
+    write(src, "AIS_3.csv", [line(i, day="2024-01-06") for i in range(2)])
+    lake = _run_pipeline(spark, os.path.join(tmp_root, "lake5"), src)
+    before = sorted(tuple(r) for r in spark.read.parquet(lake.silver).select("mmsi", "ts").collect())
+    out = ss.compact_days(spark, lake, None)
+    after = spark.read.parquet(lake.silver)
+    assert sorted(tuple(r) for r in after.select("mmsi", "ts").collect()) == before
+    assert out["days"] == 2 and out["removed_batches"] >= 1
+    per_day = {str(r.fecha): r.n for r in after.groupBy("fecha").agg(F.countDistinct("batch_id").alias("n")).collect()}
+    assert per_day == {"2024-01-05": 1, "2024-01-06": 1}
+    assert ss.compact_days(spark, lake, None)["removed_batches"] == 0             # idempotent
+    # a later batch still treats the compacted rows as history
+    write(src, "AIS_4.csv", [line(1), line(7)])
+    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), bronze_csv_schema())
+    ss.run_silver(spark, lake, max_files_per_trigger=1)
+    s = spark.read.parquet(lake.silver)
+    assert s.count() == len(before) + 1
+    m = spark.read.parquet(lake.metrics).where(F.col("metrica") == "duplicados_contra_historico")
+    assert m.agg(F.sum("valor")).first()[0] >= 1

@@ -66,3 +66,12 @@ def test_metrics_never_reach_the_driver_per_day(spark):
     p = plan(C.metrics(spark, SF_SMALL))
     assert "Expand" in p or "Generate" in p
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_box_query_on_missing_day_or_box(spark, tmp_root):
+    path = os.path.join(tmp_root, "opt2")
+    ly.write_layout(C.optimized(spark, SF_SMALL), path, "day_box")
+    empty_day = ly.box_query(spark, path, "day_box", day="2030-01-01").first()
+    assert empty_day.buques == 0 and empty_day.velocidad_media is None
+    far_box = ly.box_query(spark, path, "day_box", box={"lat_min": -10, "lat_max": -5, "lon_min": 0, "lon_max": 5}).first()
+    assert far_box.buques == 0

@@ -87,7 +87,13 @@ class SilverBatch:
 
 
 def bronze_stream_schema(spark: SparkSession, bronze_dir: str):
-    return spark.read.parquet(bronze_dir).schema
+    """Schema of the bronze table; the standard raw layout while bronze holds no file yet."""
+    from pyspark.errors import AnalysisException
+    from seawake.schema import bronze_schema
+    try:
+        return spark.read.parquet(bronze_dir).schema
+    except AnalysisException:
+        return bronze_schema()
 
 
 def run_silver(spark: SparkSession, lake: Lake, land_cells: DataFrame | None = None,

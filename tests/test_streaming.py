@@ -160,3 +160,12 @@ def test_compaction_keeps_rows_and_history(spark, tmp_root):
     assert s.count() == len(before) + 1
     m = spark.read.parquet(lake.metrics).where(F.col("metrica") == "duplicados_contra_historico")
     assert m.agg(F.sum("valor")).first()[0] >= 1
+
+
+def test_empty_landing_runs_cleanly(spark, tmp_root):
+    src = os.path.join(tmp_root, "empty_landing")
+    os.makedirs(src)
+    lake = ss.Lake(os.path.join(tmp_root, "lake6"))
+    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), bronze_csv_schema())
+    ss.run_silver(spark, lake)
+    assert not os.path.exists(os.path.join(lake.root, "silver"))

@@ -45,9 +45,16 @@ def build_land_mask(spark: SparkSession, lake: ss.Lake, land: DataFrame, lakes:
     return spark.read.parquet(lake.land)
 
 
+def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    return spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
+
+
 def gate(spark: SparkSession, lake: ss.Lake, days: list[dt.date], max_pct: float = qa.GATE_MAX_PCT,
          enforce: bool = True) -> DataFrame:
-    verdicts = qa.quality_gate(spark, spark.read.parquet(lake.metrics), spark.read.parquet(lake.silver), days, max_pct)
+    """Evaluate the days (a day without any input fails), log every verdict, then raise once."""
+    metrics = _read_or_empty(spark, lake.metrics, "fecha date, metrica string, valor long")
+    silver = _read_or_empty(spark, lake.silver, "fecha date")
+    verdicts = qa.quality_gate(spark, metrics, silver, days, max_pct)
     logged = verdicts.withColumn("ts_evaluacion", F.current_timestamp())
     logged.write.mode("append").parquet(lake.gate_log)
     if enforce:

@@ -114,3 +114,11 @@ def test_stored_model_scores_like_the_fitted_one(spark, lake):
     got = {(r.mmsi, str(r.fecha)): r.puntaje for r in anom.collect()}
     exp = {(r.mmsi, str(r.fecha)): r.s - stored.threshold for r in a.collect()}
     assert got and all(abs(got[k] - exp[k]) < 1e-12 for k in got)
+
+
+def test_gate_without_any_input_fails_cleanly(spark, tmp_root):
+    lk = Lake(os.path.join(tmp_root, "nothing"))
+    with pytest.raises(qa.QualityGateFailed) as e:
+        daily.gate(spark, lk, [dt.date(2024, 1, 8)])
+    assert "sin filas de entrada" in str(e.value)
+    assert spark.read.parquet(lk.gate_log).count() == 1

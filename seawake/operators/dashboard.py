@@ -26,8 +26,9 @@ def day_kpis(traj: DataFrame, presence: DataFrame, metrics: DataFrame, day: str)
         active.alias("buques_activos"),
         in_port.alias("buques_en_puerto"),
         F.sum(F.when(F.col("metrica") == "filas_entrada", F.col("valor"))).cast("long").alias("posiciones"),
-        fixed(F.sum(F.when(F.col("metrica") == "cuarentena", F.col("valor"))) * 100
-              / F.sum(F.when(F.col("metrica") == "filas_entrada", F.col("valor"))), 3).alias("pct_cuarentena"))
+        fixed(F.try_divide(F.sum(F.when(F.col("metrica") == "cuarentena", F.col("valor"))) * 100,
+                           F.sum(F.when(F.col("metrica") == "filas_entrada", F.col("valor")))), 3)
+        .alias("pct_cuarentena"))
 
 
 def day_map(traffic: DataFrame, day: str, min_positions: int = MAP_MIN_POSITIONS) -> DataFrame:

@@ -263,7 +263,7 @@ def land_sensitivity(mask: DataFrame) -> DataFrame:
                               F.col(f"c{i}").alias("celdas"), F.col(f"p{i}").cast("long").alias("posiciones"))
                      for i, (d, b, p) in enumerate(combos)])
     return (wide.select("_tot", F.inline(rows))
-                .withColumn("pct", fixed(F.col("posiciones") * 100 / F.col("_tot"), 4)).drop("_tot"))
+                .withColumn("pct", fixed(F.try_divide(F.col("posiciones") * 100, F.col("_tot")), 4)).drop("_tot"))
 
 
 def top_land_cells(mask: DataFrame, k: int = 15) -> DataFrame:

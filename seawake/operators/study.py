@@ -195,7 +195,7 @@ def quality_summary(dp: DataFrame) -> DataFrame:
                               sum((F.col(m) for m in ms), F.lit(0)).cast("long").alias("cantidad"))
                      for i, (s, h, ms) in enumerate(QUALITY_FINDINGS, 1)])
     return (wide.select("total", F.inline(rows))
-                .withColumn("pct", fixed(F.col("cantidad") / F.col("total") * 100, 4))
+                .withColumn("pct", fixed(F.try_divide(F.col("cantidad"), F.col("total")) * 100, 4))
                 .drop("total"))
 
 
@@ -230,7 +230,7 @@ def bronze_profile(bronze: DataFrame) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(i).alias("orden"), F.lit(k).alias("chequeo"), F.col(k).alias("n"))
                      for i, (k, _) in enumerate(checks, 1)])
     return (wide.select(F.col("total").alias("_total"), F.inline(rows))
-                .withColumn("pct", fixed(F.col("n") * 100 / F.col("_total"), 4)).drop("_total"))
+                .withColumn("pct", fixed(F.try_divide(F.col("n") * 100, F.col("_total")), 4)).drop("_total"))
 
 
 def density_grid(dp: DataFrame, grid: float = 0.5) -> DataFrame:
@@ -246,8 +246,8 @@ def daily_ships_exact_vs_approx(clean: DataFrame, rsd: float = 0.05) -> DataFram
     return (clean.groupBy("fecha")
                  .agg(F.count_distinct("MMSI").alias("buques_exact"),
                       F.approx_count_distinct("MMSI", rsd).alias("buques_approx"))
-                 .withColumn("error_pct", fixed(F.abs(F.col("buques_exact") - F.col("buques_approx"))
-                                                / F.col("buques_exact") * 100, 2)))
+                 .withColumn("error_pct", fixed(F.try_divide(F.abs(F.col("buques_exact") - F.col("buques_approx")),
+                                                             F.col("buques_exact")) * 100, 2)))
 
 
 def top_types(clean: DataFrame, k: int = 10) -> DataFrame:
@@ -298,8 +298,8 @@ def permanence(clean: DataFrame) -> DataFrame:
                  n_days.alias("dias_periodo"),
                  F.count_if(F.col("dias_transmitidos") == n_days).alias("buques_todos_los_dias"),
                  F.count_if(F.col("dias_transmitidos") == 1).alias("buques_un_dia")) \
-            .withColumn("pct_todos_los_dias", fixed(F.col("buques_todos_los_dias") / F.col("total_buques") * 100, 2)) \
-            .withColumn("pct_un_dia", fixed(F.col("buques_un_dia") / F.col("total_buques") * 100, 2))
+            .withColumn("pct_todos_los_dias", fixed(F.try_divide(F.col("buques_todos_los_dias"), F.col("total_buques")) * 100, 2)) \
+            .withColumn("pct_un_dia", fixed(F.try_divide(F.col("buques_un_dia"), F.col("total_buques")) * 100, 2))
 
 
 def with_fine_cell(clean: DataFrame) -> DataFrame:

@@ -89,3 +89,16 @@ def test_approx_distinct_ships_within_tolerance(spark):
     for r in rows:
         assert r.buques_exact > 0 and abs(r.buques_approx - r.buques_exact) / r.buques_exact <= 0.15
         assert r.error_pct == round(abs(r.buques_exact - r.buques_approx) / r.buques_exact * 100, 2)
+
+
+def test_empty_inputs_do_not_divide_by_zero(spark):
+    from conftest import SF_SMALL
+    from seawake.operators import dashboard as db, land as ld, study as st
+    from seawake.plans import catalog as C
+    empty = C.typed(spark, SF_SMALL).limit(0)
+    assert st.permanence(st.clean_positions(empty)).first().pct_un_dia is None
+    assert st.quality_summary(empty).where("pct IS NOT NULL").count() == 0
+    assert st.bronze_profile(C.bronze(spark, SF_SMALL).limit(0)).count() == 16
+    m = spark.createDataFrame([], "fecha date, metrica string, valor long")
+    t = spark.createDataFrame([], "fecha date, mmsi string")
+    assert db.day_kpis(t, t, m, "2024-01-08").first().pct_cuarentena is None

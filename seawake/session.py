@@ -94,7 +94,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="seawake-ckpt-")   # tests only: no cluster setting
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors cannot use a local one")
+        d = tempfile.mkdtemp(prefix="seawake-ckpt-")   # local runs and tests only
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -201,8 +201,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \x09-\x0D]')) AS l
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+') IF x <> ''] AS w,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^ \x09-\x0D]')] AS l
   FROM documents),
 spans AS (
   SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s

@@ -34,7 +34,7 @@ SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 20
 MAX_REPEATED_PCT = 30        # of the words
 MAX_SYMBOL_PCT = 25          # symbol characters per hundred words
-MAX_DUP_LINE_PCT = 30        # of the lines with a word
+MAX_DUP_LINE_PCT = 50        # of the lines with a word
 MIN_MEAN_WORD, MAX_MEAN_WORD = 2, 20
 MAX_SHOUT_PCT = 25           # doubled exclamation marks per hundred words
 

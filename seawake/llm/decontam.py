@@ -188,7 +188,8 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
                                                 F.floor(F.sum(size).over(by) / BLOCK_CHARS))), "benchmark")
     for s in range(slices):
         one = cut.where(F.col("slice") == s)
-        for part in range((one.agg(F.max("part")).first()[0] or -1) + 1):
+        last = one.agg(F.max("part")).first()[0]
+        for part in range(0 if last is None else last + 1):
             got = one.where(F.col("part") == part).select("item_id", "text").collect()
             if got:
                 yield Block([tuple(r) for r in got])
@@ -198,7 +199,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN
     """One row per document and benchmark item it contains: coverage, tiles, longest tile."""
     spark = prepare(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = spark.createDataFrame([], MATCH)
+    out = None
     for block in blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 
@@ -210,7 +211,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                               names=MATCH.names)
 
-        out = out.unionAll(map_columns(slim, run, MATCH))
+        found = map_columns(slim, run, MATCH)
+        out = found if out is None else out.unionAll(found)
     return out
 
 

@@ -69,14 +69,14 @@ def entropies(text: str, width: int = WINDOW) -> list[float]:
         return []
     term, counts, total, out = _terms(width), {}, 0.0, []
     for i, ch in enumerate(text):
-        c = counts.get(ch, 0)
-        total += term[c + 1] - term[c]
-        counts[ch] = c + 1
         if i >= width:
             old = text[i - width]
             c = counts[old]
             total += term[c - 1] - term[c]
             counts[old] = c - 1
+        c = counts.get(ch, 0)
+        total += term[c + 1] - term[c]
+        counts[ch] = c + 1
         if i >= width - 1:
             out.append(math.log2(width) - total / width)
     return out

@@ -33,6 +33,13 @@ def merge_metrics(candidates: DataFrame, inserted: DataFrame) -> DataFrame:
         .select(F.lit(None).cast("date").alias("fecha"), "metrica", F.col("valor").cast("long"))
 
 
+def merge_counts(spark: SparkSession, candidates: int, inserted: int) -> DataFrame:
+    """``merge_metrics`` from counts already taken while the batch was written."""
+    return spark.createDataFrame([(None, "plata_insertadas", inserted),
+                                  (None, "duplicados_contra_historico", candidates - inserted)],
+                                 "fecha date, metrica string, valor long")
+
+
 def stamp(metrics: DataFrame, batch_id: int) -> DataFrame:
     return (metrics.withColumn("batch_id", F.lit(batch_id).cast("long"))
                    .withColumn("ts_proceso", F.current_timestamp()))
@@ -94,7 +101,7 @@ class QualityGateFailed(Exception):
 
 
 def enforce_gate(verdicts: DataFrame) -> None:
-    """Raise once, after all days were evaluated, if any day failed (one small collect)."""
+    """Raise once if any day failed (one row per requested day)."""
     bad = verdicts.where(F.col("resultado") != GATE_OK).select("fecha", "resultado").collect()
     if bad:
         raise QualityGateFailed("Quality gate no superado → " + " | ".join(f"{r.fecha}: {r.resultado}" for r in bad))

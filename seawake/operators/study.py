@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from seawake.functions.geo import CELL_STEP_R8, cell_center, cell_id, haversine_km
 from seawake.functions.numeric import fixed
-from seawake.plans.joins import bounded_broadcast
-from seawake.plans.windows import lag_split
+from seawake.plans.windows import lag_by_day
 from seawake.schema import RAW_COLUMNS
 
 # Ship-type codes of the batch study (fixed values: code, description).
@@ -24,7 +23,6 @@ SHIP_TYPE_CODES = [
     (80, "Tanquero"), (81, "Tanquero"), (90, "Otro tipo"),
 ]
 UNCATALOGUED = "No catalogado"
-MAX_VISITOR_BROADCAST = 5_000_000
 
 
 def _count(pred: Column, name: str) -> Column:
@@ -123,35 +121,33 @@ def optional_profile(dp: DataFrame) -> DataFrame:
     return dp.agg(*_optional_counts())
 
 
-def duplicate_profile(dp: DataFrame) -> DataFrame:
-    """Exact duplicates, key (MMSI, time) duplicates and key groups that are not exact copies.
+def _report_groups(dp: DataFrame) -> DataFrame:
+    """One row per (MMSI, time): reports ``n``, distinct reports, and the copies of the most copied one.
 
-    Exact duplicates are counted in one pass as sum(count - 1) over groups of identical rows
-    (no separate distinct + count). Both groupings partially aggregate before shuffling.
+    Identical rows are folded first, then keys: two partially aggregated groupings of one scan.
     """
-    m = _duplicate_measures(dp)
-    return dp.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum(F.col("n") - 1).cast("long").alias("duplicados_exactos"), *m[1:])
+    identical = dp.groupBy(*RAW_COLUMNS).agg(F.count("*").alias("copies"))
+    return identical.groupBy("MMSI", "BaseDateTime").agg(
+        F.sum("copies").alias("n"), F.count("*").alias("variants"), F.max("copies").alias("most_copies"))
 
 
-def _duplicate_measures(dp: DataFrame) -> list[Column]:
-    """The duplicate measures as scalar subqueries (each its own grouping of ``dp``)."""
-    exact = dp.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    keys = dp.groupBy("MMSI", "BaseDateTime").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return [
-        exact.agg(F.sum(F.col("n") - 1)).scalar().cast("long").alias("duplicados_exactos"),
-        keys.agg(F.count(F.lit(1))).scalar().alias("grupos_llave"),
-        keys.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().cast("long").alias("filas_involucradas"),
-        key_conflicts(dp, exact).agg(F.count(F.lit(1))).scalar().alias("grupos_conflicto"),
-    ]
+_SHARED_KEY = "n > 1"                                     # several reports of one ship and time
+_CONFLICT = "n > 1 AND most_copies = 1"                   # ... none of them an exact copy of another
 
 
-def key_conflicts(dp: DataFrame, exact: DataFrame | None = None) -> DataFrame:
-    """(MMSI, time) groups with several reports that do not come from an exact copy."""
-    exact = exact if exact is not None else dp.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    dup_keys = exact.where("n > 1").select("MMSI", "BaseDateTime").distinct()
-    groups = dp.groupBy("MMSI", "BaseDateTime").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return groups.join(dup_keys, ["MMSI", "BaseDateTime"], "left_anti")
+def duplicate_profile(dp: DataFrame) -> DataFrame:
+    """Exact duplicates, keys with several reports, the rows they hold, and keys in conflict."""
+    return _report_groups(dp).agg(
+        F.sum(F.expr("n - variants")).cast("long").alias("duplicados_exactos"),
+        F.count_if(F.expr(_SHARED_KEY)).alias("grupos_llave"),
+        F.coalesce(F.sum(F.expr(f"CASE WHEN {_SHARED_KEY} THEN n END")), F.lit(0)).cast("long")
+        .alias("filas_involucradas"),
+        F.count_if(F.expr(_CONFLICT)).alias("grupos_conflicto"))
+
+
+def key_conflicts(dp: DataFrame) -> DataFrame:
+    """(MMSI, time) keys with several reports, none of them an exact copy of another."""
+    return _report_groups(dp).where(_CONFLICT).select("MMSI", "BaseDateTime", "n")
 
 
 def type_mix(dp: DataFrame) -> DataFrame:
@@ -189,8 +185,8 @@ QUALITY_FINDINGS = [
 def quality_summary(dp: DataFrame) -> DataFrame:
     """All findings in one table: (seccion, hallazgo, cantidad, pct of all rows, 4 decimals)."""
     nulls = [_count(F.col(c).isNull(), f"nulos_{c}") for c in ("MMSI", "BaseDateTime", "LAT", "LON")]
-    wide = dp.agg(F.count(F.lit(1)).alias("total"), *nulls, *_range_counts(), *_id_counts(), *_optional_counts(),
-                  *_duplicate_measures(dp))
+    counted = dp.agg(F.count("*").alias("total"), *nulls, *_range_counts(), *_id_counts(), *_optional_counts())
+    wide = counted.join(duplicate_profile(dp))            # one row each
     rows = F.array(*[F.struct(F.lit(i).alias("orden"), F.lit(s).alias("seccion"), F.lit(h).alias("hallazgo"),
                               sum((F.col(m) for m in ms), F.lit(0)).cast("long").alias("cantidad"))
                      for i, (s, h, ms) in enumerate(QUALITY_FINDINGS, 1)])
@@ -268,13 +264,12 @@ def top_types(clean: DataFrame, k: int = 10) -> DataFrame:
 def segments_period(clean: DataFrame) -> DataFrame:
     """Consecutive fixes per ship over the whole period (no day break, no jump filter).
 
-    Sub-partitioned by hour and stitched, so one id with a huge share of rows is spread over
+    Windowed per ship and day and linked across days, so one id with a huge share of rows is spread over
     many tasks; ties in time are ordered by position so the result is deterministic.
     """
-    s = lag_split(clean.select("MMSI", "BaseDateTime", "LAT", "LON", "fecha"), ["MMSI"], ["BaseDateTime"],
-                  ["BaseDateTime", "LAT", "LON"], F.date_trunc("hour", "BaseDateTime"))
-    return (s.withColumnRenamed("LAT_prev", "LAT_prev").withColumnRenamed("LON_prev", "LON_prev")
-             .withColumn("distancia_km", haversine_km("LAT_prev", "LON_prev", "LAT", "LON")))
+    fixes = clean.select("MMSI", "BaseDateTime", "LAT", "LON", "fecha")
+    linked = lag_by_day(fixes, "MMSI", ["BaseDateTime"], ["BaseDateTime", "LAT", "LON"], F.col("fecha"))
+    return linked.withColumn("distancia_km", haversine_km("LAT_prev", "LON_prev", "LAT", "LON"))
 
 
 def top_distance(clean: DataFrame, k: int = 10) -> DataFrame:
@@ -309,12 +304,10 @@ def with_fine_cell(clean: DataFrame) -> DataFrame:
 def visitor_cells(clean: DataFrame, k: int = 10) -> DataFrame:
     """Cells most visited by ships seen on a single day.
 
-    The visitor list has at most one row per ship: it is broadcast when its counted size is
-    within ``MAX_VISITOR_BROADCAST`` (so positions are not shuffled by ship id, where a hot
-    id would load one task), and shuffled otherwise (AQE then splits skewed partitions).
+    One semi-join on the ship: the optimiser broadcasts the visitor list when its bytes allow, else
+    both sides are shuffled and a hot id's rows are split.
     """
     visitors = days_per_ship(clean).where("dias_transmitidos = 1").select("MMSI")
-    visitors = bounded_broadcast(visitors, MAX_VISITOR_BROADCAST)
     return (with_fine_cell(clean).join(visitors, "MMSI", "left_semi")
             .groupBy("h3_cell").agg(F.count(F.lit(1)).alias("num_posiciones"),
                                     F.count_distinct("MMSI").alias("num_buques"))
@@ -329,64 +322,36 @@ def top_cells(clean: DataFrame, k: int = 10) -> DataFrame:
             .withColumn("lat_aprox", fixed(lat_c, 6)).withColumn("lon_aprox", fixed(lon_c, 6)))
 
 
-MAX_PORT_ARRAY = 50_000
 KM_PER_DEG_LAT = 111.195
-PORT_BAND_RINGS = [1, 4, 16, 64, 180]
 
 
-def nearest_port(points: DataFrame, ports: DataFrame, lat: str, lon: str,
-                 max_array: int = MAX_PORT_ARRAY) -> DataFrame:
-    """Nearest port of each point (k = 1), ties broken by port name and country.
+def _best_in_bands(points: DataFrame, bands: DataFrame, reach: Column) -> DataFrame:
+    """Nearest port of each (_la, _lo) among the ports at most ``reach`` latitude bands away."""
+    near = points.select("_la", "_lo", F.explode(F.sequence(
+        F.greatest(F.floor("_la") - reach, F.lit(-91).cast("long")),
+        F.least(F.floor("_la") + reach, F.lit(91).cast("long")))).alias("_band")).join(bands, "_band")
+    return near.groupBy("_la", "_lo").agg(F.min(F.struct(
+        haversine_km("_la", "_lo", "lat_puerto", "lon_puerto").alias("d"), "puerto", "pais")).alias("best"))
 
-    A port catalogue of at most ``max_array`` rows (checked) enters as one scalar-subquery
-    array, so each point scans it with native array functions and no join is needed.
-    Larger catalogues use ``nearest_port_bands``.
-    """
-    if ports.count() > max_array:
-        return nearest_port_bands(points, ports, lat, lon)
-    arr = ports.agg(F.collect_list(F.struct("puerto", "pais", "lat_puerto", "lon_puerto"))).scalar()
-    cand = F.transform(F.col("_ports"), lambda p: F.struct(
-        haversine_km(F.col(lat), F.col(lon), p["lat_puerto"], p["lon_puerto"]).alias("d"),
-        p["puerto"].alias("puerto"), p["pais"].alias("pais")))
-    best = F.array_min(cand)
-    return (points.withColumn("_ports", arr).withColumn("_best", best).drop("_ports")
-                  .withColumn("puerto_cercano", F.col("_best.puerto"))
-                  .withColumn("pais", F.col("_best.pais"))
-                  .withColumn("distancia_km", fixed(F.col("_best.d"), 2))
-                  .drop("_best"))
-
-
-def nearest_port_bands(points: DataFrame, ports: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Exact nearest port through 1° latitude bands, widening only for unsettled points.
-
-    A port outside the bands ``floor(lat) ± r`` differs by more than ``r`` degrees of
-    latitude, so it is more than ``r × 111.195`` km away: a point whose best candidate is
-    within that distance is settled. Ports are keyed by band (equi-join); each pass sees
-    only the points not yet settled.
+
+def nearest_port(points: DataFrame, ports: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Nearest port of each point, ties broken by port name and country.
+
+    Exact in two equi-joins on 1° latitude bands. The first looks one band around the point; what
+    it finds at distance d bounds the answer, because ports more than d / 111.195 degrees of latitude
+    away are farther than d. The second looks exactly that far (everywhere, where the first
+    found nothing). Points without a coordinate or an empty catalogue give nulls.
     """
-    p = points.withColumn("_pid", F.monotonically_increasing_id()).persist()
     bands = ports.withColumn("_band", F.floor("lat_puerto"))
-    todo, parts = p, []
-    for r in PORT_BAND_RINGS:
-        if todo.isEmpty():
-            break
-        cand = (todo.select("_pid", F.col(lat).alias("_la"), F.col(lon).alias("_lo"),
-                            F.explode(F.sequence(F.floor(lat) - r, F.floor(lat) + r)).alias("_band"))
-                    .join(bands, "_band")
-                    .select("_pid", F.struct(haversine_km("_la", "_lo", "lat_puerto", "lon_puerto").alias("d"),
-                                             "puerto", "pais").alias("c")))
-        best = cand.groupBy("_pid").agg(F.min("c").alias("_best"))
-        done = (best.where(F.col("_best.d") <= r * KM_PER_DEG_LAT) if r < PORT_BAND_RINGS[-1] else best).persist()
-        parts.append(done)
-        todo = todo.join(done.select("_pid"), "_pid", "left_anti").persist()
-    found = parts[0]
-    for d in parts[1:]:
-        found = found.unionByName(d)
-    return (p.join(found, "_pid", "left")
-             .withColumn("puerto_cercano", F.col("_best.puerto"))
-             .withColumn("pais", F.col("_best.pais"))
-             .withColumn("distancia_km", fixed(F.col("_best.d"), 2))
-             .drop("_best", "_pid"))
+    spots = points.select(F.col(lat).alias("_la"), F.col(lon).alias("_lo")).where(
+        "_la IS NOT NULL AND _lo IS NOT NULL").distinct()
+    first = _best_in_bands(spots, bands, F.lit(1).cast("long"))
+    reach = F.coalesce(F.ceil(F.col("best.d") / KM_PER_DEG_LAT), F.lit(182).cast("long"))
+    bounded = spots.join(first, ["_la", "_lo"], "left").select("_la", "_lo", reach.alias("_reach"))
+    found = _best_in_bands(bounded, bands, F.col("_reach"))
+    return (points.join(found, (points[lat] == found["_la"]) & (points[lon] == found["_lo"]), "left")
+                  .select(points["*"], F.col("best.puerto").alias("puerto_cercano"), F.col("best.pais").alias("pais"),
+                          fixed("best.d", 2).alias("distancia_km")))
 
 
 def top_cells_nearest_port(clean: DataFrame, ports: DataFrame, k: int = 10) -> DataFrame:

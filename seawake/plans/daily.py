@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from seawake.functions.dates import day_filter, parse_days
 from seawake.operators import contract as ct, forest as fo, gold, land as ld, ports as pt, quality as qa
-from seawake.schema import describe
+from seawake.schema import describe, metrics_schema, silver_schema
 from seawake.sources.csv import header_schema
-from seawake.sources.sinks import path_exists, replace_days
+from seawake.sources.sinks import replace_days, stored, stored_days
 from seawake.streaming import bronze as br
 from seawake.streaming import silver as ss
 
@@ -30,11 +30,14 @@ def ingest_bronze(spark: SparkSession, lake: ss.Lake, landing: str, max_files_pe
     br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger)
 
 
+BATCH_BYTES = 8 << 30      # bronze bytes one silver micro-batch takes at most
+
+
 def ingest(spark: SparkSession, lake: ss.Lake, landing: str, land_cells: DataFrame | None = None,
-           max_files_per_trigger: int | None = None) -> None:
-    """Landing CSV files → bronze → silver (both drained with ``availableNow``)."""
+           max_files_per_trigger: int | None = None, max_bytes_per_trigger: int = BATCH_BYTES) -> None:
+    """Landing CSV files → bronze → silver (both drained with ``availableNow``, silver in capped batches)."""
     ingest_bronze(spark, lake, landing, max_files_per_trigger)
-    ss.run_silver(spark, lake, land_cells, max_files_per_trigger)
+    ss.run_silver(spark, lake, land_cells, max_bytes_per_trigger=max_bytes_per_trigger)
 
 
 def build_land_mask(spark: SparkSession, lake: ss.Lake, land: DataFrame, lakes: DataFrame,
@@ -45,48 +48,60 @@ def build_land_mask(spark: SparkSession, lake: ss.Lake, land: DataFrame, lakes:
     return spark.read.parquet(lake.land)
 
 
-def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
-
-
 def gate(spark: SparkSession, lake: ss.Lake, days: list[dt.date], max_pct: float = qa.GATE_MAX_PCT,
          enforce: bool = True) -> DataFrame:
-    """Evaluate the days (a day without any input fails), log every verdict, then raise once."""
-    metrics = _read_or_empty(spark, lake.metrics, "fecha date, metrica string, valor long")
-    silver = _read_or_empty(spark, lake.silver, "fecha date")
+    """Evaluate the days once (a day without any input fails), log every verdict, then raise once on the log."""
+    metrics, silver = stored(spark, lake.metrics, metrics_schema()), ss.silver_table(spark, lake)
     verdicts = qa.quality_gate(spark, metrics, silver, days, max_pct)
-    logged = verdicts.withColumn("ts_evaluacion", F.current_timestamp())
-    logged.write.mode("append").parquet(lake.gate_log)
+    rows = verdicts.withColumn("ts_evaluacion", F.current_timestamp()).collect()      # one per requested day
+    logged = spark.createDataFrame(rows, verdicts.withColumn("ts_evaluacion", F.current_timestamp()).schema)
+    logged.coalesce(1).write.mode("append").parquet(lake.gate_log)
     if enforce:
-        qa.enforce_gate(verdicts)       # all days are logged first, then one exception
-    return verdicts
+        qa.enforce_gate(logged)
+    return logged.drop("ts_evaluacion")
+
+
+# Stored gold tables and how each is built from (silver, port cells); an empty table has the builder's schema.
+GOLD = {
+    "traffic": ("gold_trafico_celda_hora", lambda s, z: gold.traffic_cell_hour(s), ["h3_r7", "hora"]),
+    "trajectories": ("gold_trayectorias_diarias", lambda s, z: gold.daily_trajectories(s), ["mmsi"]),
+    "presence": ("gold_presencia_puertos", pt.port_presence, ["puerto", "mmsi"]),
+}
+ZONES = "h3_r7 bigint, puerto string, pais string, lat_puerto double, lon_puerto double, dist_km double"
+
+
+def gold_table(spark: SparkSession, lake: ss.Lake, name: str) -> DataFrame:
+    """A stored gold table; empty, with its full schema, while no day of it has rows."""
+    table, build, _ = GOLD[name]
+    shape = describe(build(spark.createDataFrame([], silver_schema()), spark.createDataFrame([], ZONES)), table)
+    return stored(spark, getattr(lake, name), shape.schema)
+
+
+def _silver_days(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | None) -> DataFrame:
+    """Silver rows of the days; only the folders between the first and the last are listed."""
+    first, last = (min(days), max(days)) if days else (None, None)
+    return ss.read_days(spark, lake.silver, silver_schema(), first, last).where(day_filter("fecha", days))
 
 
 def build_gold(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | None, ports: DataFrame) -> None:
-    """Traffic, trajectories, port cells and presence for the requested days."""
-    s = spark.read.parquet(lake.silver).where(day_filter("fecha", days))
-    replace_days(describe(gold.traffic_cell_hour(s), "gold_trafico_celda_hora"), lake.traffic, days,
-                 sort_cols=["h3_r7", "hora"])
-    replace_days(describe(gold.daily_trajectories(s), "gold_trayectorias_diarias"), lake.trajectories, days,
-                 sort_cols=["mmsi"])
+    """Traffic, trajectories, port cells and presence for the requested days (None: all)."""
+    silver = _silver_days(spark, lake, days)
     pt.port_cells(ports).write.mode("overwrite").parquet(lake.port_cells)
-    zones = spark.read.parquet(lake.port_cells)
-    replace_days(describe(pt.port_presence(s, zones), "gold_presencia_puertos"), lake.presence, days,
-                 sort_cols=["puerto", "mmsi"])
+    zones = spark.read.schema(ZONES).parquet(lake.port_cells)
+    for name, (table, build, order) in GOLD.items():
+        replace_days(describe(build(silver, zones), table), getattr(lake, name), days, sort_cols=order)
 
 
 def contract(spark: SparkSession, lake: ss.Lake) -> DataFrame:
-    return ct.contract_check(spark, {"gold_trafico_celda_hora": spark.read.parquet(lake.traffic),
-                                     "gold_trayectorias_diarias": spark.read.parquet(lake.trajectories),
-                                     "gold_presencia_puertos": spark.read.parquet(lake.presence)})
+    return ct.contract_check(spark, {table: gold_table(spark, lake, name) for name, (table, *_) in GOLD.items()})
 
 
 def speed_anomalies(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | None) -> fo.ForestModel:
     """Features for the days, refit on the whole feature history, score and store the days."""
-    s = spark.read.parquet(lake.silver).where(day_filter("fecha", days))
-    t = spark.read.parquet(lake.trajectories).where(day_filter("fecha", days))
-    replace_days(fo.speed_features(s, t), lake.features, days)
-    history = spark.read.parquet(lake.features)
+    trajectories = gold_table(spark, lake, "trajectories")
+    features = fo.speed_features(_silver_days(spark, lake, days), trajectories, days)
+    replace_days(features, lake.features, days)
+    history = stored(spark, lake.features, features.schema)
     model, flagged = fo.fit_and_score(history)
     model.nodes.withColumn("modelo_version", F.lit(model.run_id)).write.mode("append") \
         .partitionBy("modelo_version").parquet(lake.model)
@@ -94,25 +109,24 @@ def speed_anomalies(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | No
               "semilla": fo.SEED, "min_posiciones": fo.MIN_POSITIONS}
     fo.run_record(spark, history, flagged, model, params).write.mode("append").parquet(lake.model_runs)
     # score the days with the stored model (latest run), not the in-memory object
-    stored = fo.load_latest_model(spark, lake.model, lake.model_runs)
-    today = fo.flag(fo.score(spark.read.parquet(lake.features).where(day_filter("fecha", days)), stored),
-                    stored.threshold)
-    anomalies = fo.anomalies(today, spark.read.parquet(lake.trajectories), stored, days)
-    replace_days(anomalies, lake.anomalies, days, sort_cols=["mmsi"])
-    return stored
+    saved = fo.load_latest_model(spark, lake.model, lake.model_runs)
+    today = fo.flag(fo.score(history.where(day_filter("fecha", days)), saved), saved.threshold)
+    replace_days(fo.anomalies(today, trajectories, saved, days), lake.anomalies, days, sort_cols=["mmsi"])
+    return saved
 
 
 def next_feed_day(spark: SparkSession, lake: ss.Lake, first_day: str) -> dt.date:
-    """The day after the newest silver day, or ``first_day`` when silver is empty."""
-    if not path_exists(spark, lake.silver):
-        return dt.date.fromisoformat(first_day)
-    d = spark.read.parquet(lake.silver).agg(F.date_add(F.max("fecha"), 1)).first()[0]
-    return d or dt.date.fromisoformat(first_day)
+    """The day after the newest silver day that has rows, or ``first_day`` when silver is empty."""
+    for d in reversed(stored_days(spark, lake.silver)):                  # newest folder first
+        if not ss.read_days(spark, lake.silver, silver_schema(), d, d).isEmpty():
+            return dt.date.fromisoformat(d) + dt.timedelta(days=1)
+    return dt.date.fromisoformat(first_day)
 
 
 def run_days(spark: SparkSession, lake: ss.Lake, landing: str, day_spec: str, ports: DataFrame,
              land_cells: DataFrame | None = None, enforce_gate: bool = True,
-             geo_layers: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> dict:
+             geo_layers: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+             max_bytes_per_trigger: int = BATCH_BYTES) -> dict:
     """The whole chain for a day set ("todas" or "YYYY-MM-DD[,…]").
 
     With ``geo_layers`` (land, lakes, rivers edges) the land mask is rebuilt from bronze
@@ -122,9 +136,9 @@ def run_days(spark: SparkSession, lake: ss.Lake, landing: str, day_spec: str, po
     ingest_bronze(spark, lake, landing)
     if geo_layers is not None:
         land_cells = build_land_mask(spark, lake, *geo_layers)
-    ss.run_silver(spark, lake, land_cells)
+    ss.run_silver(spark, lake, land_cells, max_bytes_per_trigger=max_bytes_per_trigger)
     if days is None:
-        days = [r[0] for r in spark.read.parquet(lake.metrics).where(F.col("fecha").isNotNull())
+        days = [r[0] for r in stored(spark, lake.metrics, metrics_schema()).where(F.col("fecha").isNotNull())
                 .select("fecha").distinct().orderBy("fecha").collect()]       # one row per calendar day
     verdicts = gate(spark, lake, days, enforce=enforce_gate)
     build_gold(spark, lake, days, ports)

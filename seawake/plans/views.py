@@ -16,6 +16,18 @@ LAYER_VIEWS = {
 }
 
 
+def layer_table(spark: SparkSession, lake, attr: str) -> DataFrame:
+    """A stored layer; those that may hold no file yet are read by their known schema."""
+    from seawake.plans import daily
+    from seawake.schema import metrics_schema, silver_schema
+    from seawake.sources.sinks import stored
+    if attr in daily.GOLD:
+        return daily.gold_table(spark, lake, attr)
+    known = {"silver": silver_schema, "metrics": metrics_schema}
+    path = getattr(lake, attr)
+    return stored(spark, path, known[attr]()) if attr in known else spark.read.parquet(path)
+
+
 def register_layer_views(spark: SparkSession, lake) -> list[str]:
     """One temp view per stored layer that exists, plus the ship-type dimension."""
     from seawake.sources.sinks import path_exists
@@ -23,7 +35,7 @@ def register_layer_views(spark: SparkSession, lake) -> list[str]:
     for view, attr in LAYER_VIEWS.items():
         path = getattr(lake, attr)
         if path_exists(spark, path):
-            spark.read.parquet(path).createOrReplaceTempView(view)
+            layer_table(spark, lake, attr).createOrReplaceTempView(view)
             made.append(view)
     dim_type_view(spark)
     return made + ["gold_dim_tipo_buque"]

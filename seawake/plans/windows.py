@@ -6,36 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def lag_split(df: DataFrame, keys: list[str], order: list[str], cols: list[str], bucket: Column,
-              suffix: str = "_prev") -> DataFrame:
-    """``lag(c)`` over (PARTITION BY keys ORDER BY order) for each c in ``cols``.
+def lag_by_day(df: DataFrame, key: str, order: list[str], cols: list[str], day: Column,
+               suffix: str = "_prev") -> DataFrame:
+    """``lag(c)`` over (PARTITION BY key ORDER BY order) for each c in ``cols``, one task per (key, day).
 
-    A plain window puts every row of a key into one task; a ship (or a placeholder id shared
-    by many stations) with a third of the rows would make that task a third of the job. Here
-    the window runs on sub-partitions (keys, bucket), where ``bucket`` is monotone in the
-    order (an hour or a day of the timestamp), so the one full shuffle is spread over many
-    tasks. Only the first row of each sub-partition lacks its predecessor: it is taken from
-    the last row of the previous bucket. That repair touches one row per bucket: the
-    per-bucket last rows (aggregated where the window already partitioned the data), a lag
-    over the few buckets of a key, and a join of those small tables; the repaired first rows
-    are put back with a union, so the full row set is never joined.
+    A window over the whole period puts every row of a key into one task. Here it runs per
+    (key, day); only the first row of a day lacks its predecessor, which is the last row of the
+    key's previous day with rows. Those last rows (one per key and day, a partially aggregated
+    maximum) are few; they are shifted by one day within the key and joined back on the
+    partitioning the window already has, so the rows are shuffled and windowed once.
 
-    ``order`` + ``cols`` form the sort key, so ties in ``order`` are broken by the values
-    themselves and the result never depends on task order.
+    ``order`` + ``cols`` form the sort key: ties are broken by the values themselves. ``key`` and
+    ``day`` are matched null-safely, as a window matches them.
     """
     sort = list(dict.fromkeys(order + cols))
-    prev = [f"{c}{suffix}" for c in cols]
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*sort)
-    d = df.withColumn("_bkt", bucket).select(
-        "*", *[F.lag(c).over(w).alias(p) for c, p in zip(cols, prev)], F.row_number().over(w).alias("_rn"))
-    out_cols = [c for c in d.columns if c not in ("_bkt", "_rn")]
-
-    inner = d.where(F.col("_rn") > 1).select(*out_cols)
-    last = d.groupBy(*keys, "_bkt").agg(F.max(F.struct(*[F.col(c) for c in sort])).alias("_last"))
-    carry = last.select(*keys, "_bkt", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bkt")).alias("_carry"))
-    source = dict(zip(prev, cols))
-    repaired = [F.col("_carry")[source[c]].alias(c) if c in source else F.col(c) for c in out_cols]
-    first = (d.where(F.col("_rn") == 1).drop(*prev)
-              .join(carry, [*keys, "_bkt"], "left")
-              .select(*repaired))
-    return inner.unionByName(first)
+    rows = df.withColumn("_day", day)
+    last = rows.groupBy(F.col(key).alias("_k"), F.col("_day").alias("_d")).agg(
+        F.max(F.struct(*sort)).alias("_last"))
+    carry = last.select("_k", "_d", F.lag("_last").over(Window.partitionBy("_k").orderBy("_d")).alias("_carry"))
+    w = Window.partitionBy(key, "_day").orderBy(*sort)
+    inside = rows.select("*", F.row_number().over(w).alias("_rn"),
+                         *[F.lag(c).over(w).alias(f"{c}{suffix}") for c in cols])
+    joined = inside.join(carry, F.col(key).eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d")), "left")
+    previous = [F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(f"{c}{suffix}")).alias(f"{c}{suffix}")
+                for c in cols]
+    return joined.select(*df.columns, *previous)

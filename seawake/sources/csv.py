@@ -27,7 +27,7 @@ def header_schema(spark: SparkSession, path: str):
 def raw_line_counts(spark: SparkSession, glob: str) -> DataFrame:
     """Data lines per file: text lines minus the header line."""
     return (spark.read.text(glob)
-            .select(F.regexp_replace(F.col("_metadata.file_path"), "^dbfs:", "").alias("_source_file"))
+            .select(F.col("_metadata.file_path").alias("_source_file"))
             .groupBy("_source_file").agg((F.count(F.lit(1)) - 1).alias("lineas_csv")))
 
 

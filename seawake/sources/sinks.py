@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seawake.functions.dates import day_filter
 
@@ -21,48 +22,59 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly inside a folder; none when it does not exist."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def stored_days(spark: SparkSession, path: str, day_col: str = "fecha") -> list[str]:
+    """Day folders of a day-partitioned table (the values as text), from one folder listing."""
+    names = child_names(spark, path)
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day_col}="))
+
+
 def replace_days(df: DataFrame, path: str, days: list[dt.date] | None, day_col: str = "fecha",
                  sort_cols: list[str] | None = None) -> None:
-    """Overwrite exactly the listed days of a day-partitioned table; other days stay untouched.
+    """Overwrite exactly the listed days of a day-partitioned table, or all days for None.
 
-    Dynamic partition overwrite replaces the day partitions present in the output; a listed
-    day that now has no rows is removed explicitly, so a re-run never leaves stale rows.
+    Dynamic partition overwrite replaces the day partitions present in the output; a day that was to be
+    replaced and has no rows any more is removed, so a re-run never leaves stale rows. Which
+    days were written is observed during the write: the input is computed once.
     Rows are clustered by ``sort_cols`` inside each file so min/max statistics skip well.
     """
     spark = df.sparkSession
-    out = df.where(day_filter(day_col, days))
+    seen = Observation()
+    out = df.where(day_filter(day_col, days)).observe(
+        seen, F.collect_set(F.col(day_col).cast("string")).alias("days"))      # one value per calendar day
     if sort_cols:
         # rows of a day stay together, a hot day is split by AQE into advisory-size files
         out = out.hint("rebalance", day_col).sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(path))
-    if days:
-        present = {r[0] for r in out.select(day_col).distinct().collect()}   # at most len(days) rows
-        for d in days:
-            if d not in present:
-                fs, p = _fs(spark, f"{path}/{day_col}={d.isoformat()}")
-                if fs.exists(p):
-                    fs.delete(p, True)
+    written = set(seen.get["days"])
+    for d in stored_days(spark, path, day_col) if days is None else [d.isoformat() for d in days]:
+        if d not in written and not d.startswith("__HIVE"):
+            remove(spark, f"{path}/{day_col}={d}")
 
 
-MAX_BATCH_KEYS_BROADCAST = 2_000_000
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table by its known schema: empty when the folder is missing or holds no file yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
-def insert_only(batch: DataFrame, history: DataFrame | None, keys: list[str],
-                max_broadcast_keys: int = MAX_BATCH_KEYS_BROADCAST) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``history`` (MERGE … WHEN NOT MATCHED INSERT).
-
-    ``batch`` keys are unique (it is deduplicated). When they fit the checked bound, the
-    history is first reduced to the keys it shares with the batch by a semi-join against the
-    broadcast batch keys (the history is streamed, never shuffled); the anti-join then only
-    meets those few matches. Above the bound it is a plain shuffled anti-join.
-    """
+def insert_only(batch: DataFrame, history: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``history``: an insert-only merge as one anti-join."""
     if history is None:
         return batch
-    bkeys = batch.select(*keys)
-    if bkeys.count() <= max_broadcast_keys:
-        hits = history.select(*keys).join(F.broadcast(bkeys), keys, "left_semi")
-        return batch.join(hits, keys, "left_anti")
     return batch.join(history.select(*keys), keys, "left_anti")
 
 

@@ -23,6 +23,7 @@ def bronze_source(spark: SparkSession, src_dir: str, schema, max_files_per_trigg
     # nullValue is a token that never occurs: an unquoted blank field is null ("not sent"),
     # a quoted "" stays empty text, as in the raw file
     r = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+         .option("enforceSchema", False)          # another column order in a file's header fails loudly
          .option("nullValue", "\u0000").option("columnNameOfCorruptRecord", "_rescued_data"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -2,25 +2,29 @@
 
 Retry-safe without a transactional table format. Batch ``n`` writes its three outputs under
 ``batch_id=n`` partitions with dynamic partition overwrite, and checks new keys only against
-silver rows of batches ``< n`` on the days it touches. A batch that failed half-way and is
+silver rows of batches ``< n`` in the range of days it touches. A batch that failed half-way and is
 re-run by the stream reads the same input and the same earlier batches, so it rewrites the
 same partitions with the same rows and the same counts.
+
+Tables are always read by their known schema, never by looking at files: a batch that
+rejects every row leaves a partition folder without files, which is an empty table.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from seawake.functions.dates import day_filter
 from seawake.operators import quality as qa
 from seawake.operators import silver as sv
-from seawake.schema import SILVER_COLUMNS
-from seawake.sources.sinks import insert_only, path_exists
+from seawake.schema import SILVER_COLUMNS, metrics_schema, silver_schema
+from seawake.session import checkpoint_dir
+from seawake.sources.sinks import child_names, insert_only, remove, stored, stored_days
 
 KEY = ["fecha", "mmsi", "ts"]
+COMPACTED = -1                      # batch number of compacted rows: history of every batch
 
 
 class Lake:
@@ -39,6 +43,19 @@ class Lake:
         return f"{self.root}/_checkpoints/{stream}"
 
 
+def read_days(spark: SparkSession, path: str, schema, first=None, last=None) -> DataFrame:
+    """A day-partitioned table between two days (inclusive, None = open), listing only their folders."""
+    days = [d for d in stored_days(spark, path)
+            if (first is None or d >= str(first)) and (last is None or d <= str(last)) and not d.startswith("__")]
+    if not days:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/fecha={d}" for d in days])
+
+
+def silver_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    return stored(spark, lake.silver, silver_schema())
+
+
 class SilverBatch:
     """``foreachBatch`` function of the silver stream."""
 
@@ -47,27 +64,24 @@ class SilverBatch:
         self.land_cells = land_cells
         self.fail_after_silver = fail_after_silver   # test hook: fail between two writes
 
-    def history(self, spark: SparkSession, batch_id: int, days) -> DataFrame | None:
-        if not path_exists(spark, self.lake.silver):
-            return None
-        return (spark.read.parquet(self.lake.silver)
-                .where(day_filter("fecha", days) & (F.col("batch_id") < batch_id))
-                .select(*KEY))
+    def history(self, spark: SparkSession, batch_id: int, dd: DataFrame) -> DataFrame:
+        """Keys of earlier batches in the range of days of ``dd`` (two values reach the driver)."""
+        first, last = dd.agg(F.min("fecha"), F.max("fecha")).first()
+        if first is None:
+            return spark.createDataFrame([], silver_schema()).select(*KEY)
+        return (read_days(spark, self.lake.silver, silver_schema(), first, last)
+                .where(F.col("batch_id") < batch_id).select(*KEY))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         chk = sv.checked(batch_df, self.land_cells).persist(StorageLevel.MEMORY_AND_DISK)
-        # used three times (day list, new keys, duplicate counts): computed once
+        # used three times (day range, new keys, duplicate counts): computed once
         dd = sv.dedup_valid(chk).persist(StorageLevel.MEMORY_AND_DISK)
-        new = dd
         try:
-            # the days of one batch: a handful of values, used for partition pruning
-            days = [r[0] for r in dd.select("fecha").distinct().collect()]
-            new = insert_only(dd, self.history(spark, batch_id, days), KEY)
-            # kept for the write and the counts; if an executor is lost, recomputing it is safe:
-            # its history holds only batches < n, never the partitions this batch writes
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+            new = insert_only(dd, self.history(spark, batch_id, dd), KEY)
+            counted = Observation()
             (new.select(*SILVER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .observe(counted, F.count("*").alias("rows"))
                 .hint("rebalance", "fecha").sortWithinPartitions("mmsi", "ts")
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("fecha", "batch_id").parquet(self.lake.silver))
@@ -78,11 +92,12 @@ class SilverBatch:
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.lake.quarantine))
             per_day = sv.day_metrics_long(sv.day_metrics_wide(chk, dd))
-            metrics = qa.stamp(per_day.unionByName(qa.merge_metrics(dd, new)), batch_id)
-            (metrics.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id").parquet(self.lake.metrics))
+            merged = qa.merge_counts(spark, dd.count(), counted.get["rows"])
+            (qa.stamp(per_day.unionByName(merged), batch_id).coalesce(1)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id").parquet(self.lake.metrics))
         finally:
-            for df in (new, dd, chk):
+            for df in (dd, chk):
                 df.unpersist()
 
 
@@ -123,41 +138,47 @@ def touched_days(spark: SparkSession, lake: Lake, after_batch: int = -1) -> Data
     Late rows are accepted whenever their key is new, whatever their age, so the set of
     days to rebuild comes from the metrics of the new batches, not from today's date.
     """
-    m = spark.read.parquet(lake.metrics)
+    m = stored(spark, lake.metrics, metrics_schema())
     return (m.where((F.col("batch_id") > after_batch) & (F.col("metrica") == "filas_entrada")
                     & F.col("fecha").isNotNull())
              .groupBy("fecha").agg(F.sum("valor").alias("filas_entrada")))
 
 
+def committed_batch(spark: SparkSession, lake: Lake) -> int:
+    """Newest batch the silver stream has committed; -1 before the first."""
+    names = child_names(spark, f"{lake.checkpoint('silver')}/commits")
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
 def compact_days(spark: SparkSession, lake: Lake, days) -> dict:
-    """Rewrite each listed silver day from its many small batch partitions into one.
+    """Rewrite each listed silver day (None: all) from its many small batch partitions into one.
 
-    Run only while the silver stream is idle. For a day whose newest batch is k, its rows
-    (from every batch) are written as ``batch_id=k`` and the older batch folders of the day
-    are removed afterwards. Keeping k means later batches still see the rows as history. A
-    crash between the two steps leaves copies in k and in older folders; a re-run drops
-    those copies by key, so compaction converges.
+    Only batches the stream has committed take part: a batch without a commit record may be replayed, and a
+    replay rewrites its own partition. Compacted rows are stored as batch ``COMPACTED``, which no
+    batch ever overwrites and every batch sees as history. The days' compacted batch folders are removed
+    afterwards. A crash between the two steps leaves copies under both numbers; a re-run drops them by
+    key, so compaction converges. Readers that must not see those copies run after it.
     """
-    from seawake.session import checkpoint_dir
-    from seawake.sources.sinks import _fs
     checkpoint_dir(spark)
-    silver = spark.read.parquet(lake.silver).where(day_filter("fecha", days))
-    newest = {r.fecha: r.k for r in silver.groupBy("fecha").agg(F.max("batch_id").alias("k")).collect()}
-    if not newest:
-        return {}
-    k_of_day = F.create_map(*[x for d, k in newest.items() for x in (F.lit(d), F.lit(k))])
-    rows = (silver.dropDuplicates(["fecha", "mmsi", "ts"])
-                  .withColumn("batch_id", k_of_day[F.col("fecha")].cast("long"))
-                  .checkpoint(eager=True))       # cut from the folders that are about to change
+    upto = committed_batch(spark, lake)
+    wanted = stored_days(spark, lake.silver) if days is None else [d.isoformat() for d in days]
+    old = {}
+    for d in wanted:
+        names = child_names(spark, f"{lake.silver}/fecha={d}")
+        batches = [int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")]
+        old[d] = [b for b in batches if COMPACTED < b <= upto]
+    old = {d: batches for d, batches in old.items() if batches}
+    if not old:
+        return {"days": 0, "removed_batches": 0}
+    folders = [f"{lake.silver}/fecha={d}" for d in old]
+    rows = (spark.read.schema(silver_schema()).option("basePath", lake.silver).parquet(*folders)
+            .where(F.col("batch_id") <= upto).dropDuplicates(KEY)
+            .withColumn("batch_id", F.lit(COMPACTED).cast("long"))
+            .checkpoint(eager=True))       # cut from the folders that are about to change
     (rows.select(*SILVER_COLUMNS, "batch_id").hint("rebalance", "fecha").sortWithinPartitions("mmsi", "ts")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("fecha", "batch_id").parquet(lake.silver))
-    removed = 0
-    for d, k in newest.items():
-        fs, day_dir = _fs(spark, f"{lake.silver}/fecha={d.isoformat()}")
-        for st in fs.listStatus(day_dir):
-            name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < k:
-                fs.delete(st.getPath(), True)
-                removed += 1
-    return {"days": len(newest), "removed_batches": removed}
+    for d, batches in old.items():
+        for b in batches:
+            remove(spark, f"{lake.silver}/fecha={d}/batch_id={b}")
+    return {"days": len(old), "removed_batches": sum(map(len, old.values()))}

@@ -162,7 +162,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
     best = group_labels(numbered.select(F.col("__fp").alias("fp"), rank.alias("best")), "best")
     kept = best.select(F.col("best.row").alias("__row")).distinct()
-    return numbered.join(kept, "__row", "left_semi").select(*names)
+    # row numbers spread evenly: the same hash join at every size, built on the numbers, never on texts
+    return numbered.join(kept.hint("shuffle_hash"), "__row", "left_semi").select(*names)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

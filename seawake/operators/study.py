@@ -132,7 +132,8 @@ def _report_groups(dp: DataFrame) -> DataFrame:
 
 
 _SHARED_KEY = "n > 1"                                     # several reports of one ship and time
-_CONFLICT = "n > 1 AND most_copies = 1"                   # ... none of them an exact copy of another
+# ... none of them a known exact copy of another (a null id or time equals nothing, so it proves no copy)
+_CONFLICT = "n > 1 AND (most_copies = 1 OR MMSI IS NULL OR BaseDateTime IS NULL)"
 
 
 def duplicate_profile(dp: DataFrame) -> DataFrame:

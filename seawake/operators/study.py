@@ -187,7 +187,8 @@ def quality_summary(dp: DataFrame) -> DataFrame:
     """All findings in one table: (seccion, hallazgo, cantidad, pct of all rows, 4 decimals)."""
     nulls = [_count(F.col(c).isNull(), f"nulos_{c}") for c in ("MMSI", "BaseDateTime", "LAT", "LON")]
     counted = dp.agg(F.count("*").alias("total"), *nulls, *_range_counts(), *_id_counts(), *_optional_counts())
-    wide = counted.join(duplicate_profile(dp))            # one row each
+    copies = duplicate_profile(dp).select(F.struct("*")).scalar()
+    wide = counted.withColumn("_copies", copies).select("*", "_copies.*")
     rows = F.array(*[F.struct(F.lit(i).alias("orden"), F.lit(s).alias("seccion"), F.lit(h).alias("hallazgo"),
                               sum((F.col(m) for m in ms), F.lit(0)).cast("long").alias("cantidad"))
                      for i, (s, h, ms) in enumerate(QUALITY_FINDINGS, 1)])

@@ -38,10 +38,17 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_from_events(spark, sf)
 
 
-def land_cells(spark: SparkSession, sf: str) -> DataFrame | None:
-    """The silver checks registered here run without a land mask (its SQL oracle is the
-    plain chain); ``land_flag`` runs the same checks with the mask built from the data."""
-    return None
+_MASKS: dict[tuple[str, str], str] = {}      # stored land mask per application and input folder
+
+
+def land_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The land mask of the observed cells: a stored reference table, built once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MASKS:
+        path = ly.scratch_dir(spark, "land")
+        mask(spark, sf).write.parquet(path)
+        _MASKS[key] = path
+    return spark.read.parquet(_MASKS[key])
 
 
 def checked(spark: SparkSession, sf: str) -> DataFrame:
@@ -381,9 +388,10 @@ cand AS (
   SELECT t.*, p.puerto, p.pais, {O.haversine('t.lat_aprox', 't.lon_aprox', 'p.lat_puerto', 'p.lon_puerto')} AS d
   FROM top t, {fixture_ports_sql()} p)""", select=f"""
 SELECT h3_cell, num_posiciones, num_buques, lat_aprox, lon_aprox,
-       arg_min(puerto, (d, puerto, pais)) AS puerto_cercano, arg_min(pais, (d, puerto, pais)) AS pais,
-       {O.fixed('min(d)', 2)} AS distancia_km
-FROM cand GROUP BY ALL"""))
+       best.puerto AS puerto_cercano, best.pais AS pais, {O.fixed('best.d', 2)} AS distancia_km
+FROM (SELECT h3_cell, num_posiciones, num_buques, lat_aprox, lon_aprox,
+             min({{'d': d, 'puerto': puerto, 'pais': pais}}) AS best
+      FROM cand GROUP BY ALL)"""))
 def q_top_cells_nearest_port(spark, sf):
     return st.top_cells_nearest_port(clean(spark, sf), fixture_ports(spark))
 
@@ -508,26 +516,37 @@ _DIM_SQL = ("dim AS (SELECT * FROM (VALUES " + ", ".join(f"({a}, {b}, '{c}')" fo
             + ") t(codigo_min, codigo_max, categoria))")
 
 
-@register("port_ships", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, select=f"""
-SELECT p.puerto, p.mmsi, p.vessel_name, coalesce(d.categoria, 'Sin tipo') AS categoria,
-       p.primera_posicion, p.ultima_posicion, p.horas_en_puerto
-FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
-WHERE p.fecha = DATE '{DASH_DAY}'"""))
+# Oracle side of the dashboard day: its stays with the ship category, and its metrics as one row of sums.
+_STAYS = _DIM_SQL + f""",
+stays AS (
+  SELECT presence.*, coalesce((SELECT categoria FROM dim WHERE vessel_type BETWEEN codigo_min AND codigo_max),
+                              'Sin tipo') AS categoria
+  FROM presence WHERE fecha = DATE '{DASH_DAY}'),
+port_sizes AS (
+  SELECT puerto, row_number() OVER (ORDER BY count(DISTINCT mmsi) DESC, puerto) AS place FROM stays GROUP BY puerto),
+port_types AS (
+  SELECT s.puerto, first(s.pais ORDER BY s.pais NULLS LAST) AS pais, s.categoria, count(DISTINCT s.mmsi) AS buques,
+         {O.fixed('sum(s.horas_en_puerto)', 1)} AS horas_buque
+  FROM stays s SEMI JOIN (FROM port_sizes WHERE place <= 15) p ON p.puerto = s.puerto GROUP BY ALL)"""
+_DAY_SUMS = f"""
+sums AS (
+  SELECT CAST(sum(valor) FILTER (metrica = 'filas_entrada') AS BIGINT) AS entrada,
+         sum(valor) FILTER (metrica = 'cuarentena') AS rechazadas
+  FROM metrics WHERE fecha = DATE '{DASH_DAY}'),
+kpis AS (
+  SELECT (SELECT count(DISTINCT mmsi) FROM traj WHERE fecha = DATE '{DASH_DAY}') AS buques_activos,
+         (SELECT count(DISTINCT mmsi) FROM presence WHERE fecha = DATE '{DASH_DAY}') AS buques_en_puerto,
+         entrada AS posiciones, {O.fixed('rechazadas * 100 / entrada', 3)} AS pct_cuarentena
+  FROM sums)"""
+
+
+@register("port_ships", _gold(_PORTS, O.PRESENCE_CTE, _STAYS, select=(
+        "SELECT puerto, mmsi, vessel_name, categoria, primera_posicion, ultima_posicion, horas_en_puerto FROM stays")))
 def q_port_ships(spark, sf):
     return db.port_ships(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY)
 
 
-@register("port_ranking", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, f"""
-base AS (
-  SELECT p.puerto, p.pais, p.mmsi, p.horas_en_puerto, coalesce(d.categoria, 'Sin tipo') AS categoria
-  FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
-  WHERE p.fecha = DATE '{DASH_DAY}')""", """
-top15 AS (SELECT puerto, count(DISTINCT mmsi) AS buques_total FROM base GROUP BY puerto
-          ORDER BY buques_total DESC, puerto LIMIT 15)""", select=f"""
-SELECT b.puerto, min(b.pais) AS pais, b.categoria, count(DISTINCT b.mmsi) AS buques,
-       {O.fixed('sum(b.horas_en_puerto)', 1)} AS horas_buque
-FROM base b JOIN top15 t ON b.puerto = t.puerto
-GROUP BY b.puerto, b.categoria"""))
+@register("port_ranking", _gold(_PORTS, O.PRESENCE_CTE, _STAYS, select="FROM port_types"))
 def q_port_ranking(spark, sf):
     return db.port_ranking(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY)
 
@@ -599,59 +618,40 @@ def q_day_filter(spark, sf):
             .groupBy("fecha").agg(F.count(F.lit(1)).alias("posiciones"), F.count_distinct("mmsi").alias("buques")))
 
 
-@register("day_kpis", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, select=f"""
-SELECT (SELECT count(DISTINCT mmsi) FROM traj WHERE fecha = DATE '{DASH_DAY}') AS buques_activos,
-       (SELECT count(DISTINCT mmsi) FROM presence WHERE fecha = DATE '{DASH_DAY}') AS buques_en_puerto,
-       CAST(sum(CASE WHEN metrica = 'filas_entrada' THEN valor END) AS BIGINT) AS posiciones,
-       {O.fixed("sum(CASE WHEN metrica = 'cuarentena' THEN valor END) * 100 "
-                "/ sum(CASE WHEN metrica = 'filas_entrada' THEN valor END)", 3)} AS pct_cuarentena
-FROM metrics WHERE fecha = DATE '{DASH_DAY}'"""))
+@register("day_kpis", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, _DAY_SUMS, select="FROM kpis"))
 def q_day_kpis(spark, sf):
     return db.day_kpis(trajectories(spark, sf), presence(spark, sf), metrics(spark, sf), DASH_DAY)
 
 
 @register("day_map", _gold(O.TRAFFIC_CTE, select=f"""
-SELECT h3_r7, min(lat) AS lat, min(lon) AS lon, CAST(sum(posiciones) AS BIGINT) AS posiciones,
-       max(buques) AS buques_hora_pico
-FROM traffic WHERE fecha = DATE '{DASH_DAY}' GROUP BY h3_r7 HAVING sum(posiciones) >= 50"""))
+SELECT h3_r7, any_value(lat) AS lat, any_value(lon) AS lon, n AS posiciones, pico AS buques_hora_pico
+FROM (SELECT *, CAST(sum(posiciones) OVER cell AS BIGINT) AS n, max(buques) OVER cell AS pico
+      FROM traffic WHERE fecha = DATE '{DASH_DAY}' WINDOW cell AS (PARTITION BY h3_r7))
+WHERE n >= {db.MAP_MIN_POSITIONS} GROUP BY ALL"""))
 def q_day_map(spark, sf):
     return db.day_map(gold.traffic_cell_hour(silver(spark, sf)), DASH_DAY)
 
 
 @register("day_anomalies", _gold(O.SEG_CTE, O.TRAJ_CTE, _METRICS, select=f"""
-SELECT '{db.JUMP_LABEL}' AS tipo, mmsi, vessel_name, CAST(saltos_anomalos AS BIGINT) AS eventos,
-       v_impl_max_kn AS detalle
-FROM traj WHERE fecha = DATE '{DASH_DAY}' AND saltos_anomalos > 0
-UNION ALL
-SELECT CONCAT('Calidad: ', REPLACE(metrica, 'cuarentena_', '')), NULL::VARCHAR, NULL::VARCHAR, valor, NULL::DOUBLE
-FROM metrics WHERE fecha = DATE '{DASH_DAY}' AND metrica LIKE 'cuarentena\\_%' ESCAPE '\\' AND valor > 0"""))
+FROM (SELECT '{db.JUMP_LABEL}' AS tipo, mmsi, vessel_name, saltos_anomalos AS eventos, v_impl_max_kn AS detalle, fecha
+      FROM traj
+      UNION ALL BY NAME
+      SELECT 'Calidad: ' || metrica[12:] AS tipo, valor AS eventos, fecha FROM metrics
+      WHERE starts_with(metrica, 'cuarentena_'))
+SELECT tipo, mmsi, vessel_name, eventos, detalle WHERE eventos > 0 AND fecha = DATE '{DASH_DAY}'"""))
 def q_day_anomalies(spark, sf):
     return db.day_anomalies(trajectories(spark, sf), metrics(spark, sf), DASH_DAY)
 
 
-@register("kpi_widgets", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, select=f"""
-SELECT max(buques_activos) AS max_buques_activos, max(buques_en_puerto) AS max_buques_en_puerto,
-       max(posiciones) AS max_posiciones, max(pct_cuarentena) AS max_pct_cuarentena FROM (
-  SELECT (SELECT count(DISTINCT mmsi) FROM traj WHERE fecha = DATE '{DASH_DAY}') AS buques_activos,
-         (SELECT count(DISTINCT mmsi) FROM presence WHERE fecha = DATE '{DASH_DAY}') AS buques_en_puerto,
-         CAST(sum(CASE WHEN metrica = 'filas_entrada' THEN valor END) AS BIGINT) AS posiciones,
-         {O.fixed("sum(CASE WHEN metrica = 'cuarentena' THEN valor END) * 100 "
-                  "/ sum(CASE WHEN metrica = 'filas_entrada' THEN valor END)", 3)} AS pct_cuarentena
-  FROM metrics WHERE fecha = DATE '{DASH_DAY}')"""))
+@register("kpi_widgets", _gold(O.SEG_CTE, O.TRAJ_CTE, _PORTS, O.PRESENCE_CTE, _METRICS, _DAY_SUMS, select=(
+        "SELECT buques_activos AS max_buques_activos, buques_en_puerto AS max_buques_en_puerto, "
+        "posiciones AS max_posiciones, pct_cuarentena AS max_pct_cuarentena FROM kpis")))
 def q_kpi_widgets(spark, sf):
     return db.kpi_widgets(db.day_kpis(trajectories(spark, sf), presence(spark, sf), metrics(spark, sf), DASH_DAY))
 
 
-@register("port_ranking_bars", _gold(_PORTS, O.PRESENCE_CTE, _DIM_SQL, f"""
-base AS (
-  SELECT p.puerto, p.pais, p.mmsi, p.horas_en_puerto, coalesce(d.categoria, 'Sin tipo') AS categoria
-  FROM presence p LEFT JOIN dim d ON p.vessel_type BETWEEN d.codigo_min AND d.codigo_max
-  WHERE p.fecha = DATE '{DASH_DAY}')""", """
-top15 AS (SELECT puerto, count(DISTINCT mmsi) AS buques_total FROM base GROUP BY puerto
-          ORDER BY buques_total DESC, puerto LIMIT 15)""", """
-ranking AS (SELECT b.puerto, b.categoria, count(DISTINCT b.mmsi) AS buques
-            FROM base b JOIN top15 t ON b.puerto = t.puerto GROUP BY b.puerto, b.categoria)""", select=(
-        "SELECT puerto, categoria, CAST(sum(buques) AS BIGINT) AS sum_buques FROM ranking GROUP BY puerto, categoria")))
+@register("port_ranking_bars", _gold(_PORTS, O.PRESENCE_CTE, _STAYS, select=(
+        "SELECT puerto, categoria, buques AS sum_buques FROM port_types")))
 def q_port_ranking_bars(spark, sf):
     return db.ranking_bars(db.port_ranking(presence(spark, sf), pt.ship_type_dim(spark), DASH_DAY))
 
@@ -689,7 +689,8 @@ from seawake.sources.csv import header_schema, write_day_files  # noqa: E402
 from seawake.streaming import bronze as br, silver as ss  # noqa: E402
 
 FIRST_FEED_DAY = "2024-01-01"     # default start of the daily feed when silver is empty
-HISTORY_BEFORE = "2024-01-15"     # insert-only merge check: silver already holds the days before this
+# insert-only merge check: silver already holds the days before this, and of later days the even minutes
+HISTORY_BEFORE = "2024-01-15"
 
 
 def landing(spark: SparkSession, sf: str) -> str:
@@ -706,7 +707,7 @@ def streamed_lake(spark: SparkSession, sf: str, silver_too: bool = True) -> tupl
     schema = header_schema(spark, f"{src}/*/*.csv")
     br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger=10)
     if silver_too:
-        ss.run_silver(spark, lake, max_files_per_trigger=10)
+        ss.run_silver(spark, lake, land_cells(spark, sf), max_files_per_trigger=10)
     return lake, src
 
 
@@ -764,10 +765,11 @@ def q_next_feed_day(spark, sf):
 
 
 @register("insert_only_merge", _gold(select=(
-        f"SELECT fecha, count(*) AS insertadas FROM silver WHERE fecha >= DATE '{HISTORY_BEFORE}' GROUP BY fecha")))
+        f"SELECT fecha, count(*) AS insertadas FROM silver WHERE fecha >= DATE '{HISTORY_BEFORE}' "
+        "AND minute(ts) % 2 = 1 GROUP BY fecha")))
 def q_insert_only_merge(spark, sf):
     dd = deduped(spark, sf)
-    history = dd.where(F.col("fecha") < F.lit(HISTORY_BEFORE).cast("date"))
+    history = dd.where((F.col("fecha") < F.lit(HISTORY_BEFORE).cast("date")) | (F.minute("ts") % 2 == 0))
     new = sinks.insert_only(dd, history, ["fecha", "mmsi", "ts"])
     return new.groupBy("fecha").agg(F.count(F.lit(1)).alias("insertadas"))
 
@@ -992,12 +994,10 @@ def q_top_land_cells(spark, sf):
                     fixed("dist_agua_km", 6).alias("dist_agua_km"), "posiciones", "buques")
 
 
-@register("land_flag", O.with_ctes(O.land_ctes().replace("FROM raw WHERE", "FROM raw_l WHERE"),
-                                    O.silver_ctes(land_cte="land_mask"), select=(
+@register("land_flag", _gold(select=(
         "SELECT fecha, count(*) FILTER (WHERE en_tierra) AS en_tierra, count(*) FILTER (WHERE NOT valido) AS cuarentena "
-        "FROM chk GROUP BY fecha")).replace("WITH ", f"WITH raw_l AS ({O.duckdb_raw_sql()}),\n", 1))
+        "FROM chk GROUP BY fecha")))
 def q_land_flag(spark, sf):
     """Silver causes with the land mask joined in: positions on land cells are quarantined."""
-    chk = sv.checked(bronze(spark, sf), mask(spark, sf))
-    return chk.groupBy("fecha").agg(F.count_if("en_tierra").alias("en_tierra"),
-                                    F.count_if(~F.col("valido")).alias("cuarentena"))
+    return checked(spark, sf).groupBy("fecha").agg(F.count_if("en_tierra").alias("en_tierra"),
+                                                F.count_if(~F.col("valido")).alias("cuarentena"))

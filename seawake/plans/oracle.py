@@ -56,13 +56,11 @@ RAW_R = ", ".join(f"r_{c}" for c in RAW_COLS)
 # raw columns under their own names, for outputs of the chk / silver CTEs
 RAW_OUT = ", ".join(f"r_{c} AS {c}" for c in RAW_COLS)
 
-def silver_ctes(land_cte: str | None = None) -> str:
-    """CTEs raw → chk (typed, flagged, causes) → silver (valid, deduplicated)."""
-    land_join = (f"LEFT JOIN (SELECT h3 AS land_h3 FROM {land_cte} WHERE es_tierra) lm ON lm.land_h3 = c1.h3_r7"
-                 if land_cte else "")
-    en_tierra = "(lm.land_h3 IS NOT NULL)" if land_cte else "false"
+def silver_ctes() -> str:
+    """CTEs raw → land mask → chk (typed, flagged, causes) → silver (valid, deduplicated)."""
     return f"""
 raw AS ({duckdb_raw_sql()}),
+{land_ctes().strip()},
 c0 AS (
   SELECT {RAW_AS}, trim(MMSI) AS mmsi_raw, TRY_CAST(BaseDateTime AS TIMESTAMP) AS ts_,
          TRY_CAST(LAT AS DOUBLE) AS lat_, TRY_CAST(LON AS DOUBLE) AS lon_,
@@ -98,7 +96,8 @@ c1 AS (
     (lat_ BETWEEN -90 AND 90 AND lon_ BETWEEN -180 AND 180) AS coord_ok,
     _source_file, {RAW_R}
   FROM c0),
-c2 AS (SELECT c1.*, {en_tierra} AS en_tierra FROM c1 {land_join}),
+c2 AS (SELECT c1.*, lm.land_h3 IS NOT NULL AS en_tierra
+       FROM c1 LEFT JOIN (SELECT h3 AS land_h3 FROM land_mask WHERE es_tierra) lm ON lm.land_h3 = c1.h3_r7),
 chk AS (
   SELECT *, len(causas) = 0 AS valido FROM (
     SELECT *, list_filter([
@@ -325,6 +324,8 @@ def _fixture_edges() -> list[tuple]:
                 wrap = any(abs(b[0] - a[0]) > 180 for a, b in segs)
                 fix = (lambda x: x + 360 if wrap and x < 0 else x)
                 out += [(layer, f"{fid}:{pid}", fix(a[0]), a[1], fix(b[0]), b[1]) for a, b in segs]
+                if wrap:      # ... and once more for the cells west of 180°
+                    out += [(layer, f"{fid}:{pid}:west", fix(a[0]) - 360, a[1], fix(b[0]) - 360, b[1]) for a, b in segs]
     return out
 
 

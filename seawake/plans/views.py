@@ -1,12 +1,22 @@
-"""SQL surface: temp views over the stored layers, the study's three views, and the five
-dashboard datasets as parameterised Spark SQL (``spark.sql(text, args={"fecha": day})``)."""
+"""SQL surface: the stored layers, the study's three summaries and the dashboard's five datasets as temp views.
+
+Every view is the DataFrame operator of the same result; registering it lets SQL users select
+from it, and the optimiser plans their query through it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from seawake.operators.ports import SHIP_TYPE_RANGES
+from seawake.operators import dashboard as db, study as st
+from seawake.operators.ports import ship_type_dim
+from seawake.plans import daily
+from seawake.schema import metrics_schema, silver_schema
+from seawake.sources.sinks import path_exists, stored
 
+# Published view name of each stored layer.
 LAYER_VIEWS = {
     "bronze_ais_raw": "bronze", "silver_ais_posiciones": "silver", "silver_ais_cuarentena": "quarantine",
     "ops_calidad_metricas": "metrics", "ops_quality_gate_log": "gate_log", "gold_trafico_celda_hora": "traffic",
@@ -14,13 +24,11 @@ LAYER_VIEWS = {
     "gold_presencia_puertos": "presence", "ml_features_anomalia_velocidad": "features",
     "ml_anomalias_velocidad": "anomalies",
 }
+TYPES_VIEW = "gold_dim_tipo_buque"
 
 
 def layer_table(spark: SparkSession, lake, attr: str) -> DataFrame:
     """A stored layer; those that may hold no file yet are read by their known schema."""
-    from seawake.plans import daily
-    from seawake.schema import metrics_schema, silver_schema
-    from seawake.sources.sinks import stored
     if attr in daily.GOLD:
         return daily.gold_table(spark, lake, attr)
     known = {"silver": silver_schema, "metrics": metrics_schema}
@@ -30,118 +38,40 @@ def layer_table(spark: SparkSession, lake, attr: str) -> DataFrame:
 
 def register_layer_views(spark: SparkSession, lake) -> list[str]:
     """One temp view per stored layer that exists, plus the ship-type dimension."""
-    from seawake.sources.sinks import path_exists
-    made = []
-    for view, attr in LAYER_VIEWS.items():
-        path = getattr(lake, attr)
-        if path_exists(spark, path):
-            layer_table(spark, lake, attr).createOrReplaceTempView(view)
-            made.append(view)
-    dim_type_view(spark)
-    return made + ["gold_dim_tipo_buque"]
-
-
-def dim_type_view(spark: SparkSession) -> None:
-    rows = ", ".join(f"({a}, {b}, '{c}')" for a, b, c in SHIP_TYPE_RANGES)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW gold_dim_tipo_buque AS "
-              f"SELECT * FROM VALUES {rows} AS t(codigo_min, codigo_max, categoria)")
-
-
-# The study's views over the partitioned positions (view ``data_points_optimized``).
-_R = "CAST(ROUND(CAST({} AS DECIMAL(38,10)), {}) AS DOUBLE)"   # half-up rounding of a double
-
-STUDY_VIEWS = {
-    "v_daily_traffic_summary": f"""
-        SELECT p.date AS fecha,
-               count(DISTINCT p.MMSI) AS num_buques_unicos, count(1) AS total_posiciones,
-               {_R.format("avg(p.SOG)", 2)} AS velocidad_promedio_nudos,
-               min(p.LAT) AS lat_minima, max(p.LAT) AS lat_maxima, min(p.LON) AS lon_minima, max(p.LON) AS lon_maxima,
-               count(DISTINCT p.VesselType) AS num_tipos_buques, count(DISTINCT p.Status) AS num_estados_navegacion
-        FROM data_points_optimized p GROUP BY p.date""",
-    "v_traffic_by_vessel_type": f"""
-        SELECT p.date AS fecha, p.VesselType AS tipo_buque,
-               count(DISTINCT p.MMSI) AS num_buques, count(1) AS num_posiciones,
-               {_R.format("avg(p.SOG)", 2)} AS velocidad_promedio_nudos,
-               {_R.format("avg(p.Length)", 1)} AS largo_promedio_metros,
-               {_R.format("avg(p.Width)", 1)} AS manga_promedio_metros,
-               count_if(p.Status = 0) AS en_transito, count_if(p.Status = 5) AS en_pesca,
-               count_if(p.Status = 8) AS mocionando
-        FROM data_points_optimized p GROUP BY p.date, p.VesselType""",
-    "v_spatial_concentration": f"""
-        SELECT * FROM (
-          SELECT p.date AS fecha, p.lat_bucket AS zona_lat, p.lon_bucket AS zona_lon,
-                 count(DISTINCT p.MMSI) AS buques_en_zona, count(1) AS total_posiciones,
-                 {_R.format("avg(p.SOG)", 2)} AS velocidad_promedio,
-                 min(p.LAT) AS lat_exacta_min, max(p.LAT) AS lat_exacta_max,
-                 min(p.LON) AS lon_exacta_min, max(p.LON) AS lon_exacta_max
-          FROM data_points_optimized p
-          WHERE p.lat_bucket IS NOT NULL AND p.lon_bucket IS NOT NULL
-          GROUP BY p.date, p.lat_bucket, p.lon_bucket)
-        WHERE buques_en_zona > 0""",
+    made = [view for view, attr in LAYER_VIEWS.items() if path_exists(spark, getattr(lake, attr))]
+    for view in made:
+        layer_table(spark, lake, LAYER_VIEWS[view]).createOrReplaceTempView(view)
+    ship_type_dim(spark).createOrReplaceTempView(TYPES_VIEW)
+    return [*made, TYPES_VIEW]
+
+
+# The study's summaries of the partitioned positions.
+STUDY_VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "v_daily_traffic_summary": st.daily_summary,
+    "v_traffic_by_vessel_type": st.type_summary,
+    "v_spatial_concentration": st.box_summary,
 }
 
 
 def create_study_views(spark: SparkSession, optimized: DataFrame) -> None:
     optimized.createOrReplaceTempView("data_points_optimized")
-    for name, body in STUDY_VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {body}")
-
-
-# Range join on ship types as an equi-join on the exploded code list (12 fixed ranges).
-_TYPE_CODES = "(SELECT explode(sequence(codigo_min, codigo_max)) AS code, categoria FROM gold_dim_tipo_buque)"
-_PRESENCE_TYPED = f"""
-    SELECT pr.*, coalesce(tc.categoria, 'Sin tipo') AS categoria
-    FROM gold_presencia_puertos pr LEFT JOIN {_TYPE_CODES} tc ON tc.code = pr.vessel_type
-    WHERE pr.fecha = :fecha"""
-
-# The five datasets of the operations console; every one takes the day as ``:fecha``.
-DASHBOARD_SQL = {
-    # one row of four scalars; the day's metrics are summed per name once
-    "kpis_dia": f"""
-        WITH per_metric AS (
-          SELECT metrica, sum(valor) AS total FROM ops_calidad_metricas WHERE fecha = :fecha GROUP BY metrica)
-        SELECT (SELECT count(DISTINCT t.mmsi) FROM gold_trayectorias_diarias t WHERE t.fecha = :fecha) AS buques_activos,
-               (SELECT count(DISTINCT p.mmsi) FROM gold_presencia_puertos p WHERE p.fecha = :fecha) AS buques_en_puerto,
-               max(total) FILTER (WHERE metrica = 'filas_entrada') AS posiciones,
-               {_R.format("100 * max(total) FILTER (WHERE metrica = 'cuarentena') "
-                          "/ max(total) FILTER (WHERE metrica = 'filas_entrada')", 3)} AS pct_cuarentena
-        FROM per_metric""",
-    # cells of the day with enough positions, and their busiest hour
-    "mapa_trafico": """
-        SELECT c.h3_r7, min(c.lat) AS lat, min(c.lon) AS lon, sum(c.posiciones) AS posiciones,
-               max(c.buques) AS buques_hora_pico
-        FROM gold_trafico_celda_hora c WHERE c.fecha = :fecha
-        GROUP BY c.h3_r7 HAVING sum(c.posiciones) >= 50""",
-    # ships and ship-hours per (port, category) for the day's 15 ports with most ships
-    "ranking_puertos": f"""
-        WITH typed AS ({_PRESENCE_TYPED}),
-             leaders AS (
-               SELECT puerto, count(DISTINCT mmsi) AS buques_total FROM typed
-               GROUP BY puerto ORDER BY buques_total DESC, puerto LIMIT 15)
-        SELECT t.puerto, min(t.pais) AS pais, t.categoria, count(DISTINCT t.mmsi) AS buques,
-               {_R.format("sum(t.horas_en_puerto)", 1)} AS horas_buque
-        FROM typed t JOIN leaders l USING (puerto)
-        GROUP BY t.puerto, t.categoria
-        ORDER BY max(l.buques_total) DESC, t.categoria""",
-    # every stay of the day, longest first
-    "buques_en_puerto": f"""
-        SELECT puerto, mmsi, vessel_name, categoria, primera_posicion, ultima_posicion, horas_en_puerto
-        FROM ({_PRESENCE_TYPED}) ORDER BY horas_en_puerto DESC""",
-    # jump rows of the day's trajectories, then every non-zero per-cause quarantine count
-    "anomalias_dia": """
-        SELECT tipo, mmsi, vessel_name, eventos, detalle FROM (
-          SELECT 'Salto de posición (MMSI posiblemente compartido)' AS tipo, t.mmsi, t.vessel_name,
-                 t.saltos_anomalos AS eventos, t.v_impl_max_kn AS detalle
-          FROM gold_trayectorias_diarias t WHERE t.fecha = :fecha AND t.saltos_anomalos > 0
-          UNION ALL
-          SELECT 'Calidad: ' || substring(m.metrica, length('cuarentena_') + 1), CAST(NULL AS STRING),
-                 CAST(NULL AS STRING), m.valor, CAST(NULL AS DOUBLE)
-          FROM ops_calidad_metricas m
-          WHERE m.fecha = :fecha AND m.valor > 0 AND startswith(m.metrica, 'cuarentena_'))
-        ORDER BY eventos DESC""",
+    for name, summary in STUDY_VIEWS.items():
+        summary(optimized).createOrReplaceTempView(name)
+
+
+# The dashboard's datasets of one day, from the registered layer views.
+DASHBOARD: dict[str, Callable[[Callable[[str], DataFrame], str], DataFrame]] = {
+    "kpis_dia": lambda t, day: db.day_kpis(t("gold_trayectorias_diarias"), t("gold_presencia_puertos"),
+                                           t("ops_calidad_metricas"), day),
+    "mapa_trafico": lambda t, day: db.day_map(t("gold_trafico_celda_hora"), day),
+    "ranking_puertos": lambda t, day: db.port_ranking(t("gold_presencia_puertos"), t(TYPES_VIEW), day),
+    "buques_en_puerto": lambda t, day: db.port_ships(t("gold_presencia_puertos"), t(TYPES_VIEW), day),
+    "anomalias_dia": lambda t, day: db.day_anomalies(t("gold_trayectorias_diarias"), t("ops_calidad_metricas"), day),
 }
 
 
 def dashboard(spark: SparkSession, name: str, day: str) -> DataFrame:
-    """Run one dashboard dataset for a day (views must be registered)."""
-    return spark.sql(DASHBOARD_SQL[name], args={"fecha": day})
+    """One dashboard dataset for a day; also registered as a temp view of its name."""
+    out = DASHBOARD[name](spark.table, day)
+    out.createOrReplaceTempView(name)
+    return out

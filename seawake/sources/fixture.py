@@ -2,9 +2,12 @@
 
 There is no AIS data in the test set, so positions are derived from ``events`` with integer
 and decimal arithmetic only (so that the text is identical in every SQL engine). Each event
-is one report of ship ``user_id % 20``; some events are re-sent as an exact copy
-(``event_id % 59 = 0``) or as a conflicting copy with another latitude (``% 61``); other
-residues plant bad ids, bad times, bad latitudes, sentinels and impossible jumps.
+is one report of a ship: a third of the users are ships of their own (ships grow with the data),
+the others share twenty busy ships, and some events are a visitor's only report. Most ships sail a track of
+their own; some lie at anchor at one of two crowded anchorages or in one of the ports of the test catalogue.
+Some events are re-sent as an exact copy (``event_id % 59 = 0``, every second time in the next day's file)
+or as a conflicting copy with another latitude (``% 61``); other residues plant bad ids, bad times, bad
+latitudes, sentinels, impossible jumps and positions on land on either side of the antimeridian.
 
 The mapping is one SQL template rendered for Spark and for DuckDB (the oracle), which
 differ only in the string type name and the timestamp formatter.
@@ -23,26 +26,37 @@ SELECT
   CASE WHEN event_id % 83 = 0 THEN 'X' || CAST(u AS {S})
        WHEN event_id % 79 = 0 THEN CAST(2300000 + u AS {S})
        WHEN event_id % 71 = 0 THEN '990000001'
-       ELSE CAST(367000000 + u AS {S}) END AS MMSI,
+       ELSE CAST(367000000 + ship AS {S}) END AS MMSI,
   CASE WHEN event_id % 101 = 0 THEN 'bad-date' ELSE {TS_TEXT} END AS BaseDateTime,
   CASE WHEN event_id % 97 = 0 THEN '95.00000'
-       ELSE CAST(CAST((2500000 + u * 50000 + h * 2000 + mi * 30
-                       + CASE WHEN event_id % 89 = 0 THEN 500000 ELSE 0 END
+       ELSE CAST(CAST((CASE WHEN on_land THEN 1005000 + event_id % 89 * 1000
+                            WHEN berth >= 0 THEN 2005000 + berth * 50000
+                            WHEN berth = -1 THEN 2510000
+                            WHEN berth = -2 THEN 3030000
+                            ELSE 2500000 + u * 50000 + h * 2000 + mi * 30
+                                 + CASE WHEN event_id % 89 = 0 THEN 500000 ELSE 0 END END
                        + CASE WHEN copy_no = 2 THEN 100 ELSE 0 END) * 0.00001 AS DECIMAL(10,5)) AS {S}) END AS LAT,
-  CAST(CAST((0 - 8000000 - u * 30000 - h * 2500) * 0.00001 AS DECIMAL(10,5)) AS {S}) AS LON,
+  CAST(CAST((CASE WHEN on_land AND event_id % 2 = 0 THEN 17905000 + event_id % 83 * 1000
+                  WHEN on_land THEN 0 - 17905000 - event_id % 83 * 1000
+                  WHEN berth >= 0 THEN 0 - 9005000
+                  WHEN berth = -1 THEN 0 - 8012500
+                  WHEN berth = -2 THEN 0 - 8337500
+                  ELSE 0 - 8000000 - u * 30000 - h * 2500 END) * 0.00001 AS DECIMAL(10,5)) AS {S}) AS LON,
   CASE WHEN event_id % 73 = 0 THEN '102.3'
        WHEN event_id % 67 = 0 THEN '63.0'
-       WHEN event_id % 5 = 0 THEN '0.4'
+       WHEN event_id % 5 = 0 OR berth > -3 AND event_id % 4 <> 0 THEN '0.4'
        ELSE CAST(CAST((event_id % 250) * 0.1 AS DECIMAL(6,1)) AS {S}) END AS SOG,
   CASE WHEN event_id % 53 = 0 THEN '360.0'
        WHEN event_id % 997 = 0 THEN '409.5'
+       WHEN event_id % 499 = 0 THEN '365.2'
        ELSE CAST(event_id % 360 AS {S}) || '.0' END AS COG,
-  CASE WHEN event_id % 3 = 0 THEN '511' ELSE CAST(event_id % 360 AS {S}) END AS Heading,
-  CASE WHEN event_id % 11 = 0 THEN '' ELSE 'SHIP ' || CAST(u AS {S}) END AS VesselName,
+  CASE WHEN event_id % 3 = 0 THEN '511' WHEN event_id % 601 = 0 THEN '400'
+       ELSE CAST(event_id % 360 AS {S}) END AS Heading,
+  CASE WHEN event_id % 11 = 0 THEN '' ELSE 'SHIP ' || CAST(ship AS {S}) END AS VesselName,
   CASE WHEN event_id % 2 = 0 THEN NULL
        WHEN event_id % 47 = 0 THEN 'BAD1'
-       ELSE 'IMO' || CAST(9000000 + u AS {S}) END AS IMO,
-  'CS' || CAST(u AS {S}) AS CallSign,
+       ELSE 'IMO' || CAST(9000000 + ship % 900000 AS {S}) END AS IMO,
+  'CS' || CAST(ship AS {S}) AS CallSign,
   CASE WHEN event_id % 13 = 0 THEN '0' ELSE CAST(30 + u * 3 AS {S}) END AS VesselType,
   CAST(event_id % 9 AS {S}) AS Status,
   CASE WHEN event_id % 17 = 0 THEN '0' ELSE CAST(20 + u * 15 AS {S}) END AS Length,
@@ -51,18 +65,31 @@ SELECT
   CAST(u % 4 AS {S}) AS Cargo,
   CASE WHEN u % 3 = 0 THEN 'B' ELSE 'A' END AS TransceiverClass,
   CAST(NULL AS {S}) AS _rescued_data,
-  'AIS_' || CAST(CAST(ts AS DATE) AS {S}) || '.csv' AS _source_file
-FROM (SELECT event_id, user_id % 20 AS u, hour(ts) AS h, minute(ts) AS mi, ts, copy_no FROM {SRC}) ev
+  'AIS_' || CAST(file_day AS {S}) || '.csv' AS _source_file
+FROM (
+  SELECT event_id, user_id % 20 AS u, hour(ts) AS h, minute(ts) AS mi, ts, copy_no, event_id % 103 = 0 AS on_land,
+         CASE WHEN event_id % 43 = 0 THEN 1000000 + event_id % 400000000
+              WHEN user_id % 3 = 0 THEN 1000 + user_id ELSE user_id % 20 END AS ship,
+         CASE WHEN user_id % 10 = 4 THEN user_id % 12
+              WHEN user_id % 5 = 0 THEN -1
+              WHEN user_id % 5 IN (1, 4) THEN -2
+              ELSE -3 END AS berth,
+         {FILE_DAY} AS file_day
+  FROM {SRC}) ev
 """
 
 SPARK_TS_TEXT = "date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss')"
 DUCK_TS_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+# an exact copy is sent again in the next day's file every second time
+_FILE_DAY = "CASE WHEN copy_no = 1 AND event_id % 2 = 0 THEN {next} ELSE CAST(ts AS DATE) END"
 
 
 def mapping_sql(dialect: str, src: str) -> str:
     if dialect == "spark":
-        return _MAPPING.format(S="STRING", TS_TEXT=SPARK_TS_TEXT, SRC=src)
-    return _MAPPING.format(S="VARCHAR", TS_TEXT=DUCK_TS_TEXT, SRC=src)
+        return _MAPPING.format(S="STRING", TS_TEXT=SPARK_TS_TEXT, SRC=src,
+                               FILE_DAY=_FILE_DAY.format(next="date_add(CAST(ts AS DATE), 1)"))
+    return _MAPPING.format(S="VARCHAR", TS_TEXT=DUCK_TS_TEXT, SRC=src,
+                           FILE_DAY=_FILE_DAY.format(next="CAST(CAST(ts AS DATE) + 1 AS DATE)"))
 
 
 def duckdb_raw_sql() -> str:

@@ -3,8 +3,9 @@
 Coordinates are read as raw JSON text and parsed per geometry type, so Polygon,
 MultiPolygon, LineString and MultiLineString features can share one file.
 Edge table: (layer, poly, x1, y1, x2, y2) with ``poly`` = feature:part (rings of one
-polygon part share it, holes included). Polygons whose edges jump across the antimeridian
-are unwrapped by +360° on their negative longitudes.
+polygon part share it, holes included). Parts whose edges jump across the antimeridian
+are unwrapped by +360° on their negative longitudes and given a second time one turn to the west,
+so that cells on either side of ±180° meet them.
 """
 
 from __future__ import annotations
@@ -43,7 +44,11 @@ def read_edges(spark: SparkSession, path: str, layer: str) -> DataFrame:
     wraps = e.groupBy("poly").agg(F.max(F.abs(F.col("x2") - F.col("x1")) > 180).alias("wrap"))
     e = e.join(wraps, "poly")
     shift = lambda x: F.when(F.col("wrap") & (F.col(x) < 0), F.col(x) + 360).otherwise(F.col(x))
-    return e.select("layer", "poly", shift("x1").alias("x1"), "y1", shift("x2").alias("x2"), "y2")
+    east = e.select("layer", "poly", shift("x1").alias("x1"), "y1", shift("x2").alias("x2"), "y2", "wrap")
+    # cells keep longitudes in [-180, 180): their western side meets the same part one turn back
+    west = east.where("wrap").select("layer", F.concat("poly", F.lit(":west")).alias("poly"),
+                                     (F.col("x1") - 360).alias("x1"), "y1", (F.col("x2") - 360).alias("x2"), "y2")
+    return east.drop("wrap").unionByName(west)
 
 
 def write_geojson(spark: SparkSession, path: str, features: list[dict]) -> None:

@@ -19,6 +19,8 @@ TEST_PORTS = [
     ("Puerto Delta", "CU", 30.30, -83.375),
     ("Puerto Nulo", "US", None, -84.0),
     ("Puerto Lejano", "BS", 24.00, -77.00),
+    # a row of harbours on the berths of the anchored ships; one has no country
+    *[(f"Muelle {k:02d}", None if k == 4 else "MX", 20.05 + 0.5 * k, -90.05) for k in range(12)],
 ]
 
 
@@ -43,6 +45,7 @@ def fixture_ports(spark: SparkSession) -> DataFrame:
 def fixture_ports_sql() -> str:
     """The same catalogue as a DuckDB ``VALUES`` relation (already normalised)."""
     rows = ", ".join(
-        f"('{n}', '{c}', {'NULL' if la is None else f'{la}::DOUBLE'}, {lo}::DOUBLE)" for n, c, la, lo in TEST_PORTS)
+        f"('{n}', {'NULL' if c is None else repr(c)}, {'NULL' if la is None else f'{la}::DOUBLE'}, {lo}::DOUBLE)"
+        for n, c, la, lo in TEST_PORTS)
     return (f"(SELECT * FROM (VALUES {rows}) t(puerto, pais, lat_puerto, lon_puerto) "
             f"WHERE lat_puerto IS NOT NULL AND lon_puerto IS NOT NULL)")

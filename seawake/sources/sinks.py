@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,22 +45,21 @@ def replace_days(df: DataFrame, path: str, days: list[dt.date] | None, day_col:
     """Overwrite exactly the listed days of a day-partitioned table, or all days for None.
 
     Dynamic partition overwrite replaces the day partitions present in the output; a day that was to be
-    replaced and has no rows any more is removed, so a re-run never leaves stale rows. Which
-    days were written is observed during the write: the input is computed once.
+    replaced and has no rows any more is removed, so a re-run never leaves stale rows. Such a day
+    is known by its files, which the write left as they were: the input is computed once.
     Rows are clustered by ``sort_cols`` inside each file so min/max statistics skip well.
     """
     spark = df.sparkSession
-    seen = Observation()
-    out = df.where(day_filter(day_col, days)).observe(
-        seen, F.collect_set(F.col(day_col).cast("string")).alias("days"))      # one value per calendar day
+    replaced = stored_days(spark, path, day_col) if days is None else [d.isoformat() for d in days]
+    before = {d: child_names(spark, f"{path}/{day_col}={d}") for d in replaced if not d.startswith("__HIVE")}
+    out = df.where(day_filter(day_col, days))
     if sort_cols:
         # rows of a day stay together, a hot day is split by AQE into advisory-size files
         out = out.hint("rebalance", day_col).sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col).parquet(path))
-    written = set(seen.get["days"])
-    for d in stored_days(spark, path, day_col) if days is None else [d.isoformat() for d in days]:
-        if d not in written and not d.startswith("__HIVE"):
+    for d, files in before.items():
+        if files and set(child_names(spark, f"{path}/{day_col}={d}")) == set(files):
             remove(spark, f"{path}/{day_col}={d}")
 
 

@@ -13,7 +13,7 @@ rejects every row leaves a partition folder without files, which is an empty tab
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -64,13 +64,11 @@ class SilverBatch:
         self.land_cells = land_cells
         self.fail_after_silver = fail_after_silver   # test hook: fail between two writes
 
-    def history(self, spark: SparkSession, batch_id: int, dd: DataFrame) -> DataFrame:
-        """Keys of earlier batches in the range of days of ``dd`` (two values reach the driver)."""
-        first, last = dd.agg(F.min("fecha"), F.max("fecha")).first()
+    def rows_between(self, spark: SparkSession, first, last) -> DataFrame:
+        """Stored silver in a range of days; empty when the batch has no valid row."""
         if first is None:
-            return spark.createDataFrame([], silver_schema()).select(*KEY)
-        return (read_days(spark, self.lake.silver, silver_schema(), first, last)
-                .where(F.col("batch_id") < batch_id).select(*KEY))
+            return spark.createDataFrame([], silver_schema())
+        return read_days(spark, self.lake.silver, silver_schema(), first, last)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -78,10 +76,10 @@ class SilverBatch:
         # used three times (day range, new keys, duplicate counts): computed once
         dd = sv.dedup_valid(chk).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new = insert_only(dd, self.history(spark, batch_id, dd), KEY)
-            counted = Observation()
+            first, last = dd.agg(F.min("fecha"), F.max("fecha")).first()
+            history = self.rows_between(spark, first, last).where(F.col("batch_id") < batch_id)
+            new = insert_only(dd, history, KEY)
             (new.select(*SILVER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .observe(counted, F.count("*").alias("rows"))
                 .hint("rebalance", "fecha").sortWithinPartitions("mmsi", "ts")
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("fecha", "batch_id").parquet(self.lake.silver))
@@ -92,7 +90,9 @@ class SilverBatch:
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.lake.quarantine))
             per_day = sv.day_metrics_long(sv.day_metrics_wide(chk, dd))
-            merged = qa.merge_counts(spark, dd.count(), counted.get["rows"])
+            # rows inserted: what this batch's partitions now hold (counted from the file footers)
+            inserted = self.rows_between(spark, first, last).where(F.col("batch_id") == batch_id).count()
+            merged = qa.merge_counts(spark, dd.count(), inserted)
             (qa.stamp(per_day.unionByName(merged), batch_id).coalesce(1)
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.lake.metrics))

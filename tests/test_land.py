@@ -80,11 +80,13 @@ def test_water_distance_is_exact(spark, layers):
 
 def test_antimeridian_polygon(spark, layers):
     land, lakes, rivers = layers
-    cells = cells_at(spark, [(10.5, 179.5), (10.5, 0.0), (10.5, -170.0)])
-    m = {r.h3: r.es_tierra_base for r in ld.land_mask(cells, land, lakes, rivers).collect()}
-    inside = cells.where(F.col("h3") == cell_id(F.lit(10.5), F.lit(179.5))).first().h3
-    assert m[inside] is True
-    assert sum(m.values()) == 1          # the band outside the polygon is not land
+    cells = cells_at(spark, [(10.5, 179.5), (10.5, -179.5), (10.5, 0.0), (10.5, -170.0), (10.5, -178.9)])
+    m = {r.h3: r for r in ld.land_mask(cells, land, lakes, rivers).collect()}
+    for lon in (179.5, -179.5):
+        inside = cells.where(F.col("h3") == cell_id(F.lit(10.5), F.lit(lon))).first().h3
+        assert m[inside].es_tierra_base is True
+        assert 48 < m[inside].dist_agua_km < 56          # half a degree to the coast on that side
+    assert sum(r.es_tierra_base for r in m.values()) == 2          # the band outside the polygon is not land
 
 
 def test_sensitivity_table(spark, layers):

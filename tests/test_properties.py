@@ -64,16 +64,16 @@ def test_cross_stage_profile_counts_agree(spark):
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 3), st.integers(0, 23),
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3), st.integers(0, 23),
                           st.integers(0, 59), st.integers(0, 5)), min_size=1, max_size=60))
-def test_lag_split_equals_window(spark, rows):
+def test_lag_by_day_equals_window(spark, rows):
     import datetime as dt
     from pyspark.sql import Window
-    from seawake.plans.windows import lag_split
+    from seawake.plans.windows import lag_by_day
     data = [(k, dt.datetime(2024, 1, 1 + d, h, m), float(v)) for k, d, h, m, v in rows]
     df = spark.createDataFrame(data, "k string, ts timestamp, v double").withColumn("day", F.to_date("ts"))
-    got = lag_split(df, ["k", "day"], ["ts"], ["ts", "v"], F.date_trunc("hour", "ts"))
-    w = Window.partitionBy("k", "day").orderBy("ts", "v")
+    got = lag_by_day(df, "k", ["ts"], ["ts", "v"], F.col("day"))
+    w = Window.partitionBy("k").orderBy("ts", "v")
     exp = df.select("*", F.lag("ts").over(w).alias("ts_prev"), F.lag("v").over(w).alias("v_prev"))
     cols = ["k", "ts", "v", "ts_prev", "v_prev"]
     assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, exp.select(*cols).collect()),

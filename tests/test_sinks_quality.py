@@ -33,6 +33,24 @@ def test_replace_days_leaves_other_days_untouched(spark, tmp_root):
     assert out.where("d = 3").count() == 0 and out.where("d = 1").count() == 3
 
 
+def test_replacing_all_days_drops_vanished_ones_and_computes_once(spark, tmp_root):
+    path = os.path.join(tmp_root, "t")
+    df = spark.createDataFrame([(dt.date(2024, 1, d), v) for d in (1, 2, 3) for v in range(3)], "fecha date, v int")
+    sinks.replace_days(df, path, None)
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    sinks.replace_days(df.where("fecha <> DATE'2024-01-02'").mapInArrow(counted, df.schema), path, None)
+    assert sinks.stored_days(spark, path) == ["2024-01-01", "2024-01-03"]
+    assert runs.value == 6                                   # every row once
+    sinks.replace_days(df.where("false"), path, None)
+    assert sinks.stored_days(spark, path) == [] and sinks.stored(spark, path, df.schema).count() == 0
+
+
 def test_insert_only(spark):
     b = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     h = spark.createDataFrame([(2, "x")], "k int, v string")

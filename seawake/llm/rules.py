@@ -134,9 +134,9 @@ RULES = (
 BASE_RULES = ("few_words", "repeated_words")
 
 
-def lazily(text: Column) -> Callable[[str], Column]:
-    """Measures computed from the text only where a rule asks for them."""
-    return lambda name: let(words_of(text), lambda w: MEASURES[name](text, w))
+def judge(text: Column, order: tuple[Rule, ...]) -> Column:
+    """The cascade on a text: words are cut once, every other measure only where a rule asks for it."""
+    return let(words_of(text), lambda w: rejected_by(order, lambda name: MEASURES[name](text, w)))
 
 
 def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS,
@@ -152,7 +152,7 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int
     seen = []
     for r in rules:
         began = time.perf_counter()
-        rejected, rows = part.agg(F.count_if(r.rejects(lazily(F.col("t")))), F.count("*")).first()
+        rejected, rows = part.agg(F.count(judge(F.col("t"), (r,))), F.count("*")).first()
         seen.append((r.name, time.perf_counter() - began, rejected / max(rows, 1)))
     return seen
 
@@ -175,7 +175,7 @@ def rejected_by(order: tuple[Rule, ...], measure: Callable[[str], Column]) -> Co
 def keep_good(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Rows of ``docs`` that no rule rejects, all columns unchanged."""
     order = plan(docs, sample_rows=sample_rows)
-    return docs.where(rejected_by(order, lazily(F.col(text))).isNull())
+    return docs.where(judge(F.col(text), order).isNull())
 
 
 def measured(docs: DataFrame) -> DataFrame:

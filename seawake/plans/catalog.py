@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seawake.functions.numeric import fixed
@@ -193,9 +193,15 @@ def q_daily_activity(spark, sf):
     return st.daily_activity(typed(spark, sf), approx=False)
 
 
-@register("daily_ships_exact_vs_approx")   # HyperLogLog: rows-only check, tolerance tested in tests/
+APPROX_BOUND_PCT = 20.0    # four standard errors of the HyperLogLog at its default precision
+
+
+@register("daily_ships_exact_vs_approx", _study(select=(
+        "SELECT fecha, count(DISTINCT MMSI) AS buques_exact, true AS aprox_dentro_de_cota FROM clean GROUP BY fecha")))
 def q_daily_ships_exact_vs_approx(spark, sf):
-    return st.daily_ships_exact_vs_approx(clean(spark, sf))
+    """Exact daily ships, and whether the approximate count stays within its bound (its value is the engine's own)."""
+    both = st.daily_ships_exact_vs_approx(clean(spark, sf))
+    return both.select("fecha", "buques_exact", (F.col("error_pct") <= APPROX_BOUND_PCT).alias("aprox_dentro_de_cota"))
 
 
 @register("core_nulls", _study(select=f"SELECT {O.counts(O.NULL_MEASURES)} FROM typed"))
@@ -811,11 +817,16 @@ def q_write_partitioned(spark, sf):
     return spark.read.parquet(path).select(*opt.columns)
 
 
-@register("storage_footprint")   # file sizes depend on the writer: rows-only check
+@register("storage_footprint", _study(select=(
+        "SELECT date, count(*) AS filas, true AS con_archivos, true AS con_bytes FROM opt GROUP BY date")))
 def q_storage_footprint(spark, sf):
+    """Stored rows of each day, and whether the day has files and bytes (their number is the writer's own)."""
     path = ly.scratch_dir(spark, "layout")
     ly.write_layout(optimized(spark, sf), path, "day")
-    return sinks.storage_footprint(spark, path, ["date"])
+    stored = spark.read.parquet(path).groupBy("date").agg(F.count("*").alias("filas"))
+    files = sinks.storage_footprint(spark, path, ["date"]).withColumnRenamed("date", "file_date")
+    return (stored.join(files, F.col("date").eqNullSafe(F.col("file_date")))
+            .select("date", "filas", (F.col("archivos") >= 1).alias("con_archivos"), (F.col("bytes") > 0).alias("con_bytes")))
 
 
 # ----------------------------------------------------------------------------- speed anomalies
@@ -828,34 +839,44 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return fo.speed_features(s, gold.daily_trajectories(s))
 
 
-_FEAT_SQL = _gold(O.SEG_CTE, O.TRAJ_CTE, """
+_FEATURE_CTES = (O.SEG_CTE, O.TRAJ_CTE, """
 sf0 AS (SELECT *, abs(sog - lag(sog) OVER (PARTITION BY mmsi, fecha ORDER BY ts)) AS delta_sog
         FROM silver WHERE es_buque AND sog IS NOT NULL)""", """
 per AS (SELECT mmsi, fecha, count(*) AS n, avg(sog) AS sog_prom, stddev_samp(sog) AS sog_std, max(sog) AS sog_max,
                quantile_disc(sog, 0.95) AS sog_p95, max(delta_sog) AS delta_sog_max,
                avg(CASE WHEN sog <= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS frac_detenido
-        FROM sf0 GROUP BY mmsi, fecha)""", select=f"""
-SELECT per.mmsi, per.fecha, CAST(per.n AS DOUBLE) AS n_posiciones, {O.fixed('per.sog_prom', 6)} AS sog_prom,
+        FROM sf0 GROUP BY mmsi, fecha)""", f"""
+features AS (SELECT per.mmsi, per.fecha, CAST(per.n AS DOUBLE) AS n_posiciones, {O.fixed('per.sog_prom', 6)} AS sog_prom,
        {O.fixed('coalesce(per.sog_std, 0.0::DOUBLE)', 6)} AS sog_std, per.sog_max, per.sog_p95,
        coalesce(per.delta_sog_max, 0.0::DOUBLE) AS delta_sog_max, {O.fixed('per.frac_detenido', 6)} AS frac_detenido,
        coalesce(t.v_impl_max_kn, 0.0::DOUBLE) AS v_impl_max_kn, t.distancia_km, t.horas_activo, t.saltos_anomalos,
        {O.fixed('coalesce(CASE WHEN t.horas_activo > 0 THEN t.distancia_km / 1.852::DOUBLE / t.horas_activo '
                 'ELSE 0.0::DOUBLE END, 0.0::DOUBLE)', 6)} AS v_media_kn
-FROM per JOIN traj t ON per.mmsi = t.mmsi AND per.fecha = t.fecha WHERE n >= 5""")
+FROM per JOIN traj t ON per.mmsi = t.mmsi AND per.fecha = t.fecha WHERE n >= 5)""")
 
 
-@register("speed_features", _FEAT_SQL)
+@register("speed_features", _gold(*_FEATURE_CTES, select="FROM features"))
 def q_speed_features(spark, sf):
-    f = features(spark, sf)
+    return _rounded(features(spark, sf))
+
+
+def _rounded(f: DataFrame) -> DataFrame:
+    """Averages to six decimals: their last bits depend on the order of addition."""
     return f.select(*[fixed(c, 6).alias(c) if c in ("sog_prom", "sog_std", "frac_detenido", "v_media_kn") else c
                       for c in f.columns])
 
 
-@register("isolation_forest_fit")    # randomised model: rows-only here, properties in tests/
+# The forest is random, so its checks compare what is exact about it: samples, keys, inputs, counts and order.
+
+@register("isolation_forest_fit", _gold(*_FEATURE_CTES, select=f"""
+SELECT CAST(unnest(generate_series(0, {fo.N_TREES - 1})) AS INTEGER) AS tree, n AS muestras, true AS binario
+FROM (SELECT least(count(*), {fo.SAMPLE_SIZE}) AS n FROM features)"""))
 def q_isolation_forest_fit(spark, sf):
-    m = fo.fit(features(spark, sf))
-    return m.nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("nodos"),
-                                       F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("muestras"))
+    """Sample size of every tree (its leaves' sizes add up to it), and whether leaves are one more than inner nodes."""
+    leaf = F.col("feature") < 0
+    return fo.fit(features(spark, sf)).nodes.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("size"))).alias("muestras"),
+        (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("binario"))
 
 
 def _flagged(spark, sf):
@@ -864,32 +885,57 @@ def _flagged(spark, sf):
     return f, model, flagged
 
 
-@register("speed_anomalies")
-def q_speed_anomalies(spark, sf):
-    s = silver(spark, sf)
-    _, model, flagged = _flagged(spark, sf)
-    return fo.anomalies(flagged, gold.daily_trajectories(s), model, parse_days(DASH_DAY)).drop("ts_proceso")
+_INPUTS = ("n_posiciones", "sog_prom", "sog_std", "sog_max", "sog_p95", "delta_sog_max", "frac_detenido",
+           "v_impl_max_kn", "v_media_kn")
 
 
-@register("top_anomalies")
-def q_top_anomalies(spark, sf):
-    s = silver(spark, sf)
+@register("speed_anomalies", _gold(*_FEATURE_CTES, select=f"""
+SELECT f.mmsi, f.fecha, {", ".join("f." + c for c in _INPUTS)}, t.vessel_name, true AS coherente
+FROM features f LEFT JOIN traj t ON t.mmsi = f.mmsi AND t.fecha = f.fecha WHERE f.fecha = DATE '{DASH_DAY}'"""))
+def q_speed_anomalies(spark, sf):
+    """Scored ship-days of the dashboard day: inputs, name, and whether flag and score agree."""
     _, model, flagged = _flagged(spark, sf)
-    return fo.top_anomalies(fo.anomalies(flagged, gold.daily_trajectories(s), model))
+    rows = fo.anomalies(flagged, trajectories(spark, sf), model, parse_days(DASH_DAY))
+    agree = F.col("es_anomalia") == (F.col("puntaje") > 0)
+    return _rounded(rows).select("mmsi", "fecha", *_INPUTS, "vessel_name", agree.alias("coherente"))
 
 
-@register("anomaly_overlap")
+@register("top_anomalies", _gold(*_FEATURE_CTES, select=f"""
+SELECT least(10, count(*) - CAST(ceil((1 - {fo.CONTAMINATION}) * count(*)) AS BIGINT)) >= 0 AS con_limite,
+       true AS en_orden, 0::BIGINT AS ajenas FROM features"""))
+def q_top_anomalies(spark, sf):
+    """Of the top list: at most ten rows and no more than the contamination allows, in score order, all of them scored ship-days."""
+    f, model, flagged = _flagged(spark, sf)
+    top = fo.top_anomalies(fo.anomalies(flagged, trajectories(spark, sf), model))
+    listed = top.withColumn("_at", F.monotonically_increasing_id())
+    after = F.lead("puntaje").over(Window.orderBy("_at"))             # at most ten rows
+    allowed = F.floor(F.lit(fo.CONTAMINATION) * f.agg(F.count("*")).scalar())
+    strangers = top.join(f, ["mmsi", "fecha"], "left_anti").agg(F.count("*")).scalar()
+    return (listed.select((F.col("puntaje") >= F.coalesce(after, F.col("puntaje"))).alias("ok"))
+            .agg((F.count("*") <= F.least(F.lit(10), allowed)).alias("con_limite"),
+                 F.coalesce(F.bool_and("ok"), F.lit(True)).alias("en_orden"), strangers.alias("ajenas")))
+
+
+@register("anomaly_overlap", _gold(*_FEATURE_CTES, select="""
+SELECT count(*) FILTER (saltos_anomalos > 0) AS con_saltos, true AS anomalias_en_cota, true AS ambas_en_cota FROM features"""))
 def q_anomaly_overlap(spark, sf):
-    _, _, flagged = _flagged(spark, sf)
-    return fo.anomaly_overlap(flagged)
+    """Ship-days with jumps, and whether the model's counts keep their bounds."""
+    f, _, flagged = _flagged(spark, sf)
+    n = f.agg(F.count("*")).scalar()
+    return fo.anomaly_overlap(flagged).select(
+        "con_saltos", (F.col("anomalias") <= F.floor(F.lit(fo.CONTAMINATION) * n)).alias("anomalias_en_cota"),
+        (F.col("ambas") <= F.least("anomalias", "con_saltos")).alias("ambas_en_cota"))
 
 
-@register("model_runs")
+@register("model_runs", _gold(*_FEATURE_CTES, select=f"""
+SELECT {fo.N_TREES} AS n_arboles, {fo.SAMPLE_SIZE} AS muestra, {fo.CONTAMINATION}::DOUBLE AS contaminacion,
+       {fo.SEED} AS semilla, {fo.MIN_POSITIONS} AS min_posiciones, count(*) AS n_entrenamiento FROM features"""))
 def q_model_runs(spark, sf):
+    """Parameters and training size of a run's record (its fingerprint and scores are the model's own)."""
     f, model, flagged = _flagged(spark, sf)
     params = {"n_arboles": fo.N_TREES, "muestra": fo.SAMPLE_SIZE, "contaminacion": fo.CONTAMINATION,
               "semilla": fo.SEED, "min_posiciones": fo.MIN_POSITIONS}
-    return fo.run_record(spark, f, flagged, model, params).drop("ts_entrenamiento", "modelo_version")
+    return fo.run_record(spark, f, flagged, model, params).select(*params, "n_entrenamiento")
 
 
 # ----------------------------------------------------------------------------- land mask

@@ -104,7 +104,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                      (F.col("p.bit") == 0).alias("own")))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("probe_fp"))) <= max_bits
     fresh = (F.col("fp") < F.col("probe_fp")) | (~F.col("own") & (F.col("fp") != F.col("probe_fp")))
-    return (probe.join(index, "key").where(fresh & near)
+    # always shuffled: size estimates don't see the explosion, and would broadcast the probes of a small table
+    return (probe.join(index.hint("merge"), "key").where(fresh & near)
             .select(F.least("fp", "probe_fp").alias("a"), F.greatest("fp", "probe_fp").alias("b")).distinct())
 
 

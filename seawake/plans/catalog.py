@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seawake.functions.numeric import fixed
 from seawake.operators import gold, silver as sv
 from seawake.plans import oracle as O
-from seawake.schema import FLAGS, SILVER_COLUMNS
+from seawake.schema import FLAGS, RAW_COLUMNS, SILVER_COLUMNS
 from seawake.session import prepare
 from seawake.sources.fixture import bronze_from_events
 
@@ -154,7 +154,7 @@ def q_top_cell_hours(spark, sf):
 
 from seawake.operators import study as st  # noqa: E402
 from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
-from seawake.sources.ports import fixture_ports, fixture_ports_sql  # noqa: E402
+from seawake.sources.ports import PORT_CSV_DDL, TEST_PORTS, fixture_ports_sql, read_port_csv  # noqa: E402
 
 STUDY_DAY = "2024-01-05"   # the one-day questions of the study use this day of the test data
 
@@ -181,6 +181,17 @@ def q_scan_typed(spark, sf):
     return typed(spark, sf)
 
 
+_BLANK_NAME = "nullif(VesselName, '') AS VesselName"
+
+
+@register("scan_typed_csv", _study(select=f"SELECT {O.RAW17.replace('VesselName', _BLANK_NAME)}, substr(_source_file, 5, 10) AS dia FROM typed"))
+def q_scan_typed_csv(spark, sf):
+    """The typed batch scan of the day files themselves (a blank field is null)."""
+    prepare(spark)
+    rows = read_typed(spark, f"{landing(spark, sf)}/*/*.csv")
+    return rows.select(*RAW_COLUMNS, F.regexp_extract("_source_file", "dia=([0-9-]+)", 1).alias("dia"))
+
+
 @register("positions_clean", _study(select=f"SELECT {O.RAW17}, _source_file, fecha FROM clean"))
 def q_positions_clean(spark, sf):
     return clean(spark, sf)
@@ -399,7 +410,7 @@ FROM (SELECT h3_cell, num_posiciones, num_buques, lat_aprox, lon_aprox,
              min({{'d': d, 'puerto': puerto, 'pais': pais}}) AS best
       FROM cand GROUP BY ALL)"""))
 def q_top_cells_nearest_port(spark, sf):
-    return st.top_cells_nearest_port(clean(spark, sf), fixture_ports(spark))
+    return st.top_cells_nearest_port(clean(spark, sf), ports(spark))
 
 
 @register("partition_columns", _study(select="SELECT * FROM opt"))
@@ -464,8 +475,21 @@ GATE_DAYS = "2024-01-08, 2024-01-09, 2099-01-01"      # gate parameter (last day
 DAY_SET = "2024-01-03,2024-01-04"                     # day-set parameter of the daily steps
 
 
+_PORT_FILES: dict[str, str] = {}      # the port catalogue as a CSV file, written once per application
+
+
+def ports(spark: SparkSession) -> DataFrame:
+    """The port catalogue through its CSV reader."""
+    app = spark.sparkContext.applicationId
+    if app not in _PORT_FILES:
+        path = ly.scratch_dir(spark, "ports")
+        spark.createDataFrame(TEST_PORTS, PORT_CSV_DDL).coalesce(1).write.option("header", True).csv(path)
+        _PORT_FILES[app] = path
+    return read_port_csv(spark, _PORT_FILES[app])
+
+
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return pt.port_cells(fixture_ports(spark))
+    return pt.port_cells(ports(spark))
 
 
 def presence(spark: SparkSession, sf: str) -> DataFrame:
@@ -691,7 +715,7 @@ def q_contract_check(spark, sf):
 
 from seawake.plans import layout as ly  # noqa: E402
 from seawake.sources import sinks  # noqa: E402
-from seawake.sources.csv import header_schema, write_day_files  # noqa: E402
+from seawake.sources.csv import header_schema, read_typed, write_day_files  # noqa: E402
 from seawake.streaming import bronze as br, silver as ss  # noqa: E402
 
 FIRST_FEED_DAY = "2024-01-01"     # default start of the daily feed when silver is empty
@@ -755,6 +779,28 @@ def q_silver_stream(spark, sf):
     return spark.read.parquet(lake.silver).select(*_SILVER_NOFILE)
 
 
+@register("silver_replay", O.with_ctes(O.silver_ctes(), select=f"SELECT {', '.join(_SILVER_NOFILE)} FROM silver"))
+def q_silver_replay(spark, sf):
+    """Silver after compacting some days and running their files once more: the same rows as plain silver."""
+    lake, _ = streamed_lake(spark, sf)
+    ss.compact_days(spark, lake, parse_days(DAY_SET))
+    again = spark.read.parquet(lake.bronze).where(F.expr(_DIA) < "2024-01-06")
+    ss.SilverBatch(lake, land_cells(spark, sf))(again, 0)
+    return ss.silver_table(spark, lake).select(*_SILVER_NOFILE)
+
+
+@register("replace_all_days", _gold(O.SEG_CTE, O.TRAJ_CTE, select=(
+        f"SELECT * FROM traj WHERE fecha <> '{parse_days(DAY_SET)[0]}'")))
+def q_replace_all_days(spark, sf):
+    """All days written, then all replaced by a result that lacks one: the vanished day is gone."""
+    path = ly.scratch_dir(spark, "trajectories")
+    t = trajectories(spark, sf)
+    sinks.replace_days(t, path, None, sort_cols=["mmsi"])
+    gone = F.col("fecha") == F.lit(str(parse_days(DAY_SET)[0])).cast("date")
+    sinks.replace_days(t.where(~gone), path, None, sort_cols=["mmsi"])
+    return spark.read.parquet(path).select(*t.columns)
+
+
 @register("touched_days", _gold(_METRICS, select=(
         "SELECT fecha, CAST(sum(valor) AS BIGINT) AS filas_entrada FROM metrics "
         "WHERE metrica = 'filas_entrada' AND fecha IS NOT NULL GROUP BY fecha")))

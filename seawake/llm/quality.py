@@ -12,7 +12,8 @@ Scoring passes once over all whole texts, shuffles nothing and holds ``BLOCK_CHU
 time, however long a text is.
 
 Edge cases: null and empty texts are one chunk of padding; without labelled rows of both classes
-every score is the share of good labels (zero without any); null ids and repeated rows are scored as rows.
+every score is the share of good labels (zero without any); repeated rows are scored as rows, and so are null
+ids (their ``held_out`` is null: they belong to no fold).
 """
 
 from __future__ import annotations

@@ -25,8 +25,8 @@ brought together for training. Scoring passes once over all whole texts and shuf
 task keeps the units it has already judged (at most ``MEMORY_UNITS``).
 
 Edge cases: null and empty texts have no units and get the score of an empty sentence; without
-labelled rows of both classes every score is the share of toxic labels (zero without any); null ids and
-repeated rows are scored as rows.
+labelled rows of both classes every score is the share of toxic labels (zero without any); repeated rows
+are scored as rows, and so are null ids (their ``held_out`` is null: they belong to no fold).
 """
 
 from __future__ import annotations
@@ -374,9 +374,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: dict[int
                   max_chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
     """A bounded random sample of labelled rows outside the held-out fold: (text, label).
 
-    At most ``most[c]`` rows of class ``c``, in an order fixed by a hash of the id; only texts of
-    at most ``max_chars`` characters are used. Unlabelled and doubly labelled ids are left out of nothing
-    else: all documents are scored.
+    At most ``most[c]`` ids of class ``c``, the first by a hash of the id, and only texts of at most
+    ``max_chars`` characters, are used. An id with both labels counts for both. Scoring covers all rows.
     """
     picked = None
     for c, n in most.items():

@@ -96,6 +96,7 @@ def main() -> None:
         path = paths[layout] = ly.scratch_dir(spark, f"bench-{layout}")
         ly.write_layout(opt, path, layout)
         queries[f"box_query_{layout}"] = timed(lambda p=path, lo=layout: ly.box_query(spark, p, lo).collect())
+        extra[f"box_files_{layout}"], extra[f"box_bytes_{layout}"] = ly.box_files(spark, path, layout)
     extra["box_speedup_csv_to_day_box"] = round(queries["box_query_csv"] / queries["box_query_day_box"], 2)
     # stored bytes: raw CSV day files against the day + box Parquet layout (Snappy)
     csv_bytes = sinks.total_bytes(spark.read.text(f"{landing}/*/*.csv"))

@@ -66,15 +66,25 @@ def _partition_paths(spark: SparkSession, path: str, layout: str, day: str, box:
     return [str(f.getPath().toString()) for f in (found or [])]
 
 
+def box_input(spark: SparkSession, path: str, layout: str, day: str = BOX_DAY, box: dict = BOX) -> DataFrame:
+    """The stored rows whose folders the box query opens."""
+    if layout == "flat":
+        return spark.read.parquet(path)
+    paths = _partition_paths(spark, path, layout, day, box)
+    reader = spark.read.option("basePath", path)
+    return reader.parquet(*paths) if paths else reader.parquet(path).where(F.lit(False))
+
+
 def box_query(spark: SparkSession, path: str, layout: str, day: str = BOX_DAY, box: dict = BOX) -> DataFrame:
     """Distinct ships and mean speed in ``box`` on ``day``, written for each layout's pruning."""
-    if layout == "flat":
-        df = spark.read.parquet(path)
-    else:
-        paths = _partition_paths(spark, path, layout, day, box)
-        reader = spark.read.option("basePath", path)
-        df = reader.parquet(*paths) if paths else reader.parquet(path).where(F.lit(False))
-    return box_query_frame(df, layout, day, box)
+    return box_query_frame(box_input(spark, path, layout, day, box), layout, day, box)
+
+
+def box_files(spark: SparkSession, path: str, layout: str) -> tuple[int, int]:
+    """Files and bytes the box query opens in a layout."""
+    files = box_input(spark, path, layout).select(F.col("_metadata.file_path").alias("f"),
+                                                  F.col("_metadata.file_size").alias("b")).distinct()
+    return tuple(files.agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first())
 
 
 def box_query_frame(df: DataFrame, layout: str, day: str = BOX_DAY, box: dict = BOX) -> DataFrame:

@@ -152,8 +152,8 @@ def test_pseudo_likelihood_counts_equal_brute_force(spark, docs):
             want[n] += 1
     assert (counts == want).all()
     classes = pseudolm.classes_of(counts)
-    contexts = pseudolm._counted(docs, lambda t: pseudolm.triples(classes[pseudolm.token_numbers(t)]),
-                                 pseudolm.SIDES ** 2 * pseudolm.CLASSES)
+    contexts = pseudolm._counted(docs, lambda t: pseudolm.windows(classes[pseudolm.token_numbers(t)]),
+                                 pseudolm.CONTEXTS * pseudolm.CLASSES)
     assert contexts.sum() == counts.sum()
 
 
@@ -164,8 +164,8 @@ def test_pseudo_likelihood_is_normalised_and_learns():
     numbers = [pseudolm.token_numbers(t) for t in texts]
     counts = np.bincount(np.concatenate(numbers), minlength=pseudolm.BUCKETS)
     classes = pseudolm.classes_of(counts)
-    table_ = np.bincount(np.concatenate([pseudolm.triples(classes[n]) for n in numbers]),
-                         minlength=pseudolm.SIDES ** 2 * pseudolm.CLASSES)
+    table_ = np.bincount(np.concatenate([pseudolm.windows(classes[n]) for n in numbers]),
+                         minlength=pseudolm.CONTEXTS * pseudolm.CLASSES)
     context = pseudolm.train(table_)
     token = pseudolm.within_class(counts, classes)
     assert np.allclose(np.exp(context.reshape(-1, pseudolm.CLASSES)).sum(axis=1), 1, atol=1e-4)
@@ -176,8 +176,11 @@ def test_pseudo_likelihood_is_normalised_and_learns():
     assert n == 8 and known > mixed
     words = pseudolm.token_numbers("alpha beta gamma")
     c = classes[words]
-    padded = [pseudolm.EDGE, *c, pseudolm.EDGE]
-    direct = sum(context[(padded[i] * pseudolm.SIDES + padded[i + 2]) * pseudolm.CLASSES + c[i]] + token[w]
+    edge = pseudolm.EDGE
+    padded = [edge, edge, *c, edge, edge]
+    table4 = context.reshape(*pseudolm.WINDOW, pseudolm.CLASSES)
+    group = [x // pseudolm.PER_GROUP for x in padded]
+    direct = sum(table4[group[i], padded[i + 1], padded[i + 3], group[i + 4], c[i]] + token[w]
                  for i, w in enumerate(words))
     assert abs(model.score("alpha beta gamma")[1] - direct) < 1e-4
     assert model.score("") == model.score(" \n") == (0, 0.0)

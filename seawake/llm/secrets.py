@@ -3,15 +3,15 @@
 Patterns (leftmost, non-overlapping per kind): ``assign`` (a keyword, a sign, a value), ``access``
 (access-key ids) and ``hex`` (long hexadecimal runs); matches that are too short are dropped.
 
-Entropy: candidates are maximal runs of 20 or more characters of the secret alphabet. A window of ``WINDOW``
-characters slides over each candidate; the counts of its characters, and with them the sum of
-``c·log2 c``, change by one character out and one in, so a step costs the same whatever the
-window. Per character class (hexadecimal, alphanumeric, base-64) a window counts as random when
-its Shannon entropy reaches that class's limit and the class's composition test holds; overlapping
-random windows join into one span of kind ``entropy_<class>``. The class of a candidate is the
-narrowest that holds all its characters. Spans on the allow-list (identifiers in UUID form, file paths and
-domain names, documented placeholder keys, alphabet or digit sequences) are suppressed. Base spans
-always stay; an entropy span inside a base span is not repeated.
+Entropy: candidates are maximal runs of the secret alphabet; ``=`` belongs to a run only as padding at its end.
+Runs on the allow-list are left out. A window of ``WINDOW`` characters slides over each other one; the counts of its
+characters, and with them the sum of ``c·log2 c``, change by one character out and one in, so a step costs the same
+whatever the window. A window's class is the narrowest (hexadecimal, alphanumeric, base-64) that holds all its characters,
+whatever the rest of the run holds. It counts as random when its entropy reaches the limit of its own alphabet and it does not
+read like words: at most half of its neighbouring letters and digits are pairs common in words (a quarter of random letter pairs
+is), or fewer than ``FEW_PAIRS`` of them; hexadecimal windows need a digit only. Overlapping random windows join; the span is widened to the next separator
+(``-``, ``_``, ``/``) on both sides, without end parts that are words, and has the kind ``entropy_<class>`` of its characters.
+Base spans always stay; an entropy span inside a base span is not repeated.
 
 All offsets are code points, ends exclusive. Edge cases: null text is the empty text and has no
 spans; repeated rows are reported each; the whole text is scanned however long.
@@ -38,15 +38,29 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 BASE_KINDS = ("assign", "access", "hex")
 
 WINDOW = 20
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-# class: (alphabet, entropy limit in bits per character); narrowest class first
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# class: its alphabet; narrowest class first
 CLASSES = {
-    "hex": (re.compile(r"[0-9A-Fa-f]+"), 3.0),
-    "alnum": (re.compile(r"[A-Za-z0-9]+"), 3.6),
-    "base64": (re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
+    "hex": re.compile(r"[0-9A-Fa-f]+"),
+    "alnum": re.compile(r"[A-Za-z0-9]+"),
+    "base64": re.compile(r"[A-Za-z0-9+/_=-]+"),
 }
 KINDS = (*BASE_KINDS, *(f"entropy_{c}" for c in CLASSES))
-MIN_DIGITS = 3               # in a random window of the alphanumeric and base-64 classes
+# Entropy limits in bits per character: hexadecimal, letters of one case with or without digits, all else.
+# Fewer than one in a hundred random windows of each alphabet lie below.
+HEX_LIMIT, ONE_CASE_LIMIT, MIXED_LIMIT = 2.5, 3.05, 3.5
+
+# Letters that often follow a letter in English, German, French and Spanish words.
+_FOLLOWERS = {
+    "a": "bcdilmnprstuv", "b": "aeilor", "c": "aehikot", "d": "aeio", "e": "acdelmnprstuvx", "f": "aefior", "g": "aehoru",
+    "h": "aeiot", "i": "acdelmnorstv", "j": "eou", "k": "ein", "l": "aeilostuy", "m": "aeiop", "n": "acdegiost",
+    "o": "cdflmnprstuw", "p": "aeilopr", "q": "u", "r": "adeimost", "s": "acehiopstu", "t": "aehiorsu", "u": "celnprst",
+    "v": "aeio", "w": "aehio", "x": "pt", "y": "os", "z": "eu"}
+COMMON = frozenset(x + y for a, after in _FOLLOWERS.items() for b in after
+                   for x, y in ((a, b), (a.upper(), b), (a.upper(), b.upper())))
+SEPARATORS = "/_-"
+PART = re.compile(r"[A-Za-z]*[/_-]")                   # letters up to a separator
+FEW_PAIRS = 3                # fewer common pairs than these never make words
 
 ALLOW = (
     re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),     # UUID
@@ -87,6 +101,50 @@ def allowed(text: str) -> bool:
     return any(p.fullmatch(text) for p in ALLOW) or any(low[:12] in s for s in _SEQUENCES)
 
 
+def _class(text: str) -> str:
+    return next(c for c, alphabet in CLASSES.items() if alphabet.fullmatch(text))
+
+
+def _limit(text: str) -> float:
+    """Entropy limit of a window, by the alphabet its characters come from."""
+    if CLASSES["hex"].fullmatch(text):
+        return HEX_LIMIT
+    return ONE_CASE_LIMIT if text.isalnum() and text in (text.lower(), text.upper()) else MIXED_LIMIT
+
+
+def wordy(text: str) -> bool:
+    """Whether most neighbouring characters, one of them a letter and the other no sign, are pairs common in words."""
+    pairs = [p for i in range(len(text) - 1) if (p := text[i:i + 2]).isalnum() and not p.isdigit()]
+    common = sum(p in COMMON for p in pairs)
+    return common >= FEW_PAIRS and 2 * common > len(pairs)
+
+
+def random_window(text: str, bits: float) -> bool:
+    if bits < _limit(text):
+        return False
+    return not wordy(text) or _class(text) == "hex" and not text.isalpha()
+
+
+def _widened(run: str, a: int, b: int) -> tuple[int, int]:
+    """A span widened to the separators around it, without the end parts that are words."""
+    while a and run[a - 1] not in SEPARATORS:
+        a -= 1
+    while b < len(run) and run[b] not in SEPARATORS:
+        b += 1
+    while (m := PART.match(run, a, b)) and b - m.end() >= WINDOW and (len(m.group()) == 1 or wordy(m.group())):
+        a = m.end()
+    while True:
+        end = b
+        while end > a and run[end - 1] in SEPARATORS:
+            end -= 1
+        at = end
+        while at > a and run[at - 1].isalpha():
+            at -= 1
+        if at - a <= WINDOW or run[at - 1] not in SEPARATORS or at < end and not wordy(run[at:end]):
+            return a, b
+        b = at - 1
+
+
 def base_spans(text: str) -> list[Span]:
     spans = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
     spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
@@ -97,26 +155,20 @@ def base_spans(text: str) -> list[Span]:
 def entropy_spans(text: str) -> list[Span]:
     found = []
     for m in CANDIDATE.finditer(text):
-        run = m.group()
-        name = next(c for c, (alphabet, _) in CLASSES.items() if alphabet.fullmatch(run))
-        if name != "hex" and sum(map(str.isdigit, run)) < MIN_DIGITS or allowed(run):
+        if m.end() - m.start() < WINDOW or allowed(m.group()):
             continue
-        limit = CLASSES[name][1]
-        digits = sum(map(str.isdigit, run[:WINDOW]))
-        start = end = -1
-        spans = []
-        for i, bits in enumerate(entropies(run)):
-            if i:
-                digits += run[i + WINDOW - 1].isdigit() - run[i - 1].isdigit()
-            if bits >= limit and digits >= (1 if name == "hex" else MIN_DIGITS):
-                if i > end:
-                    if start >= 0:
-                        spans.append((start, end))
-                    start = i
-                end = i + WINDOW
-        if start >= 0:
-            spans.append((start, end))
-        found += [(m.start() + a, m.start() + b, f"entropy_{name}") for a, b in spans if not allowed(run[a:b])]
+        for at, run in [(m.start(), m.group())]:
+            spans: list[list[int]] = []
+            for i, bits in enumerate(entropies(run)):
+                if bits >= HEX_LIMIT and random_window(run[i:i + WINDOW], bits):
+                    a, b = (i, i + WINDOW) if spans and i < spans[-1][1] else _widened(run, i, i + WINDOW)
+                    if spans and a <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], b)
+                    else:
+                        spans.append([a, b])
+            for a, b in spans:
+                a, b = _widened(run, a, b)
+                found.append((at + a, at + b, f"entropy_{_class(run[a:b])}"))
     return found
 
 

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from seawake.llm import secrets
@@ -82,3 +83,37 @@ def test_masking_leaves_no_base_span_and_keeps_clean_rows(spark, docs, no_docs):
     before = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
     assert sorted(((r.doc_id, r.text) for r in secrets.mask_secrets(docs).collect()), key=str) == before
     assert secrets.mask_secrets(no_docs).count() == secrets.findings(no_docs).count() == 0
+
+
+ALPHABETS = {
+    "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "lower": string.ascii_lowercase, "upper": string.ascii_uppercase,
+    "letters": string.ascii_letters, "base36": string.ascii_lowercase + string.digits,
+    "base32": string.ascii_uppercase + "234567", "alnum": string.ascii_letters + string.digits,
+    "base64": string.ascii_letters + string.digits + "+/", "base64url": string.ascii_letters + string.digits + "-_"}
+
+
+def lost(alphabet, length, around, n=400):
+    """Share of random keys that no span touches."""
+    rng = random.Random(f"{alphabet}{length}")
+    before, after = around
+    out = 0
+    for _ in range(n):
+        key = "".join(rng.choice(alphabet) for _ in range(length))
+        spans = secrets.scan(before + key + after)
+        out += not any(a < len(before) + length and b > len(before) for a, b, _ in spans)
+    return out / n
+
+
+def test_random_keys_of_every_alphabet_and_length_are_found():
+    for name, alphabet in ALPHABETS.items():
+        for length, most in ((20, 0.04), (24, 0.02), (32, 0.01), (40, 0.005)):
+            for around in (("key ", " x"), ("session=", "")):
+                assert lost(alphabet, length, around) <= most, (name, length, around)
+
+
+def test_words_paths_and_identifiers_are_not_random():
+    for t in ("getElementByIdFromDocumentFragment", "MAX_CONNECTION_RETRY_TIMEOUT_SECONDS", "state-of-the-art-natural-language",
+              "Donaudampfschifffahrtsgesellschaftskapitaen", "com/google/common/collect/ImmutableList",
+              "anticonstitutionnellement-et-toujours", "2023/05/12/how-to-write-a-good-title", "=" * 40, "-" * 40,
+              "2023-01-12_13-45-22_backup_of_database", "12345678901234567890123", "abcdefghijklmnopqrstuvwxyz0123456789"):
+        assert secrets.entropy_spans(t) == [], t

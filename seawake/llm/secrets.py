@@ -4,7 +4,8 @@ Patterns (leftmost, non-overlapping per kind): ``assign`` (a keyword, a sign, a
 (access-key ids) and ``hex`` (long hexadecimal runs); matches that are too short are dropped.
 
 Entropy: candidates are maximal runs of the secret alphabet; ``=`` belongs to a run only as padding at its end.
-Runs on the allow-list are left out. A window of ``WINDOW`` characters slides over each other one; the counts of its
+Allow-listed parts of a run (UUIDs, placeholder words, alphabet or digit sequences) are cut out, and what lies
+before and after them is searched on its own. A window of ``WINDOW`` characters slides over each piece; the counts of its
 characters, and with them the sum of ``c·log2 c``, change by one character out and one in, so a step costs the same
 whatever the window. A window's class is the narrowest (hexadecimal, alphanumeric, base-64) that holds all its characters,
 whatever the rest of the run holds. It counts as random when its entropy reaches the limit of its own alphabet and it does not
@@ -62,13 +63,22 @@ SEPARATORS = "/_-"
 PART = re.compile(r"[A-Za-z]*[/_-]")                   # letters up to a separator
 FEW_PAIRS = 3                # fewer common pairs than these never make words
 
-ALLOW = (
-    re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),     # UUID
-    re.compile(r"/?(?:[a-z0-9_-]+/){2,}[a-z0-9_-]*"),                          # path
-    re.compile(r"(?i).*(?:example|placeholder|changeme|xxxxxx|000000).*"),     # placeholder
-    re.compile(r"[0-9_=-]+"),                                                  # numbers and rules only
-)
-_SEQUENCES = ("abcdefghijklmnopqrstuvwxyz" * 2, "0123456789" * 4)
+
+def _chain(letters: str) -> str:
+    """Pattern of 12 or more successive characters from the first of ``letters`` on."""
+    rest = ""
+    for c in reversed(letters[12:]):
+        rest = f"(?:{c}{rest})?"
+    return letters[:12] + rest
+
+
+_LETTERS, _DIGITS = "abcdefghijklmnopqrstuvwxyz" * 2, "0123456789" * 5
+ALLOW = re.compile(
+    r"(?i)(?<![0-9A-Z])[0-9A-F]{8}(?:-[0-9A-F]{4}){3}-[0-9A-F]{12}(?![0-9A-Z])"     # UUID
+    r"|example|placeholder|changeme|"                                                # placeholder
+    + "|".join([_chain(_LETTERS[i:i + 26]) for i in range(26)] + [_chain(_DIGITS[i:i + 40]) for i in range(10)]))
+NUMBERS = re.compile(r"[0-9+/_=-]+")                                                 # numbers and rules only
+DOCUMENTED = ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",)                           # placeholder keys of manuals
 
 Span = tuple[int, int, str]                 # start, end, kind
 
@@ -96,11 +106,6 @@ def entropies(text: str, width: int = WINDOW) -> list[float]:
     return out
 
 
-def allowed(text: str) -> bool:
-    low = text.lower()
-    return any(p.fullmatch(text) for p in ALLOW) or any(low[:12] in s for s in _SEQUENCES)
-
-
 def _class(text: str) -> str:
     return next(c for c, alphabet in CLASSES.items() if alphabet.fullmatch(text))
 
@@ -120,7 +125,7 @@ def wordy(text: str) -> bool:
 
 
 def random_window(text: str, bits: float) -> bool:
-    if bits < _limit(text):
+    if bits < _limit(text) or NUMBERS.fullmatch(text):
         return False
     return not wordy(text) or _class(text) == "hex" and not text.isalpha()
 
@@ -152,12 +157,23 @@ def base_spans(text: str) -> list[Span]:
     return ordered(spans)
 
 
+def _pieces(m: re.Match) -> list[tuple[int, str]]:
+    """Start and text of the parts of a candidate that are not allow-listed."""
+    run, out, at = m.group(), [], 0
+    if run in DOCUMENTED:
+        return []
+    for cut in ALLOW.finditer(run):
+        out.append((m.start() + at, run[at:cut.start()]))
+        at = cut.end()
+    return [*out, (m.start() + at, run[at:])]
+
+
 def entropy_spans(text: str) -> list[Span]:
     found = []
     for m in CANDIDATE.finditer(text):
-        if m.end() - m.start() < WINDOW or allowed(m.group()):
+        if m.end() - m.start() < WINDOW:
             continue
-        for at, run in [(m.start(), m.group())]:
+        for at, run in _pieces(m):
             spans: list[list[int]] = []
             for i, bits in enumerate(entropies(run)):
                 if bits >= HEX_LIMIT and random_window(run[i:i + WINDOW], bits):

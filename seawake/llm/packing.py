@@ -1,14 +1,15 @@
 """Sequence packing: first-fit decreasing on a tournament tree, in randomised groups.
 
 A document is its token ids plus the end id. It is cut at multiples of ``LENGTH``: full pieces are
-sequences of their own, the remaining tails are packed. Tails fall into random groups of about
-``GROUP_DOCS`` documents; each group is packed on its own by first-fit decreasing. A tournament tree
+sequences of their own, the remaining tails are packed. Pieces fall into random groups with the tails of about
+``GROUP_DOCS`` documents each; each group is packed on its own by first-fit decreasing. A tournament tree
 over the bins keeps in every inner node the largest free capacity below it, so the first bin that
 fits is found, and its capacity updated, in logarithmic time.
 
 Groups are random and balanced (never keyed by a document's properties), so neither copies nor a
-hot source can overfill one. Only lengths and checksums travel through the shuffle, never ids or
-texts.
+hot source can overfill one. The ids travel with their pieces through one shuffle, two bytes each where the vocabulary
+allows; a task holds the tails of one group at a time, full pieces pass by. The sequences (``LENGTH`` ids, padded
+with ``PAD_ID``, and the pieces they hold) are written as a table; placements and checksums are read back from it.
 
 Token ids are those of the ``tokenizers`` library. Common text is encoded with the same
 vocabulary and merges through the faster byte-pair encoder of ``tiktoken`` (equal ids, see the
@@ -24,19 +25,20 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seawake.llm.common import map_columns, settle, strings, table
+from seawake.llm.common import BATCH_ROWS, map_columns, settle, strings, table
 
 LENGTH = 2048
 END_ID = 1
+PAD_ID = 0
 GROUP_DOCS = 4096
 SEED = 11
 VOCABULARY = "byte_bpe_50k"
@@ -68,24 +70,30 @@ def encoder(name: str = VOCABULARY) -> Encoder:
     return Encoder(name)
 
 
-LENGTHS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("doc_tokens", T.LongType()),
-                        T.StructField("crcs", T.ArrayType(T.LongType()))])
+PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("doc_tokens", T.LongType()),
+                       T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
+                       T.StructField("ids", T.BinaryType())])
 
 
-def token_lengths(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Token count of every row (end id included) and the checksum of each of its ``length``-id pieces."""
+def id_type(vocabulary: str) -> str:
+    """The narrowest unsigned type that holds all ids."""
+    return "<u2" if encoder(vocabulary).exact.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def token_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The ids of every row (end id included) in pieces of ``length``."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        enc, counts, crcs = encoder(vocabulary), [], []
-        for text in strings(b.column(1)):
-            ids = np.append(enc.ids(text), END_ID).astype("<u4")
-            counts.append(len(ids))
-            raw = memoryview(ids.tobytes())
-            crcs.append([zlib.crc32(raw[i:i + 4 * length]) for i in range(0, len(raw), 4 * length)])
-        return pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(counts, pa.int64()),
-                                           pa.array(crcs, pa.list_(pa.int64()))], names=LENGTHS.names)
+        enc, kind, rows = encoder(vocabulary), id_type(vocabulary), []
+        for doc_id, text in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
+            ids = np.append(enc.ids(text), END_ID).astype(kind)
+            rows += [(doc_id, len(ids), i, min(length, len(ids) - i), ids[i:i + length].tobytes())
+                     for i in range(0, len(ids), length)]
+        kinds = [*[pa.int64()] * 4, pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                          names=PIECES.names)
 
-    return map_columns(docs.select("doc_id", "text"), run, LENGTHS)
+    return map_columns(docs.select("doc_id", "text"), run, PIECES)
 
 
 class BinTree:
@@ -124,43 +132,99 @@ def first_fit_decreasing(sizes: list[int], capacity: int = LENGTH) -> list[tuple
     return out
 
 
-PACKED = T.StructType([*LENGTHS.fields, T.StructField("first_full", T.LongType()),
-                       T.StructField("tail_sequence", T.LongType()), T.StructField("tail_offset", T.LongType())])
+PLACED = ("doc_id", "start", "length", "doc_tokens", "offset")
+SEQUENCES = T.StructType([
+    T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+    T.StructField("pieces", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in PLACED])))])
 
+Piece = tuple[int | None, int, int, int, bytes]          # doc_id, start, length, doc_tokens, ids
 
-def pack(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = SEED,
-         vocabulary: str = VOCABULARY) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+def _laid(first: int, rows: list[Piece], places: list[tuple[int, int]], length: int, kind: str) -> Iterator[pa.RecordBatch]:
+    """Sequences numbered from ``first``, of pieces laid at (bin, offset)."""
+    bins: list[list[tuple[Piece, int]]] = [[] for _ in range(max((b for b, _ in places), default=-1) + 1)]
+    for row, (b, offset) in zip(rows, places, strict=True):
+        bins[b].append((row, offset))
+    for lo in range(0, len(bins), BATCH_ROWS):
+        part = [sorted(b, key=lambda p: p[1]) for b in bins[lo:lo + BATCH_ROWS]]
+        ids = np.full((len(part), length), PAD_ID, np.int32)
+        for line, held in zip(ids, part, strict=True):
+            for row, offset in held:
+                line[offset:offset + row[2]] = np.frombuffer(row[4], kind)
+        columns = zip(*[(*row[:4], offset) for held in part for row, offset in held], strict=True)
+        pieces = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(PLACED))
+        ends = np.cumsum([0, *map(len, part)]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(first + lo, first + lo + len(part))),
+             pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * length, ids.ravel()),
+             pa.ListArray.from_arrays(ends, pieces)], names=SEQUENCES.names)
+
+
+def sequences(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = SEED,
+              vocabulary: str = VOCABULARY) -> DataFrame:
+    """The packed sequences, written as a table: sequence_id, ``length`` ids, the pieces they hold.
 
     A sequence id is the group number times 2^40 plus the sequence's number in its group.
     """
-    lengths = settle(token_lengths(docs, length, vocabulary), "token-lengths")
-    groups = max(1, -(-lengths.count() // group_docs))
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        base = int(key[0]) << 40
-        n = rows["doc_tokens"].to_numpy()
-        full, tail = n // length, n % length
-        some = np.flatnonzero(tail)
-        place = np.array(first_fit_decreasing(tail[some].tolist(), length), np.int64).reshape(-1, 2)
-        bins = int(place[:, 0].max()) + 1 if len(place) else 0
-        rows["first_full"] = base + bins + np.cumsum(full) - full
-        rows["tail_sequence"], rows["tail_offset"] = base, 0
-        rows.iloc[some, rows.columns.get_loc("tail_sequence")] = base + place[:, 0]
-        rows.iloc[some, rows.columns.get_loc("tail_offset")] = place[:, 1]
-        return rows[PACKED.names]
-
-    grouped = lengths.withColumn("group", F.floor(F.rand(seed) * groups))
-    packed = grouped.groupBy("group").applyInPandas(run, PACKED)
-    start = F.col("piece").cast("long") * length
-    whole = start + length <= F.col("doc_tokens")
-    return (packed.select("doc_id", "doc_tokens", "first_full", "tail_sequence", "tail_offset",
-                          F.posexplode("crcs").alias("piece", "ids_crc32"))
-            .select("doc_id", start.alias("start"), F.least(F.lit(length), F.col("doc_tokens") - start).alias("length"),
-                    "ids_crc32", "doc_tokens",
-                    F.when(whole, F.col("first_full") + F.col("piece")).otherwise(F.col("tail_sequence"))
-                    .alias("sequence_id"),
-                    F.when(whole, F.lit(0).cast("long")).otherwise(F.col("tail_offset")).alias("offset")))
+    groups = max(1, -(-docs.count() // group_docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, group, first = id_type(vocabulary), None, 0
+        tails: list[Piece] = []
+        full: list[Piece] = []
+
+        def laid() -> Iterator[pa.RecordBatch]:
+            """Tails come before the full pieces of their group, so one of both lists is empty."""
+            nonlocal first, tails, full
+            places = first_fit_decreasing([t[2] for t in tails], length) if tails else [(i, 0) for i in range(len(full))]
+            yield from _laid(first, tails or full, places, length, kind)
+            first += max((b for b, _ in places), default=-1) + 1
+            tails, full = [], []
+
+        for b in batches:
+            for g, *row in zip(*[b.column(n).to_pylist() for n in ("group", *PLACED[:4], "ids")], strict=True):
+                if g != group:
+                    yield from laid()
+                    group, first = g, g << 40
+                if row[2] < length:
+                    tails.append(tuple(row))
+                    continue
+                if tails or len(full) == BATCH_ROWS:
+                    yield from laid()
+                full.append(tuple(row))
+        yield from laid()
+
+    grouped = (token_pieces(docs, length, vocabulary).withColumn("group", F.floor(F.rand(seed) * groups))
+               .repartition("group").sortWithinPartitions("group", F.col("length") == length))
+    return settle(grouped.mapInArrow(run, SEQUENCES), "packed-sequences")
+
+
+PACKED = T.StructType([T.StructField(n, T.LongType()) for n in (
+    "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
+
+
+def placements(packed: DataFrame) -> DataFrame:
+    """One row per piece of the packed sequences, with the checksum of its ids there."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        length = b.column(1).value_lengths()[0].as_py()
+        ids = b.column(1).flatten().to_numpy().astype("<u4")
+        line = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy())
+        held = b.column(2).flatten()
+        raw, out = memoryview(ids.tobytes()), dict(zip(PLACED, held.flatten(), strict=True))
+        at = 4 * (line * length + out["offset"].to_numpy())
+        end = at + 4 * out["length"].to_numpy()
+        out["ids_crc32"] = pa.array([zlib.crc32(raw[i:j]) for i, j in zip(at.tolist(), end.tolist(), strict=True)], pa.int64())
+        out["sequence_id"] = b.column(0).take(pa.array(line))
+        return pa.RecordBatch.from_arrays([out[n] for n in PACKED.names], names=PACKED.names)
+
+    return map_columns(packed, run, PACKED)
+
+
+def pack(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = SEED,
+         vocabulary: str = VOCABULARY) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    return placements(sequences(docs, length, group_docs, seed, vocabulary))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

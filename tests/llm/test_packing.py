@@ -85,6 +85,28 @@ def test_packing_is_whole_gapless_and_tight(docs):
         assert len(seqs) <= used / length + 2 + sum(map(len, texts.values())) / group + 1
 
 
+def test_sequences_hold_the_ids_and_padding(docs):
+    texts = sorted(ids_of(r.text) + [1] for r in docs.collect())
+    for length, group in ((2048, 4096), (64, 10)):
+        table = packing.sequences(docs, length=length, group_docs=group)
+        rows, parts, placed = table.collect(), {}, []
+        for r in rows:
+            assert len(r.ids) == length
+            used = sum(p.length for p in r.pieces)
+            assert r.ids[used:] == [packing.PAD_ID] * (length - used)
+            for p in r.pieces:
+                part = r.ids[p.offset:p.offset + p.length]
+                parts.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, part))
+                crc = zlib.crc32(np.array(part, "<u4").tobytes())
+                placed.append((str(p.doc_id), p.start, p.length, crc, p.doc_tokens, r.sequence_id, p.offset))
+        assert len({r.sequence_id for r in rows}) == len(rows)
+        assert sorted((str(r[0]), *r[1:]) for r in packing.placements(table).collect()) == sorted(placed)
+        alone = [sorted(v) for v in parts.values() if len({s for s, _ in v}) == len(v)]
+        whole = [sum((x for _, x in v), []) for v in alone]
+        assert len(whole) > 30 and all(w in texts for w in whole)
+        assert sum(len(x) for v in parts.values() for _, x in v) == sum(map(len, texts))
+
+
 def test_empty_table_and_empty_texts(spark, no_docs):
     assert packing.pack(no_docs).count() == 0
     rows = packing.pack(frame(spark, [None, "", " "], [None, 5, 5])).collect()

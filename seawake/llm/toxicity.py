@@ -32,6 +32,7 @@ are scored as rows, and so are null ids (their ``held_out`` is null: they belong
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -66,7 +67,7 @@ SEED = 1
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n+")
 _SPELLED = re.compile(r"(?<!\S)\S\s\S(?:\s\S)+(?!\S)")
 _OTHER = re.compile(r"[\W_]+")
-_LUT = 0x250                 # characters beyond this code never match a landmark
+_CODES = sys.maxunicode + 1  # of a letter table; pages of scripts that no landmark or text uses are never touched
 
 
 def held_out() -> F.Column:
@@ -122,9 +123,9 @@ def kernel(units: list[str], landmark: str, order: int = ORDER, decay: float = D
 def _common(codes: np.ndarray, landmark: str) -> np.ndarray:
     """Length of the longest common subsequence of every row of character codes with ``landmark`` (bit-parallel)."""
     m = len(landmark)
-    lut = np.zeros(_LUT + 1, np.uint32)
+    lut = np.zeros(_CODES, np.uint32)
     for j, c in enumerate(landmark):
-        lut[min(ord(c), _LUT)] |= np.uint32(1 << j)
+        lut[ord(c)] |= np.uint32(1 << j)
     lut[0] = 0
     full = np.uint32((1 << m) - 1)
     v = np.full(len(codes), full, np.uint32)
@@ -155,18 +156,22 @@ class Model:
         if not units:
             return out
         width = max(map(len, units))
-        codes = np.minimum(np.array(units, dtype=f"U{width}").view(np.uint32).reshape(len(units), -1), _LUT)
-        alphabet = "".join(sorted({c for mark in self.landmarks for c in mark}))[:64]
-        lut = np.zeros(_LUT + 1, np.uint64)
-        for i, c in enumerate(alphabet):
-            if ord(c) < _LUT:
-                lut[ord(c)] = np.uint64(1 << i)
-        letters = np.bitwise_or.reduce(lut[codes], axis=1)
+        codes = np.array(units, dtype=f"U{width}").view(np.uint32).reshape(len(units), -1)
+        alphabet = sorted({c for mark in self.landmarks for c in mark})
+        missing = np.zeros((len(units), len(self.landmarks)), np.uint16)
+        for lo in range(0, len(alphabet), 64):               # a word of bits for every 64 letters
+            bit = {c: 1 << i for i, c in enumerate(alphabet[lo:lo + 64])}
+            lut = np.zeros(_CODES, np.uint64)
+            lut[[ord(c) for c in bit]] = np.array(list(bit.values()), np.uint64)
+            lacking = ~np.bitwise_or.reduce(lut[codes], axis=1)
+            for k, mark in enumerate(self.landmarks):
+                mask = sum(bit.get(c, 0) for c in set(mark))
+                if mask:
+                    missing[:, k] += np.bitwise_count(lacking & np.uint64(mask))
         for k, mark in enumerate(self.landmarks):
             need = -int(-SHARED * len(mark) // 1)
             absent = len(mark) - need                     # characters of the landmark that may be missing
-            mask = np.uint64(sum(1 << alphabet.index(c) for c in set(mark) if c in alphabet))
-            pick = np.flatnonzero(np.bitwise_count(~letters & mask) <= absent)
+            pick = np.flatnonzero(missing[:, k] <= absent)
             if len(pick):
                 pick = pick[_common(codes[pick], mark) >= need]
             if len(pick):

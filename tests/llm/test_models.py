@@ -200,3 +200,30 @@ def test_held_out_accuracy(spark, query, label, least):
     rows = got.join(table(spark, SF_MID, "labels"), "doc_id").where("held_out").select("predicted", label).collect()
     assert got.count() == n
     assert np.mean([a == b for a, b in rows]) >= least
+
+
+SCRIPTS = {"greek": 0x3b1, "cyrillic": 0x430, "arabic": 0x620, "cjk": 0x4e00}
+
+
+def in_script(text, first):
+    """The text with its letters a-z replaced by letters of another script."""
+    letters = [c for c in map(chr, range(first, first + 80)) if c.isalpha() and c.lower() == c][:26]
+    return text.translate(dict(zip(range(ord("a"), ord("z") + 1), letters, strict=False))) if len(letters) == 26 else None
+
+
+def test_toxicity_answers_in_every_script():
+    texts, labels = zip(*toxic_corpus(3), strict=True)
+    for name, first in SCRIPTS.items():
+        other = [in_script(t.lower(), first) for t in texts]
+        assert None not in other, name
+        model = toxicity.fit([t for t, y in zip(other, labels, strict=True) if y], [t for t, y in zip(other, labels, strict=True) if not y])
+        got = [s >= 0.5 for s in model.score(other)]
+        assert np.mean([a == bool(y) for a, y in zip(got, labels, strict=True)]) >= 0.95, name
+        assert np.mean([a for a, y in zip(got, labels, strict=True) if y]) >= 0.9, name
+
+
+def test_landmarks_may_hold_more_than_64_letters():
+    marks = [f"^{''.join(chr(0x4e00 + 6 * k + i) for i in range(6))}$" for k in range(30)]
+    own = np.array([toxicity.kernel([m], m)[0] for m in marks])
+    got = toxicity.Model(marks, own, np.ones(len(marks)), 0.0).responses(marks)
+    assert np.allclose(got, np.eye(len(marks)))

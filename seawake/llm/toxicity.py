@@ -57,6 +57,7 @@ PENALTY, NEARLY = 10, 0.9
 SEED_GRAM = (4, 5)           # lengths on which landmarks are first looked for
 MIN_SUPPORT = 0.025          # of the distinct toxic training documents must hold the landmark
 MIN_PURITY = 0.93            # toxic share of a landmark's density
+COPY, SKETCH = 0.8, 64       # near copies share so much of their words; hashes that point at them
 ROUNDS = 3
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3500
 SAMPLE_CHARS = 20_000
@@ -243,14 +244,24 @@ class Model:
 
 
 def _distinct(words: list[set[str]]) -> list[int]:
-    """Documents left when near copies (equal smallest word hashes) are counted once."""
+    """Documents left when near copies are counted once: words shared with one kept, of all words of both, at least ``COPY``.
+
+    ``SKETCH`` smallest hashes, each of another hash function, tell which pairs are worth comparing word by word.
+    """
     import zlib
 
-    seen, out = set(), []
+    rng = np.random.default_rng(SEED)
+    factors = rng.integers(0, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
+    sketches = np.zeros((len(words), SKETCH), np.uint64)
+    for i, w in enumerate(words):
+        if w:
+            hashes = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in w], np.uint64) + np.uint64(1)
+            mixed = hashes[:, None] * factors
+            sketches[i] = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(16)).min(axis=0)
+    out: list[int] = []
     for i, w in enumerate(words):
-        mark = tuple(sorted(zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in w)[:2])
-        if mark not in seen:
-            seen.add(mark)
+        alike = (sketches[out] == sketches[i]).mean(axis=1) >= COPY - 0.25 if out else []
+        if not any(len(w & words[k]) >= COPY * len(w | words[k]) for k in np.array(out)[alike]):
             out.append(i)
     return out
 

@@ -227,3 +227,12 @@ def test_landmarks_may_hold_more_than_64_letters():
     own = np.array([toxicity.kernel([m], m)[0] for m in marks])
     got = toxicity.Model(marks, own, np.ones(len(marks)), 0.0).responses(marks)
     assert np.allclose(got, np.eye(len(marks)))
+
+
+def test_only_texts_of_mostly_the_same_words_are_copies():
+    import zlib
+    rng = random.Random(8)
+    common = sorted((f"w{i}" for i in range(5000)), key=lambda x: zlib.crc32(x.encode()))
+    texts = [{*common[:2], *(f"t{i}_{k}" for k in range(40))} for i in range(20)]       # equal smallest hashes only
+    texts += [{*rng.sample(sorted(t), 40), "other"} for t in texts[:10]] + [texts[3], set(), set()]
+    assert toxicity._distinct(texts) == [*range(20), 31]

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests._paths import SF_SMALL
 from seawake.operators import dashboard as db, ports as pt, quality as qa, study as st
 from seawake.plans import catalog as C
 from seawake.plans import daily, views

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from _compare import compare, duck
-from conftest import SF_SMALL
+from tests._paths import SF_SMALL
 
 ORACLE = E.oracle_sql()
 

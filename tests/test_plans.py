@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from tests._paths import SF_SMALL
 from seawake.plans import catalog as C
 from seawake.plans import layout as ly
 

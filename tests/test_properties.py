@@ -47,7 +47,7 @@ def test_fixed_rounding_matches_duckdb(spark):
 
 def test_cross_stage_profile_counts_agree(spark):
     """The raw-text profile (bronze) and the typed study count the same things on the same data."""
-    from conftest import SF_MID
+    from tests._paths import SF_MID
     from seawake.operators import study as st
     from seawake.plans import catalog as C
     b = {r.chequeo: r.n for r in st.bronze_profile(C.bronze(spark, SF_MID)).collect()}
@@ -81,7 +81,7 @@ def test_lag_by_day_equals_window(spark, rows):
 
 
 def test_approx_distinct_ships_within_tolerance(spark):
-    from conftest import SF_MID
+    from tests._paths import SF_MID
     from seawake.operators import study as st
     from seawake.plans import catalog as C
     rows = st.daily_ships_exact_vs_approx(C.clean(spark, SF_MID), rsd=0.05).collect()
@@ -92,7 +92,7 @@ def test_approx_distinct_ships_within_tolerance(spark):
 
 
 def test_empty_inputs_do_not_divide_by_zero(spark):
-    from conftest import SF_SMALL
+    from tests._paths import SF_SMALL
     from seawake.operators import dashboard as db, land as ld, study as st
     from seawake.plans import catalog as C
     empty = C.typed(spark, SF_SMALL).limit(0)

@@ -8,8 +8,9 @@ fits is found, and its capacity updated, in logarithmic time.
 
 Groups are random and balanced (never keyed by a document's properties), so neither copies nor a
 hot source can overfill one. The ids travel with their pieces through one shuffle, two bytes each where the vocabulary
-allows; a task holds the tails of one group at a time, full pieces pass by. The sequences (``LENGTH`` ids, padded
-with ``PAD_ID``, and the pieces they hold) are written as a table; placements and checksums are read back from it.
+allows; a task holds the tails of one group at a time, full pieces pass by. The sequences (``LENGTH`` ids as one little-endian
+unsigned 32-bit binary value, padded with ``PAD_ID``, and the pieces they hold) are written as a table; placements and
+checksums are read back from it.
 
 Token ids are those of the ``tokenizers`` library. Common text is encoded with the same
 vocabulary and merges through the faster byte-pair encoder of ``tiktoken`` (equal ids, see the
@@ -43,8 +44,26 @@ GROUP_DOCS = 4096
 SEED = 11
 VOCABULARY = "byte_bpe_50k"
 
-# Characters on which both encoders' splitting rules are known to agree.
-_RARE = re.compile("[^\n\t -~¡-ɏ–—‘’“”…€]|\\S{1000}|<\\|endoftext\\|>")
+# Characters on which both encoders' splitting rules are known to agree, and the longest run without a blank.
+_RARE = re.compile("[^\n\t -~¡-ɏ–—‘’“”…€]")
+_SPECIAL = "<|endoftext|>"
+_RUN = 1000
+_LONG = re.compile(rf"\S{{{_RUN}}}")
+
+
+def _long_run(text: str) -> bool:
+    """Whether ``_RUN`` characters without white space follow each other.
+
+    Such a run covers a whole aligned block of half its length, so texts with a blank in every block need no search.
+    """
+    half = _RUN // 2
+    return (any(" " not in text[i:i + half] for i in range(0, len(text) - half + 1, half))
+            and _LONG.search(text) is not None)
+
+
+def rare(text: str) -> bool:
+    """Whether only the tokenizer itself may encode ``text``."""
+    return _RARE.search(text) is not None or _SPECIAL in text or _long_run(text)
 
 
 class Encoder:
@@ -60,7 +79,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         """Token ids of a whole text, without the end id."""
-        if _RARE.search(text):
+        if rare(text):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
@@ -134,7 +153,7 @@ def first_fit_decreasing(sizes: list[int], capacity: int = LENGTH) -> list[tuple
 
 PLACED = ("doc_id", "start", "length", "doc_tokens", "offset")
 SEQUENCES = T.StructType([
-    T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+    T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.BinaryType()),
     T.StructField("pieces", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in PLACED])))])
 
 Piece = tuple[int | None, int, int, int, bytes]          # doc_id, start, length, doc_tokens, ids
@@ -147,7 +166,7 @@ def _laid(first: int, rows: list[Piece], places: list[tuple[int, int]], length:
         bins[b].append((row, offset))
     for lo in range(0, len(bins), BATCH_ROWS):
         part = [sorted(b, key=lambda p: p[1]) for b in bins[lo:lo + BATCH_ROWS]]
-        ids = np.full((len(part), length), PAD_ID, np.int32)
+        ids = np.full((len(part), length), PAD_ID, "<u4")
         for line, held in zip(ids, part, strict=True):
             for row, offset in held:
                 line[offset:offset + row[2]] = np.frombuffer(row[4], kind)
@@ -156,13 +175,13 @@ def _laid(first: int, rows: list[Piece], places: list[tuple[int, int]], length:
         ends = np.cumsum([0, *map(len, part)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(first + lo, first + lo + len(part))),
-             pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * length, ids.ravel()),
+             pa.array([line.tobytes() for line in ids], pa.binary()),
              pa.ListArray.from_arrays(ends, pieces)], names=SEQUENCES.names)
 
 
 def sequences(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = SEED,
               vocabulary: str = VOCABULARY) -> DataFrame:
-    """The packed sequences, written as a table: sequence_id, ``length`` ids, the pieces they hold.
+    """The packed sequences, written as a table: sequence_id, ``length`` ids (binary), the pieces they hold.
 
     A sequence id is the group number times 2^40 plus the sequence's number in its group.
     """
@@ -194,8 +213,9 @@ def sequences(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOC
                 full.append(tuple(row))
         yield from laid()
 
+    # one partition a group: few groups hashed into the session's partitions would meet in some of them
     grouped = (token_pieces(docs, length, vocabulary).withColumn("group", F.floor(F.rand(seed) * groups))
-               .repartition("group").sortWithinPartitions("group", F.col("length") == length))
+               .repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("group", F.col("length") == length))
     return settle(grouped.mapInArrow(run, SEQUENCES), "packed-sequences")
 
 
@@ -207,14 +227,13 @@ def placements(packed: DataFrame) -> DataFrame:
     """One row per piece of the packed sequences, with the checksum of its ids there."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        length = b.column(1).value_lengths()[0].as_py()
-        ids = b.column(1).flatten().to_numpy().astype("<u4")
+        raw = [memoryview(x.as_buffer()) for x in b.column(1)]
         line = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy())
-        held = b.column(2).flatten()
-        raw, out = memoryview(ids.tobytes()), dict(zip(PLACED, held.flatten(), strict=True))
-        at = 4 * (line * length + out["offset"].to_numpy())
+        out = dict(zip(PLACED, b.column(2).flatten().flatten(), strict=True))
+        at = 4 * out["offset"].to_numpy()
         end = at + 4 * out["length"].to_numpy()
-        out["ids_crc32"] = pa.array([zlib.crc32(raw[i:j]) for i, j in zip(at.tolist(), end.tolist(), strict=True)], pa.int64())
+        out["ids_crc32"] = pa.array([zlib.crc32(raw[k][i:j]) for k, i, j in
+                                     zip(line.tolist(), at.tolist(), end.tolist(), strict=True)], pa.int64())
         out["sequence_id"] = b.column(0).take(pa.array(line))
         return pa.RecordBatch.from_arrays([out[n] for n in PACKED.names], names=PACKED.names)
 

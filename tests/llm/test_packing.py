@@ -33,6 +33,16 @@ def test_every_code_point_of_the_fast_set_agrees():
             assert enc.ids(t).tolist() == ids_of(t), hex(ord(c))
 
 
+def test_long_runs_are_found_whatever_their_place():
+    for n in (packing._RUN - 1, packing._RUN, packing._RUN + 1, 3 * packing._RUN):
+        for before in (0, 1, 7, 499, 500, 501, 1234):
+            for blank in (" ", "\n"):
+                text = "ab " * (before // 3) + "c" * (before % 3) + blank + "y" * n + blank + "end of it"
+                assert packing._long_run(text) == (n >= packing._RUN)
+    assert not packing._long_run("")
+    assert packing.rare("a<|endoftext|>") and packing.rare("中") and not packing.rare("plain text\n")
+
+
 def slow_first_fit(sizes, capacity):
     free, out = [], [None] * len(sizes)
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
@@ -91,11 +101,12 @@ def test_sequences_hold_the_ids_and_padding(docs):
         table = packing.sequences(docs, length=length, group_docs=group)
         rows, parts, placed = table.collect(), {}, []
         for r in rows:
-            assert len(r.ids) == length
+            ids = np.frombuffer(r.ids, "<u4").tolist()
+            assert len(ids) == length
             used = sum(p.length for p in r.pieces)
-            assert r.ids[used:] == [packing.PAD_ID] * (length - used)
+            assert ids[used:] == [packing.PAD_ID] * (length - used)
             for p in r.pieces:
-                part = r.ids[p.offset:p.offset + p.length]
+                part = ids[p.offset:p.offset + p.length]
                 parts.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, part))
                 crc = zlib.crc32(np.array(part, "<u4").tobytes())
                 placed.append((str(p.doc_id), p.start, p.length, crc, p.doc_tokens, r.sequence_id, p.offset))

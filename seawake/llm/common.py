@@ -14,7 +14,7 @@ from seawake.session import checkpoint_dir, ship_package
 
 # Rows and bytes of one Arrow batch handed to Python: texts can be long, so batches stay small.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -62,6 +62,19 @@ def strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def outside(spans: list[tuple], others: list[tuple]) -> list[tuple]:
+    """The ``spans`` (start, end, ...) that lie inside none of ``others``, ordered by start; one merge of both lists."""
+    rest, reach, out = sorted(others, key=lambda s: s[0]), 0, []
+    at = 0
+    for s in sorted(spans, key=lambda s: s[0]):
+        while at < len(rest) and rest[at][0] <= s[0]:
+            reach = max(reach, rest[at][1])
+            at += 1
+        if s[1] > reach:
+            out.append(s)
+    return out
+
+
 def hex_of(fingerprint: Column) -> Column:
     """A signed 64-bit value as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seawake.llm.common import BATCH_ROWS, map_columns, settle, strings, table
+from seawake.llm.common import map_columns, settle, strings, table
 
 LENGTH = 2048
 END_ID = 1
@@ -151,6 +151,7 @@ def first_fit_decreasing(sizes: list[int], capacity: int = LENGTH) -> list[tuple
     return out
 
 
+LAID_ROWS = 256              # sequences of one Arrow batch: 2 MB of ids
 PLACED = ("doc_id", "start", "length", "doc_tokens", "offset")
 SEQUENCES = T.StructType([
     T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.BinaryType()),
@@ -164,8 +165,8 @@ def _laid(first: int, rows: list[Piece], places: list[tuple[int, int]], length:
     bins: list[list[tuple[Piece, int]]] = [[] for _ in range(max((b for b, _ in places), default=-1) + 1)]
     for row, (b, offset) in zip(rows, places, strict=True):
         bins[b].append((row, offset))
-    for lo in range(0, len(bins), BATCH_ROWS):
-        part = [sorted(b, key=lambda p: p[1]) for b in bins[lo:lo + BATCH_ROWS]]
+    for lo in range(0, len(bins), LAID_ROWS):
+        part = [sorted(b, key=lambda p: p[1]) for b in bins[lo:lo + LAID_ROWS]]
         ids = np.full((len(part), length), PAD_ID, "<u4")
         for line, held in zip(ids, part, strict=True):
             for row, offset in held:
@@ -208,7 +209,7 @@ def sequences(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOC
                 if row[2] < length:
                     tails.append(tuple(row))
                     continue
-                if tails or len(full) == BATCH_ROWS:
+                if tails or len(full) == LAID_ROWS:
                     yield from laid()
                 full.append(tuple(row))
         yield from laid()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from seawake.llm.common import map_columns, strings, table
+from seawake.llm.common import map_columns, outside, strings, table
 
 # The base patterns, their kinds in reporting order, and their least lengths.
 ASSIGN = re.compile(
@@ -195,8 +195,7 @@ def ordered(spans: list[Span]) -> list[Span]:
 def scan(text: str) -> list[Span]:
     """All spans of a text: base ones, and entropy ones outside them."""
     base = base_spans(text)
-    extra = [e for e in entropy_spans(text) if not any(b[0] <= e[0] and e[1] <= b[1] for b in base)]
-    return ordered(base + extra)
+    return ordered(base + outside(entropy_spans(text), base))
 
 
 def written(spans: list[Span]) -> str:

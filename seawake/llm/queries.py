@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawake.llm import chat, decontam, packing, pseudolm, quality, rules, secrets, simhash, toxicity, warc
+from seawake.llm import chat, decontam, packing, pii, pseudolm, quality, repair, rules, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_quality": quality.op9_quality,
     "op10_decontamination": decontam.op10_decontamination,
+    "op11_repair": repair.op11_repair,
+    "op13_personal_data": pii.op13_personal_data,
 }
 
 # The other operators have no SQL form; tests/llm holds them against brute force,
@@ -27,4 +29,5 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
     "op4_warc": warc.ORACLE,
     "op7_quality_rules": rules.ORACLE,
+    "op11_repair": repair.ORACLE,
 }

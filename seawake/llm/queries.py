@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seawake.llm import chat, decontam, packing, pii, pseudolm, quality, repair, rules, secrets, simhash, toxicity, warc
+from seawake.llm import chat, decontam, packing, pii, pseudolm, quality, repair, rules, search, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality.op9_quality,
     "op10_decontamination": decontam.op10_decontamination,
     "op11_repair": repair.op11_repair,
+    "op12_search": search.op12_search,
     "op13_personal_data": pii.op13_personal_data,
 }
 
@@ -30,4 +31,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": warc.ORACLE,
     "op7_quality_rules": rules.ORACLE,
     "op11_repair": repair.ORACLE,
+    "op12_search": search.ORACLE,
 }

@@ -41,6 +41,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(names: list[str], wish: str) -> str:
+    """``wish``, lengthened until it is none of the column ``names`` (which Spark tells apart by letters, not by case)."""
+    taken = {n.lower() for n in names}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

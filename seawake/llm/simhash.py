@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seawake.llm.common import hex_of, map_columns, settle, strings, table
+from seawake.llm.common import hex_of, map_columns, settle, strings, table, unused
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -155,16 +155,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with one row of each near-duplicate group: the smallest doc_id (null last).
 
-    Rows that tie in doc_id are told apart by a row number fixed when the table is written.
+    Rows that tie in doc_id are told apart by a row number fixed when the table is written. The rows that go are found on
+    fingerprints and row numbers alone; the stored texts are then read once against that list, by whatever join its size allows.
     """
     names = docs.columns
-    numbered = settle(with_fingerprint(docs, "__fp").withColumn("__row", F.monotonically_increasing_id()),
-                      "documents")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    best = group_labels(numbered.select(F.col("__fp").alias("fp"), rank.alias("best")), "best")
-    kept = best.select(F.col("best.row").alias("__row")).distinct()
-    # row numbers spread evenly: the same hash join at every size, built on the numbers, never on texts
-    return numbered.join(kept.hint("shuffle_hash"), "__row", "left_semi").select(*names)
+    fp, row = unused(names, "__fp"), unused(names, "__row")
+    numbered = settle(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "documents")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    slim = numbered.select(F.col(fp).alias("fp"), rank.alias("best"))
+    best = group_labels(slim, "best").select("fp", F.col("best.row").alias("kept"))
+    gone = slim.join(best, "fp").where(F.col("best.row") != F.col("kept")).select(F.col("best.row").alias(row))
+    return numbered.join(settle(gone, "gone"), row, "left_anti").select(*names)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

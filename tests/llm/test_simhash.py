@@ -104,3 +104,18 @@ def test_null_ids_and_empty_tables(spark, no_docs):
     assert simhash.keep_one(only).count() == 1
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.keep_one(no_docs).count() == 0
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    texts = ["one two three four", "one two three four", "quite another text here", None]
+    rows = [(i, t, 77, -1, f"x{i}") for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __row long, __FP int, best string")
+    kept = simhash.keep_one(table)
+    assert kept.columns == table.columns
+    got = sorted((r.doc_id, r.text, r["__row"], r["__FP"], r.best) for r in kept.collect())
+    assert got == [(i, t, 77, -1, f"x{i}") for i, t in enumerate(texts) if i != 1]
+
+
+def test_texts_are_not_forced_through_a_hash_join(spark, docs):
+    plan = simhash.keep_one(docs)._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" not in plan and "hint" not in plan.lower()

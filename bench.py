@@ -22,7 +22,7 @@ from seawake.plans import layout as ly  # noqa: E402
 from seawake.session import checkpoint_dir, get_session  # noqa: E402
 from seawake.sources.fixture import load_events, raw_positions  # noqa: E402
 from seawake.sources import sinks  # noqa: E402
-from seawake.sources.csv import header_schema, read_typed, write_day_files  # noqa: E402
+from seawake.sources.csv import read_typed, write_day_files  # noqa: E402
 from seawake.sources.ports import fixture_ports  # noqa: E402
 from seawake.streaming import bronze as br, silver as ss  # noqa: E402
 from seawake.streaming.silver import Lake  # noqa: E402
@@ -75,7 +75,7 @@ def main() -> None:
 
     def stream_once():
         lake = Lake(ly.scratch_dir(spark, "bench-lake"))
-        br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), header_schema(spark, f"{landing}/*"))
+        br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"))
         t0 = time.perf_counter()
         ss.run_silver(spark, lake, max_bytes_per_trigger=1 << 30)     # 1 GiB per micro-batch
         return time.perf_counter() - t0

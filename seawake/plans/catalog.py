@@ -713,9 +713,9 @@ def q_contract_check(spark, sf):
 
 # ----------------------------------------------------------------------------- files and streams
 
-from seawake.plans import layout as ly  # noqa: E402
+from seawake.plans import daily, layout as ly  # noqa: E402
 from seawake.sources import sinks  # noqa: E402
-from seawake.sources.csv import header_schema, read_typed, write_day_files  # noqa: E402
+from seawake.sources.csv import read_typed, write_day_files  # noqa: E402
 from seawake.streaming import bronze as br, silver as ss  # noqa: E402
 
 FIRST_FEED_DAY = "2024-01-01"     # default start of the daily feed when silver is empty
@@ -734,8 +734,7 @@ def streamed_lake(spark: SparkSession, sf: str, silver_too: bool = True) -> tupl
     prepare(spark)
     src = landing(spark, sf)
     lake = ss.Lake(ly.scratch_dir(spark, "lake"))
-    schema = header_schema(spark, f"{src}/*/*.csv")
-    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger=10)
+    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), max_files_per_trigger=10)
     if silver_too:
         ss.run_silver(spark, lake, land_cells(spark, sf), max_files_per_trigger=10)
     return lake, src
@@ -773,6 +772,84 @@ def q_reconcile_files(spark, sf):
 _SILVER_NOFILE = [c for c in SILVER_OUT if c != "_source_file"]
 
 
+# Files of four layouts by day of the month: as published, in reverse order, without two columns, with two more. Two blank
+# lines follow the header of a reversed file, and reports with a letter in their id have one field too many.
+MIXED_LEFT_OUT = ("Draft", "Cargo")
+MIXED_EXTRA = {"Source": "concat('S', MMSI)", "Quality": "CASE WHEN VesselName <> '' THEN Status END"}
+MIXED_LAYOUTS = [RAW_COLUMNS, RAW_COLUMNS[::-1], [c for c in RAW_COLUMNS if c not in MIXED_LEFT_OUT], [*RAW_COLUMNS, *MIXED_EXTRA]]
+
+
+def _mixed_line(columns: list[str]) -> str:
+    """A report as a CSV line, in SQL that Spark and DuckDB share."""
+    fields = [f"({MIXED_EXTRA.get(c, c)})" for c in columns]
+    texts = [f"CASE WHEN {f} IS NULL THEN '' WHEN {f} = '' THEN '\"\"' ELSE {f} END" for f in fields]
+    return "concat(" + ", ',', ".join(texts) + ", CASE WHEN MMSI LIKE 'X%' THEN ',EXTRA' ELSE '' END)"
+
+
+def mixed_landing(spark: SparkSession, sf: str) -> str:
+    """Day files of several layouts in a fresh shared folder."""
+    root = ly.scratch_dir(spark, "mixed")
+    raw = raw_positions(load_events(spark, sf)).withColumn("dia", F.regexp_extract("_source_file", r"AIS_(.{10})", 1))
+    layout = F.pmod(F.substring("dia", 9, 2).cast("int"), F.lit(4))
+    value = F.expr("CASE " + " ".join(f"WHEN pmod(int(substr(dia, 9, 2)), 4) = {k} THEN {_mixed_line(c)}"
+                                      for k, c in enumerate(MIXED_LAYOUTS)) + " END")
+    headers = F.element_at(F.array(*[F.lit(",".join(c)) for c in MIXED_LAYOUTS]), layout + 1)
+    days = raw.select("dia").distinct().select("dia", F.lit(0).alias("at"), F.explode(
+        F.when(layout == 1, F.array(headers, F.lit(""), F.lit(""))).otherwise(F.array(headers))).alias("value"))
+    # within a file the header comes first, blank lines sort behind it
+    lines = days.withColumn("at", F.when(F.col("value") == "", 1).otherwise(0)).unionByName(
+        raw.select("dia", F.lit(2).alias("at"), value.alias("value")))
+    (lines.repartition("dia").sortWithinPartitions("dia", "at").select("dia", "value")
+          .write.partitionBy("dia").text(root))
+    return root
+
+
+def mixed_bronze(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    prepare(spark)
+    src, lake = mixed_landing(spark, sf), ss.Lake(ly.scratch_dir(spark, "lake"))
+    br.run_bronze(spark, src, lake.bronze, lake.checkpoint("bronze"), max_files_per_trigger=10)
+    return spark.read.parquet(lake.bronze), src
+
+
+_MIXED = "CAST(substr(_source_file, 13, 2) AS INTEGER) % 4"
+_MIXED_RAW = ", ".join(f"CASE WHEN {_MIXED} <> 2 THEN {c} END AS {c}" if c in MIXED_LEFT_OUT else c for c in RAW_COLUMNS)
+_MIXED_RESCUED = ("CASE WHEN MMSI LIKE 'X%' THEN CASE " + _MIXED + " "
+                  + " ".join(f"WHEN {k} THEN {_mixed_line(c)}" for k, c in enumerate(MIXED_LAYOUTS))
+                  + f""" END WHEN {_MIXED} = 3 THEN '{{"Source":"' || {MIXED_EXTRA['Source']} || '"' ||
+                  coalesce(',"Quality":"' || {MIXED_EXTRA['Quality']} || '"', '') || '}}' END""")
+
+
+@register("bronze_mixed_headers", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=(
+        f"SELECT {_MIXED_RAW}, {_MIXED_RESCUED} AS _rescued_data, {_DIA_SQL} AS dia FROM raw")))
+def q_bronze_mixed_headers(spark, sf):
+    """Bronze of day files with reordered, missing and added columns and malformed lines."""
+    b, _ = mixed_bronze(spark, sf)
+    return b.select(*RAW_COLUMNS, "_rescued_data", F.expr(_DIA).alias("dia"))
+
+
+@register("bronze_mixed_check", O.with_ctes(f"raw AS ({O.duckdb_raw_sql()})", select=f"""
+SELECT dia, filas, filas_rescatadas, lineas_csv, filas - lineas_csv AS diferencia FROM (
+  SELECT {_DIA_SQL} AS dia, count(*) AS filas, count({_MIXED_RESCUED}) AS filas_rescatadas,
+         count(*) + any_value(CASE WHEN {_MIXED} = 1 THEN 2 ELSE 0 END) AS lineas_csv FROM raw GROUP BY 1)"""))
+def q_bronze_mixed_check(spark, sf):
+    """Rows, rescued rows, and the text lines that are no rows, per file of the mixed landing folder."""
+    b, src = mixed_bronze(spark, sf)
+    rows, lines = br.bronze_check(b), br.reconcile_files(spark, b, f"{src}/*/*.txt").drop("filas_bronze")
+    return rows.join(lines, "_source_file").select(F.expr(_DIA).alias("dia"), "filas", "filas_rescatadas", "lineas_csv", "diferencia")
+
+
+_MIXED_TYPED = {**{c: f"CASE WHEN {_MIXED} <> 2 THEN {c} END" for c in MIXED_LEFT_OUT}, "VesselName": "nullif(VesselName, '')"}
+
+
+@register("scan_mixed_csv", _study(select=(
+        "SELECT " + ", ".join(f"{_MIXED_TYPED[c]} AS {c}" if c in _MIXED_TYPED else c for c in RAW_COLUMNS)
+        + f", {_DIA_SQL} AS dia FROM typed")))
+def q_scan_mixed_csv(spark, sf):
+    """The typed batch scan of the mixed day files, columns by each file's header."""
+    prepare(spark)
+    return read_typed(spark, mixed_landing(spark, sf)).select(*RAW_COLUMNS, F.expr(_DIA).alias("dia"))
+
+
 @register("silver_stream", O.with_ctes(O.silver_ctes(), select=f"SELECT {', '.join(_SILVER_NOFILE)} FROM silver"))
 def q_silver_stream(spark, sf):
     lake, _ = streamed_lake(spark, sf)
@@ -809,6 +886,44 @@ def q_touched_days(spark, sf):
     return ss.touched_days(spark, lake).withColumn("filas_entrada", F.col("filas_entrada").cast("long"))
 
 
+LATE_DAYS = "2024-01-03,2024-01-05,2024-01-10"     # days some of whose rows arrive in a second feed
+
+
+def two_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Raw positions as a first feed and the late rest: on the late days, one minute in five."""
+    prepare(spark)
+    raw = raw_positions(load_events(spark, sf))
+    time = F.col("BaseDateTime").try_cast("timestamp")
+    late = F.coalesce(day_filter(F.to_date(time), parse_days(LATE_DAYS)) & (F.minute(time) % 5 == 0), F.lit(False))
+    return raw.where(~late), raw.where(late)
+
+
+@register("gold_after_late_rows", _gold(O.SEG_CTE, O.TRAJ_CTE, select=(
+        f"SELECT *, fecha IN ({', '.join(f'DATE {str(d)!r}' for d in parse_days(LATE_DAYS))}) AS reescrito FROM traj")))
+def q_gold_after_late_rows(spark, sf):
+    """Trajectories after a second feed brought rows of old days, and whether a day's files were written again.
+
+    Gold equals gold of the whole input at once, and only the days with late rows were touched.
+    """
+    first, late = two_feeds(spark, sf)
+    root = ly.scratch_dir(spark, "late")
+    lake, cells = ss.Lake(f"{root}/lake"), land_cells(spark, sf)
+    for n, feed in enumerate((first, late)):
+        write_day_files(feed, f"{root}/landing/feed={n}")
+        daily.ingest(spark, lake, f"{root}/landing/feed={n}", cells)
+        before = {d: set(sinks.child_names(spark, f"{lake.trajectories}/fecha={d}"))
+                  for d in sinks.stored_days(spark, lake.trajectories)}
+        daily.refresh_gold(spark, lake, ports(spark))
+    again = [d for d in sinks.stored_days(spark, lake.trajectories)
+             if set(sinks.child_names(spark, f"{lake.trajectories}/fecha={d}")) != before.get(d)]
+    table = daily.gold_table(spark, lake, "trajectories")
+    return table.select(*gold_columns(spark, sf), F.col("fecha").cast("string").isin(again).alias("reescrito"))
+
+
+def gold_columns(spark: SparkSession, sf: str) -> list[str]:
+    return trajectories(spark, sf).columns
+
+
 @register("next_feed_day", _gold(select=(
         f"SELECT coalesce(max(fecha) + 1, DATE '{FIRST_FEED_DAY}') AS proximo_dia FROM silver")))
 def q_next_feed_day(spark, sf):

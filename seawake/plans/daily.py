@@ -5,7 +5,9 @@ retried by a scheduler) for the same days without duplicating rows:
 
 * bronze / silver: streams with checkpoints (each file once; retry-safe batches);
 * gate: evaluates every requested day, logs all verdicts, then raises once;
-* gold and model outputs: the requested days are replaced, other days are untouched.
+* gold and model outputs: the requested days are replaced, other days are untouched;
+* late rows: every gold table remembers the silver batch it has seen last, and the days that later batches
+  added rows to are rebuilt with the requested ones, whatever their age.
 """
 
 from __future__ import annotations
@@ -14,11 +16,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seawake.functions.dates import day_filter, parse_days
 from seawake.operators import contract as ct, forest as fo, gold, land as ld, ports as pt, quality as qa
 from seawake.schema import describe, metrics_schema, silver_schema
-from seawake.sources.csv import header_schema
 from seawake.sources.sinks import replace_days, stored, stored_days
 from seawake.streaming import bronze as br
 from seawake.streaming import silver as ss
@@ -26,8 +28,7 @@ from seawake.streaming import silver as ss
 
 def ingest_bronze(spark: SparkSession, lake: ss.Lake, landing: str, max_files_per_trigger: int | None = None) -> None:
     """Landing CSV files → bronze (drained with ``availableNow``)."""
-    schema = header_schema(spark, f"{landing}/*")
-    br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), schema, max_files_per_trigger)
+    br.run_bronze(spark, landing, lake.bronze, lake.checkpoint("bronze"), max_files_per_trigger)
 
 
 BATCH_BYTES = 8 << 30      # bronze bytes one silver micro-batch takes at most
@@ -83,13 +84,67 @@ def _silver_days(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | None)
     return ss.read_days(spark, lake.silver, silver_schema(), first, last).where(day_filter("fecha", days))
 
 
+def _stored_zones(spark: SparkSession, lake: ss.Lake, ports: DataFrame) -> DataFrame:
+    pt.port_cells(ports).write.mode("overwrite").parquet(lake.port_cells)
+    return spark.read.schema(ZONES).parquet(lake.port_cells)
+
+
+def _build_table(spark: SparkSession, lake: ss.Lake, name: str, days: list[dt.date] | None, zones: DataFrame) -> None:
+    table, build, order = GOLD[name]
+    replace_days(describe(build(_silver_days(spark, lake, days), zones), table), getattr(lake, name), days, sort_cols=order)
+
+
 def build_gold(spark: SparkSession, lake: ss.Lake, days: list[dt.date] | None, ports: DataFrame) -> None:
     """Traffic, trajectories, port cells and presence for the requested days (None: all)."""
-    silver = _silver_days(spark, lake, days)
-    pt.port_cells(ports).write.mode("overwrite").parquet(lake.port_cells)
-    zones = spark.read.schema(ZONES).parquet(lake.port_cells)
-    for name, (table, build, order) in GOLD.items():
-        replace_days(describe(build(silver, zones), table), getattr(lake, name), days, sort_cols=order)
+    zones = _stored_zones(spark, lake, ports)
+    for name in GOLD:
+        _build_table(spark, lake, name, days, zones)
+
+
+# One row per rebuild of a gold table: the newest silver batch it saw and the days it replaced.
+REFRESH_SCHEMA = "tabla string, hasta_batch bigint, dias array<date>, ts_proceso timestamp"
+
+
+def refresh_marks(spark: SparkSession, lake: ss.Lake) -> dict[str, int]:
+    """Newest silver batch that each gold table has seen; -1 before its first refresh."""
+    log = stored(spark, lake.refreshes, T.StructType.fromDDL(REFRESH_SCHEMA))
+    seen = {r.tabla: r.hasta for r in log.groupBy("tabla").agg(F.max("hasta_batch").alias("hasta")).collect()}
+    return {name: seen.get(name, -1) for name in GOLD}
+
+
+def due_days(spark: SparkSession, lake: ss.Lake, requested: list[dt.date] | None = None) -> dict[str, list[dt.date]]:
+    """Per gold table, the days to rebuild: the requested ones, and those that committed silver batches changed since its mark.
+
+    With ``requested`` days, a changed day counts only if gold holds it already (of other days nothing is out of
+    date); without, every changed day counts.
+    """
+    upto, by_mark, out = ss.committed_batch(spark, lake), {}, {}
+    known = {d for name in GOLD for d in stored_days(spark, getattr(lake, name))}
+    for name, mark in refresh_marks(spark, lake).items():
+        if mark not in by_mark:                       # usually all tables have the same mark
+            by_mark[mark] = ss.changed_days(spark, lake, mark, upto) if upto > mark else []
+        late = [d for d in by_mark[mark] if requested is None or d.isoformat() in known]
+        out[name] = sorted({*late, *(requested or [])})
+    return out
+
+
+def refresh_gold(spark: SparkSession, lake: ss.Lake, ports: DataFrame, requested: list[dt.date] | None = None
+                 ) -> dict[str, list[dt.date]]:
+    """Rebuild the due days of every gold table, move its mark, and return the days.
+
+    The mark moves after the table's days are replaced: a run that stops in between is repeated in full by
+    the next one and yields the same rows. Batches that commit while it runs lie above its mark, so their days come
+    again next time.
+    """
+    upto = ss.committed_batch(spark, lake)
+    due = due_days(spark, lake, requested)
+    zones = _stored_zones(spark, lake, ports) if any(due.values()) else None
+    for name, days in due.items():
+        if days:
+            _build_table(spark, lake, name, days, zones)
+        (spark.createDataFrame([(name, upto, days, None)], REFRESH_SCHEMA).withColumn("ts_proceso", F.current_timestamp())
+            .coalesce(1).write.mode("append").parquet(lake.refreshes))
+    return due
 
 
 def contract(spark: SparkSession, lake: ss.Lake) -> DataFrame:
@@ -129,7 +184,8 @@ def run_days(spark: SparkSession, lake: ss.Lake, landing: str, day_spec: str, po
              max_bytes_per_trigger: int = BATCH_BYTES) -> dict:
     """The whole chain for a day set ("todas" or "YYYY-MM-DD[,…]").
 
-    With ``geo_layers`` (land, lakes, rivers edges) the land mask is rebuilt from bronze
+    Days outside the set that gold holds and that received late rows since its last refresh pass the gate and are
+    rebuilt too. With ``geo_layers`` (land, lakes, rivers edges) the land mask is rebuilt from bronze
     before silver runs, as in a backfill; otherwise ``land_cells`` (or none) is used.
     """
     days = parse_days(day_spec)
@@ -140,7 +196,8 @@ def run_days(spark: SparkSession, lake: ss.Lake, landing: str, day_spec: str, po
     if days is None:
         days = [r[0] for r in stored(spark, lake.metrics, metrics_schema()).where(F.col("fecha").isNotNull())
                 .select("fecha").distinct().orderBy("fecha").collect()]       # one row per calendar day
+    days = sorted({d for due in due_days(spark, lake, days).values() for d in due})
     verdicts = gate(spark, lake, days, enforce=enforce_gate)
-    build_gold(spark, lake, days, ports)
+    refresh_gold(spark, lake, ports, days)
     model = speed_anomalies(spark, lake, days)
     return {"days": days, "gate": verdicts, "model": model}

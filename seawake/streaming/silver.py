@@ -12,6 +12,8 @@ rejects every row leaves a partition folder without files, which is an empty tab
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ class Lake:
 
     def __getattr__(self, name: str) -> str:
         if name in ("bronze", "silver", "quarantine", "metrics", "gate_log", "traffic", "trajectories",
-                    "port_cells", "presence", "features", "anomalies", "model", "model_runs", "land"):
+                    "port_cells", "presence", "features", "anomalies", "model", "model_runs", "land", "refreshes"):
             return f"{self.root}/{name}"
         raise AttributeError(name)
 
@@ -144,6 +146,19 @@ def touched_days(spark: SparkSession, lake: Lake, after_batch: int = -1) -> Data
              .groupBy("fecha").agg(F.sum("valor").alias("filas_entrada")))
 
 
+def changed_days(spark: SparkSession, lake: Lake, after_batch: int, upto: int) -> list[dt.date]:
+    """Days to which batches ``after_batch < n <= upto`` added silver rows: touched, and not only by copies of known rows.
+
+    Both sides are small: the metrics of those batches, and the (day, batch) pairs of silver, which are partition values. One
+    date per calendar day comes to the driver.
+    """
+    in_range = (F.col("batch_id") > after_batch) & (F.col("batch_id") <= upto)
+    fed = stored(spark, lake.metrics, metrics_schema()).where(in_range & (F.col("metrica") == "filas_entrada")
+                                                              & F.col("fecha").isNotNull()).select("fecha").distinct()
+    kept = silver_table(spark, lake).where(in_range).select("fecha").distinct()
+    return [r[0] for r in fed.join(kept, "fecha", "left_semi").orderBy("fecha").collect()]
+
+
 def committed_batch(spark: SparkSession, lake: Lake) -> int:
     """Newest batch the silver stream has committed; -1 before the first."""
     names = child_names(spark, f"{lake.checkpoint('silver')}/commits")

@@ -122,3 +122,46 @@ def test_gate_without_any_input_fails_cleanly(spark, tmp_root):
         daily.gate(spark, lk, [dt.date(2024, 1, 8)])
     assert "sin filas de entrada" in str(e.value)
     assert spark.read.parquet(lk.gate_log).count() == 1
+
+
+def test_late_rows_rebuild_only_the_days_they_touch(spark, tmp_root):
+    from seawake.plans.catalog import LATE_DAYS, two_feeds
+    from seawake.functions.dates import parse_days
+    from seawake.schema import silver_schema
+    from seawake.sources.sinks import child_names, stored_days
+    from seawake.streaming import silver as ss
+    first, late = two_feeds(spark, SF_SMALL)
+    lk, zones = Lake(os.path.join(tmp_root, "lake")), pt.port_cells(fixture_ports(spark))
+    late_days = parse_days(LATE_DAYS)
+
+    def files():
+        return {(n, d): set(child_names(spark, f"{getattr(lk, n)}/fecha={d}"))
+                for n in daily.GOLD for d in stored_days(spark, getattr(lk, n))}
+
+    write_day_files(first, os.path.join(tmp_root, "landing", "a"))
+    daily.ingest(spark, lk, os.path.join(tmp_root, "landing", "a"))
+    assert set(daily.refresh_marks(spark, lk).values()) == {-1}
+    daily.refresh_gold(spark, lk, fixture_ports(spark))
+    before, mark = files(), daily.refresh_marks(spark, lk)
+    assert daily.due_days(spark, lk) == {n: [] for n in daily.GOLD}        # nothing new: nothing due
+
+    write_day_files(late, os.path.join(tmp_root, "landing", "b"))
+    daily.ingest(spark, lk, os.path.join(tmp_root, "landing", "b"))
+    asked = [dt.date(2024, 1, 20)]
+    assert daily.due_days(spark, lk, asked) == {n: sorted([*late_days, *asked]) for n in daily.GOLD}
+    assert daily.refresh_gold(spark, lk, fixture_ports(spark)) == {n: late_days for n in daily.GOLD}
+    after = files()
+    for n in daily.GOLD:
+        changed = {d for (m, d), names in after.items() if m == n and names != before.get((n, d))}
+        assert changed <= {str(d) for d in late_days} and (changed or n == "presence")
+        assert daily.refresh_marks(spark, lk)[n] > mark[n]
+        table, build, _ = daily.GOLD[n]
+        want = build(ss.silver_table(spark, lk), zones)
+        got = daily.gold_table(spark, lk, n).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+    # the same feed once more: its rows are known, so no day changed
+    ss.SilverBatch(lk)(spark.read.parquet(lk.bronze).where(F.col("_source_file").contains("/b/")), ss.committed_batch(spark, lk) + 1)
+    assert ss.changed_days(spark, lk, ss.committed_batch(spark, lk), 10**6) == []
+    assert ss.touched_days(spark, lk, ss.committed_batch(spark, lk)).count() == len(late_days)
+    assert ss.silver_table(spark, lk).schema.names == silver_schema().names

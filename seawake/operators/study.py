@@ -6,6 +6,10 @@ Every profile is one aggregation pass (``count_if`` columns) instead of one job
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,13 +125,31 @@ def optional_profile(dp: DataFrame) -> DataFrame:
     return dp.agg(*_optional_counts())
 
 
-def _report_groups(dp: DataFrame) -> DataFrame:
+def row_hash(dp: DataFrame) -> tuple[Column, Column]:
+    """128 bits of a whole row in two numbers; which fields are null is part of it, and -0.0 is 0.0 as in a grouping."""
+    kinds = dict(dp.dtypes)
+    values = [F.col(c) + F.lit(0.0).cast(kinds[c]) if kinds[c] in ("float", "double") else F.col(c) for c in RAW_COLUMNS]
+    missing = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in RAW_COLUMNS])
+    return F.xxhash64(missing, *values), F.xxhash64(F.lit("second"), *values, missing)
+
+
+def report_groups(dp: DataFrame, hashed: Callable[[DataFrame], tuple[Column, Column]] = row_hash) -> DataFrame:
     """One row per (MMSI, time): reports ``n``, distinct reports, and the copies of the most copied one.
 
-    Identical rows are folded first, then keys: two partially aggregated groupings of one scan.
+    Hash first: all rows are grouped by key and hash alone, and a row without a double there is a report of its own. Only rows
+    that share key and hash are read again and compared column by column, so few whole rows are shuffled, and equal hashes of
+    different rows are told apart.
     """
-    identical = dp.groupBy(*RAW_COLUMNS).agg(F.count("*").alias("copies"))
-    return identical.groupBy("MMSI", "BaseDateTime").agg(
+    first, second = hashed(dp)
+    slim = dp.select("MMSI", "BaseDateTime", first.alias("h1"), second.alias("h2"))
+    by_hash = slim.groupBy("MMSI", "BaseDateTime", "h1", "h2").agg(F.count("*").alias("copies"))
+    alone = by_hash.where("copies = 1").select("MMSI", "BaseDateTime", "copies")
+    again = by_hash.where("copies > 1").select(*[F.col(c).alias(f"_{c}") for c in ("MMSI", "BaseDateTime", "h1", "h2")])
+    same = [F.col("h1") == F.col("_h1"), F.col("h2") == F.col("_h2"),
+            F.col("MMSI").eqNullSafe(F.col("_MMSI")), F.col("BaseDateTime").eqNullSafe(F.col("_BaseDateTime"))]
+    whole = (dp.select(*RAW_COLUMNS, first.alias("h1"), second.alias("h2")).join(again, reduce(and_, same), "left_semi")
+             .groupBy(*RAW_COLUMNS).agg(F.count("*").alias("copies")).select("MMSI", "BaseDateTime", "copies"))
+    return alone.unionByName(whole).groupBy("MMSI", "BaseDateTime").agg(
         F.sum("copies").alias("n"), F.count("*").alias("variants"), F.max("copies").alias("most_copies"))
 
 
@@ -138,7 +160,7 @@ _CONFLICT = "n > 1 AND (most_copies = 1 OR MMSI IS NULL OR BaseDateTime IS NULL)
 
 def duplicate_profile(dp: DataFrame) -> DataFrame:
     """Exact duplicates, keys with several reports, the rows they hold, and keys in conflict."""
-    return _report_groups(dp).agg(
+    return report_groups(dp).agg(
         F.sum(F.expr("n - variants")).cast("long").alias("duplicados_exactos"),
         F.count_if(F.expr(_SHARED_KEY)).alias("grupos_llave"),
         F.coalesce(F.sum(F.expr(f"CASE WHEN {_SHARED_KEY} THEN n END")), F.lit(0)).cast("long")
@@ -148,7 +170,7 @@ def duplicate_profile(dp: DataFrame) -> DataFrame:
 
 def key_conflicts(dp: DataFrame) -> DataFrame:
     """(MMSI, time) keys with several reports, none of them an exact copy of another."""
-    return _report_groups(dp).where(_CONFLICT).select("MMSI", "BaseDateTime", "n")
+    return report_groups(dp).where(_CONFLICT).select("MMSI", "BaseDateTime", "n")
 
 
 def type_mix(dp: DataFrame) -> DataFrame:
@@ -421,13 +443,7 @@ def box_summary(opt: DataFrame) -> DataFrame:
 
 
 def bronze_duplicates(bronze: DataFrame) -> DataFrame:
-    """On the raw text: rows, and rows beyond the first per (MMSI, time) key and per identical row.
-
-    Each count is "rows minus groups" of one partially aggregated grouping, so hot keys are
-    collapsed map-side before any shuffle.
-    """
-    keys = bronze.groupBy("MMSI", "BaseDateTime").agg(F.count(F.lit(1)).alias("n"))
-    rows = bronze.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    return rows.agg(F.sum("n").cast("long").alias("total"),
-                    keys.agg(F.sum(F.col("n") - 1)).scalar().cast("long").alias("dup_llave"),
-                    F.sum(F.col("n") - 1).cast("long").alias("dup_exactos"))
+    """On the raw text: rows, and rows beyond the first per (MMSI, time) key and per identical row."""
+    return report_groups(bronze).agg(
+        F.sum("n").cast("long").alias("total"), (F.sum("n") - F.count("*")).cast("long").alias("dup_llave"),
+        F.sum(F.col("n") - F.col("variants")).cast("long").alias("dup_exactos"))

@@ -127,7 +127,6 @@ def test_gate_without_any_input_fails_cleanly(spark, tmp_root):
 def test_late_rows_rebuild_only_the_days_they_touch(spark, tmp_root):
     from seawake.plans.catalog import LATE_DAYS, two_feeds
     from seawake.functions.dates import parse_days
-    from seawake.schema import silver_schema
     from seawake.sources.sinks import child_names, stored_days
     from seawake.streaming import silver as ss
     first, late = two_feeds(spark, SF_SMALL)
@@ -164,4 +163,3 @@ def test_late_rows_rebuild_only_the_days_they_touch(spark, tmp_root):
     ss.SilverBatch(lk)(spark.read.parquet(lk.bronze).where(F.col("_source_file").contains("/b/")), ss.committed_batch(spark, lk) + 1)
     assert ss.changed_days(spark, lk, ss.committed_batch(spark, lk), 10**6) == []
     assert ss.touched_days(spark, lk, ss.committed_batch(spark, lk)).count() == len(late_days)
-    assert ss.silver_table(spark, lk).schema.names == silver_schema().names

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from _compare import compare, duck
+from tests._compare import compare, duck
 from tests._paths import SF_SMALL
 
 ORACLE = E.oracle_sql()
@@ -15,7 +15,14 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    compare(E.queries()[name](spark, SF_SMALL), con, ORACLE[name])
+    df = E.queries()[name](spark, SF_SMALL)
+    no_cartesian_product(df)
+    compare(df, con, ORACLE[name])
+
+
+def no_cartesian_product(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_every_query_runs_or_has_oracle(spark):
@@ -23,6 +30,7 @@ def test_every_query_runs_or_has_oracle(spark):
     assert set(ORACLE) <= set(q)
     for name in sorted(set(q) - set(ORACLE)):
         df = q[name](spark, SF_SMALL)
+        no_cartesian_product(df)
         assert df.count() >= 0, name
 
 

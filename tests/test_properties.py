@@ -102,3 +102,28 @@ def test_empty_inputs_do_not_divide_by_zero(spark):
     m = spark.createDataFrame([], "fecha date, metrica string, valor long")
     t = spark.createDataFrame([], "fecha date, mmsi string")
     assert db.day_kpis(t, t, m, "2024-01-08").first().pct_cuarentena is None
+
+
+def test_duplicate_counts_do_not_depend_on_the_hash(spark):
+    """Rows whose hashes collide are told apart by their columns."""
+    from seawake.operators import study as st
+    from seawake.plans import catalog as C
+    from tests._paths import SF_SMALL
+    dp = C.typed(spark, SF_SMALL).cache()
+    null_keys = dp.limit(40).withColumn("MMSI", F.lit(None).cast("string"))
+    dp = dp.unionByName(null_keys).unionByName(null_keys.limit(7))
+    want = (dp.groupBy(*st.RAW_COLUMNS).agg(F.count("*").alias("copies")).groupBy("MMSI", "BaseDateTime")
+            .agg(F.sum("copies").alias("n"), F.count("*").alias("variants"), F.max("copies").alias("most_copies")))
+    rows = sorted(map(str, want.collect()))
+    for hashed in (st.row_hash, lambda d: (F.lit(1).cast("long"), F.lit(2).cast("long")),
+                   lambda d: (F.xxhash64("MMSI"), F.xxhash64("LAT") % 3)):
+        assert sorted(map(str, st.report_groups(dp, hashed).collect())) == rows
+
+
+def test_row_hash_sees_nulls_and_signed_zeros(spark):
+    from seawake.operators import study as st
+    rows = [dict.fromkeys(st.RAW_COLUMNS), {"MMSI": "a"}, {"VesselName": "a"}, {"LAT": 0.0}, {"LAT": -0.0}, {"LON": 0.0}]
+    from seawake.schema import TYPED_DDL
+    df = spark.createDataFrame([tuple(r.get(c) for c in st.RAW_COLUMNS) for r in rows], TYPED_DDL)
+    got = [tuple(r) for r in df.select(*st.row_hash(df)).collect()]
+    assert got[3] == got[4] and len({h[0] for h in got}) == len({h[1] for h in got}) == 5

@@ -1,4 +1,7 @@
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from seawake.llm import rules
 from tests.llm.conftest import frame
@@ -48,12 +51,45 @@ def test_kept_implies_base_passed_and_columns_stay(docs):
     assert rules.keep_good(docs).columns == docs.columns
 
 
+def long_texts(n, junk):
+    """Long texts, no window twice in any; the share ``junk`` of them is full of symbols."""
+    return [" ".join(f"w{i}x{k}" for k in range(600)) + (" ### *** %%%" * 120 if i < junk * n else "") for i in range(n)]
+
+
 def test_order_is_by_rejections_per_cost(spark):
-    df = frame(spark, ["&&& " * 40] * 50 + ["word"] * 50)
-    seen = {n: (s, share) for n, s, share in rules.estimate(df)}
-    assert seen["symbols"][1] == 0.5 and seen["few_words"][1] == 0.5
+    seen = [("dear", 8e-5, 0.5), ("none_dear", 9e-5, 0.0), ("cheap", 1e-6, 0.4), ("same_cost", 1.2e-6, 0.41), ("none", 1e-6, 0.0)]
+    assert rules.by_rate(seen) == ["same_cost", "cheap", "dear", "none", "none_dear"]
+    df = frame(spark, long_texts(300, 0.8) + ["word"] * 20)
+    got = {n: (s, share) for n, s, share in rules.estimate(df)}
+    assert abs(got["symbols"][1] - 0.75) < 0.01 and abs(got["few_words"][1] - 0.0625) < 0.01 and got["duplicate_lines"][1] == 0
+    assert got["repeated_words"][0] > 4 * got["few_words"][0]           # windows cost more than a count, words being cut
     order = [r.name for r in rules.plan(df)]
-    assert set(order[:2]) <= {"symbols", "few_words", "repeated_words"}
+    assert order.index("symbols") < order.index("repeated_words")       # it spares the dear rule three quarters of the rows
+    assert order.index("few_words") < order.index("repeated_words") and order.index("symbols") < order.index("duplicate_lines")
+
+
+def test_order_saves_work(spark):
+    df = frame(spark, long_texts(400, 0.9) * 5).cache()
+    df.count()
+
+    def seconds(order):
+        best = 99.0
+        for _ in range(3):
+            began = time.perf_counter()
+            df.agg(F.count(rules.judge(df["text"], order))).collect()
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    order = rules.plan(df)
+    assert seconds(order) < 0.8 * seconds(order[::-1])
+
+
+def test_unreported_measures_stand_inside_the_cascade_only(docs):
+    plan = rules.judged(docs, rules.RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "!!" in plan
+    for line in plan.split("\n"):                    # the doubled exclamation marks occur behind a CASE of the same line only
+        assert "!!" not in line or 0 <= line.index("CASE WHEN") < line.index("!!")
+    assert " AS n_shouts" not in plan and " AS n_lines" not in plan
 
 
 def test_empty_table(no_docs):

@@ -10,9 +10,13 @@ passages count in full. A document is contaminated by an item at coverage ``MIN_
 
 The benchmark is the query set: it is read in blocks of at most ``BLOCK_ITEMS`` items, each
 block is broadcast (its size is bounded by that count and by ``BLOCK_CHARS``), and all
-documents are scanned against it. Documents are never shuffled, joined or paired with each
-other; the work of a document is linear in its text plus its matches. An item longer than ``BLOCK_CHARS`` forms
-a block of its own.
+documents are scanned against it. Where there are several blocks, the result of one is written and its broadcast
+released before the next is read, so the driver and the workers hold one block at a time. Documents are never shuffled,
+joined or paired with each other. An item longer than ``BLOCK_CHARS`` forms a block of its own.
+
+A document's work is linear in its text plus its seed matches. Those are joined into runs in slices of ``SLICE`` matches,
+so a text that repeats a seed of an item over and over takes memory for its runs only, and tiling ends as soon as the item has no
+unmarked stretch of a tile's length left.
 
 Edge cases: null and empty texts match nothing; an item with fewer than ``MIN_TILE`` tokens is
 tiled with tiles of its own length; an item without tokens matches nothing; repeated items and
@@ -39,6 +43,8 @@ MIN_TILE = 4
 MIN_COVERAGE = 0.5
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16_000_000
+SLICE = 1 << 20          # seed matches joined at a time
+SEED = 5
 
 _TOKEN = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)     # odd multiplier of the rolling hash, modulo 2^64
@@ -71,7 +77,8 @@ def tile(runs: list[tuple[int, int, int]], item_len: int, least: int) -> list[tu
     heapq.heapify(heap)
     item_marked, doc_marked = bytearray(item_len), set()
     tiles = []
-    while heap:
+    room = bytes(least)
+    while heap and room in item_marked:
         n, p, d = heapq.heappop(heap)
         free = [not item_marked[p + i] and d + i not in doc_marked for i in range(-n)]
         if all(free):
@@ -100,6 +107,36 @@ def join_seeds(p: np.ndarray, d: np.ndarray, width: int) -> list[tuple[int, int,
     return list(zip(p[first].tolist(), d[first].tolist(), (p[last] - p[first] + width).tolist(), strict=True))
 
 
+class Runs:
+    """Runs of the items a document shares seeds with, from slices of matches in the order of the document."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.done: dict[int, list[tuple[int, int, int]]] = {}
+        self.open: dict[tuple[int, int], list[int]] = {}       # (item, diagonal) -> [item start, document start, length] up to the slice's end
+
+    def add(self, item: int, p: np.ndarray, d: np.ndarray, border: int) -> None:
+        """Matches of one slice; ``border`` is the first document position of the next one."""
+        runs = self.done.setdefault(item, [])
+        for start, doc, n in join_seeds(p, d, self.width):
+            key = (item, doc - start)
+            before = self.open.get(key)
+            if before and before[1] + before[2] - self.width + 1 == doc:      # goes on where the last slice stopped
+                before[2] += n
+                before[2] -= self.width - 1
+            else:
+                if before:
+                    runs.append(tuple(before))
+                self.open[key] = before = [start, doc, n]
+            if before[1] + before[2] - self.width + 1 < border:               # ended inside the slice
+                runs.append(tuple(self.open.pop(key)))
+
+    def all(self) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+        for (item, _), run in self.open.items():
+            self.done[item].append(tuple(run))
+        yield from sorted(self.done.items())
+
+
 class Block:
     """One block of benchmark items with the seeds of each tile width."""
 
@@ -142,11 +179,20 @@ class Block:
             at, lo, count = at[hit], lo[hit], count[hit]
             if not len(at):
                 continue
-            ends = np.cumsum(count)
-            slot = np.repeat(lo - (ends - count), count) + np.arange(ends[-1])
-            yield from self._tiles(ids, width, np.repeat(at, count), owner[slot], place[slot])
-
-    def _tiles(self, ids, width, d, owner, p):
+            ends, runs, a = np.cumsum(count), Runs(width), 0
+            while a < len(at):                                  # slices of whole document positions
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + SLICE, "right")))
+                many = count[a:b]
+                until = np.cumsum(many)
+                slot = np.repeat(lo[a:b] - (until - many), many) + np.arange(until[-1])
+                self._slice(runs, ids, width, np.repeat(at[a:b], many), owner[slot], place[slot],
+                            int(at[b]) if b < len(at) else len(ids) + 1)
+                a = b
+            for k, found in runs.all():
+                if found:
+                    yield k, tile(found, len(self.items[k][1]), width)
+
+    def _slice(self, runs: Runs, ids, width, d, owner, p, border) -> None:
         order = np.argsort(owner, kind="stable")
         d, owner, p = d[order], owner[order], p[order]
         edges = np.flatnonzero(np.diff(owner)) + 1
@@ -158,8 +204,7 @@ class Block:
             for i in range(width):                              # equal hashes: compare the tokens
                 same &= item[gp + i] == ids[gd + i]
             if same.any():
-                runs = join_seeds(gp[same], gd[same], width)
-                yield k, tile(runs, len(item), width)
+                runs.add(k, gp[same], gd[same], border)
 
     def matches(self, text: str, threshold: float) -> list[tuple[int | None, float, int, int, int]]:
         """(item_id, coverage, tiles, longest tile, item tokens) of the items ``text`` contains."""
@@ -172,62 +217,76 @@ class Block:
         return found
 
 
-def blocks(benchmark: DataFrame) -> Iterator[Block]:
-    """The benchmark in blocks; one block at a time comes to the driver."""
+def blocks(benchmark: DataFrame) -> tuple[int, Iterator[Block]]:
+    """How many blocks the benchmark may have, and the blocks; one at a time comes to the driver."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = F.length("text")
-    # blocks are cut along a hash order by running totals of items and characters, per hash slice
+    # random slices (equal items fall apart), each cut along running totals of items and characters
     total = rows.agg(F.count("*"), F.sum(size)).first()
     slices = max(1, -(-total[0] // BLOCK_ITEMS), -(-(total[1] or 0) // BLOCK_CHARS))
     if slices == 1:
-        yield Block([tuple(r) for r in rows.collect()])
-        return
-    by = W.partitionBy("slice").orderBy("item_id", "text").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cut = settle(rows.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)))
-                 .withColumn("part", F.greatest(F.floor(F.count("*").over(by) / BLOCK_ITEMS),
-                                                F.floor(F.sum(size).over(by) / BLOCK_CHARS))), "benchmark")
-    for s in range(slices):
-        one = cut.where(F.col("slice") == s)
-        last = one.agg(F.max("part")).first()[0]
-        for part in range(0 if last is None else last + 1):
-            got = one.where(F.col("part") == part).select("item_id", "text").collect()
-            if got:
-                yield Block([tuple(r) for r in got])
+        return 1, iter([Block([tuple(r) for r in rows.collect()])])
+    dealt = settle(rows.withColumn("slice", F.floor(F.rand(SEED) * slices)).withColumn("row", F.monotonically_increasing_id()), "benchmark")
+    by = W.partitionBy("slice").orderBy("row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cut = settle(dealt.withColumn("part", F.greatest(F.floor(F.count("*").over(by) / BLOCK_ITEMS),
+                                                     F.floor(F.sum(size).over(by) / BLOCK_CHARS))), "benchmark-blocks")
+
+    def each() -> Iterator[Block]:
+        for s in range(slices):
+            one = cut.where(F.col("slice") == s)
+            last = one.agg(F.max("part")).first()[0]
+            for part in range(0 if last is None else last + 1):
+                got = one.where(F.col("part") == part).select("item_id", "text").collect()
+                if got:
+                    yield Block([tuple(r) for r in got])
+
+    return slices, each()
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN_COVERAGE) -> DataFrame:
     """One row per document and benchmark item it contains: coverage, tiles, longest tile."""
     spark = prepare(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for block in blocks(benchmark):
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+    many, each = blocks(benchmark)
+    out = spark.createDataFrame([], MATCH) if many > 1 else None
+    for block in each:
         shared = spark.sparkContext.broadcast(block)
 
         def run(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             rows = [(i, *m) for i, t in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True)
                     for m in shared.value.matches(t, threshold)]
             columns = list(zip(*rows, strict=True)) or [[]] * len(MATCH)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                               names=MATCH.names)
 
         found = map_columns(slim, run, MATCH)
-        out = found if out is None else out.unionAll(found)
+        if out is None:
+            return found
+        out = out.unionAll(settle(found, "contaminations"))
+        shared.unpersist()
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN_COVERAGE) -> DataFrame:
-    """Rows of ``docs`` that contain no benchmark item; nothing is shuffled."""
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = MIN_COVERAGE, least: int = MIN_TILE) -> DataFrame:
+    """Rows of ``docs`` that contain no benchmark item of ``least`` or more tokens; nothing is shuffled.
+
+    Shorter items are words that clean documents hold too; ``contaminations`` reports them all the same.
+    """
     spark = prepare(docs.sparkSession)
     at = docs.columns.index("text")
-    for block in blocks(benchmark):
+    many, each = blocks(benchmark)
+    for block in each:
         shared = spark.sparkContext.broadcast(block)
 
         def run(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            clean = [not shared.value.matches(t, threshold) for t in strings(b.column(at))]
+            clean = [all(m[-1] < least for m in shared.value.matches(t, threshold)) for t in strings(b.column(at))]
             return b.filter(pa.array(clean, pa.bool_()))
 
         docs = map_columns(docs, run, docs.schema)
+        if many > 1:
+            docs = settle(docs, "decontaminated")
+            shared.unpersist()
     return docs
 
 

@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 
 from seawake.llm import decontam
 from seawake.llm.decontam import Block, tile, tokens
@@ -39,6 +41,59 @@ def test_tiles_equal_brute_force():
         assert (got[0] if got else []) == slow_tiles(item, doc, least)
 
 
+def test_slices_change_nothing(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcd"[:rng.randint(1, 4)]) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(3, 12)))) for i in range(6)]
+    block = Block(items, least=3)
+    whole = [{k: t for k, t in block.compare(x)} for x in texts]
+    for size in (1, 2, 7, 50):
+        monkeypatch.setattr(decontam, "SLICE", size)
+        assert [{k: t for k, t in block.compare(x)} for x in texts] == whole
+
+
+def test_contaminations_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    pool = words(rng, 25)
+    items = [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(15)]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    texts += [" ".join([rng.choice(texts), items[k % 15], rng.choice(pool)]) for k in range(30)] + [None, ""]
+    want = set()
+    for d, t in enumerate(texts):
+        for i, item in enumerate(items):
+            a, b = tokens(item), tokens(t or "")
+            found = slow_tiles(a, b, min(decontam.MIN_TILE, len(a)))
+            covered = sum(n for _, _, n in found)
+            if covered >= decontam.MIN_COVERAGE * len(a):
+                want.add((d, i, round(covered / len(a), 9), len(found), max(n for _, _, n in found), len(a)))
+    bench = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate(items)], BENCH)
+    for block_items in (20_000, 4):
+        monkeypatch.setattr(decontam, "BLOCK_ITEMS", block_items)
+        rows = decontam.contaminations(frame(spark, texts), bench).collect()
+        assert {(r.doc_id, r.item_id, round(r.coverage, 9), r.n_tiles, r.longest_tile, r.item_tokens) for r in rows} == want
+        assert len(rows) == len(want) > 20
+        kept = {r.doc_id for r in decontam.drop_contaminated(frame(spark, texts), bench, least=1).collect()}
+        assert kept == set(range(len(texts))) - {d for d, *_ in want}
+
+
+def test_equal_items_fall_into_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 10)
+    bench = spark.createDataFrame([(1, "one and the same item", 0.0)] * 60, BENCH)
+    sizes = [len(b.items) for b in decontam.blocks(bench)[1]]
+    assert sum(sizes) == 60 and max(sizes) <= 10
+
+
+def test_a_repeated_token_takes_little_memory_and_time():
+    block = Block([(1, "a " * 300), (2, "a b " * 100 + "c")])
+    tracemalloc.start()
+    began = time.perf_counter()
+    got = block.matches("a " * 20_000 + "b a " * 3000, 0.5)
+    assert time.perf_counter() - began < 20
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert [(m[0], m[1]) for m in got] == [(1, 1.0), (2, 200 / 201)]
+
+
 def test_partly_covered_run_returns_to_the_queue():
     assert tile([(0, 0, 6), (4, 10, 6)], 10, 3) == [(0, 0, 6), (6, 12, 4)]
 
@@ -68,7 +123,9 @@ def test_blocks_hold_every_item_once(spark, monkeypatch):
     items = [(i, " ".join(words(rng, 6))) for i in range(50)]
     bench = spark.createDataFrame([(i, t, 0.0) for i, t in items], BENCH)
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 7)
-    got = sorted(i for b in decontam.blocks(bench) for i, _ in b.items)
+    many, each = decontam.blocks(bench)
+    got = sorted(i for b in each for i, _ in b.items)
+    assert many == 8
     assert got == list(range(50))
     docs = frame(spark, [t for _, t in items])
     assert {(r.doc_id, r.item_id) for r in decontam.contaminations(docs, bench).collect()} == {(i, i) for i in range(50)}
@@ -79,6 +136,8 @@ def test_short_items_ties_and_empty_tables(spark, docs, no_docs):
     bench = spark.createDataFrame([(1, "two words", 0.0), (1, "two words", 0.0)], BENCH)
     got = decontam.contaminations(frame(spark, ["so two words here", "two other words"], [4, 4]), bench).collect()
     assert [(r.doc_id, r.item_id) for r in got] == [(4, 1), (4, 1)]
+    kept = decontam.drop_contaminated(frame(spark, ["so two words here"]), bench)
+    assert kept.count() == 1 and decontam.drop_contaminated(kept, bench, least=2).count() == 0
     none = spark.createDataFrame([], BENCH)
     assert decontam.contaminations(docs, none).count() == 0
     assert decontam.drop_contaminated(docs, none).count() == docs.count()

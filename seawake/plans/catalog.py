@@ -1099,6 +1099,91 @@ def q_model_runs(spark, sf):
     return fo.run_record(spark, f, flagged, model, params).select(*params, "n_entrenamiento")
 
 
+# A small stored model, the same in both engines: in every tree a first split on one measure and, above its limit, a second on
+# another. Leaves hold one or two points, so path lengths are whole numbers.
+SMALL_TREES, SMALL_SAMPLE, SMALL_CONTAMINATION = 18, 64, 0.1
+_LIMITS = (11.53, 9.4717, 6.1373, 18.3719, 17.9137, 12.7193, 0.30713, 31.1379, 8.7191)       # one per measure
+
+
+def small_model() -> list[tuple]:
+    """Nodes (tree, node, feature, threshold, left, right, size)."""
+    nodes = []
+    for t in range(SMALL_TREES):
+        a, b = t % 9, (t * 2 + 1 + t // 9) % 9
+        nodes += [(t, 0, a, _LIMITS[a] * (1 + t // 9 * 0.5), 1, 2, 5), (t, 1, -1, 0.0, -1, -1, 2),
+                  (t, 2, b, _LIMITS[b] * 1.25, 3, 4, 3), (t, 3, -1, 0.0, -1, -1, 2), (t, 4, -1, 0.0, -1, -1, 1)]
+    return nodes
+
+
+def scored_by_small_model(spark: SparkSession, sf: str) -> tuple[DataFrame, fo.ForestModel]:
+    """All ship-days scored and flagged by the small model, stored and loaded like any run's."""
+    root = ly.scratch_dir(spark, "model")
+    nodes = spark.createDataFrame(small_model(), fo.NODE_SCHEMA).withColumn("modelo_version", F.lit("small"))
+    nodes.write.partitionBy("modelo_version").parquet(f"{root}/model")
+    run = spark.range(1).select(F.current_timestamp().alias("ts_entrenamiento"), F.lit("small").alias("modelo_version"),
+                                F.lit(0.0).alias("umbral"), F.lit(SMALL_SAMPLE).alias("muestra"))
+    run.write.parquet(f"{root}/runs")
+    model = fo.load_latest_model(spark, f"{root}/model", f"{root}/runs")
+    path = ly.scratch_dir(spark, "scores")
+    fo.score(features(spark, sf), model).write.parquet(path)            # used for the threshold and for the flags
+    scored = spark.read.parquet(path)
+    model.threshold = fo.threshold(scored, SMALL_CONTAMINATION)
+    return fo.flag(scored, model.threshold), model
+
+
+_SMALL_CTES = (*_FEATURE_CTES, "node(tree, node, feature, threshold, l, r, size) AS (VALUES " + ", ".join(
+    f"({t}, {n}, {f}, {x!r}::DOUBLE, {a}, {b}, {size})" for t, n, f, x, a, b, size in small_model()) + ")", """
+walk AS (
+  SELECT mmsi, fecha, tree, 0 AS node, 0 AS depth FROM features, (SELECT DISTINCT tree FROM node)
+  UNION ALL
+  SELECT w.mmsi, w.fecha, w.tree, CASE WHEN list_extract([""" + ", ".join(_INPUTS) + """], n.feature + 1) < n.threshold
+                                       THEN n.l ELSE n.r END, w.depth + 1
+  FROM walk w JOIN node n ON n.tree = w.tree AND n.node = w.node JOIN features f ON f.mmsi = w.mmsi AND f.fecha = w.fecha
+  WHERE n.feature >= 0)""", f"""
+scored AS (
+  SELECT f.*, p.s FROM features f JOIN (
+    SELECT w.mmsi, w.fecha, pow(2.0::DOUBLE, -(sum(w.depth + CASE n.size WHEN 2 THEN 1 ELSE 0 END) / {SMALL_TREES}::DOUBLE)
+                                             / {fo.c_factor(SMALL_SAMPLE)!r}::DOUBLE) AS s
+    FROM walk w JOIN node n ON n.tree = w.tree AND n.node = w.node AND n.feature < 0 GROUP BY w.mmsi, w.fecha) p
+  ON p.mmsi = f.mmsi AND p.fecha = f.fecha)""", f"""
+flagged AS (
+  SELECT *, s - thr AS puntaje, s > thr AS es_anomalia FROM scored, (
+    SELECT list_sort(list(s))[CAST(ceil({1 - SMALL_CONTAMINATION!r}::DOUBLE * count(*)) AS BIGINT)] AS thr FROM scored))""")
+
+
+def _small(select: str) -> str:
+    return _gold(*_SMALL_CTES, select=select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("model_scores", _small(
+    f"SELECT mmsi, fecha, {O.fixed('s', 6)} AS s, {O.fixed('puntaje', 6)} AS puntaje, es_anomalia FROM flagged"))
+def q_model_scores(spark, sf):
+    """Score, distance to the threshold and flag of every ship-day under a stored model."""
+    flagged, _ = scored_by_small_model(spark, sf)
+    return flagged.select("mmsi", "fecha", fixed("s", 6).alias("s"), fixed("puntaje", 6).alias("puntaje"), "es_anomalia")
+
+
+@register("model_top_anomalies", _small(f"""
+SELECT f.mmsi, t.vessel_name, f.fecha, {O.fixed('f.puntaje', 3)} AS puntaje, f.sog_max, f.v_impl_max_kn, f.delta_sog_max, f.n_posiciones
+FROM flagged f LEFT JOIN traj t ON t.mmsi = f.mmsi AND t.fecha = f.fecha WHERE f.es_anomalia
+ORDER BY f.puntaje DESC, f.mmsi, f.fecha LIMIT 10"""))
+def q_model_top_anomalies(spark, sf):
+    """The ten ship-days farthest above the threshold of a stored model, with the ship's name."""
+    flagged, model = scored_by_small_model(spark, sf)
+    top = fo.top_anomalies(fo.anomalies(flagged, trajectories(spark, sf), model))
+    return top.withColumn("puntaje", fixed("puntaje", 3))
+
+
+@register("model_overlap", _small(f"""
+SELECT con_saltos, anomalias, ambas, {O.fixed('ambas / greatest(con_saltos, 1)', 6)} AS cobertura FROM (
+  SELECT count(*) FILTER (saltos_anomalos > 0) AS con_saltos, count(*) FILTER (es_anomalia) AS anomalias,
+         count(*) FILTER (es_anomalia AND saltos_anomalos > 0) AS ambas FROM flagged)"""))
+def q_model_overlap(spark, sf):
+    """Ship-days with jumps, flagged ones, both, and the share of the jumps that the stored model flags too."""
+    flagged, _ = scored_by_small_model(spark, sf)
+    return fo.anomaly_overlap(flagged).withColumn("cobertura", fixed("cobertura", 6))
+
+
 # ----------------------------------------------------------------------------- land mask
 
 from seawake.operators import land as ld  # noqa: E402

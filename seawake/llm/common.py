@@ -15,12 +15,14 @@ from seawake.session import checkpoint_dir, ship_package
 # Rows and bytes of one Arrow batch handed to Python: texts can be long, so batches stay small.
 BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
+SCAN_ROWS = 512              # rows a Parquet scan decodes at a time: 8 KB values would else take arrays of 32 MB and more
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make the package importable by Python workers, bound Arrow batches, name the checkpoint folder."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
     ship_package(spark)
     checkpoint_dir(spark)
     return spark

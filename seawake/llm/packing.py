@@ -27,7 +27,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -67,16 +67,23 @@ def rare(text: str) -> bool:
 
 
 class Encoder:
+    """Both encoders of a vocabulary; the exact one, which few texts need, is loaded with the first of them."""
+
     def __init__(self, name: str = VOCABULARY):
         import public_tokenizers as files
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(files.path(f"{name}.json"))
+        self.file = files.path(f"{name}.json")
         with open(files.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding(name, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def ids(self, text: str) -> np.ndarray:
         """Token ids of a whole text, without the end id."""
         if rare(text):
@@ -102,8 +109,10 @@ def id_type(vocabulary: str) -> str:
 def token_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY) -> DataFrame:
     """The ids of every row (end id included) in pieces of ``length``."""
 
+    kind = id_type(vocabulary)
+
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        enc, kind, rows = encoder(vocabulary), id_type(vocabulary), []
+        enc, rows = encoder(vocabulary), []
         for doc_id, text in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
             ids = np.append(enc.ids(text), END_ID).astype(kind)
             rows += [(doc_id, len(ids), i, min(length, len(ids) - i), ids[i:i + length].tobytes())
@@ -187,9 +196,10 @@ def sequences(docs: DataFrame, length: int = LENGTH, group_docs: int = GROUP_DOC
     A sequence id is the group number times 2^40 plus the sequence's number in its group.
     """
     groups = max(1, -(-docs.count() // group_docs))
+    kind = id_type(vocabulary)                       # known before: the packing tasks load no vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, group, first = id_type(vocabulary), None, 0
+        group, first = None, 0
         tails: list[Piece] = []
         full: list[Piece] = []
 

@@ -1,19 +1,22 @@
-"""Land mask of observed cells, computed as Spark joins on 1° tiles.
+"""Land mask of observed cells, computed as Spark joins on adaptive tiles.
 
 A cell is "base land" when its box lies inside a land polygon, touches no lake and stays
 more than 0.02° from every river. It is finally "land" (positions there are quarantined)
 when it is also ≥ 5 km from any water, seen by ≤ 3 ships and ≤ 100 positions.
 
-Everything is partitioned by 1° tiles, so no step pairs a cell with edges far away:
+**Tiles.** The edges of all layers form a quadtree: a 1° tile with more than ``MOST_EDGES`` edges is split into four, and so on
+down to ``MAX_LEVEL`` levels, so a dense coast does not pile up in one join key. The tree and the edges by leaf are stored once
+and read by every step. A tile is (lvl, tx, ty): column tx and row ty of the grid of 1° / 2^lvl.
 
-* Point in polygon: the parity of a point equals the parity of its tile's reference point
+* Point in polygon: the parity of a point equals the parity of its leaf's reference point
   XOR the number of polygon edges crossed on the straight path between them (inside the
-  tile). Reference-point parities come from one pass per tile row: edge crossings of the
+  leaf). Reference-point parities come from one pass per row of leaves: edge crossings of the
   row's reference latitude, counted from the east with a window over (polygon, row).
-* Box vs edge (lakes, land boundaries) and box vs river distance: equi-join on tile.
-* Distance to the nearest water: rings of 1, 4, 16, 64 and 360 tiles; a cell is settled
-  in the first ring whose best distance is within the ring radius (exact, as anything
-  outside the ring is farther), so only cells far from water reach the wider rings.
+* Box vs edge (lakes, land boundaries) and box vs river distance: equi-join on leaves.
+* Distance to the nearest water: the occupied tiles form a pyramid, from a few wide ones down to the leaves. Every point
+  descends it by distance bounds: of the tiles met on a level it keeps those whose nearest point is not farther than the
+  farthest point of some occupied one, and goes on with their children. What is left are the leaves that may hold the nearest
+  segment. One plan, exact; segments are also searched one turn of the globe away, so distances pass the antimeridian.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from seawake.functions.geo import CELL_STEP_R7, cell_bounds, cell_center, cell_id
 from seawake.functions.numeric import fixed
+from seawake.plans.layout import scratch_dir
 
 # Fixed thresholds of the land rule (and of its sensitivity table).
 RIVER_BUFFER_DEG = 0.02
@@ -33,8 +37,10 @@ DEG_KM = 111.0
 SENSITIVITY = {"dist_min_km": [2, 5, 10], "buques_max": [3, 1], "pos_max": [None, 1000, 100]}
 RULE_TEXT = (f"tierra sin lagos, >{RIVER_BUFFER_DEG}deg de rios, >={int(DIST_MIN_KM)}km de agua, "
              f"<={SHIPS_MAX} buques, <={POSITIONS_MAX} posiciones")
-RINGS = [1, 4, 16, 64, 360]        # in tiles; the last ring covers the globe for 1° tiles
-TILE_DEG = 1.0                      # tile size; smaller tiles split coastline-heavy areas further
+TILE_DEG = 1.0                      # root tiles
+MOST_EDGES = 256                    # a tile with more edges is split,
+MAX_LEVEL = 5                       # at most so many times
+PYRAMID = (64, 16, 4, 1)            # sizes of the levels above the leaves, in root tiles
 # reference point of a tile: its centre nudged off any round coordinate
 _EX, _EY = 0.5 + 1.234567e-7, 0.5 + 7.654321e-8
 
@@ -110,6 +116,94 @@ def _edge_tiles(edges: DataFrame, margin: float = 0.0, tile: float = TILE_DEG) -
     return edges.select("*", F.explode(_tiles(x0, y0, x1, y1, tile)).alias("t")).select("*", "t.tx", "t.ty").drop("t")
 
 
+# ------------------------------------------------------------------ quadtree
+
+TILE = ["lvl", "tx", "ty"]
+
+
+def _size(tile: float) -> Column:
+    """Width of the row's tile in degrees."""
+    return F.lit(tile) * F.pow(F.lit(0.5), F.col("lvl"))
+
+
+def _root(c: str) -> Column:
+    """Column or row of the root tile above the row's tile."""
+    return F.floor(F.col(c) * F.pow(F.lit(0.5), F.col("lvl")))
+
+
+def _turn(tile: float) -> Column:
+    """Columns of the row's level in one turn of the globe."""
+    return (F.lit(round(360 / tile)) * F.pow(F.lit(2.0), F.col("lvl"))).cast("long")
+
+
+def _touches(tile: float) -> Column:
+    """Whether the edge and the closed tile of a row meet."""
+    size = _size(tile)
+    x0, y0 = F.col("tx") * size, F.col("ty") * size
+    return _seg_box_hit(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), x0, y0, x0 + size, y0 + size)
+
+
+def _children() -> Column:
+    return F.array(*[F.struct((F.col("tx") * 2 + i).alias("tx"), (F.col("ty") * 2 + j).alias("ty")) for i in (0, 1) for j in (0, 1)])
+
+
+class Tiling:
+    """Quadtree over edges: ``nodes`` (lvl, tx, ty, leaf) of the split root tiles and all below, ``edges`` by leaf."""
+
+    def __init__(self, nodes: DataFrame, edges: DataFrame, tile: float, levels: int):
+        self.nodes, self.edges, self.tile, self.levels = nodes, edges, tile, levels
+
+    def leaves_of(self, rows: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
+        """``rows`` with every leaf (lvl, tx, ty) that their box overlaps: of each level's tiles those that are leaves.
+
+        Root tiles that were not split are leaves too, though the tree does not list them.
+        """
+        tiles = F.concat(*[_level_tiles(x0, y0, x1, y1, self.tile, lvl) for lvl in range(self.levels + 1)])
+        keyed = rows.select("*", F.explode(tiles).alias("_t")).select("*", "_t.lvl", "_t.tx", "_t.ty").drop("_t")
+        if not self.levels:                               # no tile was split
+            return keyed
+        known = keyed.join(self.nodes, TILE, "left")
+        return known.where(F.coalesce("leaf", F.col("lvl") == 0)).drop("leaf")
+
+
+def _level_tiles(x0: Column, y0: Column, x1: Column, y1: Column, tile: float, lvl: int) -> Column:
+    return F.transform(_tiles(x0, y0, x1, y1, tile / 2 ** lvl),
+                       lambda t: F.struct(F.lit(lvl).alias("lvl"), t["tx"].alias("tx"), t["ty"].alias("ty")))
+
+
+def build_tiling(edges: DataFrame, tile: float = TILE_DEG, most: int = MOST_EDGES, levels: int = MAX_LEVEL) -> Tiling:
+    """The quadtree of ``edges`` (layer, poly, x1, y1, x2, y2), stored; both tables are read back by every step.
+
+    Level by level: the edges of a level's tiles are written, and only those of crowded tiles go on to the next. A feed without
+    crowded tiles ends after the first level.
+    """
+    spark, root = edges.sparkSession, scratch_dir(edges.sparkSession, "tiling")
+    shape = ["layer", "poly", "x1", "y1", "x2", "y2"]
+    at = _edge_tiles(edges, tile=tile).withColumn("lvl", F.lit(0)).where(_touches(tile)).select(*shape, *TILE)
+    done, nodes = None, spark.createDataFrame([], "lvl int, tx bigint, ty bigint, leaf boolean")
+    for lvl in range(levels + 1):
+        at.write.parquet(f"{root}/level={lvl}")
+        at = spark.read.schema(at.schema).parquet(f"{root}/level={lvl}")
+        split = at.groupBy(*TILE).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*TILE)
+        last = lvl == levels or split.isEmpty()
+        stay = at if last else at.join(split, TILE, "left_anti")
+        done = stay if done is None else done.unionByName(stay)
+        if last:
+            break
+        below = split.select((F.col("lvl") + 1).alias("lvl"), F.explode(_children()).alias("t")).select("lvl", "t.tx", "t.ty")
+        nodes = (nodes.join(split.withColumn("_split", F.lit(True)), TILE, "left")
+                 .select(*TILE, (F.col("leaf") & F.col("_split").isNull()).alias("leaf"))
+                 .unionByName(below.withColumn("leaf", F.lit(True))))
+        if lvl == 0:
+            nodes = nodes.unionByName(split.withColumn("leaf", F.lit(False)))
+        at = (at.join(split, TILE, "left_semi").select(*shape, (F.col("lvl") + 1).alias("lvl"), F.explode(_children()).alias("t"))
+                .select(*shape, "lvl", "t.tx", "t.ty").where(_touches(tile)))
+    nodes.write.parquet(f"{root}/nodes")
+    done.write.parquet(f"{root}/edges")
+    return Tiling(spark.read.schema(nodes.schema).parquet(f"{root}/nodes"),
+                  spark.read.schema(done.schema).parquet(f"{root}/edges"), tile, lvl)
+
+
 def edge_traffic(edges: DataFrame, bronze: DataFrame) -> DataFrame:
     """Each edge with the positions observed in the 1° tiles its bounding box touches.
 
@@ -126,40 +220,46 @@ def edge_traffic(edges: DataFrame, bronze: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ point in polygon
 
-def corners_inside(boxes: DataFrame, poly_edges: DataFrame, tile: float = TILE_DEG) -> DataFrame:
-    """(h3, poly, n_inside): how many of the 4 cell corners lie inside each candidate polygon."""
+def corners_inside(boxes: DataFrame, layer: str, tiling: Tiling) -> DataFrame:
+    """(h3, poly, n_inside): how many of the 4 cell corners lie inside each candidate polygon of a layer."""
     corners = boxes.select("h3", F.posexplode(F.array(*[F.struct(cx.alias("px"), cy.alias("py"))
                                                         for cx, cy in _corners(F.col("bx0"), F.col("by0"),
                                                                                 F.col("bx1"), F.col("by1"))]))
                            .alias("k", "p")).select("h3", "k", "p.px", "p.py")
-    corners = corners.withColumn("tx", F.floor(F.col("px") / tile)).withColumn("ty", F.floor(F.col("py") / tile))
-    ctiles = corners.select("tx", "ty").distinct()
-
-    # candidate (polygon, tile) pairs from polygon bounding boxes, restricted to corner tiles
-    bbox = poly_edges.groupBy("poly").agg(F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
-                                          F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1"))
+    corners = tiling.leaves_of(corners, F.col("px"), F.col("py"), F.col("px"), F.col("py"))
+    roots = [_root(c).alias(f"r{c}") for c in ("tx", "ty")]
+    ctiles = corners.select(*TILE).distinct().select(*TILE, *roots)
+
+    # candidate (polygon, leaf) pairs: root tiles of the polygons' bounding boxes, and the corners' leaves in them
+    tile = tiling.tile
+    edges = tiling.edges.where(F.col("layer") == layer)
+    whole = edges.select("poly", "x1", "y1", "x2", "y2").distinct()            # an edge is stored once a leaf
+    bbox = whole.groupBy("poly").agg(F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
+                                     F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1"))
     cand = (bbox.select("poly", F.explode(_tiles(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), tile)).alias("t"))
-                .select("poly", "t.tx", "t.ty").join(ctiles, ["tx", "ty"]))
-
-    # parity of each tile's reference point: crossings of its row's reference latitude east of it
-    rows = poly_edges.select("poly", "x1", "y1", "x2", "y2",
-                             F.explode(F.sequence(F.floor(F.least("y1", "y2") / tile),
-                                                  F.floor(F.greatest("y1", "y2") / tile))).alias("ty"))
-    y0 = (F.col("ty") + _EY) * tile
+                .select("poly", F.col("t.tx").alias("rtx"), F.col("t.ty").alias("rty")).join(ctiles, ["rtx", "rty"])
+                .select("poly", *TILE))
+
+    # parity of each leaf's reference point: crossings of its row's reference latitude east of it
+    y0 = (F.col("ty") + _EY) * _size(tile)
+    spans = F.concat(*[_rows_at(tile, lvl) for lvl in range(tiling.levels + 1)])
+    rows = (whole.select("*", F.explode(spans).alias("t")).select("poly", "x1", "y1", "x2", "y2", "t.lvl", "t.ty")
+                 .join(cand.select("poly", "lvl", "ty").distinct(), ["poly", "lvl", "ty"], "left_semi"))
     events = (rows.where((F.col("y1") > y0) != (F.col("y2") > y0))
-                  .select("poly", "ty", (F.col("x1") + (y0 - F.col("y1")) * (F.col("x2") - F.col("x1"))
-                                          / (F.col("y2") - F.col("y1"))).alias("x"),
+                  .select("poly", "lvl", "ty", (F.col("x1") + (y0 - F.col("y1")) * (F.col("x2") - F.col("x1"))
+                                                 / (F.col("y2") - F.col("y1"))).alias("x"),
                           F.lit(1).alias("ev"), F.lit(None).cast("bigint").alias("tx")))
-    queries = cand.select("poly", "ty", ((F.col("tx") + _EX) * tile).alias("x"), F.lit(0).alias("ev"), "tx")
-    w = Window.partitionBy("poly", "ty").orderBy(F.desc("x"), F.desc("ev")).rowsBetween(Window.unboundedPreceding, 0)
+    queries = cand.select("poly", "lvl", "ty", ((F.col("tx") + _EX) * _size(tile)).alias("x"), F.lit(0).alias("ev"), "tx")
+    w = (Window.partitionBy("poly", "lvl", "ty").orderBy(F.desc("x"), F.desc("ev"))
+         .rowsBetween(Window.unboundedPreceding, 0))
     parity = (events.unionByName(queries).withColumn("n_east", F.sum("ev").over(w))
-                    .where(F.col("ev") == 0).select("poly", "tx", "ty", (F.col("n_east") % 2).alias("par0")))
+                    .where(F.col("ev") == 0).select("poly", *TILE, (F.col("n_east") % 2).alias("par0")))
 
-    # crossings on the path reference point → corner, with the polygon's edges of that tile
-    et = _edge_tiles(poly_edges, tile=tile).select("poly", "tx", "ty", "x1", "y1", "x2", "y2")
-    pc = corners.join(parity, ["tx", "ty"])
-    rx, ry = (F.col("tx") + _EX) * tile, (F.col("ty") + _EY) * tile
-    hits = (pc.join(et, ["poly", "tx", "ty"], "left")
+    # crossings on the path reference point → corner, with the polygon's edges of that leaf
+    et = edges.select("poly", *TILE, "x1", "y1", "x2", "y2")
+    pc = corners.join(parity, TILE)
+    rx, ry = (F.col("tx") + _EX) * _size(tile), (F.col("ty") + _EY) * _size(tile)
+    hits = (pc.join(et, ["poly", *TILE], "left")
               .groupBy("h3", "k", "poly", "par0")
               .agg(F.count_if(_cross(rx, ry, F.col("px"), F.col("py"), F.col("x1"), F.col("y1"),
                                      F.col("x2"), F.col("y2"))).alias("n_cross")))
@@ -167,72 +267,112 @@ def corners_inside(boxes: DataFrame, poly_edges: DataFrame, tile: float = TILE_D
     return inside.groupBy("h3", "poly").agg(F.count(F.lit(1)).alias("n_inside"))
 
 
-def edges_hitting(boxes: DataFrame, edges: DataFrame, tile: float = TILE_DEG) -> DataFrame:
+def _rows_at(tile: float, lvl: int) -> Column:
+    """(lvl, ty) of the rows of one level that an edge spans."""
+    size = tile / 2 ** lvl
+    return F.transform(F.sequence(F.floor(F.least("y1", "y2") / size), F.floor(F.greatest("y1", "y2") / size)),
+                       lambda ty: F.struct(F.lit(lvl).alias("lvl"), ty.alias("ty")))
+
+
+def boxes_by_leaf(boxes: DataFrame, tiling: Tiling, margin: float = 0.0) -> DataFrame:
+    return tiling.leaves_of(boxes, F.col("bx0") - margin, F.col("by0") - margin, F.col("bx1") + margin, F.col("by1") + margin)
+
+
+def edges_hitting(boxes: DataFrame, layer: str, tiling: Tiling) -> DataFrame:
     """(h3, poly) pairs where an edge of ``poly`` intersects the cell box."""
-    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"), tile))
-                      .alias("t")).select("*", "t.tx", "t.ty").drop("t")
-    j = bt.join(_edge_tiles(edges, tile=tile), ["tx", "ty"])
+    j = boxes_by_leaf(boxes, tiling).join(tiling.edges.where(F.col("layer") == layer), TILE)
     return (j.where(_seg_box_hit(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"),
                                  F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1")))
              .select("h3", "poly").distinct())
 
 
-def near_lines(boxes: DataFrame, lines: DataFrame, dist_deg: float, tile: float = TILE_DEG) -> DataFrame:
-    """Cells whose box is within ``dist_deg`` of a line segment."""
-    bt = boxes.select("*", F.explode(_tiles(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"), tile))
-                      .alias("t")).select("*", "t.tx", "t.ty").drop("t")
-    j = bt.join(_edge_tiles(lines, dist_deg, tile), ["tx", "ty"])
+def near_lines(boxes: DataFrame, layer: str, dist_deg: float, tiling: Tiling) -> DataFrame:
+    """Cells whose box is within ``dist_deg`` of a line segment: the segment's nearest point lies in a leaf of the widened box."""
+    j = boxes_by_leaf(boxes, tiling, dist_deg).join(tiling.edges.where(F.col("layer") == layer), TILE)
     d = _box_seg_dist(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"),
                       F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))
     return j.where(d <= dist_deg).select("h3").distinct()
 
 
-def water_distance(points: DataFrame, water: DataFrame, tile: float = TILE_DEG) -> DataFrame:
-    """(h3, dist_deg) from each point (lon_c, lat_c) to the nearest water segment (planar degrees).
-
-    Widening rings of tiles; each pass only sees the points not settled by the previous one.
-    """
-    et = _edge_tiles(water, tile=tile).select("tx", "ty", "x1", "y1", "x2", "y2").persist()
-    last = int(360 / tile) + 1                 # a ring this wide covers every tile
-    todo = points.persist()
-    settled = None
-    for r in [r for r in RINGS if r < last] + [last]:
-        if todo.isEmpty():          # every point settled: no wider ring needed
-            break
-        ring = F.sequence(F.lit(-r), F.lit(r))
-        cand = (todo.select("*", F.explode(F.flatten(F.transform(ring, lambda dy: F.transform(
-                    ring, lambda dx: F.struct((F.floor(F.col("lon_c") / tile) + dx).alias("tx"),
-                                              (F.floor(F.col("lat_c") / tile) + dy).alias("ty"))))))
-                    .alias("t")).select("h3", "lon_c", "lat_c", "t.tx", "t.ty"))
-        best = (cand.join(et, ["tx", "ty"])
-                    .groupBy("h3").agg(F.min(_pt_seg_dist(F.col("lon_c"), F.col("lat_c"), F.col("x1"), F.col("y1"),
-                                                          F.col("x2"), F.col("y2"))).alias("dist_deg")))
-        # anything outside a ring of r tiles is more than r tiles away: the best inside is exact
-        done = (best.where(F.col("dist_deg") <= r * tile) if r < last else best).persist()
-        settled = done if settled is None else settled.unionByName(done)
-        todo = todo.join(done.select("h3"), "h3", "left_anti").persist()
-    if settled is None:
-        return points.select("h3", F.lit(None).cast("double").alias("dist_deg")).limit(0)
-    return settled
+# ------------------------------------------------------------------ nearest water
+
+def _bounds(size: Column) -> tuple[Column, Column]:
+    """Least and greatest distance from the row's point to its tile."""
+    x0, y0 = F.col("tx") * size, F.col("ty") * size
+    far = F.hypot(F.greatest(F.abs(F.col("lon_c") - x0), F.abs(F.col("lon_c") - (x0 + size))),
+                  F.greatest(F.abs(F.col("lat_c") - y0), F.abs(F.col("lat_c") - (y0 + size))))
+    return _pt_box_dist(F.col("lon_c"), F.col("lat_c"), x0, y0, x0 + size, y0 + size), far
+
+
+def _promising(cand: DataFrame, size: Column) -> DataFrame:
+    """Candidates that may hold the nearest segment: every tile holds one, so none is farther than the nearest far corner."""
+    near, far = _bounds(size)
+    kept = cand.withColumn("_near", near).withColumn("_far", F.min(far).over(Window.partitionBy("h3")))
+    return kept.where(F.col("_near") <= F.col("_far")).drop("_near", "_far")
+
+
+def water_candidates(points: DataFrame, tiling: Tiling) -> DataFrame:
+    """(h3, lon_c, lat_c, lvl, tx, ty): the leaves that may hold the segment nearest to each point; tx one turn east or west too."""
+    leaves = tiling.edges.select(*TILE).distinct().select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1))).alias("t")).select(
+        "lvl", (F.col("tx") + F.col("t") * _turn(tiling.tile)).alias("tx"), "ty")
+    roots = leaves.select(_root("tx").alias("a1"), _root("ty").alias("b1"), *TILE)
+    up = roots
+    for size in PYRAMID[:-1]:
+        up = up.select("*", F.floor(F.col("a1") / size).alias(f"a{size}"), F.floor(F.col("b1") / size).alias(f"b{size}"))
+    top = PYRAMID[0]
+    # the widest level has at most 17 x 4 tiles: each point starts with all of them
+    widest = up.agg(F.collect_set(F.struct(F.col(f"a{top}").alias("tx"), F.col(f"b{top}").alias("ty")))).scalar()
+    cand = points.select("h3", "lon_c", "lat_c", F.explode(widest).alias("t")).select("h3", "lon_c", "lat_c", "t.tx", "t.ty")
+    cand = _promising(cand, F.lit(top * tiling.tile))
+    for above, size in zip(PYRAMID, PYRAMID[1:], strict=False):
+        step = up.select(F.col(f"a{above}").alias("pa"), F.col(f"b{above}").alias("pb"), F.col(f"a{size}").alias("na"),
+                         F.col(f"b{size}").alias("nb")).distinct()
+        cand = (cand.join(step, (F.col("tx") == F.col("pa")) & (F.col("ty") == F.col("pb")))
+                    .select("h3", "lon_c", "lat_c", F.col("na").alias("tx"), F.col("nb").alias("ty")))
+        cand = _promising(cand, F.lit(size * tiling.tile))
+    below = roots.select("a1", "b1", "lvl", F.col("tx").alias("lx"), F.col("ty").alias("ly"))
+    cand = (cand.join(below, (F.col("tx") == F.col("a1")) & (F.col("ty") == F.col("b1")))
+                .select("h3", "lon_c", "lat_c", "lvl", F.col("lx").alias("tx"), F.col("ly").alias("ty")))
+    return _promising(cand, _size(tiling.tile))
+
+
+def water_distance(points: DataFrame, tiling: Tiling) -> DataFrame:
+    """(h3, dist_deg) from each point (lon_c, lat_c) to the nearest segment of any layer (planar degrees, across the antimeridian)."""
+    turn = _turn(tiling.tile)
+    half = turn / 2
+    # candidate columns back on the globe, and by how many degrees their segments are moved
+    turns = F.when(F.col("tx") >= half, 1).when(F.col("tx") < -half, -1).otherwise(0)
+    cand = (water_candidates(points, tiling).withColumn("turns", turns)
+            .select("h3", "lon_c", "lat_c", "lvl", (F.col("tx") - F.col("turns") * turn).alias("tx"), "ty",
+                    (F.col("turns") * 360.0).alias("moved")))
+    j = cand.join(tiling.edges, TILE)
+    d = _pt_seg_dist(F.col("lon_c") - F.col("moved"), F.col("lat_c"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    return j.groupBy("h3").agg(F.min(d).alias("dist_deg"))
 
 
 # ------------------------------------------------------------------ the mask
 
 def land_mask(cells: DataFrame, land: DataFrame, lakes: DataFrame, rivers: DataFrame,
-              step: float = CELL_STEP_R7, tile: float = TILE_DEG) -> DataFrame:
+              step: float = CELL_STEP_R7, tile: float = TILE_DEG, most: int = MOST_EDGES) -> DataFrame:
     """h3, resolucion, es_tierra, es_tierra_base, lat, lon, dist_agua_km, posiciones, buques, regla."""
-    boxes = _cell_boxes(cells, step).persist()
-    inside = corners_inside(boxes, land, tile).where("n_inside = 4")
-    land_hit = edges_hitting(boxes, land, tile)
+    named = [df.withColumn("layer", F.lit(name)) for name, df in (("land", land), ("lakes", lakes), ("rivers", rivers))]
+    tiling = build_tiling(named[0].unionByName(named[1]).unionByName(named[2]), tile, most)
+    spark, root = cells.sparkSession, scratch_dir(cells.sparkSession, "land-mask")
+    cells.write.parquet(f"{root}/cells")                     # the observed cells are counted once and read by every step
+    cells = spark.read.schema(cells.schema).parquet(f"{root}/cells")
+    boxes = _cell_boxes(cells, step)
+    inside = corners_inside(boxes, "land", tiling).where("n_inside = 4")
+    land_hit = edges_hitting(boxes, "land", tiling)
     within = inside.join(land_hit, ["h3", "poly"], "left_anti").select("h3").distinct()
-    lake_touch = (edges_hitting(boxes, lakes, tile).select("h3")
-                  .unionByName(corners_inside(boxes, lakes, tile).select("h3")).distinct())
-    river_near = near_lines(boxes, rivers, RIVER_BUFFER_DEG, tile)
-    base = within.join(lake_touch, "h3", "left_anti").join(river_near, "h3", "left_anti").persist()
+    lake_touch = (edges_hitting(boxes, "lakes", tiling).select("h3")
+                  .unionByName(corners_inside(boxes, "lakes", tiling).select("h3")).distinct())
+    river_near = near_lines(boxes, "rivers", RIVER_BUFFER_DEG, tiling)
+    base = within.join(lake_touch, "h3", "left_anti").join(river_near, "h3", "left_anti")
+    base.write.parquet(f"{root}/base")                       # read for the distances and for the mask
+    base = spark.read.schema(base.schema).parquet(f"{root}/base")
 
     lat_c, lon_c = cell_center("h3", step)
-    pts = base.select("h3", lat_c.alias("lat_c"), lon_c.alias("lon_c"))
-    dist = water_distance(pts, land.unionByName(lakes).unionByName(rivers), tile)
+    dist = water_distance(base.select("h3", lat_c.alias("lat_c"), lon_c.alias("lon_c")), tiling)
 
     lat_all, lon_all = cell_center("h3", step)
     out = (cells.join(base.withColumn("es_tierra_base", F.lit(True)), "h3", "left")

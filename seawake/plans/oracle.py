@@ -383,7 +383,8 @@ river AS (SELECT DISTINCT b.h3 FROM boxes b, edges e WHERE e.layer = 'rivers' AN
 base AS (SELECT h3 FROM within EXCEPT SELECT h3 FROM lake EXCEPT SELECT h3 FROM river),
 wdist AS (
   SELECT h3, min({pseg('lon_c', 'lat_c')}) AS dist_deg FROM
-    (SELECT h3, {lat_c} AS lat_c, {lon_c} AS lon_c FROM base) p, edges e GROUP BY h3),
+    (SELECT h3, {lat_c} AS lat_c, {lon_c} AS lon_c FROM base) p,
+    (SELECT x1 + t AS x1, y1, x2 + t AS x2, y2 FROM edges, (VALUES (0), (360), (-360)) turn(t)) e GROUP BY h3),
 mask0 AS (
   SELECT c.h3, c.posiciones, c.buques, (base.h3 IS NOT NULL) AS es_tierra_base, w.dist_deg * 111.0 AS dist_agua_km,
          {lat_c.replace('h3', 'c.h3')} AS lat, {lon_c.replace('h3', 'c.h3')} AS lon

@@ -259,6 +259,30 @@ def density_grid(dp: DataFrame, grid: float = 0.5) -> DataFrame:
               .groupBy("lat_grid", "lon_grid").agg(F.count(F.lit(1)).alias("n")))
 
 
+# ------------------------------------------------------------------ mergeable day summaries
+
+HLL_BITS, HLL_ERROR = 12, 4 * 1.04 / 2 ** (12 / 2)      # four standard errors of the distinct count
+KLL_K, KLL_RANK_ERROR = 200, 0.02                       # rank error of quantiles, above three standard errors at k = 200
+
+
+def day_sketches(clean: DataFrame) -> DataFrame:
+    """One small row per day: positions, a distinct-count sketch of the ships and a quantile sketch of the speeds.
+
+    Stored once a day, they answer for any set of days without reading positions again: sketches of days are united, not counts.
+    """
+    return clean.groupBy("fecha").agg(F.count("*").alias("posiciones"), F.hll_sketch_agg("MMSI", F.lit(HLL_BITS)).alias("buques"),
+                                      F.kll_sketch_agg_double(F.col("SOG").cast("double"), F.lit(KLL_K)).alias("velocidades"))
+
+
+def period_estimates(sketches: DataFrame, period: Column, share: float = 0.95) -> DataFrame:
+    """(periodo, posiciones, buques_aprox, sog_cuantil) of every value of ``period`` (an expression of ``fecha``)."""
+    merged = sketches.groupBy(period.alias("periodo")).agg(
+        F.sum("posiciones").alias("posiciones"), F.hll_sketch_estimate(F.hll_union_agg("buques")).alias("buques_aprox"),
+        F.kll_merge_agg_double("velocidades").alias("_q"))
+    return merged.select("periodo", "posiciones", "buques_aprox",
+                         F.kll_sketch_get_quantile_double("_q", F.lit(share)).alias("sog_cuantil"))
+
+
 # ------------------------------------------------------------------ 3. business questions
 
 def daily_ships_exact_vs_approx(clean: DataFrame, rsd: float = 0.05) -> DataFrame:

@@ -215,6 +215,29 @@ def q_daily_ships_exact_vs_approx(spark, sf):
     return both.select("fecha", "buques_exact", (F.col("error_pct") <= APPROX_BOUND_PCT).alias("aprox_dentro_de_cota"))
 
 
+@register("period_sketches", _study(select="""
+SELECT CAST(date_trunc('week', fecha) AS DATE) AS periodo, count(*) AS posiciones, count(DISTINCT MMSI) AS buques_exact,
+       true AS buques_en_cota, true AS cuantil_en_cota FROM clean GROUP BY 1"""))
+def q_period_sketches(spark, sf):
+    """Weeks from stored day sketches: positions and exact ships, and whether the united sketches keep their error bounds.
+
+    The ships' estimate is held against the exact count, the speed's 95 % quantile against its exact rank.
+    """
+    rows, path = clean(spark, sf), ly.scratch_dir(spark, "sketches")
+    st.day_sketches(rows).write.parquet(path)
+    week = F.date_trunc("week", "fecha").cast("date")
+    est = st.period_estimates(spark.read.parquet(path), week).withColumnRenamed("periodo", "_p")
+    by_week = rows.select(week.alias("periodo"), "MMSI", "SOG")
+    exact = by_week.join(est, F.col("periodo") == F.col("_p")).groupBy("periodo").agg(
+        F.first("posiciones").alias("posiciones"), F.count_distinct("MMSI").alias("buques_exact"), F.first("buques_aprox").alias("_n"),
+        F.avg((F.col("SOG") < F.col("sog_cuantil")).cast("double")).alias("_below"),
+        F.avg((F.col("SOG") <= F.col("sog_cuantil")).cast("double")).alias("_upto"))
+    return exact.select(
+        "periodo", "posiciones", "buques_exact",
+        (F.abs(F.col("_n") - F.col("buques_exact")) <= st.HLL_ERROR * F.col("buques_exact") + 1).alias("buques_en_cota"),
+        ((F.col("_below") <= 0.95 + st.KLL_RANK_ERROR) & (F.col("_upto") >= 0.95 - st.KLL_RANK_ERROR)).alias("cuantil_en_cota"))
+
+
 @register("core_nulls", _study(select=f"SELECT {O.counts(O.NULL_MEASURES)} FROM typed"))
 def q_core_nulls(spark, sf):
     return st.core_nulls(typed(spark, sf))

@@ -94,7 +94,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors cannot use a local one")
         d = tempfile.mkdtemp(prefix="seawake-ckpt-")   # local runs and tests only
     if sc.getCheckpointDir() is None:

@@ -127,3 +127,19 @@ def test_row_hash_sees_nulls_and_signed_zeros(spark):
     df = spark.createDataFrame([tuple(r.get(c) for c in st.RAW_COLUMNS) for r in rows], TYPED_DDL)
     got = [tuple(r) for r in df.select(*st.row_hash(df)).collect()]
     assert got[3] == got[4] and len({h[0] for h in got}) == len({h[1] for h in got}) == 5
+
+
+def test_united_day_sketches_answer_for_any_days(spark):
+    """Sketches of days, united, equal a sketch of the days' rows within the error bounds; the positions add up exactly."""
+    from seawake.operators import study as st
+    from seawake.plans import catalog as C
+    from tests._paths import SF_MID
+    rows = C.clean(spark, SF_MID).cache()
+    sketches = st.day_sketches(rows).cache()
+    for period in (F.lit("todo"), F.dayofweek("fecha"), F.when(F.col("fecha") < "2024-01-10", "a").otherwise("b")):
+        exact = {r[0]: r for r in rows.groupBy(period).agg(F.count("*"), F.count_distinct("MMSI")).collect()}
+        got = {r.periodo: r for r in st.period_estimates(sketches, period).collect()}
+        assert got.keys() == exact.keys()
+        for k, r in got.items():
+            assert r.posiciones == exact[k][1]
+            assert abs(r.buques_aprox - exact[k][2]) <= st.HLL_ERROR * exact[k][2] + 1

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seawake.llm.common import BATCH_ROWS, strings, table
+from seawake.llm.common import BATCH_BYTES, BATCH_ROWS, strings, table
 
 BEGIN = "<s>"
 # Opening and closing control strings by role.
@@ -107,12 +107,15 @@ FORMATTED = T.StructType([
 
 
 def _batches(rows: Iterator[tuple], schema: T.StructType, kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of at most ``BATCH_ROWS`` rows that end with the one that passes ``BATCH_BYTES`` characters."""
     held: list[tuple] = []
+    size = 0
     for r in rows:
         held.append(r)
-        if len(held) >= BATCH_ROWS:
+        size += sum(len(v) for v in r if isinstance(v, str))
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
             yield _batch(held, schema, kinds)
-            held = []
+            held, size = [], 0
     if held:
         yield _batch(held, schema, kinds)
 

@@ -137,9 +137,16 @@ def train(pages: DataFrame, sample_records: int = SAMPLE_RECORDS, dict_bytes: in
 
 
 def _filesystem(root: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder name, from its scheme (``file:/x`` counts as ``file:///x``)."""
+    """File system and path of a folder name, from its scheme.
+
+    Spark's spellings are taken too: ``file:/x`` is ``file:///x``, and ``s3a://`` and ``s3n://`` are ``s3://``. ``hdfs://`` needs
+    libhdfs on every worker.
+    """
     if root.startswith("file:/") and not root.startswith("file://"):
         root = "file://" + root.removeprefix("file:")
+    scheme, colon, rest = root.partition("://")
+    if scheme in ("s3a", "s3n"):
+        root = f"s3{colon}{rest}"
     return fs.FileSystem.from_uri(root)
 
 

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import hashlib
 import random
 
@@ -66,3 +67,12 @@ def test_pieces_make_up_the_conversation_and_the_mask(spark):
 
 def test_empty_table(spark):
     assert chat.read_back(chat.formatted(conversations(spark, []))).count() == 0
+
+
+def test_long_turns_come_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BATCH_BYTES", 1000)
+    rows = [(1, k, "user", "x" * 400) for k in range(10)]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    schema = spark.createDataFrame(rows, "a long, b long, c string, d string").schema
+    sizes = [b.num_rows for b in chat._batches(iter(rows), schema, kinds)]
+    assert sizes == [3, 3, 3, 1]

@@ -75,3 +75,10 @@ def test_empty_table(spark):
     root = scratch_dir(spark, "warc-test")
     manifest = warc.write_archives(pages(spark, []), root)
     assert warc.read_archives(manifest, root).count() == 0
+
+
+def test_spark_spellings_of_file_systems():
+    assert warc._filesystem("file:/tmp/x")[1] == warc._filesystem("file:///tmp/x")[1] == "/tmp/x"
+    for scheme in ("s3a", "s3n", "s3"):
+        store, path = warc._filesystem(f"{scheme}://bucket/folder?region=eu-west-1")
+        assert store.type_name == "s3" and path == "bucket/folder"

@@ -101,6 +101,10 @@ def main() -> None:
         ly.write_layout(opt, path, layout)
         queries[f"box_query_{layout}"] = timed(lambda p=path, lo=layout: ly.box_query(spark, p, lo).collect())
         extra[f"box_files_{layout}"], extra[f"box_bytes_{layout}"] = ly.box_files(spark, path, layout)
+    path = ly.scratch_dir(spark, "bench-z")
+    ly.write_z_order(opt, path, files=32)
+    queries["box_query_z_order"] = timed(lambda: ly.box_query(spark, path, "flat").collect())
+    extra["box_files_z_order"], extra["box_bytes_z_order"], extra["z_order_files"], _ = ly.files_met(spark, path)
     extra["box_speedup_csv_to_day_box"] = round(queries["box_query_csv"] / queries["box_query_day_box"], 2)
     # stored bytes: raw CSV day files against the day + box Parquet layout (Snappy)
     csv_bytes = sinks.total_bytes(spark.read.text(f"{landing}/*/*.csv"))

@@ -993,6 +993,22 @@ register("box_query_by_day", _BOX_SQL)(_layout_query("day"))
 register("box_query_flat", _BOX_SQL)(_layout_query("flat"))
 
 
+@register("box_query_z_order", _BOX_SQL)
+def q_box_query_z_order(spark, sf):
+    """The box query on files ordered along a Z-order curve of day, latitude and longitude."""
+    path = ly.scratch_dir(spark, "layout-z")
+    ly.write_z_order(optimized(spark, sf), path, files=16)
+    return ly.box_query(spark, path, "flat")
+
+
+@register("write_z_order", _study(select="SELECT * FROM opt"))
+def q_write_z_order(spark, sf):
+    path = ly.scratch_dir(spark, "layout-z")
+    opt = optimized(spark, sf)
+    ly.write_z_order(opt, path)
+    return spark.read.parquet(path).select(*opt.columns)
+
+
 @register("write_partitioned", _study(select="SELECT * FROM opt"))
 def q_write_partitioned(spark, sf):
     path = ly.scratch_dir(spark, "layout")

@@ -9,8 +9,9 @@ predicates become ``PartitionFilters`` and the exact lat/lon predicates ``Pushed
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seawake.functions.numeric import fixed
@@ -49,6 +50,43 @@ def write_layout(opt: DataFrame, path: str, layout: str) -> None:
     writer.parquet(path)
 
 
+Z_BITS = 10                 # of day, latitude and longitude each: steps of a day, 0.18° and 0.35°
+
+
+def z_order(day: Column, lat: Column, lon: Column) -> Column:
+    """Place on the Z-order curve through (day, latitude, longitude): their bits interleaved, so that rows near in all three lie near."""
+    cells = 1 << Z_BITS
+    axes = [F.pmod(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(cells)),
+            F.least(F.floor((lat + 90) / 180 * cells), F.lit(cells - 1)), F.least(F.floor((lon + 180) / 360 * cells), F.lit(cells - 1))]
+    bits = [F.shiftleft(F.shiftright(axis.cast("long"), b).bitwiseAND(F.lit(1)), 3 * b + k)
+            for k, axis in enumerate(axes) for b in range(Z_BITS)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def write_z_order(opt: DataFrame, path: str, files: int | None = None) -> None:
+    """Write positions unpartitioned, ranged over files and sorted inside them along the Z-order curve.
+
+    Every file covers a short stretch of the curve, so its minima and maxima of day, latitude and longitude exclude it from most
+    boxes; a crowded place takes several files, and no folder per box is needed. Rows without a place on the curve come first.
+    """
+    keyed = opt.withColumn("_z", z_order(F.to_date("BaseDateTime"), F.col("LAT"), F.col("LON")))
+    ranged = keyed.repartitionByRange(files, "_z", "MMSI", "BaseDateTime") if files else keyed.repartitionByRange("_z", "MMSI", "BaseDateTime")
+    ranged.sortWithinPartitions("_z", "MMSI", "BaseDateTime").drop("_z").write.mode("overwrite").parquet(path)
+
+
+def files_met(spark: SparkSession, path: str, day: str = BOX_DAY, box: dict = BOX) -> tuple[int, int, int, int]:
+    """Files, bytes of those whose minima and maxima meet the box and its day; then of all files."""
+    per = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.max("_metadata.file_size").alias("b"), F.min("LAT").alias("lat0"), F.max("LAT").alias("lat1"),
+        F.min("LON").alias("lon0"), F.max("LON").alias("lon1"),
+        F.min(F.to_date("BaseDateTime")).alias("d0"), F.max(F.to_date("BaseDateTime")).alias("d1"))
+    d = F.lit(day).cast("date")
+    met = ((F.col("lat0") <= box["lat_max"]) & (F.col("lat1") >= box["lat_min"]) & (F.col("lon0") <= box["lon_max"])
+           & (F.col("lon1") >= box["lon_min"]) & (F.col("d0") <= d) & (F.col("d1") >= d))
+    return tuple(per.agg(F.count_if(met), F.coalesce(F.sum(F.when(met, F.col("b"))), F.lit(0)), F.count("*"),
+                         F.coalesce(F.sum("b"), F.lit(0))).first())
+
+
 def _partition_paths(spark: SparkSession, path: str, layout: str, day: str, box: dict) -> list[str]:
     """Only the partition folders the query can touch (no listing of the other days / boxes).
 

@@ -3,9 +3,10 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tests._paths import SF_SMALL
+from tests._paths import SF_MID, SF_SMALL
 from seawake.plans import catalog as C
 from seawake.plans import layout as ly
 
@@ -94,3 +95,31 @@ def test_box_query_on_missing_day_or_box(spark, tmp_root):
     assert empty_day.buques == 0 and empty_day.velocidad_media is None
     far_box = ly.box_query(spark, path, "day_box", box={"lat_min": -10, "lat_max": -5, "lon_min": 0, "lon_max": 5}).first()
     assert far_box.buques == 0
+
+
+def test_z_order_opens_few_files(spark, tmp_root):
+    path, flat = os.path.join(tmp_root, "z"), os.path.join(tmp_root, "flat")
+    opt = C.optimized(spark, SF_MID)
+    ly.write_z_order(opt, path, files=64)
+    opt.repartition(64).write.parquet(flat)
+    files, size, all_files, all_size = ly.files_met(spark, path)
+    assert all_files == 64 and files <= 24 and size < all_size / 2       # a quarter: four of the stretches a day, the box fills the rest
+    assert ly.files_met(spark, flat)[0] == 64                      # without an order every file meets the box
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    p = plan(ly.box_query(spark, path, "flat"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters" in p and "GreaterThanOrEqual(LAT" in p and "GreaterThanOrEqual(BaseDateTime" in p
+    assert ly.box_query(spark, path, "flat").collect() == ly.box_query(spark, flat, "flat").collect()
+
+
+def test_z_order_interleaves_bits(spark):
+    rows = [("2024-01-05", 26.3, -80.1), ("2024-01-06", 26.3, -80.1), ("2024-01-05", -90.0, -180.0), ("2024-01-05", 90.0, 180.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "d string, lat double, lon double").select(F.to_date("d").alias("d"), "lat", "lon")
+    got = [r[0] for r in df.select(ly.z_order(F.col("d"), F.col("lat"), F.col("lon"))).collect()]
+
+    def slow(day, lat, lon):
+        axes = [day % 1024, min(int((lat + 90) / 180 * 1024), 1023), min(int((lon + 180) / 360 * 1024), 1023)]
+        return sum((a >> b & 1) << (3 * b + k) for k, a in enumerate(axes) for b in range(10))
+
+    days = [19727, 19728, 19727, 19727]
+    assert got == [*(slow(d, r[1], r[2]) for d, r in zip(days, rows, strict=False)), None]

@@ -1,7 +1,10 @@
 """Work that must grow no faster than the input: one scan task, code the JVM does not compile, silver derived again and again."""
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from seawake.functions.geo import cell_id
 from seawake.operators import land as ld
 from seawake.plans import catalog as C
@@ -53,3 +56,21 @@ def test_cells_leave_out_positions_off_the_globe(spark):
     cell = {p: spark.range(1).select(cell_id(F.lit(p[0]), F.lit(p[1]))).first()[0] for p in ((26.5, -81.0), (-90.0, 180.0))}
     got = {r.h3: (r.posiciones, r.buques) for r in ld.cell_stats(rows).collect()}
     assert got == {cell[26.5, -81.0]: (3, 1), cell[-90.0, 180.0]: (1, 1)}
+
+
+@pytest.mark.parametrize("name", ["isolation_forest_fit"])
+def test_models_derive_silver_once(spark, name):
+    """A model's query reads stored ship-days; no part of it goes back to the raw table."""
+    result = E.queries()[name](spark, SF_SMALL)
+    assert "events.parquet" not in plan(result)
+    assert result.count() == (200 if name == "isolation_forest_fit" else 1)
+
+
+def test_stored_ship_days_are_the_derived_ones(spark):
+    stored, moved = C.stored_ship_days(spark, SF_SMALL)
+    derived = C.features(spark, SF_SMALL)
+    assert stored.columns == derived.columns and moved.columns == C.trajectories(spark, SF_SMALL).columns
+    key = ["mmsi", "fecha"]
+    for a, b in zip(stored.orderBy(*key).collect(), derived.orderBy(*key).collect(), strict=True):
+        assert all(x == y or (isinstance(x, float) and math.isclose(x, y, rel_tol=1e-9)) for x, y in zip(a, b, strict=True))
+    assert moved.count() == C.trajectories(spark, SF_SMALL).count()

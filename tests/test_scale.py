@@ -58,7 +58,7 @@ def test_cells_leave_out_positions_off_the_globe(spark):
     assert got == {cell[26.5, -81.0]: (3, 1), cell[-90.0, 180.0]: (1, 1)}
 
 
-@pytest.mark.parametrize("name", ["isolation_forest_fit", "anomaly_overlap", "top_anomalies"])
+@pytest.mark.parametrize("name", ["isolation_forest_fit", "anomaly_overlap", "top_anomalies", "model_runs"])
 def test_models_derive_silver_once(spark, name):
     """A model's query reads stored ship-days; no part of it goes back to the raw table."""
     result = E.queries()[name](spark, SF_SMALL)

@@ -58,6 +58,13 @@ def test_cells_leave_out_positions_off_the_globe(spark):
     assert got == {cell[26.5, -81.0]: (3, 1), cell[-90.0, 180.0]: (1, 1)}
 
 
+def test_late_feeds_are_dealt_over_the_tasks(spark, one_file):
+    first, late = C.two_feeds(spark, one_file)
+    assert len(used_tasks(first)) >= 3
+    whole = C.bronze(spark, one_file).count()
+    assert first.count() + late.count() == whole
+
+
 @pytest.mark.parametrize("name", ["isolation_forest_fit", "anomaly_overlap", "top_anomalies", "model_runs"])
 def test_models_derive_silver_once(spark, name):
     """A model's query reads stored ship-days; no part of it goes back to the raw table."""

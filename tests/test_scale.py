@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from seawake.functions.geo import cell_id
 from seawake.operators import land as ld
 from seawake.plans import catalog as C
-from seawake.session import prepare
+from seawake.session import checkpoint_dir, prepare
 from seawake.sources.fixture import load_events
 from tests._paths import SF_SMALL
 
@@ -65,6 +65,17 @@ def test_late_feeds_are_dealt_over_the_tasks(spark, one_file):
     assert first.count() + late.count() == whole
 
 
+def test_streams_run_compilable_code(spark, tmp_root):
+    checkpoint_dir(spark)
+    prepare(spark)
+    seen = []
+    spark.range(10).write.parquet(f"{tmp_root}/in")
+    (spark.readStream.schema("id long").parquet(f"{tmp_root}/in").writeStream
+        .foreachBatch(lambda df, n: seen.append(df.sparkSession.conf.get("spark.sql.codegen.hugeMethodLimit")))
+        .option("checkpointLocation", f"{tmp_root}/cp").trigger(availableNow=True).start().awaitTermination())
+    assert seen == ["8000"]
+
+
 @pytest.mark.parametrize("name", ["isolation_forest_fit", "anomaly_overlap", "top_anomalies", "model_runs"])
 def test_models_derive_silver_once(spark, name):
     """A model's query reads stored ship-days; no part of it goes back to the raw table."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from seawake.functions.geo import cell_id
-from seawake.operators import land as ld
+from seawake.operators import land as ld, silver as sv
 from seawake.plans import catalog as C
 from seawake.session import checkpoint_dir, prepare
 from seawake.sources.fixture import load_events
@@ -92,3 +92,16 @@ def test_stored_ship_days_are_the_derived_ones(spark):
     for a, b in zip(stored.orderBy(*key).collect(), derived.orderBy(*key).collect(), strict=True):
         assert all(x == y or (isinstance(x, float) and math.isclose(x, y, rel_tol=1e-9)) for x, y in zip(a, b, strict=True))
     assert moved.count() == C.trajectories(spark, SF_SMALL).count()
+
+
+def test_causes_are_compiled(spark):
+    rows = C.checked(spark, SF_SMALL)
+    assert "lambdafunction" not in plan(rows.select("causas")).split("Generate")[0] and rows.schema["causas"].dataType.containsNull is False
+
+
+def test_causes_of_unknown_conditions(spark):
+    rows = spark.createDataFrame(
+        [("1", "2024-01-01", True, False, 3.0), (None, None, None, True, 51.0), ("1", "2024-01-01", False, None, None)],
+        "mmsi string, ts string, _coord_ok boolean, en_tierra boolean, sog double")
+    got = [(r.causas, r.valido) for r in sv.with_causes(rows).collect()]
+    assert got == [([], True), (list(sv.REJECTED_WHEN), False), (["coord_fuera_rango"], False)]

@@ -9,6 +9,7 @@ from seawake.functions.geo import cell_id
 from seawake.operators import land as ld, silver as sv
 from seawake.plans import catalog as C
 from seawake.session import checkpoint_dir, prepare
+from seawake.sources import csv
 from seawake.sources.fixture import load_events
 from tests._paths import SF_SMALL
 
@@ -105,3 +106,24 @@ def test_causes_of_unknown_conditions(spark):
         "mmsi string, ts string, _coord_ok boolean, en_tierra boolean, sog double")
     got = [(r.causas, r.valido) for r in sv.with_causes(rows).collect()]
     assert got == [([], True), (list(sv.REJECTED_WHEN), False), (["coord_fuera_rango"], False)]
+
+
+def test_only_header_lines_are_cut_into_names(spark, tmp_root):
+    lines = ["MMSI,BaseDateTime", '\ufeff" B ase DateTime ","M MSI"', "367000001,2024-01-01T00:00:00", "SHIPm eDB,x", "", None]
+    marks = spark.createDataFrame([(v,) for v in lines], "v string").select(csv.is_header(F.col("v"))).collect()
+    assert [m[0] for m in marks] == [True, True, False, False, False, None]
+    for name, text in (("a", "MMSI,BaseDateTime\n1,2"), ("b", "1,2\n1,2"), ("c", "MMSI,BaseDateTime\nBaseDateTime,MMSI\n")):
+        spark.createDataFrame([(text,)], "v string").coalesce(1).write.text(f"{tmp_root}/in/{name}")
+    heads = csv.file_headers(spark, f"{tmp_root}/in/*")
+    got = sorted((r._source_file.split("/")[-2], r.header, r.modified is not None) for r in heads.collect())
+    assert got == [("a", "MMSI,BaseDateTime", True), ("b", None, True), ("c", "BaseDateTime,MMSI", True)]
+    scan = plan(heads).split("Exchange")[-1]                       # up to the first shuffle
+    assert "HashAggregate" in scan and "SortAggregate" not in scan
+
+
+def test_kept_rows_hold_the_raw_text_of_rejected_rows_only(spark):
+    rows = C.checked(spark, SF_SMALL)
+    kept = sv.raw_of_rejected(rows)
+    assert kept.where("valido AND raw IS NOT NULL").isEmpty()
+    a, b = (sv.quarantine_rows(r).drop("_quarantined_at", "_ingested_at") for r in (rows, kept))
+    assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

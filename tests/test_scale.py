@@ -127,3 +127,15 @@ def test_kept_rows_hold_the_raw_text_of_rejected_rows_only(spark):
     assert kept.where("valido AND raw IS NOT NULL").isEmpty()
     a, b = (sv.quarantine_rows(r).drop("_quarantined_at", "_ingested_at") for r in (rows, kept))
     assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_feeds_are_landed_in_one_pass(spark, one_file, tmp_root, monkeypatch):
+    writes, write = [], C.write_day_files
+    monkeypatch.setattr(C, "write_day_files", lambda *a, **k: (writes.append(1), write(*a, **k)))
+    for sf, n in ((SF_SMALL, 0), (one_file, 1)):                    # the second has no late rows
+        folders = C.land_two_feeds(spark, sf, f"{tmp_root}/landing{n}")
+        assert len(writes) == n + 1
+        for feed, folder in zip(C.two_feeds(spark, sf), folders, strict=True):
+            assert csv.file_headers(spark, f"{folder}/*" if n == 0 else folder).count() == feed.select("_source_file").distinct().count()
+            lines = spark.read.option("recursiveFileLookup", True).text(folder).where(~F.col("value").startswith("MMSI,"))
+            assert lines.count() == feed.count()

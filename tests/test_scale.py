@@ -100,6 +100,11 @@ def test_causes_are_compiled(spark):
     assert "lambdafunction" not in plan(rows.select("causas")).split("Generate")[0] and rows.schema["causas"].dataType.containsNull is False
 
 
+def test_valid_rows_are_chosen_above_the_scan(spark):
+    below = plan(sv.dedup_valid(C.checked(spark, SF_SMALL))).split("Generate")[1].split("events.parquet")[0]
+    assert "Filter (" not in below
+
+
 def test_causes_of_unknown_conditions(spark):
     rows = spark.createDataFrame(
         [("1", "2024-01-01", True, False, 3.0), (None, None, None, True, 51.0), ("1", "2024-01-01", False, None, None)],
